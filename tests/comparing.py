@@ -1,0 +1,38 @@
+"""Rows of a Spark result and of a DuckDB result in one comparable form."""
+
+import datetime
+import decimal
+from collections import Counter
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def oracle_rows(sf_dir, sql):
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    cursor = con.execute(sql)
+    names = [column[0] for column in cursor.description]
+    types = {column[0]: str(column[1]) for column in cursor.description}
+    return names, types, cursor.fetchall()
+
+
+def canonical(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_value(row[i]) for i in order) for row in rows)
+
+
+def _value(value):
+    if isinstance(value, decimal.Decimal):
+        return float(value)
+    if isinstance(value, datetime.datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+              "timestamp_ntz": "TIMESTAMP"}
