@@ -27,7 +27,7 @@ def iso_text(moment: Column) -> Column:
 
 
 def whole_second(moment: Column) -> Column:
-    return F.unix_timestamp(moment.cast("timestamp"))
+    return F.unix_seconds(moment.cast("timestamp"))
 
 
 def tick(moment: Column, seconds: int = fixed.TICK_SECONDS) -> Column:

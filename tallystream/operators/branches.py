@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.operators.joins import balanced_left_join
+from tallystream.operators.joins import balanced_left_join, fits_broadcast
 
 MAIN = "main"
 
@@ -38,28 +38,34 @@ def visible_changes(refs: DataFrame, changes: DataFrame, branch: str) -> DataFra
 
 
 def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: str, *,
-                key: str, values: list[str]) -> DataFrame:
+                key: str, values: list[str], small_log: bool | None = None) -> DataFrame:
     """Rows of a live branch; no rows for a branch that does not exist or was dropped.
 
     Per key only the last delete and the last update matter: a row stays unless a delete came after
     its birth, and takes the values of the last update after its birth. Copies of a row are kept.
+
+    The deletes and updates of the branch are measured first. When they are few, they are broadcast
+    and the base is not shuffled; otherwise the join spreads the keys that hold many rows. Pass
+    ``small_log`` when it is known which of the two it is.
     """
     seen = visible_changes(refs, changes, branch)
+    log = seen.where((F.col("op") != "insert") & F.col(key).isNotNull())
+    if small_log is None:
+        small_log = fits_broadcast(log.select(key, *values))
     births = (base.where(created_at(refs, branch).isNotNull())
               .select(key, *values, F.lit(0).cast("bigint").alias("born"))
               .unionByName(seen.where(F.col("op") == "insert")
                            .select(key, *values, F.col("seq").cast("bigint").alias("born"))))
     is_update = F.col("op") == "update"
-    last = (seen.where((F.col("op") != "insert") & F.col(key).isNotNull())
-            .groupBy(key).agg(
-                F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("deleted"),
-                F.max(F.when(is_update, F.col("seq"))).alias("updated"),
-                F.max_by(F.struct(*values), F.when(is_update, F.col("seq"))).alias("new")))
-    alive = balanced_left_join(births, last, key).where(
-        F.col("deleted").isNull() | (F.col("deleted") < F.col("born")))
+    updated = F.when(is_update, F.col("seq"))
+    last = log.groupBy(key).agg(
+        F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("deleted"), F.max(updated).alias("updated"),
+        *[F.max_by(name, updated).alias(f"new_{name}") for name in values])
+    joined = births.join(F.broadcast(last), key, "left") if small_log else balanced_left_join(births, last, key)
+    alive = joined.where(F.col("deleted").isNull() | (F.col("deleted") < F.col("born")))
     changed = F.col("updated") > F.col("born")
     return alive.select(key, *[
-        F.when(changed, F.col("new")[name]).otherwise(F.col(name)).alias(name) for name in values])
+        F.when(changed, F.col(f"new_{name}")).otherwise(F.col(name)).alias(name) for name in values])
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -7,24 +7,38 @@ from pyspark.sql import functions as F
 
 _SALT, _HOT, _COPIES = "__salt", "__hot_key", "__copies"
 
+_PIECES = 4
+
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Measure rows and bytes of text in one parallel pass; only the two totals reach the driver."""
+    row_bytes = F.lit(0)
+    for name in df.columns:
+        row_bytes = row_bytes + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    count, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    return count <= rows and total <= size
+
 
 def balanced_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join to a side with one row per key; ``left`` is a scan or a projection of scans.
 
-    A key with more rows than the average task gets is spread over as many salts as it fills tasks,
-    and its one right row is copied once per salt. Fewer keys than tasks can be above the average, so
-    the broadcast list of them has fewer rows than there are shuffle partitions, whatever the data.
-    Null keys match nothing and are spread over all tasks.
+    A key with more rows than the average task gets is cut into pieces of a quarter of that average,
+    and its one right row is copied once per piece. Fewer keys than tasks can be above the average, so
+    the broadcast list of them has fewer rows than there are shuffle partitions, whatever the data, and
+    the copies are at most five per partition. Null keys match nothing and are spread over all tasks.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = left.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("n"))
     average = left.agg(F.count(F.lit(1))).scalar() / tasks
     hot = (counts.where(F.col(_HOT).isNotNull() & (F.col("n") > average))
-           .select(_HOT, F.ceil(F.col("n") / average).alias(_COPIES)))
+           .select(_HOT, F.ceil(F.col("n") * _PIECES / average).alias(_COPIES)))
     hot = F.broadcast(hot)
 
     # The position of a row within its scan task is the same when a lost task runs again.
-    spread_over = F.when(F.col(key).isNull(), F.lit(tasks)).otherwise(F.coalesce(_COPIES, F.lit(1)))
+    spread_over = F.when(F.col(key).isNull(), F.lit(tasks * _PIECES)).otherwise(F.coalesce(_COPIES, F.lit(1)))
     salted_left = (left.withColumn("__position", F.monotonically_increasing_id())
                    .join(hot, F.col(key) == F.col(_HOT), "left")
                    .withColumn(_SALT, F.pmod(F.col("__position"), spread_over).cast("bigint"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tallystream.session import settings
 from tallystream.sources import paths
-from tallystream.streaming.ingest import (GOOD, StreamTable, _to_folder, _write, committed_batches,
-                                          committed_spans, read_batches, read_spans)
+from tallystream.streaming.ingest import (GOOD, StreamTable, committed_spans, newest_batch, read_batches,
+                                          read_committed, read_spans, write_rows)
 
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -32,41 +32,39 @@ def file_audit(rows: DataFrame, partition: str, target_bytes: int = TARGET_BYTES
         .withColumn("small_files_after", F.ceil(F.col("small_bytes") / target_bytes)))
 
 
-def audit_batches(spark: SparkSession, table: StreamTable, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Audit of the loose batches that the next compaction would merge."""
-    return file_audit(read_batches(spark, table, _loose(spark, table), GOOD), table.partition, target_bytes)
-
-
-def audit_spans(spark: SparkSession, table: StreamTable, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Audit of the merged files."""
+def audit_table(spark: SparkSession, table: StreamTable, target_bytes: int = TARGET_BYTES,
+                merged: bool = False) -> DataFrame:
+    """Audit of the good rows in batches that were not merged yet, or in the merged files."""
     spans = committed_spans(spark, table)
-    return file_audit(read_spans(spark, table, spans), table.partition, target_bytes)
-
-
-def _loose(spark: SparkSession, table: StreamTable, upto: int | None = None) -> list[int]:
-    merged = max((high for _, high in committed_spans(spark, table)), default=-1)
-    return [n for n in committed_batches(spark, table) if n > merged and (upto is None or n <= upto)]
-
-
-def compact(spark: SparkSession, table: StreamTable, *, upto: int | None = None,
-            target_bytes: int = TARGET_BYTES) -> tuple[int, int] | None:
+    if merged:
+        rows = read_spans(spark, table, spans)
+    else:
+        last = spans[-1][1] if spans else -1
+        rows = read_batches(spark, table, last + 1, newest_batch(spark, table, known=last))
+    if rows is None:
+        raise ValueError("there are no such files")
+    return file_audit(rows.where(F.col("verdict") == GOOD), table.partition, target_bytes)
+
+
+def compact(spark: SparkSession, table: StreamTable, *, target_bytes: int = TARGET_BYTES,
+            again: bool = False) -> tuple[int, int] | None:
     """Merge the committed batches since the last merge into files of about ``target_bytes``.
 
     Rows do not change, and committed folders are only read, so stream and readers go on meanwhile.
-    Work grows with the batches that came since the last merge and not with the table. The rebalance
-    groups rows by partition value, splits a large value over several tasks and packs small ones
-    together, by the sizes Spark measures while it runs.
+    Work grows with the batches that came since the last merge and not with the table; ``again``
+    merges everything, also what was merged before. The rebalance groups rows by partition value,
+    splits a large value over several tasks and packs small ones together, by the sizes Spark
+    measures while it runs. Returns the merged span, None when there is nothing to merge.
     """
-    batch_ids = _loose(spark, table, upto)
-    if not batch_ids:
+    spans = [] if again else committed_spans(spark, table)
+    last = spans[-1][1] if spans else -1
+    newest = newest_batch(spark, table, known=last)
+    if newest == last:
         return None
-    span = (batch_ids[0], batch_ids[-1])
-    rows = read_batches(spark, table, batch_ids, GOOD).select(table.schema.fieldNames())
-    if dict(rows.dtypes)[table.partition] == "string":
-        rows = rows.withColumn(table.partition, _to_folder(table.partition))
-    folder = f"{table.compacted}/span={span[0]}-{span[1]}"
+    folder = f"{table.compacted}/span={last + 1}-{newest}"
     if not paths.is_complete(spark, folder):
+        rows = read_committed(spark, table, newest) if again else read_batches(spark, table, last + 1, newest)
         with settings(spark, spark__sql__adaptive__enabled="true",
                       spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes)):
-            _write(rows.hint("rebalance", table.partition), folder, [table.partition])
-    return span
+            write_rows(table, rows.hint("rebalance", "verdict", table.partition), folder)
+    return last + 1, newest

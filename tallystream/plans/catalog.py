@@ -375,7 +375,7 @@ def snapshot_read(spark: SparkSession, folder: str) -> DataFrame:
     early, late = _halves(inputs.telemetry(spark, folder))
     _land(early, landing)
     ingest.ingest_available(spark, landing, table)
-    cut = ingest.committed_batches(spark, table)[-1]
+    cut = ingest.newest_batch(spark, table)
     _land(late, landing)
     ingest.ingest_available(spark, landing, table)
     maintenance.compact(spark, table)
@@ -400,9 +400,9 @@ def compact_rows(spark: SparkSession, folder: str) -> DataFrame:
 def compact_report(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per partition before and after a merge, and whether there are fewer files."""
     table = _streamed(spark, folder)
-    before = maintenance.audit_batches(spark, table)
+    before = maintenance.audit_table(spark, table)
     maintenance.compact(spark, table)
-    after = maintenance.audit_spans(spark, table)
+    after = maintenance.audit_table(spark, table, merged=True)
     keep = [F.col(fixed.PLATOON), F.col("row_count"), F.col("file_count")]
     joined = before.select(keep).alias("b").join(after.select(keep).alias("a"), fixed.PLATOON)
     return joined.select(F.col(fixed.PLATOON).alias("event_type"), F.col("b.row_count").alias("rows_before"),
@@ -413,7 +413,7 @@ def compact_report(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def small_file_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Per partition of a freshly streamed table: rows, and whether its files should be merged."""
-    audit = maintenance.audit_batches(spark, _streamed(spark, folder))
+    audit = maintenance.audit_table(spark, _streamed(spark, folder))
     return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count",
                         (F.col("small_files") > F.col("small_files_after")).alias("merge_helps"))
 

@@ -72,7 +72,9 @@ REF_ROWS = [("main", 0, None), ("experiment", 2 * STEP, None), ("experiment", 5
 
 
 def branch_refs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REF_ROWS, "branch string, created_seq bigint, dropped_seq bigint")
+    rows = ", ".join(f"('{name}', {created}L, {'CAST(NULL AS BIGINT)' if dropped is None else f'{dropped}L'})"
+                     for name, created, dropped in REF_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS refs(branch, created_seq, dropped_seq)")
 
 
 def branch_changes(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,17 +7,18 @@ from pyspark.sql import SparkSession
 SUCCESS = "_SUCCESS"
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().getParent().getName() for status in found or []]
+def _path(spark: SparkSession, text: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def is_complete(spark: SparkSession, folder: str) -> bool:
     """Whether the write job of a folder finished: its mark is the last thing a job writes."""
-    return bool(_glob(spark, f"{folder}/{SUCCESS}"))
+    files, mark = _path(spark, f"{folder}/{SUCCESS}")
+    return files.exists(mark)
 
 
 def complete_children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     """Names of finished folders directly below a folder, without the prefix."""
-    return [name[len(prefix):] for name in _glob(spark, f"{folder}/{prefix}*/{SUCCESS}")]
+    files, marks = _path(spark, f"{folder}/{prefix}*/{SUCCESS}")
+    return [status.getPath().getParent().getName()[len(prefix):] for status in files.globStatus(marks) or []]

@@ -3,7 +3,7 @@
 Layout under one root::
 
     batches/batch_id=N/verdict=good|bad/<partition>=.../   one folder per micro-batch
-    compacted/span=LO-HI/<partition>=.../                  good rows of the batches LO..HI
+    compacted/span=LO-HI/verdict=.../<partition>=.../      the rows of the batches LO..HI in fewer files
     checkpoint/                                            progress of the stream
 
 A folder counts once it holds the mark of a finished write. It never changes after that: a batch that
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -51,18 +51,29 @@ class StreamTable:
         return f"{self.root}/checkpoint"
 
 
-def _to_folder(column: str) -> Column:
-    """A folder name cannot be empty: Spark would read an empty text back as null."""
-    return F.when(F.col(column) == "", F.lit(_EMPTY)).otherwise(F.col(column))
+def _is_text(table: StreamTable) -> bool:
+    return isinstance(table.schema[table.partition].dataType, StringType)
 
 
-def _from_folder(column: str) -> Column:
-    return F.when(F.col(column) == _EMPTY, F.lit("")).otherwise(F.col(column))
+def write_rows(table: StreamTable, rows: DataFrame, folder: str) -> None:
+    """Write rows with their verdict; an empty text cannot name a folder (Spark would read it as null)."""
+    if _is_text(table):
+        value = F.col(table.partition)
+        rows = rows.withColumn(table.partition, F.when(value == "", F.lit(_EMPTY)).otherwise(value))
+    (rows.write.mode("overwrite").partitionBy("verdict", table.partition)
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder))
 
 
-def _write(df: DataFrame, folder: str, partitions: list[str]) -> None:
-    (df.write.mode("overwrite").partitionBy(*partitions)
-     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder))
+def _read_rows(spark: SparkSession, table: StreamTable, root: str, names: list[str]) -> DataFrame:
+    """Rows of the named folders below a root, with ``verdict`` and ``batch_id``; no other is listed."""
+    stored = StructType([*with_corrupt(table.schema).fields, StructField("verdict", StringType()),
+                         StructField("batch_id", LongType())])
+    rows = spark.read.schema(stored).option("basePath", root).parquet(*[f"{root}/{name}" for name in names]) \
+        .select(stored.fieldNames())
+    if _is_text(table):
+        value = F.col(table.partition)
+        rows = rows.withColumn(table.partition, F.when(value == _EMPTY, F.lit("")).otherwise(value))
+    return rows
 
 
 def write_batch(table: StreamTable, batch: DataFrame, batch_id: int) -> None:
@@ -71,10 +82,7 @@ def write_batch(table: StreamTable, batch: DataFrame, batch_id: int) -> None:
     if paths.is_complete(batch.sparkSession, folder):
         return
     verdict = F.when(F.col(CORRUPT).isNull(), F.lit(GOOD)).otherwise(F.lit(BAD))
-    rows = batch.withColumn("verdict", verdict)
-    if isinstance(table.schema[table.partition].dataType, StringType):
-        rows = rows.withColumn(table.partition, _to_folder(table.partition))
-    _write(rows, folder, ["verdict", table.partition])
+    write_rows(table, batch.withColumn("verdict", verdict), folder)
 
 
 def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,
@@ -94,67 +102,79 @@ def ingest_available(spark: SparkSession, landing: str, table: StreamTable,
     start_ingest(spark, landing, table, interval=None, files_per_batch=files_per_batch).awaitTermination()
 
 
-def committed_batches(spark: SparkSession, table: StreamTable) -> list[int]:
-    return sorted(int(name) for name in paths.complete_children(spark, table.batches, "batch_id="))
+def newest_batch(spark: SparkSession, table: StreamTable, known: int = -1) -> int:
+    """Number of the last committed batch, -1 when there is none; ``known`` is one known to be there.
 
+    A stream numbers its batches from 0 and starts one when the one before is committed, so the marks
+    form a run without gaps. Its end is found with a few look-ups, doubling the step and then halving
+    it, instead of listing every batch the stream ever wrote.
+    """
+    def committed(batch_id: int) -> bool:
+        return paths.is_complete(spark, f"{table.batches}/batch_id={batch_id}")
 
-def committed_spans(spark: SparkSession, table: StreamTable) -> list[tuple[int, int]]:
-    names = paths.complete_children(spark, table.compacted, "span=")
-    return sorted(tuple(int(part) for part in name.split("-")) for name in names)
+    present, step = known, 1
+    while committed(present + step):
+        present, step = present + step, step * 2
+    absent = present + step
+    while absent - present > 1:
+        middle = (present + absent) // 2
+        present, absent = (middle, absent) if committed(middle) else (present, middle)
+    return present
 
 
-def spans_up_to(spans: list[tuple[int, int]], upto: int) -> list[tuple[int, int]]:
-    """Spans to read for a cut: none that reaches past it, and of overlapping ones the widest."""
-    chosen, covered = [], -1
-    for low, high in sorted((s for s in spans if s[1] <= upto), key=lambda s: (s[0], -s[1])):
-        if low > covered:
+def committed_spans(spark: SparkSession, table: StreamTable) -> list[tuple[int, int]]:
+    """Spans of merged batches without overlap, in order; where two begin alike the wider one counts."""
+    names = paths.complete_children(spark, table.compacted, "span=")
+    found = [tuple(int(part) for part in name.split("-")) for name in names]
+    chosen = []
+    for low, high in sorted(found, key=lambda span: (span[0], -span[1])):
+        if not chosen or low > chosen[-1][1]:
             chosen.append((low, high))
-            covered = high
     return chosen
 
 
-def read_batches(spark: SparkSession, table: StreamTable, batch_ids: list[int], verdict: str) -> DataFrame:
-    """Rows of the given committed batches with their ``batch_id``; other folders are not listed."""
-    stored = StructType([*with_corrupt(table.schema).fields, StructField("verdict", StringType()),
-                         StructField("batch_id", LongType())])
-    folders = [f"{table.batches}/batch_id={n}" for n in batch_ids]
-    rows = spark.read.schema(stored).option("basePath", table.batches).parquet(*folders) \
-        if folders else spark.createDataFrame([], stored)
-    return _restore(table, rows.where(F.col("verdict") == verdict).drop("verdict"))
+def read_batches(spark: SparkSession, table: StreamTable, low: int, high: int) -> DataFrame | None:
+    """Rows of the batches ``low``..``high`` as the stream wrote them."""
+    names = [f"batch_id={n}" for n in range(low, high + 1)]
+    return _read_rows(spark, table, table.batches, names) if names else None
 
 
-def read_spans(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]]) -> DataFrame:
-    stored = StructType([*table.schema.fields, StructField("span", StringType())])
-    folders = [f"{table.compacted}/span={low}-{high}" for low, high in spans]
-    rows = spark.read.schema(stored).option("basePath", table.compacted).parquet(*folders) \
-        if folders else spark.createDataFrame([], stored)
-    return _restore(table, rows)
+def read_spans(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]]) -> DataFrame | None:
+    """Rows of merged batches; each row still knows its batch."""
+    names = [f"span={low}-{high}" for low, high in spans]
+    return _read_rows(spark, table, table.compacted, names) if names else None
 
 
-def _restore(table: StreamTable, rows: DataFrame) -> DataFrame:
-    if isinstance(table.schema[table.partition].dataType, StringType):
-        return rows.withColumn(table.partition, _from_folder(table.partition))
-    return rows
+def read_committed(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
+    """All rows, good and bad, of the committed batches up to ``upto`` (default: the newest now).
 
+    The cut is fixed once, at the start: a batch that commits later is not read, and a compaction that
+    ends later changes only which files hold the same rows.
+    """
+    newest = newest_batch(spark, table)
+    cut = newest if upto is None else min(upto, newest)
+    spans = [span for span in committed_spans(spark, table) if span[0] <= cut]
+    merged = spans[-1][1] if spans else -1
+    rows = read_spans(spark, table, spans)
+    if rows is not None and merged > cut:
+        rows = rows.where(F.col("batch_id") <= cut)
+    loose = read_batches(spark, table, merged + 1, cut)
+    if rows is not None and loose is not None:
+        return rows.unionByName(loose)
+    if rows is None and loose is None:
+        return spark.createDataFrame([], StructType([
+            *with_corrupt(table.schema).fields, StructField("verdict", StringType()),
+            StructField("batch_id", LongType())]))
+    return loose if rows is None else rows
 
-def read_snapshot(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
-    """Good rows of the committed batches up to ``upto`` (default: the newest now).
 
-    The batches are listed once, before the spans: a batch that commits later is not read, and a
-    compaction that ends later changes only which files hold the same rows.
-    """
-    batches = committed_batches(spark, table)
-    last = batches[-1] if batches else -1
-    cut = last if upto is None else min(upto, last)
-    spans = spans_up_to(committed_spans(spark, table), cut)
-    loose = [n for n in batches if n <= cut and not any(low <= n <= high for low, high in spans)]
-    columns = table.schema.fieldNames()
-    rows = read_batches(spark, table, loose, GOOD).select(columns)
-    return rows.unionByName(read_spans(spark, table, spans).select(columns)) if spans else rows
+def read_snapshot(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
+    """The table as of a committed batch: its good rows."""
+    rows = read_committed(spark, table, upto)
+    return rows.where(F.col("verdict") == GOOD).select(table.schema.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
     """Text of the lines that did not parse, with the batch they came in."""
-    batches = committed_batches(spark, table)
-    wanted = [n for n in batches if upto is None or n <= upto]
-    return read_batches(spark, table, wanted, BAD).select("batch_id", F.col(CORRUPT).alias("line"))
+    rows = read_committed(spark, table, upto)
+    return rows.where(F.col("verdict") == BAD).select("batch_id", F.col(CORRUPT).alias("line"))

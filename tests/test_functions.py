@@ -1,0 +1,113 @@
+import contextlib
+import io
+
+import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallystream import fixed_values as fixed
+from tallystream.functions import numeric, text, times
+from tallystream.session import settings
+from tallystream.sources.schemas import schema_of
+from tallystream.sources.tables import conform, constant_rows, key_range
+
+few = hypothesis_settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+characters = st.sampled_from(list(fixed.WHITESPACE + "ab;'é​᠎\x00"))
+
+
+def column(spark, values, kind, expression):
+    rows = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+    return [row[0] for row in rows.orderBy("i").select(expression(F.col("v"))).collect()]
+
+
+def test_whitespace_is_what_python_strips():
+    assert set(fixed.WHITESPACE) == {chr(c) for c in range(0x110000) if not chr(c).strip()}
+
+
+@few
+@given(st.lists(st.text(characters, max_size=12), min_size=30, max_size=60))
+def test_strip_is_python_strip(spark, values):
+    assert column(spark, values, "string", text.strip) == [value.strip() for value in values]
+
+
+def test_replace_is_literal_and_case_sensitive(spark):
+    values = ["a.b a.b A.B axb", "", None]
+    assert column(spark, values, "string", lambda v: text.replace_literal(v, "a.b", "$1")) == ["$1 $1 A.B axb", "", None]
+
+
+def test_preview_cells_are_those_of_show(spark):
+    values = ["short", "x" * 20, "y" * 21, "line\nbreak\tand more text", None, ""]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        rows.show(10, 20)
+    cells = [line.strip("|").strip() for line in shown.getvalue().splitlines()[3:-2]]
+    assert [c.strip() for c in column(spark, values, "string", text.truncated_cell)] == cells
+
+
+def test_clamp_bounds_and_keeps_null(spark):
+    assert column(spark, [-1.0, 0.0, 50.5, 121.0, None], "double", lambda v: numeric.clamp(v, 0.0, 120.0)) == \
+        [0.0, 0.0, 50.5, 120.0, None]
+
+
+def test_rounding_is_half_up_on_the_decimal_text(spark):
+    assert column(spark, [2.675, 0.125, 1.005], "double", lambda v: numeric.bounded_reading(v, 0.0, 120.0)) == \
+        [2.68, 0.13, 1.01]
+
+
+def test_pick_counts_from_one_and_raises_outside(spark):
+    assert column(spark, [1, 3], "int", lambda v: numeric.pick(["a", "b", "c"], v)) == ["a", "c"]
+    with pytest.raises(PySparkException):
+        column(spark, [4], "int", lambda v: numeric.pick(["a", "b", "c"], v))
+    assert column(spark, [4, -1], "int", lambda v: numeric.try_pick(["a", "b", "c"], v)) == [None, "c"]
+
+
+def test_draws_depend_on_the_key_only(spark):
+    first, second = numeric.draws(F.col("id"), 7, [8, 6])
+    rows = spark.range(0, 4000).select("id", first.alias("a"), second.alias("b"))
+    again = spark.range(0, 4000).repartition(3).select("id", first.alias("a"), second.alias("b"))
+    assert rows.exceptAll(again).isEmpty()
+    low, high, mean, together = rows.agg(F.min("a"), F.max("a"), F.avg("a"), F.corr("a", "b")).first()
+    assert 0 <= low < 0.01 and 0.99 < high < 1 and abs(mean - 0.5) < 0.02 and abs(together) < 0.05
+
+
+def test_epoch_and_clock_change(spark):
+    with settings(spark, spark__sql__session__timeZone="America/New_York"):
+        base = F.unix_timestamp(F.lit("2025-01-01 00:00:00"))
+        # 2025-11-02 01:30 occurs twice in this zone, one hour apart.
+        offsets = [1762061400 - 1735707600, 1762065000 - 1735707600]
+        rows = spark.createDataFrame([(o,) for o in offsets], "o bigint").select(
+            base.alias("base"), F.unix_seconds(times.epoch_offset("2025-01-01 00:00:00", F.col("o"))).alias("s"))
+        assert [tuple(r) for r in rows.orderBy("s").collect()] == [(1735707600, 1762061400), (1735707600, 1762065000)]
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_tick_floors_before_the_epoch_too(spark):
+    rows = spark.sql("SELECT timestamp '1969-12-31 23:59:59.5' AS t UNION ALL SELECT timestamp '1970-01-01 00:00:19.9'")
+    assert sorted(r[0] for r in rows.select(times.tick(F.col("t"))).collect()) == [-10, 10]
+
+
+def test_short_id(spark):
+    assert column(spark, [1, 1, 2], "bigint", text.short_id) == ["AV-c4ca4238", "AV-c4ca4238", "AV-c81e728d"]
+
+
+def test_constant_rows_keep_their_schema(spark):
+    schema = schema_of({"id": "int", "data": "string"}, required=True)
+    rows = constant_rows(spark, [(1, "first"), (2, "second")], schema)
+    assert rows.schema == schema
+    assert [tuple(r) for r in rows.orderBy("id").collect()] == [(1, "first"), (2, "second")]
+
+
+def test_conform_refuses_null_and_overflow(spark):
+    schema = schema_of({"id": "int", "data": "string"}, required=True)
+    with pytest.raises(PySparkException, match="null in required column data"):
+        conform(spark.sql("SELECT 1L AS id, CAST(NULL AS STRING) AS data"), schema).collect()
+    with pytest.raises(PySparkException):
+        conform(spark.sql("SELECT 3000000000L AS id, 'x' AS data"), schema).collect()
+
+
+def test_key_range_is_inclusive_and_empty_without_keys(spark):
+    assert [r.id for r in key_range(spark, spark.range(3, 6), "id").orderBy("id").collect()] == [3, 4, 5]
+    assert key_range(spark, spark.range(0), "id").count() == 0

@@ -1,0 +1,103 @@
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from tallystream.operators import changes, reports, writes
+from tallystream.sources.schemas import schema_of
+
+SALARIES = schema_of({"name": "string", "salary": "int"})
+PAIRS = [("Alice", 1), ("Bob", 2), (None, 7)]
+
+
+@pytest.fixture
+def name():
+    return "t_" + uuid.uuid4().hex
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_conditional_create_keeps_rows_and_append_repeats_them(spark, name, folder):
+    for _ in range(2):
+        writes.create_if_absent(spark, name, SALARIES, location=f"{folder}/t")
+        writes.append(spark.createDataFrame([("Alice", 100000), ("Bob", 120000)], SALARIES), name)
+    assert rows_of(spark.table(name)) == [("Alice", 100000)] * 2 + [("Bob", 120000)] * 2
+
+
+def test_append_refuses_a_number_that_does_not_fit(spark, name, folder):
+    writes.create_if_absent(spark, name, SALARIES, location=f"{folder}/t")
+    with pytest.raises(PySparkException, match="CAST_OVERFLOW_IN_TABLE_INSERT"):
+        writes.append(spark.sql("SELECT 'Alice' AS name, 3000000000L AS salary"), name)
+
+
+def test_strict_create_is_refused_the_second_time(spark, name, folder):
+    writes.create_from(spark.range(3), name, location=f"{folder}/a")
+    with pytest.raises(AnalysisException):
+        writes.create_from(spark.range(5), name, location=f"{folder}/b")
+    assert spark.table(name).count() == 3
+
+
+@pytest.mark.parametrize("partition_by", [None, ["part"]])
+def test_full_refresh_replaces_all_rows(spark, name, folder, partition_by):
+    def rows(n):
+        return spark.range(n).select("id", (F.col("id") % 3).alias("part"))
+
+    writes.full_refresh(rows(10), name, location=f"{folder}/1", partition_by=partition_by)
+    writes.full_refresh(rows(4), name, location=f"{folder}/2", partition_by=partition_by)
+    assert spark.table(name).count() == 4
+    writes.full_refresh(spark.table(name).where("part = 0"), name, location=f"{folder}/3", partition_by=partition_by)
+    assert rows_of(spark.table(name).select("id", "part")) == [(0, 0), (3, 0)]
+
+
+def test_partitioned_table_prunes(spark, name, folder):
+    schema = schema_of({"id": "bigint", "part": "string"})
+    writes.create_if_absent(spark, name, schema, partition_by=["part"], location=f"{folder}/t")
+    writes.append(spark.range(6).select("id", F.when(F.col("id") < 2, "a").otherwise("b").alias("part")), name)
+    plan = spark.table(name).where("part = 'a'")
+    assert rows_of(plan) == [(0, "a"), (1, "a")]
+    assert "PartitionFilters: [isnotnull(part" in plan._jdf.queryExecution().toString()
+
+
+def test_replace_folder_twice_leaves_the_last_rows(spark, folder):
+    writes.replace_folder(spark.range(5), f"{folder}/t")
+    assert writes.replace_folder(spark.range(2), f"{folder}/t").count() == 2
+
+
+def test_delete_keeps_rows_with_an_unknown_predicate(spark):
+    rows = spark.createDataFrame(PAIRS, SALARIES)
+    assert rows_of(changes.delete_where(rows, F.col("name") == "Alice")) == [("Bob", 2), (None, 7)]
+
+
+def test_kept_and_deleted_rows_make_up_the_table(spark):
+    rows = spark.createDataFrame([(n if n % 4 else None, n % 5) for n in range(60)], "a int, b int")
+    condition = (F.col("a") > 20) | (F.col("b") == 1)
+    kept = changes.delete_where(rows, condition)
+    assert kept.unionAll(rows.where(condition)).exceptAll(rows).isEmpty()
+    assert kept.count() + rows.where(condition).count() == rows.count()
+
+
+def test_update_sees_the_old_row_and_keeps_types(spark):
+    rows = spark.createDataFrame(PAIRS, SALARIES)
+    updated = changes.update_where(rows, F.col("name") == "Alice", {"salary": F.lit(9.9), "name": F.col("salary")})
+    assert rows_of(updated) == [("1", 9), ("Bob", 2), (None, 7)]
+    assert updated.dtypes == rows.dtypes
+
+
+def test_report_counts_null_types_and_orders_ties_by_type(spark):
+    rows = spark.createDataFrame([("b", 2), ("a", 2), (None, 9), ("c", None)], "kind string, fine int")
+    report = reports.revenue_by_type(rows, "kind", "fine")
+    assert [tuple(r) for r in report.collect()] == [(None, 1, 9), ("a", 1, 2), ("b", 1, 2), ("c", 1, None)]
+    assert dict(report.dtypes)["total_revenue"] == "bigint"
+
+
+def test_count_of_nothing_is_zero(spark):
+    assert reports.row_count(spark.range(0)).first()[0] == 0
+
+
+def test_top_rows_are_not_a_full_sort(spark):
+    top = reports.first_rows(spark.range(0, 100, 1, 4), "id")
+    assert [r.id for r in top.collect()] == [0, 1, 2, 3, 4]
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().toString()
