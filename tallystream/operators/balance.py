@@ -17,7 +17,7 @@ from tallystream.functions.numeric import clamp
 from tallystream.session import scratch
 
 UNIT = 1_000_000_000
-ROWS_PER_TASK = 5_000_000
+ROWS_PER_TASK = 2_000_000
 
 
 def drain_units(speed: Column) -> Column:
@@ -52,7 +52,8 @@ def running_drain(df: DataFrame, *, vehicle: str, order: list[str], units: str,
     # Ranges are cut from a sample, so a second run may cut elsewhere: they are written down once.
     spark = df.sparkSession
     folder = scratch(spark, "ranges")
-    (df.repartitionByRange(math.ceil(total / rows_per_task), vehicle, *order)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(max(tasks, math.ceil(total / rows_per_task)), vehicle, *order)
      .withColumn("__range", F.spark_partition_id()).write.parquet(folder))
     ranges = spark.read.parquet(folder)
     before = Window.partitionBy(vehicle).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from tallystream.functions import numeric, text, times
 from tallystream.operators import balance, branches, changes, maintenance, reports, statements, writes
 from tallystream.plans import inputs
 from tallystream.session import prepare, scratch
-from tallystream.sources.landing import export_lines
+from tallystream.sources.landing import export_lines, file_count
 from tallystream.sources.schemas import schema_of
 from tallystream.sources.tables import conform, key_range, read_table
 from tallystream.streaming import ingest
@@ -297,19 +298,22 @@ def guard_outcome(spark: SparkSession, folder: str) -> DataFrame:
 
 # Streams and the tables they fill
 
-_LANDING_FILES = 8
+_FILES_AT_LEAST = 8
+_FILES_PER_BATCH = 10_000
 
 
-def _land(rows: DataFrame, landing: str, mode: str = "append") -> None:
-    export_lines(rows, landing, inputs.EVENT_ORDER, files=_LANDING_FILES, mode=mode)
+def _land(rows: DataFrame, landing: str, files: int) -> None:
+    export_lines(rows, landing, inputs.EVENT_ORDER, files=files, mode="append")
 
 
-def _streamed(spark: SparkSession, folder: str, files_per_batch: int | None = _LANDING_FILES // 2):
+def _streamed(spark: SparkSession, folder: str, batches: int = 2) -> ingest.StreamTable:
     """All events exported to a landing folder and taken in by a stream of several batches."""
     root = scratch(spark, "stream")
     table = inputs.event_table(root)
-    _land(inputs.telemetry(spark, folder), f"{root}/landing")
-    ingest.ingest_available(spark, f"{root}/landing", table, files_per_batch)
+    events = inputs.telemetry(spark, folder)
+    files = file_count(events, at_least=_FILES_AT_LEAST)
+    _land(events, f"{root}/landing", files)
+    ingest.ingest_available(spark, f"{root}/landing", table, min(math.ceil(files / batches), _FILES_PER_BATCH))
     return table
 
 
@@ -322,7 +326,8 @@ def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def landing_export(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON lines in one folder per day, read back with the day."""
     path = scratch(spark, "landing")
-    export_lines(inputs.telemetry(spark, folder), path, inputs.EVENT_ORDER, files=_LANDING_FILES,
+    events = inputs.telemetry(spark, folder)
+    export_lines(events, path, inputs.EVENT_ORDER, files=file_count(events, at_least=_FILES_AT_LEAST),
                  tick_of="timestamp", tick_seconds=86400)
     schema = StructType([*inputs.EVENT_SCHEMA, *schema_of({"tick": "bigint"})])
     return inputs.plain_times(spark.read.schema(schema).option("timeZone", "UTC").json(path))
@@ -339,9 +344,9 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "stream")
     table, landing = inputs.event_table(root), f"{root}/landing"
     for part in _halves(inputs.telemetry(spark, folder)):
-        _land(part, landing)
-        ingest.ingest_available(spark, landing, table)
-    ingest.ingest_available(spark, landing, table)
+        _land(part, landing, file_count(part, at_least=_FILES_AT_LEAST // 2))
+        ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
+    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
     return inputs.plain_times(ingest.read_snapshot(spark, table))
 
 
@@ -357,7 +362,7 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
                     F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"speed_kmh":"x"}')))
               .otherwise(line))
     inputs.telemetry(spark, folder).select(spoilt.alias("value")).write.text(landing)
-    ingest.ingest_available(spark, landing, table)
+    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
     good = ingest.read_snapshot(spark, table).select(
         F.lit("good").alias("verdict"), F.col(fixed.PLATOON).alias("event_type"), F.lit(None).cast("bigint").alias("chars"))
     bad = ingest.read_quarantine(spark, table).select(
@@ -373,18 +378,18 @@ def snapshot_read(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "stream")
     table, landing = inputs.event_table(root), f"{root}/landing"
     early, late = _halves(inputs.telemetry(spark, folder))
-    _land(early, landing)
-    ingest.ingest_available(spark, landing, table)
+    _land(early, landing, file_count(early, at_least=_FILES_AT_LEAST // 2))
+    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
     cut = ingest.newest_batch(spark, table)
-    _land(late, landing)
-    ingest.ingest_available(spark, landing, table)
+    _land(late, landing, file_count(late, at_least=_FILES_AT_LEAST // 2))
+    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
     maintenance.compact(spark, table)
     return inputs.plain_times(ingest.read_snapshot(spark, table, upto=cut))
 
 
 @register
 def list_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    rows = ingest.read_snapshot(spark, _streamed(spark, folder, None))
+    rows = ingest.read_snapshot(spark, _streamed(spark, folder, batches=1))
     return reports.list_partitions(rows, fixed.PLATOON).withColumnRenamed(fixed.PLATOON, "event_type")
 
 

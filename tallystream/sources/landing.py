@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,6 +15,14 @@ from tallystream.sources.schemas import TELEMETRY
 CORRUPT = "_corrupt_record"
 
 
+ROWS_PER_FILE = 500_000
+
+
+def file_count(df: DataFrame, at_least: int = 1, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Files to cut rows into, so that a file, and the task that writes it, stays of one size."""
+    return max(at_least, math.ceil(df.count() / rows_per_file))
+
+
 def export_lines(df: DataFrame, folder: str, order: list[str], files: int | None = None,
                  tick_of: str | None = None, tick_seconds: int = fixed.TICK_SECONDS,
                  mode: str = "errorifexists") -> None:
@@ -26,7 +36,7 @@ def export_lines(df: DataFrame, folder: str, order: list[str], files: int | None
     if tick_of:
         df = df.withColumn("tick", times.tick(F.col(tick_of), tick_seconds))
         order = ["tick", *order]
-    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    ranged = df.repartitionByRange(files or file_count(df), *order)
     writer = (ranged.write.mode(mode)
               .option("timestampFormat", times.ISO_MICROS).option("timeZone", "UTC"))
     if tick_of:
