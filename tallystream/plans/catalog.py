@@ -42,11 +42,19 @@ def table_name(label: str) -> str:
 
 @register
 def range_source(spark: SparkSession, folder: str) -> DataFrame:
-    """Every number in the order key domain, with the price of the order that has it."""
-    orders = read_table(spark, folder, "orders")
-    return (key_range(spark, orders, "o_orderkey").join(orders, F.col("id") == F.col("o_orderkey"), "left")
-            .select(F.col("id").alias("ticket_id"), F.col("o_totalprice").alias("price"),
-                    F.col("o_orderkey").isNotNull().alias("recorded")))
+    """Every number in the order key domain, with the price of the order that has it.
+
+    Orders are taken as they are; only their distinct keys are shuffled, to find the numbers without
+    an order, so a key that very many rows share does not gather in one task.
+    """
+    orders = read_table(spark, folder, "orders").where(F.col("o_orderkey").isNotNull())
+    numbers = key_range(spark, orders, "o_orderkey")
+    used = orders.select(F.col("o_orderkey").alias("id")).distinct()
+    recorded = orders.select(F.col("o_orderkey").alias("ticket_id"), F.col("o_totalprice").alias("price"),
+                             F.lit(True).alias("recorded"))
+    unused = numbers.join(used, "id", "left_anti").select(
+        F.col("id").alias("ticket_id"), F.lit(None).cast("double").alias("price"), F.lit(False).alias("recorded"))
+    return recorded.unionByName(unused)
 
 
 @register

@@ -55,11 +55,12 @@ def settings(spark: SparkSession, **conf: str):
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    It is the one named in ``spark.checkpoint.dir``. Without that setting a temporary folder serves a
-    local session only; on a cluster a machine-local folder would be lost with its machine.
+    It is the one named in ``spark.checkpoint.dir``, or set on the context. Without either a temporary
+    folder serves a local session only; on a cluster a machine-local folder would be lost with its
+    machine.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
+    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not context.master.startswith("local"):

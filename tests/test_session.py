@@ -1,0 +1,54 @@
+import pytest
+
+from tallystream import session
+
+
+class Context:
+    applicationId = "app-1"
+
+    def __init__(self, master, conf=None, set_on_context=None):
+        self.master, self.conf, self.set_on_context = master, conf or {}, set_on_context
+
+    def getConf(self):
+        return self.conf
+
+    def getCheckpointDir(self):
+        return self.set_on_context
+
+
+class Session:
+    def __init__(self, *args, **more):
+        self.sparkContext = Context(*args, **more)
+
+
+def test_the_folder_the_cluster_names_is_used():
+    spark = Session("spark://host:7077", {"spark.checkpoint.dir": "hdfs://shared/work/"})
+    assert session.shared_dir(spark) == "hdfs://shared/work"
+    assert session.scratch(spark, "x").startswith("hdfs://shared/work/x-")
+    assert session.shared_dir(Session("spark://host:7077", set_on_context="hdfs://other")) == "hdfs://other"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session("spark://host:7077"))
+
+
+def test_a_local_session_gets_one_folder_of_its_own():
+    folder = session.shared_dir(Session("local[2]"))
+    assert folder.startswith("file:///") and session.shared_dir(Session("local[2]")) == folder
+
+
+def test_settings_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(ZeroDivisionError):
+        with session.settings(spark, spark__sql__shuffle__partitions="99"):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "99"
+            raise ZeroDivisionError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_foreign_sessions_are_put_into_utc(spark):
+    with session.settings(spark, spark__sql__session__timeZone="Asia/Tokyo", spark__sql__ansi__enabled="false"):
+        session.prepare(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.ansi.enabled") == "true"
