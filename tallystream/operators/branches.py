@@ -53,19 +53,18 @@ def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: st
     if small_log is None:
         small_log = fits_broadcast(log.select(key, *values))
     births = (base.where(created_at(refs, branch).isNotNull())
-              .select(key, *values, F.lit(0).cast("bigint").alias("born"))
+              .select(key, *values, F.lit(0).cast("bigint").alias("__born"))
               .unionByName(seen.where(F.col("op") == "insert")
-                           .select(key, *values, F.col("seq").cast("bigint").alias("born"))))
-    is_update = F.col("op") == "update"
-    updated = F.when(is_update, F.col("seq"))
+                           .select(key, *values, F.col("seq").cast("bigint").alias("__born"))))
+    update_seq = F.when(F.col("op") == "update", F.col("seq"))
     last = log.groupBy(key).agg(
-        F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("deleted"), F.max(updated).alias("updated"),
-        *[F.max_by(name, updated).alias(f"new_{name}") for name in values])
+        F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("__deleted"), F.max(update_seq).alias("__updated"),
+        *[F.max_by(name, update_seq).alias(f"__new_{name}") for name in values])
     joined = births.join(F.broadcast(last), key, "left") if small_log else balanced_left_join(births, last, key)
-    alive = joined.where(F.col("deleted").isNull() | (F.col("deleted") < F.col("born")))
-    changed = F.col("updated") > F.col("born")
+    alive = joined.where(F.col("__deleted").isNull() | (F.col("__deleted") < F.col("__born")))
+    changed = F.col("__updated") > F.col("__born")
     return alive.select(key, *[
-        F.when(changed, F.col(f"new_{name}")).otherwise(F.col(name)).alias(name) for name in values])
+        F.when(changed, F.col(f"__new_{name}")).otherwise(F.col(name)).alias(name) for name in values])
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:

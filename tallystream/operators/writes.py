@@ -60,6 +60,6 @@ def append_folder(df: DataFrame, folder: str, partition_by: list[str] | None = N
 
 
 def _write_folder(df: DataFrame, folder: str, mode: str, partition_by: list[str] | None) -> DataFrame:
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder).select(df.columns)

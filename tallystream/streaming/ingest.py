@@ -38,6 +38,11 @@ class StreamTable:
     schema: StructType = TELEMETRY
     partition: str = fixed.PLATOON
 
+    def __post_init__(self) -> None:
+        taken = {"verdict", "batch_id", CORRUPT} & set(self.schema.fieldNames())
+        if taken or self.partition not in self.schema.fieldNames():
+            raise ValueError(f"columns {sorted(taken)} are taken, and {self.partition} must be a column")
+
     @property
     def batches(self) -> str:
         return f"{self.root}/batches"
@@ -56,11 +61,14 @@ def _is_text(table: StreamTable) -> bool:
 
 
 def write_rows(table: StreamTable, rows: DataFrame, folder: str) -> None:
-    """Write rows with their verdict; an empty text cannot name a folder (Spark would read it as null)."""
+    """Write rows with their verdict in place of what an unfinished write may have left in the folder.
+
+    An empty text cannot name a folder (Spark would read it back as null), so a mark stands for it.
+    """
     if _is_text(table):
         value = F.col(table.partition)
         rows = rows.withColumn(table.partition, F.when(value == "", F.lit(_EMPTY)).otherwise(value))
-    (rows.write.mode("overwrite").partitionBy("verdict", table.partition)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("verdict", table.partition)
      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder))
 
 

@@ -7,6 +7,7 @@ from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from tallystream.operators import maintenance
 from tallystream.operators.branches import row_differences
@@ -108,6 +109,38 @@ def test_a_batch_without_its_mark_is_not_read_and_is_written_anew(spark, table):
     assert ingest.read_snapshot(spark, table).count() == 2
 
 
+def test_leftovers_of_an_unfinished_write_do_not_stay(spark, table, folder):
+    land(f"{folder}/landing", "a.json", [line("one")])
+    rows = spark.read.schema(ingest.with_corrupt(TELEMETRY)).json(f"{folder}/landing")
+    with settings(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        ingest.write_batch(table, rows.withColumn("cooperative_platoon_id", F.lit("stale")), 0)
+        mark = os.path.join(local(table.batches), "batch_id=0", "_SUCCESS")
+        os.rename(mark, mark.replace("_SUCCESS", "_taken"))
+        ingest.write_batch(table, rows, 0)
+    assert [r.cooperative_platoon_id for r in ingest.read_snapshot(spark, table).collect()] == ["Platoon_A"]
+
+
+@pytest.mark.parametrize("kind", ["tick bigint", "day date"])
+def test_other_partition_types(spark, folder, kind):
+    name, sql_type = kind.split()
+    schema = StructType([StructField("v", StringType()), StructField(name, DateType() if sql_type == "date" else LongType())])
+    table = ingest.StreamTable(folder, schema, name)
+    values = ["2025-01-01", "2025-01-02"] if sql_type == "date" else [7, 8]
+    land(f"{folder}/landing", "a.json", [json.dumps({"v": f"v{i}", name: value}) for i, value in enumerate(values)] + ['{"v":"none"}'])
+    ingest.ingest_available(spark, f"{folder}/landing", table)
+    maintenance.compact(spark, table)
+    rows = {r.v: r[name] for r in ingest.read_snapshot(spark, table).collect()}
+    assert [str(rows["v0"]), str(rows["v1"]), rows["none"]] == [str(values[0]), str(values[1]), None]
+
+
+def test_reserved_columns_are_refused(folder):
+    schema = StructType([StructField("batch_id", LongType()), StructField("p", StringType())])
+    with pytest.raises(ValueError):
+        ingest.StreamTable(folder, schema, "p")
+    with pytest.raises(ValueError):
+        ingest.StreamTable(folder, TELEMETRY, "absent")
+
+
 def test_end_of_the_run_of_marks_is_found(spark, table, monkeypatch):
     for last in [-1, 0, 1, 2, 6, 7, 8, 1000]:
         looked = []
