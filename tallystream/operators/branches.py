@@ -14,11 +14,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystream.operators.changes import update_where
 from tallystream.operators.joins import balanced_left_join, fits_broadcast
 
 MAIN = "main"
 
 
+def create_branch(refs: DataFrame, branch: str, seq: int) -> DataFrame:
+    """Refs with a branch that starts from main as of ``seq``; a live one of that name goes on as it is."""
+    row = refs.sparkSession.range(1).select(
+        F.lit(branch).alias("branch"), F.lit(seq).cast("bigint").alias("created_seq"),
+        F.lit(None).cast("bigint").alias("dropped_seq"))
+    return refs.unionByName(row)
+
+
+def drop_branch(refs: DataFrame, branch: str, seq: int) -> DataFrame:
+    """Refs without the branch: its changes are not seen any more, not even when the name is used again."""
+    live = (F.col("branch") == branch) & F.col("dropped_seq").isNull()
+    return update_where(refs, live, {"dropped_seq": F.lit(seq)})
+
+
 def created_at(refs: DataFrame, branch: str) -> Column:
     """Sequence number the live branch starts from, null when there is none.
 

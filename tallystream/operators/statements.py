@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystream import fixed_values as fixed
-from tallystream.functions.text import replace_literal, strip
+from tallystream.functions.text import replace_literal, strip, strip_part
 
 KEPT, BLOCKED = "kept", "blocked"
 
@@ -66,10 +66,12 @@ def guard(requests: DataFrame, rules: GuardRules = DEFAULT_RULES) -> DataFrame:
 
 def outcome(requests: DataFrame, rules: GuardRules = DEFAULT_RULES) -> DataFrame:
     """Per request, the statements kept and blocked, and whether anything is left to run."""
-    statements = F.filter(F.transform(F.split("text", ";"), strip), lambda s: s != "")
-    judged = F.transform("statements", lambda s: is_blocked(s, rules))
-    counted = (clean(requests, rules).select("request_id", F.coalesce(statements, F.array()).alias("statements"))
-               .select("request_id", judged.alias("judged"))
+    statements = F.filter(F.transform(F.split("text", ";"), strip_part), lambda s: s != "")
+    judged = F.transform(statements, lambda s: is_blocked(s, rules))
+    # Two uses of the cleaned text keep the clean-up a step of its own, which Spark then compiles;
+    # inside the array functions it would be interpreted, piece by piece.
+    counted = (clean(requests, rules)
+               .select("request_id", F.when(F.col("text").isNotNull(), judged).otherwise(F.array()).alias("judged"))
                .select("request_id", F.size("judged").alias("n"),
                        F.size(F.filter("judged", lambda blocked: blocked)).alias("n_blocked")))
     return counted.select(

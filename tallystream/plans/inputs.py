@@ -38,9 +38,12 @@ def plain_times(df: DataFrame) -> DataFrame:
                       for name, kind in df.dtypes])
 
 
+DRAW_BITS = [32, 24, 24, 18, 18]  # day, type, location, fine, radar
+
+
 def violations(keys: DataFrame, key: str, seed: int = 2025) -> DataFrame:
     """One violation record per key, drawn from the key so that every run gives the same records."""
-    day, kind, place, fine, radar = draws(F.col(key), seed, [8, 6, 6, 6, 6])
+    day, kind, place, fine, radar = draws(F.col(key), seed, DRAW_BITS)
     return keys.select(
         F.col(key).alias("ticket_id"),
         epoch_offset(fixed.PERIOD_START, (day * fixed.PERIOD_SECONDS).cast("int")).alias("violation_date"),

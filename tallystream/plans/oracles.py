@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallystream import fixed_values as fixed
+from tallystream.functions.numeric import place
 from tallystream.plans import inputs
 
 
@@ -27,19 +28,20 @@ FROM customer"""
 _SUPPLIERS = "SELECT s_suppkey, s_name AS name, CAST(trunc(s_acctbal) AS INTEGER) AS salary FROM supplier"
 
 
-def _draw(start: int, digits: int) -> str:
-    return f"(CAST('0x' || substr(digest, {start}, {digits}) AS BIGINT) / {float(16 ** digits)})"
+def _draw(n: int) -> str:
+    word, low, width = place(inputs.DRAW_BITS)[n]
+    return f"(((CAST('0x' || substr(digest, {1 + word * 15}, 15) AS BIGINT) >> {low}) & {2 ** width - 1}) / {float(2 ** width)})"
 
 
 def _violations(extra: int = 0) -> str:
     return f"""
 SELECT o_orderkey AS ticket_id,
        TIMESTAMP '{fixed.PERIOD_START}'
-         + to_seconds(CAST(trunc({_draw(1, 8)} * {fixed.PERIOD_SECONDS}) AS BIGINT)) AS violation_date,
-       {_texts(fixed.VIOLATION_TYPES)}[CAST(trunc({_draw(9, 6)} * 5 + 1) AS INTEGER)] AS violation_type,
-       {_texts(fixed.LOCATIONS)}[CAST(trunc({_draw(15, 6)} * 5 + 1) AS INTEGER)] AS location,
-       CAST(trunc({_draw(21, 6)} * {fixed.FINE_RANGE} + {fixed.FINE_MIN}) + {extra} AS INTEGER) AS fine_amount,
-       {_draw(27, 6)} > {fixed.RADAR_THRESHOLD} AS radar_captured
+         + to_seconds(CAST(trunc({_draw(0)} * {fixed.PERIOD_SECONDS}) AS BIGINT)) AS violation_date,
+       {_texts(fixed.VIOLATION_TYPES)}[CAST(trunc({_draw(1)} * 5 + 1) AS INTEGER)] AS violation_type,
+       {_texts(fixed.LOCATIONS)}[CAST(trunc({_draw(2)} * 5 + 1) AS INTEGER)] AS location,
+       CAST(trunc({_draw(3)} * {fixed.FINE_RANGE} + {fixed.FINE_MIN}) + {extra} AS INTEGER) AS fine_amount,
+       {_draw(4)} > {fixed.RADAR_THRESHOLD} AS radar_captured
 FROM (SELECT o_orderkey, md5('2025:' || o_orderkey) AS digest FROM orders)"""
 
 

@@ -59,8 +59,24 @@ def test_scenario(spark):
         Counter([("Bob", 120000), ("Charlie", 500)])
 
 
+def test_branches_are_made_and_dropped(spark):
+    base, log = spark.createDataFrame(BASE_ROWS, BASE), spark.createDataFrame(MISTAKE, CHANGES)
+
+    def names(refs):
+        rows = branches.read_branch(base, refs, log, "experiment", key="name", values=["salary"]).collect()
+        return sorted(row.name for row in rows)
+
+    refs = branches.create_branch(spark.createDataFrame(OPEN[:1], REFS), "experiment", 10)
+    assert names(refs) == ["Bob", "Charlie"]
+    assert names(branches.create_branch(refs, "experiment", 15)) == ["Bob", "Charlie"]
+    dropped = branches.drop_branch(branches.create_branch(refs, "experiment", 15), "experiment", 20)
+    assert names(dropped) == []
+    assert names(branches.create_branch(dropped, "experiment", 30)) == ["Alice", "Bob"]
+
+
 @pytest.mark.parametrize("log, expected", [
-    ([("experiment", 11, "delete", "Alice", None), ("experiment", 13, "insert", "Alice", 7)], {("Alice", 7): 1, ("Bob", 120000): 1}),
+    ([("experiment", 11, "delete", "Alice", None), ("experiment", 13, "insert", "Alice", 7)],
+     {("Alice", 7): 1, ("Bob", 120000): 1}),
     ([("experiment", 11, "insert", "Alice", 7), ("experiment", 13, "delete", "Alice", None)], {("Bob", 120000): 1}),
     ([("experiment", 11, "delete", None, None)], {("Alice", 100000): 1, ("Bob", 120000): 1}),
     ([("experiment", 11, "update", "Bob", None)], {("Alice", 100000): 1, ("Bob", None): 1}),

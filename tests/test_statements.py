@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings
 from hypothesis import strategies as st
@@ -99,3 +101,8 @@ def test_own_rules(spark):
 def test_no_shuffle(spark, step):
     plan = step(as_requests(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan.replace("PythonRDD", "")
+
+
+def test_clean_up_is_compiled_before_the_array_functions(spark):
+    plan = statements.outcome(as_requests(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) Project \[request_id#\d+L, replace\(", plan)
