@@ -127,12 +127,15 @@ def violations_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def insert_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows appended twice are there twice."""
-    path = scratch(spark, "salaries")
-    writes.append_folder(inputs.customer_salaries(spark, folder).select("name", "salary"), path)
-    more = inputs.supplier_salaries(spark, folder).select("name", "salary")
-    writes.append_folder(more, path)
-    return writes.append_folder(more, path)
+    """Rows appended twice are there twice, rows of a query and rows written out alike."""
+    name = table_name("salaries")
+    writes.create_if_absent(spark, name, inputs.SALARIES, location=scratch(spark, "salaries"))
+    writes.append(inputs.customer_salaries(spark, folder).select("name", "salary"), name)
+    suppliers = inputs.supplier_salaries(spark, folder).select("name", "salary")
+    for _ in range(2):
+        writes.append(suppliers, name)
+        spark.sql(f"INSERT INTO {name} VALUES {inputs.TWO_SALARIES}")
+    return spark.table(name)
 
 
 @register

@@ -147,8 +147,8 @@ SELECT violation_type, count(*) AS ticket_amount, CAST(sum(fine_amount) AS BIGIN
 FROM ({_violations()}) GROUP BY violation_type ORDER BY total_revenue DESC, violation_type""",
     "insert_append": f"""
 SELECT name, salary FROM ({_SALARIES})
-UNION ALL SELECT name, salary FROM ({_SUPPLIERS})
-UNION ALL SELECT name, salary FROM ({_SUPPLIERS})""",
+UNION ALL SELECT name, salary FROM ({_SUPPLIERS}) UNION ALL SELECT name, salary FROM ({_SUPPLIERS})
+UNION ALL SELECT * FROM (VALUES {inputs.TWO_SALARIES}, {inputs.TWO_SALARIES})""",
     "bounded_preview": f"""
 SELECT {', '.join(f'{_cell(c)} AS {c}' for c in ['conv_id', 'turn', 'role', 'text'])}
 FROM (SELECT * FROM conversations ORDER BY conv_id, turn LIMIT {fixed.PREVIEW_ROWS})""",

@@ -18,7 +18,7 @@ def is_complete(spark: SparkSession, folder: str) -> bool:
     return files.exists(mark)
 
 
-def complete_children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
-    """Names of finished folders directly below a folder, without the prefix."""
-    files, marks = _path(spark, f"{folder}/{prefix}*/{SUCCESS}")
-    return [status.getPath().getParent().getName()[len(prefix):] for status in files.globStatus(marks) or []]
+def children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names of the folders directly below a folder, without the prefix; finished or not."""
+    files, pattern = _path(spark, f"{folder}/{prefix}*")
+    return [status.getPath().getName()[len(prefix):] for status in files.globStatus(pattern) or []]

@@ -131,12 +131,16 @@ def newest_batch(spark: SparkSession, table: StreamTable, known: int = -1) -> in
 
 
 def committed_spans(spark: SparkSession, table: StreamTable) -> list[tuple[int, int]]:
-    """Spans of merged batches without overlap, in order; where two begin alike the wider one counts."""
-    names = paths.complete_children(spark, table.compacted, "span=")
+    """Spans of merged batches without overlap, in order; where two begin alike the wider one counts.
+
+    One listing gives all names, and only the spans that are to be read are looked up for their mark:
+    after a merge of everything that is one, however many merges there were before.
+    """
+    names = paths.children(spark, table.compacted, "span=")
     found = [tuple(int(part) for part in name.split("-")) for name in names]
     chosen = []
     for low, high in sorted(found, key=lambda span: (span[0], -span[1])):
-        if not chosen or low > chosen[-1][1]:
+        if (not chosen or low > chosen[-1][1]) and paths.is_complete(spark, f"{table.compacted}/span={low}-{high}"):
             chosen.append((low, high))
     return chosen
 

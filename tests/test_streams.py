@@ -218,6 +218,25 @@ def test_cuts_before_between_and_after_merges(spark, table, folder):
         [expected[:cut + 1] for cut in range(5)]
 
 
+def test_an_unfinished_merge_is_not_read(spark, table, folder):
+    landing = f"{folder}/landing"
+    for n in range(3):
+        land(landing, f"{n}.json", [line(f"v{n}")])
+        ingest.ingest_available(spark, landing, table)
+        if n == 1:
+            maintenance.compact(spark, table)
+    maintenance.compact(spark, table, again=True)
+    mark = os.path.join(local(table.compacted), "span=0-2", "_SUCCESS")
+    os.rename(mark, mark.replace("_SUCCESS", "_taken"))
+    assert ingest.committed_spans(spark, table) == [(0, 1)]
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
+    assert maintenance.compact(spark, table) == (2, 2)
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
+    assert maintenance.compact(spark, table, again=True) == (0, 2)
+    assert ingest.committed_spans(spark, table) == [(0, 2)]
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
+
+
 def test_reading_and_merging_while_the_stream_runs(spark, table, folder):
     landing = f"{folder}/landing"
     land(landing, "0.json", [line("v0")])

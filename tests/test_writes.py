@@ -101,3 +101,9 @@ def test_top_rows_are_not_a_full_sort(spark):
     top = reports.first_rows(spark.range(0, 100, 1, 4), "id")
     assert [r.id for r in top.collect()] == [0, 1, 2, 3, 4]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().toString()
+
+
+def test_append_folder_keeps_what_is_there(spark, folder):
+    writes.append_folder(spark.range(2).withColumn("p", F.lit("a")), f"{folder}/t", ["p"])
+    both = writes.append_folder(spark.range(2).withColumn("p", F.lit("b")), f"{folder}/t", ["p"])
+    assert rows_of(both) == [(0, "a"), (0, "b"), (1, "a"), (1, "b")]
