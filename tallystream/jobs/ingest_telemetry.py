@@ -15,12 +15,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the table and its checkpoint")
     parser.add_argument("--interval", default=fixed.TRIGGER, help="time between two micro-batches")
     parser.add_argument("--files-per-batch", type=int)
+    parser.add_argument("--archive", help="folder to move files to when they were taken in")
     parser.add_argument("--once", action="store_true", help="take in what is there and end")
     options = parser.parse_args(argv)
     spark = prepare(build_session("ingest-telemetry"))
     query = start_ingest(spark, options.landing, StreamTable(options.root),
                          interval=None if options.once else options.interval,
-                         files_per_batch=options.files_per_batch)
+                         files_per_batch=options.files_per_batch, archive=options.archive)
     query.awaitTermination()
 
 

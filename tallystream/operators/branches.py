@@ -18,6 +18,20 @@ from tallystream.operators.changes import update_where
 from tallystream.operators.joins import balanced_left_join, fits_broadcast
 
 MAIN = "main"
+OPERATIONS = ("insert", "delete", "update")
+
+
+def record(rows: DataFrame, operation: str, seq: int, branch: str = MAIN, *, key: str, values: list[str]) -> DataFrame:
+    """Log entries for one statement: rows to insert, keys to delete, or keys with their new values.
+
+    All entries of a statement have its ``seq``. A delete keeps the key only; an update has one row per key.
+    """
+    if operation not in OPERATIONS:
+        raise ValueError(f"{operation} is none of {OPERATIONS}")
+    if operation == "delete":
+        rows = rows.select(key, *[F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in values])
+    return rows.select(F.lit(branch).alias("branch"), F.lit(seq).cast("bigint").alias("seq"),
+                       F.lit(operation).alias("op"), key, *values)
 
 
 def create_branch(refs: DataFrame, branch: str, seq: int) -> DataFrame:
@@ -43,7 +57,7 @@ def created_at(refs: DataFrame, branch: str) -> Column:
     return live.agg(F.min("created_seq")).scalar()
 
 
-def visible_changes(refs: DataFrame, changes: DataFrame, branch: str) -> DataFrame:
+def visible_changes(refs: DataFrame, changes: DataFrame, branch: str = MAIN) -> DataFrame:
     """Changes a branch sees: its own since it was created, and those of main before that."""
     start = created_at(refs, branch)
     own = (F.col("branch") == branch) & (F.col("seq") > start)
@@ -52,7 +66,7 @@ def visible_changes(refs: DataFrame, changes: DataFrame, branch: str) -> DataFra
     return changes.where(own | ((F.col("branch") == MAIN) & (F.col("seq") <= start)))
 
 
-def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: str, *,
+def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: str = MAIN, *,
                 key: str, values: list[str], small_log: bool | None = None) -> DataFrame:
     """Rows of a live branch; no rows for a branch that does not exist or was dropped.
 

@@ -49,9 +49,12 @@ def with_corrupt(schema: StructType) -> StructType:
 
 
 def stream_lines(spark: SparkSession, folder: str, schema: StructType = TELEMETRY,
-                 files_per_batch: int | None = None) -> DataFrame:
+                 files_per_batch: int | None = None, archive: str | None = None) -> DataFrame:
     """Stream of the JSON lines in a folder, each file read once.
 
+    Every micro-batch lists the folder. With ``archive`` Spark moves files there once their batch is
+    committed, so that the folder, and the time to list it, stays small.
+
     Unknown fields are dropped and missing ones are null. A line that does not parse, or holds a field
     of another type, keeps its text in ``_corrupt_record``.
     """
@@ -60,4 +63,6 @@ def stream_lines(spark: SparkSession, folder: str, schema: StructType = TELEMETR
               .option("timeZone", "UTC"))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(folder)

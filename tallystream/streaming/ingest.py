@@ -94,9 +94,10 @@ def write_batch(table: StreamTable, batch: DataFrame, batch_id: int) -> None:
 
 
 def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,
-                 interval: str | None = fixed.TRIGGER, files_per_batch: int | None = None) -> StreamingQuery:
+                 interval: str | None = fixed.TRIGGER, files_per_batch: int | None = None,
+                 archive: str | None = None) -> StreamingQuery:
     """Append the landing folder to the table, every ``interval``; with None, take what is there and end."""
-    lines = stream_lines(spark, landing, table.schema, files_per_batch)
+    lines = stream_lines(spark, landing, table.schema, files_per_batch, archive)
     writer = (lines.writeStream.outputMode("append")
               .option("checkpointLocation", table.checkpoint)
               .foreachBatch(lambda batch, batch_id: write_batch(table, batch, batch_id)))
@@ -105,9 +106,10 @@ def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,
 
 
 def ingest_available(spark: SparkSession, landing: str, table: StreamTable,
-                     files_per_batch: int | None = None) -> None:
+                     files_per_batch: int | None = None, archive: str | None = None) -> None:
     """Take in all files that are waiting, then stop."""
-    start_ingest(spark, landing, table, interval=None, files_per_batch=files_per_batch).awaitTermination()
+    start_ingest(spark, landing, table, interval=None, files_per_batch=files_per_batch,
+                 archive=archive).awaitTermination()
 
 
 def newest_batch(spark: SparkSession, table: StreamTable, known: int = -1) -> int:

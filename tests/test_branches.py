@@ -59,6 +59,21 @@ def test_scenario(spark):
         Counter([("Bob", 120000), ("Charlie", 500)])
 
 
+def test_recorded_statements(spark):
+    base = spark.createDataFrame(BASE_ROWS, BASE)
+    refs = branches.create_branch(spark.createDataFrame(OPEN[:1], REFS), "experiment", 10)
+    how = {"key": "name", "values": ["salary"]}
+    log = branches.record(base.where("name = 'Alice'"), "delete", 11, "experiment", **how)
+    log = log.unionByName(branches.record(spark.sql("SELECT 'Charlie' AS name, 500 AS salary"), "insert", 12, "experiment", **how))
+    log = log.unionByName(branches.record(base.where("name = 'Alice'"), "delete", 13, **how))
+    log = log.unionByName(branches.record(spark.sql("SELECT 'Bob' AS name, 1 AS salary"), "update", 14, **how))
+    read = {name: Counter(map(tuple, branches.read_branch(base, refs, log, *name, **how).collect()))
+            for name in [(), ("experiment",)]}
+    assert read == {(): Counter([("Bob", 1)]), ("experiment",): Counter([("Bob", 120000), ("Charlie", 500)])}
+    with pytest.raises(ValueError):
+        branches.record(base, "merge", 15, **how)
+
+
 def test_branches_are_made_and_dropped(spark):
     base, log = spark.createDataFrame(BASE_ROWS, BASE), spark.createDataFrame(MISTAKE, CHANGES)
 

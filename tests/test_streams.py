@@ -81,6 +81,19 @@ def test_restart_adds_new_files_only(spark, table, folder):
     assert vehicles(ingest.read_snapshot(spark, table)) == ["one", "two"]
 
 
+def test_files_taken_in_are_archived(spark, table, folder):
+    landing = f"{folder}/landing"
+    for n in range(4):
+        land(landing, f"{n}.json", [line(f"v{n}")])
+        ingest.ingest_available(spark, landing, table, archive=f"{folder}/old")
+    deadline = time.time() + 30
+    while "0.json" in os.listdir(local(landing)) and time.time() < deadline:
+        time.sleep(0.2)
+    archived = [name for _, _, names in os.walk(local(f"{folder}/old")) for name in names if name.endswith(".json")]
+    assert "0.json" in archived and "3.json" not in archived
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2", "v3"]
+
+
 def test_a_replayed_batch_adds_nothing(spark, table, folder):
     landing = f"{folder}/landing"
     for n in range(3):
