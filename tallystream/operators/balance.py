@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 from tallystream import fixed_values as fixed
 from tallystream.functions.numeric import clamp
-from tallystream.session import scratch
+from tallystream.session import ROWS_PER_TASK, scratch, shuffle_tasks, spread
 
 UNIT = 1_000_000_000
-ROWS_PER_TASK = 2_000_000
 
 
 def drain_units(speed: Column) -> Column:
@@ -47,13 +46,13 @@ def running_drain(df: DataFrame, *, vehicle: str, order: list[str], units: str,
     largest, total = sizes[0] or 0, sizes[1] or 0
     if largest <= rows_per_task:
         so_far = Window.partitionBy(vehicle).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(into, F.sum(units).over(so_far))
+        by_vehicle = spread(df, total, vehicle, rows_per_task=rows_per_task)
+        return by_vehicle.withColumn(into, F.sum(units).over(so_far))
 
     # Ranges are cut from a sample, so a second run may cut elsewhere: they are written down once.
     spark = df.sparkSession
     folder = scratch(spark, "ranges")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(max(tasks, math.ceil(total / rows_per_task)), vehicle, *order)
+    (df.repartitionByRange(max(shuffle_tasks(spark), math.ceil(total / rows_per_task)), vehicle, *order)
      .withColumn("__range", F.spark_partition_id()).write.parquet(folder))
     ranges = spark.read.parquet(folder)
     before = Window.partitionBy(vehicle).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,7 +60,8 @@ def running_drain(df: DataFrame, *, vehicle: str, order: list[str], units: str,
                .select(F.col(vehicle), "__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before")))
     within = (Window.partitionBy(vehicle, "__range").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
-    return (ranges.withColumn("__within", F.sum(units).over(within))
+    by_range = spread(ranges, total, vehicle, "__range", rows_per_task=rows_per_task)
+    return (by_range.withColumn("__within", F.sum(units).over(within))
             .join(offsets, [vehicle, "__range"])
             .withColumn(into, F.col("__within") + F.col("__before"))
             .select(*df.columns, into))

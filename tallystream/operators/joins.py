@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystream.session import ROWS_PER_TASK, shuffle_tasks, spread
+
 _SALT, _HOT, _COPIES = "__salt", "__hot_key", "__copies"
 
 _PIECES = 4
@@ -22,24 +26,27 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return count <= rows and total <= size
 
 
-def balanced_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def balanced_left_join(left: DataFrame, right: DataFrame, key: str,
+                       rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Left join to a side with one row per key; ``left`` is a scan or a projection of scans.
 
     A key with more rows than the average task gets is cut into pieces of a quarter of that average,
     and its one right row is copied once per piece. Fewer keys than tasks can be above the average, so
-    the broadcast list of them has fewer rows than there are shuffle partitions, whatever the data, and
-    the copies are at most five per partition. Null keys match nothing and are spread over all tasks.
+    the broadcast list of them has fewer rows than there are tasks, whatever the data, and the copies
+    are at most five per task. Null keys match nothing and are spread over all tasks.
     """
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = left.count()
+    tasks = max(shuffle_tasks(left.sparkSession), math.ceil(total / rows_per_task))
+    average = max(total, 1) / tasks
     counts = left.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("n"))
-    average = left.agg(F.count(F.lit(1))).scalar() / tasks
     hot = (counts.where(F.col(_HOT).isNotNull() & (F.col("n") > average))
            .select(_HOT, F.ceil(F.col("n") * _PIECES / average).alias(_COPIES)))
     hot = F.broadcast(hot)
 
-    # The position of a row within its scan task is the same when a lost task runs again.
+    # The position of a row within its scan task is the same when a lost task runs again; hashed, it
+    # does not follow a pattern in which a key may occur.
     spread_over = F.when(F.col(key).isNull(), F.lit(tasks * _PIECES)).otherwise(F.coalesce(_COPIES, F.lit(1)))
-    salted_left = (left.withColumn("__position", F.monotonically_increasing_id())
+    salted_left = (left.withColumn("__position", F.xxhash64(F.monotonically_increasing_id()))
                    .join(hot, F.col(key) == F.col(_HOT), "left")
                    .withColumn(_SALT, F.pmod(F.col("__position"), spread_over).cast("bigint"))
                    .drop("__position", _HOT, _COPIES))
@@ -47,4 +54,5 @@ def balanced_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame
                     .withColumn(_SALT, F.explode(F.sequence(
                         F.lit(0).cast("bigint"), F.coalesce(_COPIES, F.lit(1)).cast("bigint") - 1)))
                     .drop(_HOT, _COPIES))
+    salted_left = spread(salted_left, total, key, _SALT, rows_per_task=rows_per_task)
     return salted_left.join(salted_right, [key, _SALT], "left").drop(_SALT)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
@@ -52,6 +53,23 @@ def settings(spark: SparkSession, **conf: str):
                 spark.conf.set(name, value)
 
 
+ROWS_PER_TASK = 2_000_000
+
+
+def shuffle_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, rows: int, *keys: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Shuffle rows by key into as many tasks as their number asks for.
+
+    Where the session's number of shuffle tasks is enough, the next step shuffles by itself, with that
+    number, and adaptive execution packs small tasks together; a fixed number would prevent that.
+    """
+    tasks = math.ceil(rows / rows_per_task)
+    return df.repartition(tasks, *keys) if tasks > shuffle_tasks(df.sparkSession) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 

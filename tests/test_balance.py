@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -51,6 +52,15 @@ def test_a_hot_vehicle_is_cut_into_ranges(spark):
     assert "__range" in result._jdf.queryExecution().executedPlan().toString()
 
 
+def test_many_vehicles_get_enough_tasks(spark):
+    rows = [(n % 60, n // 60, n, 60.0, 85.0) for n in range(600)]
+    result = energy_balance(spark.createDataFrame(rows, SCHEMA), vehicle="vehicle", order=["ts", "event_id"],
+                            speed="speed", start="start", rows_per_task=20)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and re.search(r"hashpartitioning\(vehicle#\d+, 30\)", plan)
+    assert {r.event_id: r.battery_kwh for r in result.collect()} == stepwise(rows)
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert energy_balance(empty, vehicle="vehicle", order=["ts", "event_id"], speed="speed", start="start").count() == 0

@@ -137,6 +137,17 @@ def test_differences_count_copies(spark):
     assert Counter(map(tuple, branches.row_differences(left, right).collect())) == Counter([(1, 3), (2, 1), (3, -1)])
 
 
+@pytest.mark.parametrize("rows_per_task", [2_000_000, 100])
+def test_hot_keys_with_few_and_many_tasks(spark, rows_per_task):
+    rows = spark.range(0, 3000, 1, 3).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 40).alias("k"), "id")
+    keys = rows.where("k <> 5").select("k").distinct().withColumn("label", F.col("k") * 2)
+    with session_settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        joined = balanced_left_join(rows, keys, "k", rows_per_task=rows_per_task)
+        assert branches.row_differences(joined, rows.join(keys, "k", "left")).isEmpty()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert ("__salt" in plan) and (rows_per_task > 100 or ", 30)" in plan)
+
+
 def test_hot_keys_are_spread_and_every_row_is_kept(spark):
     """A third of the rows has one key, another third has none, and a copy of one row is repeated often."""
     rows = spark.range(0, 30000, 1, 6).select(
