@@ -32,4 +32,5 @@ def whole_second(moment: Column) -> Column:
 
 def tick(moment: Column, seconds: int = fixed.TICK_SECONDS) -> Column:
     """Start of the interval of ``seconds`` that a moment falls into, in epoch seconds."""
-    return F.floor(whole_second(moment) / seconds) * seconds
+    second = whole_second(moment)
+    return second - F.pmod(second, F.lit(seconds))

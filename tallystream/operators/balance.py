@@ -11,6 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallystream import fixed_values as fixed
 from tallystream.functions.numeric import clamp
@@ -29,49 +30,75 @@ def in_units(amount: Column) -> Column:
 
 
 def two_places(units: Column) -> Column:
-    """Units as a number with two places, rounded half up on whole numbers."""
+    """Units, not below zero, as a number with two places, rounded half up on whole numbers."""
     cent = UNIT // 100
-    return F.floor((units + cent // 2) / F.lit(cent).cast("decimal(20,0)")).cast("bigint") / F.lit(100.0)
+    shifted = units + cent // 2
+    return (shifted - shifted % cent) / F.lit(cent) / F.lit(100.0)
 
 
 def running_drain(df: DataFrame, *, vehicle: str, order: list[str], units: str, into: str,
                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Sum of ``units`` per vehicle up to each row; ``order`` must be unique within a vehicle.
 
-    One shuffle when every vehicle fits a task. Otherwise the rows are cut into ranges of (vehicle,
-    order), summed within each range, and the totals of the ranges before it are added: a range total
-    is one row per vehicle and range, so no task ever gets more than about ``rows_per_task`` rows.
+    Vehicles that fit a task take one shuffle. Those with more rows are set apart and summed in
+    ranges. There are fewer of them than the total divided by ``rows_per_task``, which bounds the
+    broadcast list that tells them apart.
+    """
+    sizes = df.groupBy(vehicle).agg(F.count(F.lit(1)).alias("n"))
+    large = F.col("n") > rows_per_task
+    total, in_large = sizes.agg(F.sum("n"), F.sum(F.when(large, F.col("n")))).first()
+    if not in_large:
+        return _summed_by_vehicle(df, vehicle, order, units, into, total or 0, rows_per_task)
+    listed = F.broadcast(sizes.where(large).select(F.col(vehicle).alias("__large")))
+    is_listed = F.col(vehicle).eqNullSafe(F.col("__large"))
+    rest = _summed_by_vehicle(df.join(listed, is_listed, "left_anti"), vehicle, order, units, into,
+                              total - in_large, rows_per_task)
+    return rest.unionByName(_summed_by_range(df.join(listed, is_listed, "left_semi"), vehicle, order, units, into,
+                                             in_large, rows_per_task))
+
+
+def _summed_by_vehicle(df: DataFrame, vehicle: str, order: list[str], units: str, into: str,
+                       rows: int, rows_per_task: int) -> DataFrame:
+    so_far = Window.partitionBy(vehicle).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    by_vehicle = spread(df, rows, vehicle, rows_per_task=rows_per_task)
+    return by_vehicle.withColumn(into, F.sum(units).over(so_far))
+
+
+def _summed_by_range(df: DataFrame, vehicle: str, order: list[str], units: str, into: str,
+                     rows: int, rows_per_task: int) -> DataFrame:
+    """Cut the rows into ranges of (vehicle, order), sum within each, and add what came before it.
+
+    Only the first vehicle of a range can have rows in earlier ranges, so what came before is at most
+    one row per range, and is broadcast. Ranges are cut from a sample, and a second run may cut
+    elsewhere: they are written down once.
     """
-    sizes = df.groupBy(vehicle).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
-    largest, total = sizes[0] or 0, sizes[1] or 0
-    if largest <= rows_per_task:
-        so_far = Window.partitionBy(vehicle).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        by_vehicle = spread(df, total, vehicle, rows_per_task=rows_per_task)
-        return by_vehicle.withColumn(into, F.sum(units).over(so_far))
-
-    # Ranges are cut from a sample, so a second run may cut elsewhere: they are written down once.
     spark = df.sparkSession
     folder = scratch(spark, "ranges")
-    (df.repartitionByRange(max(shuffle_tasks(spark), math.ceil(total / rows_per_task)), vehicle, *order)
+    (df.repartitionByRange(max(shuffle_tasks(spark), math.ceil(rows / rows_per_task)), vehicle, *order)
      .withColumn("__range", F.spark_partition_id()).write.parquet(folder))
-    ranges = spark.read.parquet(folder)
-    before = Window.partitionBy(vehicle).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranges.groupBy(vehicle, "__range").agg(F.sum(units).alias("__total"))
-               .select(F.col(vehicle), "__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before")))
-    within = (Window.partitionBy(vehicle, "__range").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, 0))
-    by_range = spread(ranges, total, vehicle, "__range", rows_per_task=rows_per_task)
-    return (by_range.withColumn("__within", F.sum(units).over(within))
-            .join(offsets, [vehicle, "__range"])
-            .withColumn(into, F.col("__within") + F.col("__before"))
+    ranges = spark.read.schema(StructType([*df.schema, StructField("__range", IntegerType())])).parquet(folder)
+    earlier = Window.partitionBy(vehicle).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ranges.groupBy(vehicle, "__range").agg(F.sum(units).alias("__sum"))
+              .select(F.col(vehicle).alias("__first"), F.col("__range").alias("__in"),
+                      F.sum("__sum").over(earlier).alias("__before"))
+              .where(F.col("__before").isNotNull()))
+    within = Window.partitionBy(vehicle, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = spread(ranges, rows, vehicle, "__range", rows_per_task=rows_per_task) \
+        .withColumn("__within", F.sum(units).over(within))
+    return (summed.join(F.broadcast(before), (F.col("__range") == F.col("__in"))
+                        & F.col(vehicle).eqNullSafe(F.col("__first")), "left")
+            .withColumn(into, F.col("__within") + F.coalesce(F.col("__before"), F.lit(0)))
             .select(*df.columns, into))
 
 
-def energy_balance(df: DataFrame, *, vehicle: str, order: list[str], speed: str, start: str,
+def energy_balance(df: DataFrame, *, vehicle: str, order: list[str], speed: str, start: Column,
                    into: str = "battery_kwh", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Add the balance after each step, rounded to two places in the output only."""
+    """Add the balance after each step, rounded to two places in the output only.
+
+    ``start`` is computed after the shuffle; what else can be computed from the columns should be, too.
+    """
     steps = df.withColumn("__units", drain_units(F.col(speed)))
     summed = running_drain(steps, vehicle=vehicle, order=order, units="__units", into="__drained",
                            rows_per_task=rows_per_task)
-    left = F.greatest(in_units(F.col(start)) - F.col("__drained"), F.lit(0).cast("bigint"))
+    left = F.greatest(in_units(start) - F.col("__drained"), F.lit(0).cast("bigint"))
     return summed.withColumn(into, two_places(left)).drop("__units", "__drained")

@@ -438,10 +438,9 @@ def small_file_audit(spark: SparkSession, folder: str) -> DataFrame:
 def energy_balance(spark: SparkSession, folder: str) -> DataFrame:
     """Battery of each vehicle after each reading; three vehicles in five belong to the first platoon."""
     platoon_a, platoon_b = fixed.START_BALANCE
-    member = F.when(F.pmod("user_id", F.lit(5)) < 3, F.lit(platoon_a)).otherwise(F.lit(platoon_b))
-    start = F.when(F.col("platoon") == platoon_a, F.lit(fixed.START_BALANCE[platoon_a])) \
-        .otherwise(F.lit(fixed.START_BALANCE[platoon_b]))
-    rows = (inputs.telemetry(spark, folder).select("event_id", "user_id", "vehicle_id", "timestamp", "speed_kmh")
-            .withColumn("platoon", member).withColumn("start", start))
-    steps = balance.energy_balance(rows, vehicle="user_id", order=inputs.EVENT_ORDER, speed="speed_kmh", start="start")
-    return steps.select("event_id", "vehicle_id", "platoon", "battery_kwh")
+    in_a = F.pmod("user_id", F.lit(5)) < 3
+    start = F.when(in_a, F.lit(fixed.START_BALANCE[platoon_a])).otherwise(F.lit(fixed.START_BALANCE[platoon_b]))
+    readings = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
+    steps = balance.energy_balance(readings, vehicle="user_id", order=["ts", "event_id"], speed="value", start=start)
+    return steps.select("event_id", text.short_id(F.col("user_id")).alias("vehicle_id"),
+                        F.when(in_a, F.lit(platoon_a)).otherwise(F.lit(platoon_b)).alias("platoon"), "battery_kwh")
