@@ -61,9 +61,9 @@ def visible_changes(refs: DataFrame, changes: DataFrame, branch: str = MAIN) ->
     """Changes a branch sees: its own since it was created, and those of main before that."""
     start = created_at(refs, branch)
     own = (F.col("branch") == branch) & (F.col("seq") > start)
-    if branch == MAIN:
-        return changes.where(own)
-    return changes.where(own | ((F.col("branch") == MAIN) & (F.col("seq") <= start)))
+    inherited = (F.col("branch") == MAIN) & (F.col("branch") != branch) & (F.col("seq") <= start)
+    # The first filter says nothing new, but it alone can skip folders of a log stored by branch.
+    return changes.where(F.col("branch").isin(branch, MAIN)).where(own | inherited)
 
 
 def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: str = MAIN, *,

@@ -245,27 +245,30 @@ def update_where(spark: SparkSession, folder: str) -> DataFrame:
 # Branches
 
 
-def _read(spark: SparkSession, folder: str, branch: str) -> DataFrame:
-    return branches.read_branch(
-        inputs.customer_salaries(spark, folder).select("name", "salary"), inputs.branch_refs(spark),
-        inputs.branch_changes(spark, folder), branch, key="name", values=["salary"])
+def _history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Base, refs and log; the log is a table stored by branch, as it is where branches are used."""
+    base = inputs.customer_salaries(spark, folder).select("name", "salary")
+    log = writes.replace_folder(inputs.branch_changes(spark, folder), scratch(spark, "changes"), ["branch"])
+    return base, inputs.branch_refs(spark), log
+
+
+_COLUMNS = {"key": "name", "values": ["salary"]}
 
 
 @register
 def branch_state(spark: SparkSession, folder: str) -> DataFrame:
     """The experiment branch: main as it was, with the deletes, inserts and updates made on it."""
-    return _read(spark, folder, "experiment")
+    return branches.read_branch(*_history(spark, folder), "experiment", **_COLUMNS)
 
 
 @register
 def branch_isolation(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of main that differ from main read without any branch, and rows the experiment differs in."""
-    without_branches = branches.read_branch(
-        inputs.customer_salaries(spark, folder).select("name", "salary"),
-        inputs.branch_refs(spark).where(F.col("branch") == branches.MAIN),
-        inputs.branch_changes(spark, folder).where(F.col("branch") == branches.MAIN),
-        branches.MAIN, key="name", values=["salary"])
-    main = _read(spark, folder, branches.MAIN)
+    base, refs, log = _history(spark, folder)
+    on_main = F.col("branch") == branches.MAIN
+    without_branches = branches.read_branch(base, refs.where(on_main), log.where(on_main), **_COLUMNS)
+    main = branches.read_branch(base, refs, log, **_COLUMNS)
+    experiment = branches.read_branch(base, refs, log, "experiment", **_COLUMNS)
 
     def summary(compared: str, differences: DataFrame) -> DataFrame:
         return differences.agg(
@@ -274,14 +277,16 @@ def branch_isolation(spark: SparkSession, folder: str) -> DataFrame:
             F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).alias("missing"))
 
     return (summary("main", branches.row_differences(main, without_branches))
-            .unionByName(summary("experiment", branches.row_differences(_read(spark, folder, "experiment"), main))))
+            .unionByName(summary("experiment", branches.row_differences(experiment, main))))
 
 
 @register
 def branch_drop(spark: SparkSession, folder: str) -> DataFrame:
     """A dropped branch has no rows; one that was dropped and made again starts clean."""
-    dropped = _read(spark, folder, "abandoned").withColumn("branch", F.lit("abandoned"))
-    return dropped.unionByName(_read(spark, folder, "again").withColumn("branch", F.lit("again")))
+    history = _history(spark, folder)
+    dropped, again = (branches.read_branch(*history, name, **_COLUMNS).withColumn("branch", F.lit(name))
+                      for name in ("abandoned", "again"))
+    return dropped.unionByName(again)
 
 
 # Statement texts
