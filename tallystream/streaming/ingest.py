@@ -32,11 +32,16 @@ _EMPTY = "__EMPTY_TEXT__"
 
 @dataclass(frozen=True)
 class StreamTable:
-    """Where a streamed table lies and what it holds."""
+    """Where a streamed table lies and what it holds.
+
+    A task writes a file for each partition value it meets. Where there are many values, set
+    ``files_per_partition``: a batch is then shuffled, so that a value gets that many files at most.
+    """
 
     root: str
     schema: StructType = TELEMETRY
     partition: str = fixed.PLATOON
+    files_per_partition: int | None = None
 
     def __post_init__(self) -> None:
         taken = {"verdict", "batch_id", CORRUPT} & set(self.schema.fieldNames())
@@ -85,12 +90,18 @@ def _read_rows(spark: SparkSession, table: StreamTable, root: str, names: list[s
 
 
 def write_batch(table: StreamTable, batch: DataFrame, batch_id: int) -> None:
-    """Write one micro-batch unless it is there already. No shuffle: each task writes what it read."""
+    """Write one micro-batch unless it is there already; without a shuffle, each task writes what it read."""
     folder = f"{table.batches}/batch_id={batch_id}"
     if paths.is_complete(batch.sparkSession, folder):
         return
     verdict = F.when(F.col(CORRUPT).isNull(), F.lit(GOOD)).otherwise(F.lit(BAD))
-    write_rows(table, batch.withColumn("verdict", verdict), folder)
+    rows = batch.withColumn("verdict", verdict)
+    if table.files_per_partition:
+        # A value that very many rows have is cut into as many pieces as it may have files.
+        piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(table.files_per_partition))
+        rows = (rows.withColumn("__piece", piece).repartition("verdict", table.partition, "__piece")
+                .drop("__piece"))
+    write_rows(table, rows, folder)
 
 
 def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,

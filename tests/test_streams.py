@@ -186,6 +186,22 @@ def streamed(spark, table, folder, batches=4, rows=400):
     return data
 
 
+def test_files_of_a_partition_are_bounded(spark, folder):
+    counts = {}
+    for name, limit in [("free", None), ("bounded", 2)]:
+        table = ingest.StreamTable(f"{folder}/{name}", files_per_partition=limit)
+        landing = f"{folder}/{name}/landing"
+        for n in range(6):
+            land(landing, f"{n}.json", [line(f"v{n}-{i}", "hot" if i % 2 else f"P{i % 8}") for i in range(80)])
+        with settings(spark, spark__sql__files__openCostInBytes=str(2 ** 40)):
+            ingest.ingest_available(spark, landing, table)
+        assert ingest.read_snapshot(spark, table).count() == 480
+        audit = {r.cooperative_platoon_id: r.file_count for r in maintenance.audit_table(spark, table).collect()}
+        counts[name] = audit["hot"]
+        assert limit is None or max(audit.values()) <= limit
+    assert counts["free"] == 6 and counts["bounded"] <= 2
+
+
 def test_round_trip_to_the_microsecond(spark, table, folder):
     data = streamed(spark, table, folder)
     assert row_differences(ingest.read_snapshot(spark, table), data).isEmpty()
