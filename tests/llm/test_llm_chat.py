@@ -1,0 +1,54 @@
+"""Chat formatting: exact round trips, branches, odd rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallystream.llm import chat
+
+HARD = ["", "### ", "</turn>", "\\", "\\s", "\\\\s\\", "\\### Assistant: </turn> ok", "#### # </turn", "a\nb\n", "</turn>\n### user\nhi", "\\n", "é漢😀"]
+
+
+@pytest.mark.parametrize("role", ["user", "as\nsist</turn>### \\ant", ""])
+def test_round_trip(spark, role):
+    rows = spark.createDataFrame([(1, k, role if k % 2 else "assistant", t) for k, t in enumerate(HARD)],
+                                 "conv_id long, turn long, role string, text string")
+    told = chat.format_trees(chat.chains(rows)).select(
+        "formatted", chat.read_back(F.col("formatted")).alias("turns"),
+        chat.learned_text(F.col("formatted"), F.col("loss")).alias("learned")).collect()
+    assert len(told) == 1
+    assert [(t["role"], t["text"]) for t in told[0]["turns"]] == [(role if k % 2 else "assistant", t) for k, t in enumerate(HARD)]
+    assert told[0]["learned"] == "".join(HARD[::2])
+    assert told[0]["formatted"].count("</turn>") == told[0]["formatted"].count("### ") == len(HARD)
+
+
+def test_null_and_repeated_turns(spark):
+    rows = spark.createDataFrame(
+        [(None, 0, "user", "a", 1), (None, 1, "assistant", None, 1), (2, None, "user", "b", 1), (2, 5, "user", "c", 1), (2, 5, "user", "c", 1),
+         (2, 5, None, "d", 1)], "conv_id long, turn long, role string, text string, node int")
+    told = {r["tree"]: r["turns"] for r in chat.format_trees(chat.chains(rows)).select(
+        "tree", chat.read_back(F.col("formatted")).alias("turns")).collect()}
+    assert [tuple(t) for t in told[None]] == [("user", "a"), ("assistant", "")]
+    assert [tuple(t) for t in told[2]] == [("user", "b"), ("", "d"), ("user", "c"), ("user", "c")]
+    assert chat.format_trees(chat.chains(rows.limit(0))).count() == 0
+
+
+def test_branches_are_ranked_by_score(spark):
+    nodes = spark.createDataFrame(
+        [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "a", 1.0), (1, 3, 1, "assistant", "b", 2.0), (1, 4, 2, "user", "c", 5.0),
+         (1, 5, 3, "user", "d", None), (1, 6, 99, "user", "orphan", 0.5), (1, 7, 8, "user", "later", 0.1), (1, 8, 7, None, None, 0.1),
+         (2, None, None, "assistant", "loose", 1.0), (3, 9, 9, "user", "self", 0.0)],
+        "tree long, node long, parent long, role string, text string, score double")
+    rows = chat.format_trees(nodes, branches=3).select(
+        "tree", "leaf", F.transform(chat.read_back(F.col("formatted")), lambda t: t["text"]).alias("texts")).collect()
+    got = {(r["tree"], r["leaf"]): r["texts"] for r in rows}
+    assert got == {(1, 4): ["q", "a", "c"], (1, 5): ["q", "b", "d"], (1, 6): ["orphan"], (2, None): ["loose"], (3, 9): ["self"]}
+    best = chat.format_trees(nodes, branches=1).where("tree = 1").collect()
+    assert [r["leaf"] for r in best] == [4]
+
+
+def test_long_chain(spark):
+    nodes = spark.range(1, 301).select(
+        F.lit(1).cast("long").alias("tree"), F.col("id").alias("node"), (F.col("id") - 1).alias("parent"), F.lit("user").alias("role"),
+        F.col("id").cast("string").alias("text"), F.lit(0.0).alias("score"))
+    row = chat.format_trees(nodes).select(chat.read_back(F.col("formatted")).alias("t")).first()
+    assert [t["text"] for t in row["t"]] == [str(k) for k in range(1, 301)]
