@@ -48,27 +48,37 @@ def chains(rows: DataFrame, tree_col: str = "conv_id", turn_col: str = "turn", r
 
 
 def paths(nodes: DataFrame, branches: int) -> DataFrame:
-    """(tree, leaf, path): the best root-to-leaf paths of each tree as arrays of nodes."""
-    here = nodes.select("tree", "node", "parent", "score")
+    """(tree, leaf, node, back): the nodes of each tree's best root-to-leaf paths, ``back`` steps before the leaf.
+
+    Level k of the jumps leads from a node to its 2^k-th ancestor; only nodes that have one are joined and
+    kept in it. The same levels, from the highest down, then lead from each chosen leaf to all its ancestors.
+    """
+    def same(left: str, right: str) -> Column:
+        return F.col("tree").eqNullSafe(F.col("t")) & (F.col(left) == F.col(right))
+
     up = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    known = here.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n")) & (F.col("n") < F.col("node")), "left")
-    ways = settle(known.select("tree", "node", F.col("n").alias("next"), F.array("node").alias("path"), "score"), "ways")
-    parents = ways.where("next is not null").select(F.col("tree").alias("t"), F.col("next").alias("n")).distinct()
-    leaves = ways.select("tree", "node").join(
-        parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
-    leaves = settle(leaves, "leaves")
-    while ways.where("next is not null").limit(1).count():
-        above = ways.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("next").alias("further"),
-                            F.col("path").alias("before"), F.col("score").alias("more"))
-        ways = settle(ways.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("next") == F.col("n")), "left").select(
-            "tree", "node", F.col("further").alias("next"),
-            F.concat(F.coalesce("before", F.array().cast("array<long>")), "path").alias("path"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")), "ways")
-    leaves = leaves.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    ended = ways.join(leaves, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_semi")
-    best = Window.partitionBy("tree").orderBy(F.col("score").desc(), F.size("path").desc(), "node")
-    return ended.withColumn("place", F.row_number().over(best)).where(F.col("place") <= branches).select(
-        "tree", F.col("node").alias("leaf"), "path")
+    known = nodes.select("tree", "node", "parent", "score").join(up, same("parent", "n") & (F.col("n") < F.col("node")), "left")
+    state = settle(known.select("tree", "node", F.col("n").alias("up"), "score", F.lit(1).cast("long").alias("size")), "ways")
+    parents = state.where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("n")).distinct()
+    leaves = settle(state.select("tree", "node").join(parents, same("node", "n"), "left_anti").toDF("t", "n"), "leaves")
+    levels = []
+    while state.where("up is not null").limit(1).count():
+        climbing = state.where("up is not null")
+        levels.append(climbing.select(F.col("tree").alias("t"), F.col("node").alias("n"), "up"))
+        above = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("further"),
+                             F.col("score").alias("more"), F.col("size").alias("longer"))
+        moved = climbing.join(above, same("up", "n")).select(
+            "tree", "node", F.col("further").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("size") + F.col("longer")).alias("size"))
+        state = settle(state.where("up is null").unionAll(moved), "ways")
+    best = Window.partitionBy("tree").orderBy(F.col("score").desc(), F.col("size").desc(), "node")
+    ended = state.join(leaves, same("node", "n"), "left_semi")
+    chosen = ended.withColumn("place", F.row_number().over(best)).where(F.col("place") <= branches).select(
+        "tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back"))
+    for k, level in reversed(list(enumerate(levels))):
+        jumped = chosen.join(level, same("node", "n")).select("tree", "leaf", F.col("up").alias("node"), F.col("back") + (1 << k))
+        chosen = settle(chosen.unionAll(jumped), "paths")
+    return chosen
 
 
 def format_trees(nodes: DataFrame, branches: int = 1, learned_role: str = "assistant") -> DataFrame:
@@ -83,7 +93,7 @@ def format_trees(nodes: DataFrame, branches: int = 1, learned_role: str = "assis
     loose = nodes.where("node is null")
     nodes = settle(nodes.where("node is not null").groupBy("tree", "node").agg(
         F.min(F.struct("parent", "role", "text", "score")).alias("r")).select("tree", "node", "r.*"), "nodes")
-    steps = paths(nodes, branches).select("tree", "leaf", F.posexplode("path").alias("place", "node"))
+    steps = paths(nodes, branches).select("tree", "leaf", "node", (-F.col("back")).alias("place"))
     turns = steps.join(nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text"),
                        F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
     turn = F.struct("place", F.lit(START).alias("a"), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\n")).alias("role"),
@@ -107,7 +117,7 @@ def format_trees(nodes: DataFrame, branches: int = 1, learned_role: str = "assis
 
 
 def turn_of_loose() -> Column:
-    return F.struct(F.lit(0).alias("place"), F.lit(START).alias("a"),
+    return F.struct(F.lit(0).cast("long").alias("place"), F.lit(START).alias("a"),
                     F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\n")).alias("role"), escaped(F.col("text")).alias("text"))
 
 
