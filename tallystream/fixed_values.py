@@ -1,13 +1,10 @@
 """Texts and numbers that results depend on and that must stay exactly as they are."""
 
-# Generated violation records.
+# Violation records.
 VIOLATION_TYPES = ["Speeding", "Red Light", "Illegal Parking", "Stop Sign", "Expired Registration"]
 LOCATIONS = ["Main St", "Broadway", "Elm St", "Maple Ave", "Washington Blvd"]
 PERIOD_START = "2025-01-01 00:00:00"
 PERIOD_SECONDS = 31536000
-FINE_MIN = 50
-FINE_RANGE = 250
-RADAR_THRESHOLD = 0.7
 SAMPLE_ROWS = 5
 
 # Vehicle telemetry.
@@ -31,6 +28,7 @@ PLATOON = "cooperative_platoon_id"
 
 # Preview of a result.
 PREVIEW_ROWS = 10
+SHOWN_ROWS = 20
 PREVIEW_WIDTH = 20
 
 # Clean-up and check of statement text. The rewrites apply in this order.

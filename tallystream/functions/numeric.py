@@ -1,4 +1,4 @@
-"""Number expressions and key-derived random draws."""
+"""Number expressions."""
 
 from __future__ import annotations
 
@@ -23,35 +23,3 @@ def pick(options: list[str], position: Column) -> Column:
 def try_pick(options: list[str], position: Column) -> Column:
     """Like ``pick`` for positions that are data: null outside the list."""
     return F.try_element_at(F.array(*[F.lit(option) for option in options]), position.cast("int"))
-
-
-_WORD_DIGITS, _WORD_BITS = 15, 60
-
-
-def draws(key: Column, seed: int, bits: list[int]) -> list[Column]:
-    """Independent uniform numbers in [0, 1) per key, of the given numbers of bits.
-
-    ``rand(seed)`` depends on how rows fall into partitions; these depend on the key alone, so a lost
-    task that runs again draws the same numbers. The bits come from one digest of the key, read as two
-    words of 60 bits; a draw lies within one word, from its lowest free bit up.
-    """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
-    words = [F.conv(F.substring(digest, 1 + n * _WORD_DIGITS, _WORD_DIGITS), 16, 10).cast("bigint") for n in (0, 1)]
-    result = []
-    for word, low, width in place(bits):
-        number = F.shiftright(words[word], low).bitwiseAND(F.lit((1 << width) - 1))
-        result.append(number / F.lit(float(1 << width)))
-    return result
-
-
-def place(bits: list[int]) -> list[tuple[int, int, int]]:
-    """Word, lowest bit and width of each draw."""
-    places, word, low = [], 0, 0
-    for width in bits:
-        if low + width > _WORD_BITS:
-            word, low = word + 1, 0
-        if word > 1 or not 0 < width <= 52:
-            raise ValueError("the draws do not fit two words of 60 bits, or one is wider than 52 bits")
-        places.append((word, low, width))
-        low += width
-    return places

@@ -41,15 +41,15 @@ def running_drain(df: DataFrame, *, vehicle: str, order: list[str], units: str,
     """Sum of ``units`` per vehicle up to each row; ``order`` must be unique within a vehicle.
 
     Vehicles that fit a task take one shuffle. Those with more rows are set apart and summed in
-    ranges. There are fewer of them than the total divided by ``rows_per_task``, which bounds the
-    broadcast list that tells them apart.
+    ranges. The list that tells them apart is joined without a hint: adaptive execution broadcasts it
+    while its measured size allows and splits skewed tasks where not.
     """
     sizes = df.groupBy(vehicle).agg(F.count(F.lit(1)).alias("n"))
     large = F.col("n") > rows_per_task
     total, in_large = sizes.agg(F.sum("n"), F.sum(F.when(large, F.col("n")))).first()
     if not in_large:
         return _summed_by_vehicle(df, vehicle, order, units, into, total or 0, rows_per_task)
-    listed = F.broadcast(sizes.where(large).select(F.col(vehicle).alias("__large")))
+    listed = sizes.where(large).select(F.col(vehicle).alias("__large"))
     is_listed = F.col(vehicle).eqNullSafe(F.col("__large"))
     rest = _summed_by_vehicle(df.join(listed, is_listed, "left_anti"), vehicle, order, units, into,
                               total - in_large, rows_per_task)
@@ -69,8 +69,8 @@ def _summed_by_range(df: DataFrame, vehicle: str, order: list[str], units: str,
     """Cut the rows into ranges of (vehicle, order), sum within each, and add what came before it.
 
     Only the first vehicle of a range can have rows in earlier ranges, so what came before is at most
-    one row per range, and is broadcast. Ranges are cut from a sample, and a second run may cut
-    elsewhere: they are written down once.
+    one row per range; it is joined on vehicle and range, which the sums within a range are placed by.
+    Ranges are cut from a sample, and a second run may cut elsewhere: they are written down once.
     """
     spark = df.sparkSession
     folder = scratch(spark, "ranges")
@@ -85,7 +85,7 @@ def _summed_by_range(df: DataFrame, vehicle: str, order: list[str], units: str,
     within = Window.partitionBy(vehicle, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = spread(ranges, rows, vehicle, "__range", rows_per_task=rows_per_task) \
         .withColumn("__within", F.sum(units).over(within))
-    return (summed.join(F.broadcast(before), (F.col("__range") == F.col("__in"))
+    return (summed.join(before, (F.col("__range") == F.col("__in"))
                         & F.col(vehicle).eqNullSafe(F.col("__first")), "left")
             .withColumn(into, F.col("__within") + F.coalesce(F.col("__before"), F.lit(0)))
             .select(*df.columns, into))

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystream.operators.changes import update_where
-from tallystream.operators.joins import balanced_left_join, fits_broadcast
 
 MAIN = "main"
 OPERATIONS = ("insert", "delete", "update")
@@ -67,20 +66,18 @@ def visible_changes(refs: DataFrame, changes: DataFrame, branch: str = MAIN) ->
 
 
 def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: str = MAIN, *,
-                key: str, values: list[str], small_log: bool | None = None) -> DataFrame:
+                key: str, values: list[str]) -> DataFrame:
     """Rows of a live branch; no rows for a branch that does not exist or was dropped.
 
     Per key only the last delete and the last update matter: a row stays unless a delete came after
     its birth, and takes the values of the last update after its birth. Copies of a row are kept.
 
-    The deletes and updates of the branch are measured first. When they are few, they are broadcast
-    and the base is not shuffled; otherwise the join spreads the keys that hold many rows. Pass
-    ``small_log`` when it is known which of the two it is.
+    The deletes and updates of the branch are grouped by key and joined without a hint: adaptive execution
+    broadcasts them while their measured size allows, so that the base is not shuffled, and splits the
+    tasks of keys that hold many rows where not.
     """
     seen = visible_changes(refs, changes, branch)
     log = seen.where((F.col("op") != "insert") & F.col(key).isNotNull())
-    if small_log is None:
-        small_log = fits_broadcast(log.select(key, *values))
     births = (base.where(created_at(refs, branch).isNotNull())
               .select(key, *values, F.lit(0).cast("bigint").alias("__born"))
               .unionByName(seen.where(F.col("op") == "insert")
@@ -89,7 +86,7 @@ def read_branch(base: DataFrame, refs: DataFrame, changes: DataFrame, branch: st
     last = log.groupBy(key).agg(
         F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("__deleted"), F.max(update_seq).alias("__updated"),
         *[F.max_by(name, update_seq).alias(f"__new_{name}") for name in values])
-    joined = births.join(F.broadcast(last), key, "left") if small_log else balanced_left_join(births, last, key)
+    joined = births.join(last, key, "left")
     alive = joined.where(F.col("__deleted").isNull() | (F.col("__deleted") < F.col("__born")))
     changed = F.col("__updated") > F.col("__born")
     return alive.select(key, *[

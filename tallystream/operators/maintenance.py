@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.session import settings
+from tallystream.session import prepare
 from tallystream.sources import paths
 from tallystream.streaming.ingest import (GOOD, StreamTable, committed_spans, newest_batch, read_batches,
-                                          read_committed, read_spans, write_rows)
+                                          read_committed, read_from, read_spans, write_rows)
 
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -46,25 +46,45 @@ def audit_table(spark: SparkSession, table: StreamTable, target_bytes: int = TAR
     return file_audit(rows.where(F.col("verdict") == GOOD), table.partition, target_bytes)
 
 
+def _settled_spans(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]], target_bytes: int) -> int:
+    """How many of the merged spans, from the first on, need no other merge by the audit of their files.
+
+    A span goes into the next merge with all after it if a quarter of its bytes or more are in small files.
+    """
+    rows = read_spans(spark, table, spans)
+    span = F.regexp_extract("_metadata.file_path", r"/span=(\d+)-\d+/", 1).cast("bigint")
+    files = (rows.select(span.alias("low"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+             .groupBy("low", "file").agg(F.max("bytes").alias("bytes")))
+    small = F.coalesce(F.sum(F.when(F.col("bytes") < target_bytes * 3 // 4, F.col("bytes"))), F.lit(0))
+    loose = files.groupBy("low").agg(small.alias("small"), F.sum("bytes").alias("bytes")).where("small * 4 >= bytes")
+    first = loose.agg(F.min("low")).first()[0]
+    return len(spans) if first is None else sum(low < first for low, _ in spans)
+
+
 def compact(spark: SparkSession, table: StreamTable, *, target_bytes: int = TARGET_BYTES,
             again: bool = False) -> tuple[int, int] | None:
-    """Merge the committed batches since the last merge into files of about ``target_bytes``.
+    """Merge the committed batches since the last merge, and earlier merges that still have small files.
 
-    Rows do not change, and committed folders are only read, so stream and readers go on meanwhile.
-    Work grows with the batches that came since the last merge and not with the table; ``again``
-    merges everything, also what was merged before. The rebalance groups rows by partition value,
-    splits a large value over several tasks and packs small ones together, by the sizes Spark
-    measures while it runs. Returns the merged span, None when there is nothing to merge.
+    The audit decides which: spans of large files stay as they are, so work follows what came since and
+    not the table; ``again`` merges everything. Rows do not change, and committed folders are only read,
+    so stream and readers go on meanwhile. The rebalance groups rows by partition value, splits a large
+    value over several tasks and packs small ones together, by the sizes Spark measures while it runs;
+    ``target_bytes`` bounds what a task gets of the shuffle, and its file is about as large. The settings for that are those of a
+    session of its own. Returns the merged span, None when there is nothing to merge.
     """
     spans = [] if again else committed_spans(spark, table)
-    last = spans[-1][1] if spans else -1
-    newest = newest_batch(spark, table, known=last)
-    if newest == last:
+    newest = newest_batch(spark, table, known=spans[-1][1] if spans else -1)
+    if newest == (spans[-1][1] if spans else -1):
         return None
-    folder = f"{table.compacted}/span={last + 1}-{newest}"
+    settled = _settled_spans(spark, table, spans, target_bytes) if spans else 0
+    low = spans[settled - 1][1] + 1 if settled else 0
+    folder = f"{table.compacted}/span={low}-{newest}"
     if not paths.is_complete(spark, folder):
-        rows = read_committed(spark, table, newest) if again else read_batches(spark, table, last + 1, newest)
-        with settings(spark, spark__sql__adaptive__enabled="true",
-                      spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes)):
-            write_rows(table, rows.hint("rebalance", "verdict", table.partition), folder)
-    return last + 1, newest
+        own = prepare(spark.newSession())
+        own.conf.set("spark.sql.adaptive.enabled", "true")
+        own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+        # A large value is split between the outputs of scan tasks, so these must be no larger.
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+        rows = read_committed(own, table, newest) if again else read_from(own, table, spans[settled:], low, newest)
+        write_rows(table, rows.hint("rebalance", "verdict", table.partition), folder)
+    return low, newest

@@ -7,14 +7,19 @@ from pyspark.sql.types import StructType
 
 
 def _location(location: str | None) -> str:
-    return f" LOCATION '{location}'" if location else ""
+    text = location.replace("\\", "\\\\").replace("'", "\\'") if location else ""
+    return f" LOCATION '{text}'" if location else ""
+
+
+def _column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def create_if_absent(spark: SparkSession, name: str, schema: StructType, *, partition_by: list[str] | None = None,
                      provider: str = "parquet", location: str | None = None) -> None:
     """Create an empty typed table; an existing one of that name stays as it is."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    columns = ", ".join(f"{_column(f.name)} {f.dataType.simpleString()}" for f in schema)
+    layout = f" PARTITIONED BY ({', '.join(map(_column, partition_by))})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider}{layout}{_location(location)}")
 
 
@@ -29,12 +34,12 @@ def create_from(df: DataFrame, name: str, *, partition_by: list[str] | None = No
     writer.saveAsTable(name)
 
 
-def full_refresh(df: DataFrame, name: str, *, partition_by: list[str] | None = None,
-                 provider: str = "parquet", location: str) -> None:
-    """Replace all rows of a table, which may be the one ``df`` reads.
+def create_or_replace(df: DataFrame, name: str, *, partition_by: list[str] | None = None,
+                      provider: str = "parquet", location: str) -> None:
+    """Create a table from rows, or replace all rows and columns of one, which may be the one ``df`` reads.
 
-    The rows go to a new folder first and the name moves to it afterwards, so the table is missing
-    for the two catalogue calls only and not while the rows are written.
+    The rows go to a new folder first and the name moves to it afterwards. If the write fails, the table
+    stays as it was; otherwise it is missing for the two catalogue calls only.
     """
     spark = df.sparkSession
     writer = df.write.format(provider).mode("errorifexists")
@@ -45,21 +50,25 @@ def full_refresh(df: DataFrame, name: str, *, partition_by: list[str] | None = N
         spark.catalog.recoverPartitions(name)
 
 
+def full_refresh(df: DataFrame, name: str, **how) -> None:
+    """Replace all rows of a table, like ``create_or_replace``; the columns must be those it has, if it is there."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name) and set(spark.table(name).dtypes) != set(df.dtypes):
+        raise ValueError(f"the rows do not have the columns of {name}")
+    create_or_replace(df, name, **how)
+
+
 def append(df: DataFrame, name: str) -> None:
     """Add rows by column position, as INSERT does; rows that are there already are added again."""
     df.write.mode("append").insertInto(name)
 
 
-def replace_folder(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Create or replace a folder of rows and read it back with the schema it was written from."""
-    return _write_folder(df, folder, "overwrite", partition_by)
+def new_folder(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write rows to a new folder and read it back with the schema it was written from.
 
-
-def append_folder(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> DataFrame:
-    return _write_folder(df, folder, "append", partition_by)
-
-
-def _write_folder(df: DataFrame, folder: str, mode: str, partition_by: list[str] | None) -> DataFrame:
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    A folder that is there is refused, so no failed job can take its rows; ``create_or_replace`` moves a
+    table's name from one folder to the next.
+    """
+    writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder).select(df.columns)

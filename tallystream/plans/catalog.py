@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,9 +17,9 @@ from tallystream.functions import numeric, text, times
 from tallystream.operators import balance, branches, changes, maintenance, reports, statements, writes
 from tallystream.plans import inputs
 from tallystream.session import prepare, scratch
-from tallystream.sources.landing import export_lines, file_count
+from tallystream.sources.landing import export_lines
 from tallystream.sources.schemas import schema_of
-from tallystream.sources.tables import conform, key_range, read_table
+from tallystream.sources.tables import conform, constant_rows, key_range, read_table
 from tallystream.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +34,21 @@ def register(query: Query) -> Query:
     return query
 
 
-def table_name(label: str) -> str:
-    return f"{label}_{uuid.uuid4().hex}"
+SCRATCH_DATABASE = "tallystream_scratch"
+
+
+def table_name(spark: SparkSession, label: str) -> str:
+    """A table name that no other call gets, in the database that ``drop_scratch_tables`` drops."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE}")
+    return f"{SCRATCH_DATABASE}.{label}_{uuid.uuid4().hex}"
+
+
+def drop_scratch_tables(spark: SparkSession) -> None:
+    """Take the tables that queries made out of the catalogue, once their results are not needed any more.
+
+    Their rows lie in the shared folder and go with its clean-up.
+    """
+    spark.sql(f"DROP DATABASE IF EXISTS {SCRATCH_DATABASE} CASCADE")
 
 
 # Scans and sources
@@ -64,13 +78,15 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def typed_rows_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows with required columns, written with create-or-replace twice and read back once."""
+    """Rows with required columns, written out and from a table, created and then replaced under one name."""
     schema = schema_of({"id": "int", "data": "string"}, required=True)
     rows = conform(read_table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("data")), schema)
-    path = scratch(spark, "typed-rows")
-    writes.replace_folder(rows, path)
-    return writes.replace_folder(rows, path)
+    both = constant_rows(spark, inputs.TWO_TYPED_ROWS, schema).unionByName(rows)
+    name = table_name(spark, "typed_rows")
+    for _ in range(2):
+        writes.create_or_replace(both, name, location=scratch(spark, "typed-rows"))
+    return spark.table(name)
 
 
 # Table writes
@@ -79,7 +95,7 @@ def typed_rows_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
     """A second conditional create leaves the table and its rows alone."""
-    name, path = table_name("salaries"), scratch(spark, "salaries")
+    name, path = table_name(spark, "salaries"), scratch(spark, "salaries")
     writes.create_if_absent(spark, name, inputs.SALARIES, location=path)
     writes.append(inputs.customer_salaries(spark, folder).select("name", "salary"), name)
     writes.create_if_absent(spark, name, inputs.SALARIES, location=path)
@@ -89,13 +105,13 @@ def create_if_absent(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def partitioned_write(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.telemetry(spark, folder)
-    return inputs.plain_times(writes.replace_folder(rows, scratch(spark, "telemetry"), [fixed.PLATOON]))
+    return inputs.plain_times(writes.new_folder(rows, scratch(spark, "telemetry"), [fixed.PLATOON]))
 
 
 @register
 def ctas_strict(spark: SparkSession, folder: str) -> DataFrame:
     """A create from a query is refused when the table is there, and the table keeps its rows."""
-    name = table_name("violations")
+    name = table_name(spark, "violations")
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     writes.create_from(orders, name, location=scratch(spark, "violations"))
     try:
@@ -107,10 +123,9 @@ def ctas_strict(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows of a table replaced by generated records, one per order."""
-    name = table_name("violations")
-    records = inputs.violations(read_table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
-    writes.full_refresh(records, name, location=scratch(spark, "violations"))
+    """All rows of a table replaced by others made from them, the table being read meanwhile."""
+    name = table_name(spark, "violations")
+    writes.full_refresh(inputs.violations(spark, folder), name, location=scratch(spark, "violations"))
     again = spark.table(name).withColumn("fine_amount", F.col("fine_amount") + 1)
     writes.full_refresh(again, name, location=scratch(spark, "violations"))
     return inputs.plain_times(spark.table(name))
@@ -118,17 +133,16 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def violations_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Generated records written as a table, and their revenue by type."""
-    name = table_name("violations")
-    records = inputs.violations(read_table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
-    writes.full_refresh(records, name, location=scratch(spark, "violations"))
+    """Violation records written as a table, and their revenue by type."""
+    name = table_name(spark, "violations")
+    writes.full_refresh(inputs.violations(spark, folder), name, location=scratch(spark, "violations"))
     return reports.revenue_by_type(spark.table(name), "violation_type", "fine_amount")
 
 
 @register
 def insert_append(spark: SparkSession, folder: str) -> DataFrame:
     """Rows appended twice are there twice, rows of a query and rows written out alike."""
-    name = table_name("salaries")
+    name = table_name(spark, "salaries")
     writes.create_if_absent(spark, name, inputs.SALARIES, location=scratch(spark, "salaries"))
     writes.append(inputs.customer_salaries(spark, folder).select("name", "salary"), name)
     suppliers = inputs.supplier_salaries(spark, folder).select("name", "salary")
@@ -143,6 +157,12 @@ def bounded_preview(spark: SparkSession, folder: str) -> DataFrame:
     return reports.preview(read_table(spark, folder, "conversations"), "conv_id", "turn")
 
 
+@register
+def longer_preview(spark: SparkSession, folder: str) -> DataFrame:
+    """The preview of twenty rows that is shown unless a number is given."""
+    return reports.preview(read_table(spark, folder, "conversations"), "conv_id", "turn", rows=fixed.SHOWN_ROWS)
+
+
 # Projections and scalar functions
 
 
@@ -171,8 +191,8 @@ def epoch_offset_timestamp(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def category_pick(spark: SparkSession, folder: str) -> DataFrame:
-    """Generated records: every draw comes from the key of the order."""
-    return inputs.plain_times(inputs.violations(read_table(spark, folder, "orders"), "o_orderkey"))
+    """Orders as violation records: kinds and places picked from lists by position."""
+    return inputs.plain_times(inputs.violations(spark, folder))
 
 
 @register
@@ -232,7 +252,7 @@ def delete_where(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.customer_salaries(spark, folder)
     gone = (F.col("segment") == "BUILDING") & (F.col("name") > "Customer#000000100")
     kept = changes.delete_where(rows, gone)
-    return writes.replace_folder(kept, scratch(spark, "salaries"))
+    return writes.new_folder(kept, scratch(spark, "salaries"))
 
 
 @register
@@ -248,7 +268,7 @@ def update_where(spark: SparkSession, folder: str) -> DataFrame:
 def _history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Base, refs and log; the log is a table stored by branch, as it is where branches are used."""
     base = inputs.customer_salaries(spark, folder).select("name", "salary")
-    log = writes.replace_folder(inputs.branch_changes(spark, folder), scratch(spark, "changes"), ["branch"])
+    log = writes.new_folder(inputs.branch_changes(spark, folder), scratch(spark, "changes"), ["branch"])
     return base, inputs.branch_refs(spark), log
 
 
@@ -263,21 +283,25 @@ def branch_state(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def branch_isolation(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of main that differ from main read without any branch, and rows the experiment differs in."""
-    base, refs, log = _history(spark, folder)
-    on_main = F.col("branch") == branches.MAIN
-    without_branches = branches.read_branch(base, refs.where(on_main), log.where(on_main), **_COLUMNS)
-    main = branches.read_branch(base, refs, log, **_COLUMNS)
-    experiment = branches.read_branch(base, refs, log, "experiment", **_COLUMNS)
+    """Rows of main that differ from main made by hand without any branch, and rows the experiment differs in.
+
+    Each of the three states is resolved once and counted in one grouping.
+    """
+    history = _history(spark, folder)
+    states = {"main": branches.read_branch(*history, **_COLUMNS), "plain": inputs.main_by_hand(spark, folder),
+              "experiment": branches.read_branch(*history, "experiment", **_COLUMNS)}
+    tagged = [rows.select("name", "salary", *[F.lit(int(state == other)).alias(other) for other in states])
+              for state, rows in states.items()]
+    copies = reduce(DataFrame.unionByName, tagged).groupBy("name", "salary").agg(
+        *[F.sum(state).alias(state) for state in states])
 
-    def summary(compared: str, differences: DataFrame) -> DataFrame:
-        return differences.agg(
-            F.lit(compared).alias("compared"),
-            F.coalesce(F.sum(F.greatest("surplus", F.lit(0))), F.lit(0)).alias("added"),
-            F.coalesce(F.sum(F.greatest(-F.col("surplus"), F.lit(0))), F.lit(0)).alias("missing"))
+    def surplus(left: str, right: str) -> Column:
+        return F.coalesce(F.sum(F.greatest(F.col(left) - F.col(right), F.lit(0))), F.lit(0)).cast("bigint")
 
-    return (summary("main", branches.row_differences(main, without_branches))
-            .unionByName(summary("experiment", branches.row_differences(experiment, main))))
+    found = copies.agg(F.array(*[
+        F.struct(F.lit(compared).alias("compared"), surplus(left, right).alias("added"), surplus(right, left).alias("missing"))
+        for compared, left, right in [("main", "main", "plain"), ("experiment", "experiment", "main")]]).alias("found"))
+    return found.select(F.explode("found").alias("f")).select("f.*")
 
 
 @register
@@ -314,11 +338,10 @@ def guard_outcome(spark: SparkSession, folder: str) -> DataFrame:
 
 # Streams and the tables they fill
 
-_FILES_AT_LEAST = 8
-_FILES_PER_BATCH = 10_000
+_FILES = 8
 
 
-def _land(rows: DataFrame, landing: str, files: int) -> None:
+def _land(rows: DataFrame, landing: str, files: int = _FILES // 2) -> None:
     export_lines(rows, landing, inputs.EVENT_ORDER, files=files, mode="append")
 
 
@@ -326,26 +349,23 @@ def _streamed(spark: SparkSession, folder: str, batches: int = 2) -> ingest.Stre
     """All events exported to a landing folder and taken in by a stream of several batches."""
     root = scratch(spark, "stream")
     table = inputs.event_table(root)
-    events = inputs.telemetry(spark, folder)
-    files = file_count(events, at_least=_FILES_AT_LEAST)
-    _land(events, f"{root}/landing", files)
-    ingest.ingest_available(spark, f"{root}/landing", table, min(math.ceil(files / batches), _FILES_PER_BATCH))
+    _land(inputs.telemetry(spark, folder), f"{root}/landing", _FILES)
+    ingest.ingest_available(spark, f"{root}/landing", table, math.ceil(_FILES / batches))
     return table
 
 
 def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     cut = F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-16 00:00:00")))
-    return rows.where(F.col("timestamp") < cut), rows.where(F.col("timestamp") >= cut)
+    early = F.col("timestamp") < cut
+    return rows.where(early), rows.where(~F.coalesce(early, F.lit(False)))
 
 
 @register
 def landing_export(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as JSON lines in one folder per day, read back with the day."""
+    """Events as JSON lines with their ticks of ten seconds, in one folder per day, read back with tick and day."""
     path = scratch(spark, "landing")
-    events = inputs.telemetry(spark, folder)
-    export_lines(events, path, inputs.EVENT_ORDER, files=file_count(events, at_least=_FILES_AT_LEAST),
-                 tick_of="timestamp", tick_seconds=86400)
-    schema = StructType([*inputs.EVENT_SCHEMA, *schema_of({"tick": "bigint"})])
+    export_lines(inputs.telemetry(spark, folder), path, inputs.EVENT_ORDER, tick_of="timestamp", folder_seconds=86400)
+    schema = StructType([*inputs.EVENT_SCHEMA, *schema_of({"tick": "bigint", "first_tick": "bigint"})])
     return inputs.plain_times(spark.read.schema(schema).option("timeZone", "UTC").json(path))
 
 
@@ -360,9 +380,9 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "stream")
     table, landing = inputs.event_table(root), f"{root}/landing"
     for part in _halves(inputs.telemetry(spark, folder)):
-        _land(part, landing, file_count(part, at_least=_FILES_AT_LEAST // 2))
-        ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
-    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
+        _land(part, landing)
+        ingest.ingest_available(spark, landing, table)
+    ingest.ingest_available(spark, landing, table)
     return inputs.plain_times(ingest.read_snapshot(spark, table))
 
 
@@ -378,7 +398,7 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
                     F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"speed_kmh":"x"}')))
               .otherwise(line))
     inputs.telemetry(spark, folder).select(spoilt.alias("value")).write.text(landing)
-    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
+    ingest.ingest_available(spark, landing, table)
     good = ingest.read_snapshot(spark, table).select(
         F.lit("good").alias("verdict"), F.col(fixed.PLATOON).alias("event_type"), F.lit(None).cast("bigint").alias("chars"))
     bad = ingest.read_quarantine(spark, table).select(
@@ -394,11 +414,11 @@ def snapshot_read(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "stream")
     table, landing = inputs.event_table(root), f"{root}/landing"
     early, late = _halves(inputs.telemetry(spark, folder))
-    _land(early, landing, file_count(early, at_least=_FILES_AT_LEAST // 2))
-    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
+    _land(early, landing)
+    ingest.ingest_available(spark, landing, table)
     cut = ingest.newest_batch(spark, table)
-    _land(late, landing, file_count(late, at_least=_FILES_AT_LEAST // 2))
-    ingest.ingest_available(spark, landing, table, _FILES_PER_BATCH)
+    _land(late, landing)
+    ingest.ingest_available(spark, landing, table)
     maintenance.compact(spark, table)
     return inputs.plain_times(ingest.read_snapshot(spark, table, upto=cut))
 
@@ -419,23 +439,25 @@ def compact_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def compact_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per partition before and after a merge, and whether there are fewer files."""
+    """Rows per partition before and after a merge, and the files after it."""
     table = _streamed(spark, folder)
     before = maintenance.audit_table(spark, table)
     maintenance.compact(spark, table)
     after = maintenance.audit_table(spark, table, merged=True)
     keep = [F.col(fixed.PLATOON), F.col("row_count"), F.col("file_count")]
-    joined = before.select(keep).alias("b").join(after.select(keep).alias("a"), fixed.PLATOON)
-    return joined.select(F.col(fixed.PLATOON).alias("event_type"), F.col("b.row_count").alias("rows_before"),
-                         F.col("a.row_count").alias("rows_after"),
-                         (F.col("a.file_count") < F.col("b.file_count")).alias("fewer_files"))
+    joined = before.select(keep).alias("b").join(
+        after.select(keep).alias("a"), F.col(f"b.{fixed.PLATOON}").eqNullSafe(F.col(f"a.{fixed.PLATOON}")), "full_outer")
+    return joined.select(
+        F.coalesce(f"b.{fixed.PLATOON}", f"a.{fixed.PLATOON}").alias("event_type"), F.col("b.row_count").alias("rows_before"),
+        F.col("a.row_count").alias("rows_after"), F.col("a.file_count").alias("files_after"),
+        (F.col("a.file_count") < F.col("b.file_count")).alias("fewer_files"))
 
 
 @register
 def small_file_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Per partition of a freshly streamed table: rows, and whether its files should be merged."""
+    """Per partition of a freshly streamed table: rows, and the files that a merge of its small ones would leave."""
     audit = maintenance.audit_table(spark, _streamed(spark, folder))
-    return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count",
+    return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count", "small_files_after",
                         (F.col("small_files") > F.col("small_files_after")).alias("merge_helps"))
 
 

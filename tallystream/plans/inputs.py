@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream import fixed_values as fixed
-from tallystream.functions.numeric import draws, pick
+from tallystream.functions.numeric import pick
 from tallystream.functions.text import short_id
 from tallystream.functions.times import epoch_offset
+from tallystream.operators import branches, changes
 from tallystream.sources.schemas import schema_of
 from tallystream.sources.tables import read_table
 from tallystream.streaming.ingest import StreamTable
@@ -38,22 +41,18 @@ def plain_times(df: DataFrame) -> DataFrame:
                       for name, kind in df.dtypes])
 
 
-DRAW_BITS = [32, 24, 24, 18, 18]  # day, type, location, fine, radar
-
-
-def violations(keys: DataFrame, key: str, seed: int = 2025) -> DataFrame:
-    """One violation record per key, drawn from the key so that every run gives the same records."""
-    day, kind, place, fine, radar = draws(F.col(key), seed, DRAW_BITS)
-    return keys.select(
-        F.col(key).alias("ticket_id"),
-        epoch_offset(fixed.PERIOD_START, (day * fixed.PERIOD_SECONDS).cast("int")).alias("violation_date"),
-        pick(fixed.VIOLATION_TYPES, kind * len(fixed.VIOLATION_TYPES) + 1).alias("violation_type"),
-        pick(fixed.LOCATIONS, place * len(fixed.LOCATIONS) + 1).alias("location"),
-        (fine * fixed.FINE_RANGE + fixed.FINE_MIN).cast("int").alias("fine_amount"),
-        (radar > fixed.RADAR_THRESHOLD).alias("radar_captured"))
+def violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as violation records: the date and the kinds follow from keys, fine and flag from the price."""
+    offset = F.pmod(F.col("o_orderkey") * 7919, F.lit(fixed.PERIOD_SECONDS))
+    return read_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ticket_id"), epoch_offset(fixed.PERIOD_START, offset).alias("violation_date"),
+        pick(fixed.VIOLATION_TYPES, F.pmod("o_custkey", F.lit(len(fixed.VIOLATION_TYPES))) + 1).alias("violation_type"),
+        pick(fixed.LOCATIONS, F.pmod("o_orderkey", F.lit(len(fixed.LOCATIONS))) + 1).alias("location"),
+        F.col("o_totalprice").cast("int").alias("fine_amount"), (F.col("o_totalprice") > 250000).alias("radar_captured"))
 
 
-TWO_SALARIES = "('Alice', 100000), ('Bob', 120000)"
+TWO_SALARIES = "('Noor', 4100), ('Ilse', 5200)"
+TWO_TYPED_ROWS = [(-1, "a row written out"), (-2, "and another")]
 SALARIES = schema_of({"name": "string", "salary": "int"})
 
 
@@ -69,64 +68,65 @@ def supplier_salaries(spark: SparkSession, folder: str) -> DataFrame:
         "s_suppkey", F.col("s_name").alias("name"), F.col("s_acctbal").cast("int").alias("salary"))
 
 
-# Each step of the branch history takes its own stretch of the global order.
-STEP = 10 ** 15
-REF_ROWS = [("main", 0, None), ("experiment", 2 * STEP, None), ("experiment", 5 * STEP, None),
-            ("abandoned", 2 * STEP, 9 * STEP), ("again", 2 * STEP, 7 * STEP), ("again", 8 * STEP, None)]
-
-
 def branch_refs(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{name}', {created}L, {'CAST(NULL AS BIGINT)' if dropped is None else f'{dropped}L'})"
-                     for name, created, dropped in REF_ROWS)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS refs(branch, created_seq, dropped_seq)")
+    """Main; an experiment, made twice; a branch that was dropped; one that was dropped and made again."""
+    nothing = spark.sql("SELECT '' AS branch, 0L AS created_seq, CAST(NULL AS BIGINT) AS dropped_seq").where(F.lit(False))
+    refs = nothing
+    for branch, seq in [(branches.MAIN, 0), ("experiment", 2), ("experiment", 5), ("abandoned", 2), ("again", 2)]:
+        refs = branches.create_branch(refs, branch, seq)
+    refs = branches.drop_branch(branches.drop_branch(refs, "abandoned", 9), "again", 7)
+    return branches.create_branch(refs, "again", 8)
 
 
 def branch_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """A history over all customers and suppliers: changes on main before and after the branches are
-    made, and on each branch deletes, inserts, updates and re-inserts of deleted names."""
-    salary = F.col("salary")
-
-    def step(branch: str, number: int, op: str, value: Column | None = None) -> Column:
-        return F.struct(F.lit(branch).alias("branch"), F.lit(number * STEP).alias("start"), F.lit(op).alias("op"),
-                        (F.lit(None) if value is None else value).cast("int").alias("salary"))
-
-    def log(rows: DataFrame, key: str, steps: Column) -> DataFrame:
-        """One scan of the rows, each with all the changes that concern it."""
-        each = rows.select(key, "name", F.explode(steps).alias("step"))
-        return each.select("step.branch", (F.col("step.start") + F.col(key)).alias("seq"), "step.op", "name",
-                           "step.salary")
-
-    segment = F.col("segment")
-    building = [step("experiment", 3, "delete"), step("again", 9, "update", salary + 7)]
-    customer_steps = (
-        F.when(segment == "MACHINERY", F.array(step("main", 1, "update", salary + 1)))
-        .when((segment == "BUILDING") & (salary > 5000),
-              F.array(*building, step("experiment", 7, "insert", salary * 2)))
-        .when(segment == "BUILDING", F.array(*building))
-        .when(segment == "FURNITURE", F.array(step("main", 6, "delete")))
-        .when(segment == "AUTOMOBILE", F.array(step("experiment", 8, "update", F.lit(0))))
-        .when(segment == "HOUSEHOLD", F.array(step("abandoned", 4, "delete"), step("again", 4, "delete"))))
-    supplier_insert = step("experiment", 4, "insert", salary)
-    supplier_steps = F.when(salary < 1000, F.array(supplier_insert, step("experiment", 9, "delete"))) \
-        .otherwise(F.array(supplier_insert))
-    return log(customer_salaries(spark, folder), "c_custkey", customer_steps).unionByName(
-        log(supplier_salaries(spark, folder), "s_suppkey", supplier_steps))
+    """The statements of a history over all customers and suppliers: changes on main before and after the
+    branches are made, and on each branch deletes, inserts, updates and re-inserts of deleted names."""
+    staff, firms, salary = customer_salaries(spark, folder), supplier_salaries(spark, folder), F.col("salary")
+
+    def of(segment: str) -> DataFrame:
+        return staff.where(F.col("segment") == segment)
+
+    def raised(rows: DataFrame, value: Column) -> DataFrame:
+        return rows.withColumn("salary", value.cast("int"))
+
+    statements = [
+        (branches.MAIN, 1, "update", raised(of("MACHINERY"), salary + 1)),
+        ("experiment", 3, "delete", of("BUILDING")),
+        ("experiment", 4, "insert", firms),
+        (branches.MAIN, 6, "delete", of("FURNITURE")),
+        ("experiment", 7, "insert", raised(of("BUILDING").where(salary > 5000), salary * 2)),
+        ("experiment", 8, "update", raised(of("AUTOMOBILE"), F.lit(0))),
+        ("experiment", 9, "delete", firms.where(salary < 1000)),
+        ("abandoned", 4, "delete", of("HOUSEHOLD")),
+        ("again", 4, "delete", of("HOUSEHOLD")),
+        ("again", 9, "update", raised(of("BUILDING"), salary + 7)),
+    ]
+    logs = [branches.record(rows, op, seq, branch, key="name", values=["salary"]) for branch, seq, op, rows in statements]
+    return reduce(DataFrame.unionByName, logs)
+
+
+def main_by_hand(spark: SparkSession, folder: str) -> DataFrame:
+    """Main after its own two statements, made by an update and a delete of the table itself."""
+    staff, named = customer_salaries(spark, folder), F.col("name").isNotNull()
+    raised = changes.update_where(staff, named & (F.col("segment") == "MACHINERY"), {"salary": F.col("salary") + 1})
+    return changes.delete_where(raised, named & (F.col("segment") == "FURNITURE")).select("name", "salary")
 
 
 # SQL that both engines read the same way; chr() stands for characters they quote differently.
 _T = fixed.TABLE
-_NL, _TAB, _CR, _Q, _DQ, _FENCE = "chr(10)", "chr(9)", "chr(13)", "chr(39)", "chr(34)", "'```'"
+_NL, _TAB, _CR, _Q, _DQ = "chr(10)", "chr(9)", "chr(13)", "chr(39)", "chr(34)"
+_SQL_FENCE, _FENCE = (f"'{fence}'" for fence in fixed.FENCES)
 REQUEST_ID_SQL = "conv_id * 1000000 + turn"
 REQUEST_TEXT_SQL = f"""
 CASE (conv_id + turn) % 9
-WHEN 0 THEN {_FENCE} || 'sql' || {_NL} || 'SELECT COUNT(*) FROM {_T};' || {_NL} || text || {_NL} || {_FENCE}
-WHEN 1 THEN 'CALL {fixed.SYSTEM_PREFIX}' || role || '_sweep(' || {_Q} || 't' || {_Q} || ')'
+WHEN 0 THEN {_SQL_FENCE} || {_NL} || 'SELECT COUNT(*) FROM {_T};' || {_NL} || text || {_NL} || {_FENCE}
+WHEN 1 THEN 'CALL {fixed.SYSTEM_PREFIX}' || role || '_sweep(' || {_Q} || text || {_Q} || ')'
 WHEN 2 THEN 'CALL {fixed.SYSTEM_PREFIX}{fixed.ALLOWED_PROCEDURE}(' || {_Q} || '{_T}' || {_Q} || '); ' || text
-WHEN 3 THEN 'CREATE BRANCH IF NOT EXISTS ' || role || ' IN {_T};' || {_NL} || 'USE REFERENCE b IN {_T} FROM main'
+WHEN 3 THEN 'CREATE BRANCH IF NOT EXISTS ' || role || ' IN {_T};' || {_NL} || 'USE REFERENCE b IN {_T} FROM main; ' || text
 WHEN 4 THEN 'ALTER TABLE {_T} CREATE BRANCH ' || role || {_CR} || {_NL} || text || ';' || {_TAB}
 WHEN 5 THEN 'SHOW PARTITIONS ' || {_Q} || '{_T}' || {_Q} || '; SHOW PARTITIONS ' || {_DQ} || '{_T}' || {_DQ}
   || '; show partitions ' || {_DQ} || '{_T}' || {_DQ} || ';' || text
-WHEN 6 THEN {_FENCE} || ' ; ;' || {_NL} || {_FENCE}
+WHEN 6 THEN {_FENCE} || ' ; ;' || text || {_NL} || {_FENCE}
 WHEN 7 THEN 'CALL ' || upper('{fixed.SYSTEM_PREFIX}') || 'rollback(' || {_Q} || 't' || {_Q} || '); SELECT '
   || {_Q} || text || ';' || {_Q}
 ELSE '-- ' || role || {_NL} || 'DROP TABLE {_T}; ' || {_TAB} || text
@@ -135,7 +135,7 @@ END
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
-    """A statement text for every turn of every conversation, with the turn's whole text in most."""
+    """A statement text for every turn of every conversation, each with the turn's whole text."""
     return read_table(spark, folder, "conversations").selectExpr(
         f"{REQUEST_ID_SQL} AS request_id", f"{REQUEST_TEXT_SQL} AS text")
 

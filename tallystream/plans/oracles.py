@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from tallystream import fixed_values as fixed
-from tallystream.functions.numeric import place
 from tallystream.plans import inputs
 
 
@@ -28,48 +27,43 @@ FROM customer"""
 _SUPPLIERS = "SELECT s_suppkey, s_name AS name, CAST(trunc(s_acctbal) AS INTEGER) AS salary FROM supplier"
 
 
-def _draw(n: int) -> str:
-    word, low, width = place(inputs.DRAW_BITS)[n]
-    return f"(((CAST('0x' || substr(digest, {1 + word * 15}, 15) AS BIGINT) >> {low}) & {2 ** width - 1}) / {float(2 ** width)})"
-
-
 def _violations(extra: int = 0) -> str:
     return f"""
 SELECT o_orderkey AS ticket_id,
-       TIMESTAMP '{fixed.PERIOD_START}'
-         + to_seconds(CAST(trunc({_draw(0)} * {fixed.PERIOD_SECONDS}) AS BIGINT)) AS violation_date,
-       {_texts(fixed.VIOLATION_TYPES)}[CAST(trunc({_draw(1)} * 5 + 1) AS INTEGER)] AS violation_type,
-       {_texts(fixed.LOCATIONS)}[CAST(trunc({_draw(2)} * 5 + 1) AS INTEGER)] AS location,
-       CAST(trunc({_draw(3)} * {fixed.FINE_RANGE} + {fixed.FINE_MIN}) + {extra} AS INTEGER) AS fine_amount,
-       {_draw(4)} > {fixed.RADAR_THRESHOLD} AS radar_captured
-FROM (SELECT o_orderkey, md5('2025:' || o_orderkey) AS digest FROM orders)"""
+       TIMESTAMP '{fixed.PERIOD_START}' + to_seconds((o_orderkey * 7919) % {fixed.PERIOD_SECONDS}) AS violation_date,
+       {_texts(fixed.VIOLATION_TYPES)}[o_custkey % 5 + 1] AS violation_type,
+       {_texts(fixed.LOCATIONS)}[o_orderkey % 5 + 1] AS location,
+       CAST(trunc(o_totalprice) AS INTEGER) + {extra} AS fine_amount, o_totalprice > 250000 AS radar_captured
+FROM orders"""
 
 
 def _number(value: int | None) -> str:
     return "NULL" if value is None else str(value)
 
 
+_REF_ROWS = [("main", 0, None), ("experiment", 2, None), ("experiment", 5, None),
+             ("abandoned", 2, 9), ("again", 2, 7), ("again", 8, None)]
 _REFS = "SELECT * FROM (VALUES " + ", ".join(
     f"('{name}', CAST({created} AS BIGINT), CAST({_number(dropped)} AS BIGINT))"
-    for name, created, dropped in inputs.REF_ROWS) + ") AS r(branch, created_seq, dropped_seq)"
+    for name, created, dropped in _REF_ROWS) + ") AS r(branch, created_seq, dropped_seq)"
 
 
-def _step(table: str, branch: str, number: int, op: str, key: str, value: str, where: str = "true") -> str:
-    return (f"SELECT '{branch}' AS branch, {number * inputs.STEP} + {key} AS seq, '{op}' AS op, name, "
+def _step(table: str, branch: str, number: int, op: str, value: str, where: str = "true") -> str:
+    return (f"SELECT '{branch}' AS branch, {number} AS seq, '{op}' AS op, name, "
             f"CAST({value} AS INTEGER) AS salary FROM {table} WHERE {where}")
 
 
 _CHANGES = "\nUNION ALL ".join([
-    _step("staff", "main", 1, "update", "c_custkey", "salary + 1", "segment = 'MACHINERY'"),
-    _step("staff", "experiment", 3, "delete", "c_custkey", "NULL", "segment = 'BUILDING'"),
-    _step("firms", "experiment", 4, "insert", "s_suppkey", "salary"),
-    _step("staff", "main", 6, "delete", "c_custkey", "NULL", "segment = 'FURNITURE'"),
-    _step("staff", "experiment", 7, "insert", "c_custkey", "salary * 2", "segment = 'BUILDING' AND salary > 5000"),
-    _step("staff", "experiment", 8, "update", "c_custkey", "0", "segment = 'AUTOMOBILE'"),
-    _step("firms", "experiment", 9, "delete", "s_suppkey", "NULL", "salary < 1000"),
-    _step("staff", "abandoned", 4, "delete", "c_custkey", "NULL", "segment = 'HOUSEHOLD'"),
-    _step("staff", "again", 4, "delete", "c_custkey", "NULL", "segment = 'HOUSEHOLD'"),
-    _step("staff", "again", 9, "update", "c_custkey", "salary + 7", "segment = 'BUILDING'"),
+    _step("staff", "main", 1, "update", "salary + 1", "segment = 'MACHINERY'"),
+    _step("staff", "experiment", 3, "delete", "NULL", "segment = 'BUILDING'"),
+    _step("firms", "experiment", 4, "insert", "salary"),
+    _step("staff", "main", 6, "delete", "NULL", "segment = 'FURNITURE'"),
+    _step("staff", "experiment", 7, "insert", "salary * 2", "segment = 'BUILDING' AND salary > 5000"),
+    _step("staff", "experiment", 8, "update", "0", "segment = 'AUTOMOBILE'"),
+    _step("firms", "experiment", 9, "delete", "NULL", "salary < 1000"),
+    _step("staff", "abandoned", 4, "delete", "NULL", "segment = 'HOUSEHOLD'"),
+    _step("staff", "again", 4, "delete", "NULL", "segment = 'HOUSEHOLD'"),
+    _step("staff", "again", 9, "update", "salary + 7", "segment = 'BUILDING'"),
 ])
 _HISTORY = f"staff AS ({_SALARIES}),\nfirms AS ({_SUPPLIERS}),\nrefs AS ({_REFS}),\nchanges AS ({_CHANGES})"
 
@@ -128,6 +122,12 @@ def _cell(value: str) -> str:
     return f"CASE WHEN length({shown}) > {width} THEN substr({shown}, 1, {width - 3}) || '...' ELSE {shown} END"
 
 
+def _preview(rows: int) -> str:
+    return f"""
+SELECT {', '.join(f'{_cell(c)} AS {c}' for c in ['conv_id', 'turn', 'role', 'text'])}
+FROM (SELECT * FROM conversations ORDER BY conv_id, turn LIMIT {rows})"""
+
+
 _UNITS = (f"CAST(round(greatest({fixed.SPEED_MIN}, least({fixed.SPEED_MAX}, value))"
           f" * {fixed.DRAIN_PER_KMH} * 1000000000) AS BIGINT)")
 
@@ -137,7 +137,8 @@ SELECT id AS ticket_id, o_totalprice AS price, o_orderkey IS NOT NULL AS recorde
 FROM (SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 1)) AS id FROM orders)
 LEFT JOIN orders ON o_orderkey = id""",
     "table_scan": "SELECT * FROM orders",
-    "typed_rows_roundtrip": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS data FROM customer",
+    "typed_rows_roundtrip": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS data FROM customer UNION ALL "
+                            + " UNION ALL ".join(f"SELECT {id_}, '{data}'" for id_, data in inputs.TWO_TYPED_ROWS),
     "create_if_absent": f"SELECT name, salary FROM ({_SALARIES})",
     "partitioned_write": _TELEMETRY,
     "ctas_strict": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
@@ -149,9 +150,8 @@ FROM ({_violations()}) GROUP BY violation_type ORDER BY total_revenue DESC, viol
 SELECT name, salary FROM ({_SALARIES})
 UNION ALL SELECT name, salary FROM ({_SUPPLIERS}) UNION ALL SELECT name, salary FROM ({_SUPPLIERS})
 UNION ALL SELECT * FROM (VALUES {inputs.TWO_SALARIES}, {inputs.TWO_SALARIES})""",
-    "bounded_preview": f"""
-SELECT {', '.join(f'{_cell(c)} AS {c}' for c in ['conv_id', 'turn', 'role', 'text'])}
-FROM (SELECT * FROM conversations ORDER BY conv_id, turn LIMIT {fixed.PREVIEW_ROWS})""",
+    "bounded_preview": _preview(fixed.PREVIEW_ROWS),
+    "longer_preview": _preview(fixed.SHOWN_ROWS),
     "derived_projection": """
 SELECT o_orderkey AS ticket_id, CAST(trunc(o_totalprice) AS INTEGER) AS fine_amount,
        CAST(trunc(-o_totalprice) AS INTEGER) AS refund,
@@ -220,7 +220,8 @@ FROM ({_REQUESTS}) LEFT JOIN (
          CAST(count(*) FILTER (WHERE verdict = 'blocked') AS INTEGER) AS n_blocked
   FROM ({_GUARDED}) GROUP BY request_id) USING (request_id)""",
     "landing_export": f"""
-SELECT *, CAST(floor(epoch("timestamp") / 86400) * 86400 AS BIGINT) AS tick FROM ({_TELEMETRY})""",
+SELECT *, CAST(floor(epoch("timestamp") / {fixed.TICK_SECONDS}) * {fixed.TICK_SECONDS} AS BIGINT) AS tick,
+       CAST(floor(epoch("timestamp") / 86400) * 86400 AS BIGINT) AS first_tick FROM ({_TELEMETRY})""",
     "stream_ingest": _TELEMETRY,
     "stream_restart": _TELEMETRY,
     "stream_quarantine": """
@@ -234,10 +235,10 @@ FROM events WHERE event_type IN ('error', 'purchase')""",
     "list_partitions": "SELECT event_type, count(*) AS row_count FROM events GROUP BY event_type",
     "compact_rows": _TELEMETRY,
     "compact_report": """
-SELECT event_type, count(*) AS rows_before, count(*) AS rows_after, true AS fewer_files
+SELECT event_type, count(*) AS rows_before, count(*) AS rows_after, CAST(1 AS BIGINT) AS files_after, true AS fewer_files
 FROM events GROUP BY event_type""",
     "small_file_audit": """
-SELECT event_type, count(*) AS row_count, true AS merge_helps FROM events GROUP BY event_type""",
+SELECT event_type, count(*) AS row_count, CAST(1 AS BIGINT) AS small_files_after, true AS merge_helps FROM events GROUP BY event_type""",
     "energy_balance": f"""
 SELECT event_id, {_VEHICLE} AS vehicle_id, platoon,
        floor((greatest(CAST(start * 1000000000 AS HUGEINT) - drained, 0) + 5000000) / 10000000) / 100.0 AS battery_kwh

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,14 +75,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
     It is the one named in ``spark.checkpoint.dir``, or set on the context. Without either a temporary
-    folder serves a local session only; on a cluster a machine-local folder would be lost with its
-    machine.
+    folder serves a session of one process only; on a cluster a machine-local folder would be lost with
+    its machine. For the same reason a cluster of several machines may not name a machine's temporary folder.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured:
+        path = urlparse(configured)
+        temporary = path.scheme == "file" and path.path.startswith(tempfile.gettempdir().rstrip("/") + "/")
+        if temporary and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names a folder of one machine; all executors must reach it")
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith(("local[", "local:")) and context.master != "local":
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors can reach")
     app = context.applicationId
     if app not in _local_folders:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,31 +14,31 @@ CORRUPT = "_corrupt_record"
 
 
 ROWS_PER_FILE = 500_000
-
-
-def file_count(df: DataFrame, at_least: int = 1, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Files to cut rows into, so that a file, and the task that writes it, stays of one size."""
-    return max(at_least, math.ceil(df.count() / rows_per_file))
+#: Spark skips a file older than the newest one seen by more than this, for ever; nothing arrives so late.
+MAX_FILE_AGE = "36500d"
 
 
 def export_lines(df: DataFrame, folder: str, order: list[str], files: int | None = None,
                  tick_of: str | None = None, tick_seconds: int = fixed.TICK_SECONDS,
-                 mode: str = "errorifexists") -> None:
+                 folder_seconds: int | None = None, mode: str = "errorifexists") -> None:
     """Write rows as JSON lines, each file holding one stretch of the order.
 
-    Ranges over a unique order split a busy tick over several files, so no tick has to fit one task.
-    With ``tick_of`` the files of a tick lie in a folder named after it. Spark moves files into place
-    when they are whole, so a reader never meets half a file, and two exports of the same second
-    cannot replace each other.
+    Ranges over a unique order split a busy tick over several files, so no tick has to fit one task;
+    without ``files`` adaptive execution packs ranges by their measured size, and no file gets more than
+    ``ROWS_PER_FILE`` rows. With ``tick_of`` a line's tick stands in the line, and its file lies in a
+    folder named after the first tick of the line's stretch of ``folder_seconds`` (default: a tick). Spark
+    moves files into place when they are whole, so a reader never meets half a file, and two exports of
+    the same second cannot replace each other.
     """
     if tick_of:
-        df = df.withColumn("tick", times.tick(F.col(tick_of), tick_seconds))
-        order = ["tick", *order]
-    ranged = df.repartitionByRange(files or file_count(df), *order)
-    writer = (ranged.write.mode(mode)
+        df = df.withColumns({"tick": times.tick(F.col(tick_of), tick_seconds),
+                             "first_tick": times.tick(F.col(tick_of), folder_seconds or tick_seconds)})
+        order = ["first_tick", "tick", *order]
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    writer = (ranged.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
               .option("timestampFormat", times.ISO_MICROS).option("timeZone", "UTC"))
     if tick_of:
-        writer = writer.partitionBy("tick")
+        writer = writer.partitionBy("first_tick")
     writer.json(folder)
 
 
@@ -49,8 +47,11 @@ def with_corrupt(schema: StructType) -> StructType:
 
 
 def stream_lines(spark: SparkSession, folder: str, schema: StructType = TELEMETRY,
-                 files_per_batch: int | None = None, archive: str | None = None) -> DataFrame:
-    """Stream of the JSON lines in a folder, each file read once.
+                 files_per_batch: int | None = None, archive: str | None = None,
+                 max_file_age: str = MAX_FILE_AGE) -> DataFrame:
+    """Stream of the JSON lines in a folder, each file read once, however late it arrives.
+
+    The stream remembers the files of the last ``max_file_age``; a file that is older still is skipped.
 
     Every micro-batch lists the folder. With ``archive`` Spark moves files there once their batch is
     committed, so that the folder, and the time to list it, stays small.
@@ -60,7 +61,7 @@ def stream_lines(spark: SparkSession, folder: str, schema: StructType = TELEMETR
     """
     reader = (spark.readStream.schema(with_corrupt(schema))
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("timeZone", "UTC"))
+              .option("timeZone", "UTC").option("maxFileAge", max_file_age))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive:

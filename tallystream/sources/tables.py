@@ -7,15 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the provided tables. They never change, so each file footer is read for its schema once."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """One of the provided tables, with the schema that its files have now."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def key_range(spark: SparkSession, keys: DataFrame, column: str) -> DataFrame:

@@ -23,10 +23,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallystream import fixed_values as fixed
 from tallystream.sources import paths
-from tallystream.sources.landing import CORRUPT, stream_lines, with_corrupt
+from tallystream.sources.landing import CORRUPT, MAX_FILE_AGE, stream_lines, with_corrupt
 from tallystream.sources.schemas import TELEMETRY
 
 GOOD, BAD = "good", "bad"
+#: Files of a micro-batch unless the caller says otherwise: a backlog comes in as several batches.
+FILES_PER_BATCH = 1000
 _EMPTY = "__EMPTY_TEXT__"
 
 
@@ -105,10 +107,10 @@ def write_batch(table: StreamTable, batch: DataFrame, batch_id: int) -> None:
 
 
 def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,
-                 interval: str | None = fixed.TRIGGER, files_per_batch: int | None = None,
-                 archive: str | None = None) -> StreamingQuery:
+                 interval: str | None = fixed.TRIGGER, files_per_batch: int = FILES_PER_BATCH,
+                 archive: str | None = None, max_file_age: str = MAX_FILE_AGE) -> StreamingQuery:
     """Append the landing folder to the table, every ``interval``; with None, take what is there and end."""
-    lines = stream_lines(spark, landing, table.schema, files_per_batch, archive)
+    lines = stream_lines(spark, landing, table.schema, files_per_batch, archive, max_file_age)
     writer = (lines.writeStream.outputMode("append")
               .option("checkpointLocation", table.checkpoint)
               .foreachBatch(lambda batch, batch_id: write_batch(table, batch, batch_id)))
@@ -117,10 +119,11 @@ def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,
 
 
 def ingest_available(spark: SparkSession, landing: str, table: StreamTable,
-                     files_per_batch: int | None = None, archive: str | None = None) -> None:
+                     files_per_batch: int = FILES_PER_BATCH, archive: str | None = None,
+                     max_file_age: str = MAX_FILE_AGE) -> None:
     """Take in all files that are waiting, then stop."""
-    start_ingest(spark, landing, table, interval=None, files_per_batch=files_per_batch,
-                 archive=archive).awaitTermination()
+    start_ingest(spark, landing, table, interval=None, files_per_batch=files_per_batch, archive=archive,
+                 max_file_age=max_file_age).awaitTermination()
 
 
 def newest_batch(spark: SparkSession, table: StreamTable, known: int = -1) -> int:
@@ -170,6 +173,13 @@ def read_spans(spark: SparkSession, table: StreamTable, spans: list[tuple[int, i
     return _read_rows(spark, table, table.compacted, names) if names else None
 
 
+def read_from(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]], low: int, newest: int) -> DataFrame:
+    """Rows of merged spans, the first of which begins at ``low``, and of the batches after them."""
+    merged = read_spans(spark, table, spans)
+    loose = read_batches(spark, table, spans[-1][1] + 1 if spans else low, newest)
+    return loose if merged is None else merged if loose is None else merged.unionByName(loose)
+
+
 def read_committed(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
     """All rows, good and bad, of the committed batches up to ``upto`` (default: the newest now).
 

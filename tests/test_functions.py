@@ -64,22 +64,6 @@ def test_pick_counts_from_one_and_raises_outside(spark):
     assert column(spark, [4, -1], "int", lambda v: numeric.try_pick(["a", "b", "c"], v)) == [None, "c"]
 
 
-def test_draws_depend_on_the_key_only(spark):
-    first, second = numeric.draws(F.col("id"), 7, [32, 24])
-    rows = spark.range(0, 4000).select("id", first.alias("a"), second.alias("b"))
-    again = spark.range(0, 4000).repartition(3).select("id", first.alias("a"), second.alias("b"))
-    assert rows.exceptAll(again).isEmpty()
-    low, high, mean, together = rows.agg(F.min("a"), F.max("a"), F.avg("a"), F.corr("a", "b")).first()
-    assert 0 <= low < 0.01 and 0.99 < high < 1 and abs(mean - 0.5) < 0.02 and abs(together) < 0.05
-
-
-def test_draws_share_two_words():
-    assert numeric.place([32, 24, 24, 18, 18]) == [(0, 0, 32), (0, 32, 24), (1, 0, 24), (1, 24, 18), (1, 42, 18)]
-    for bits in ([40, 40, 40], [53], [0]):
-        with pytest.raises(ValueError):
-            numeric.place(bits)
-
-
 def test_epoch_and_clock_change(spark):
     with settings(spark, spark__sql__session__timeZone="America/New_York"):
         base = F.unix_timestamp(F.lit("2025-01-01 00:00:00"))

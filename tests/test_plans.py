@@ -4,12 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from conftest import SF_DIR
+from tallystream.plans.catalog import QUERIES
 from tallystream.session import settings
 
-QUERIES = entry_points.queries()
-
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -23,7 +21,7 @@ def test_no_pairs_and_no_python_rows(spark, name):
 
 
 @pytest.mark.parametrize("name, columns", [
-    ("revenue_by_type", ["l_linenumber", "l_returnflag"]), ("global_count", []), ("category_pick", ["o_orderkey"]),
+    ("revenue_by_type", ["l_linenumber", "l_returnflag"]), ("global_count", []), ("category_pick", ["o_custkey", "o_orderkey", "o_totalprice"]),
     ("tick_bucket", ["ts", "event_type"]), ("clamp_round", ["event_id", "value"]), ("list_partitions", []),
     ("small_file_audit", []), ("energy_balance", ["event_id", "ts", "user_id", "value"])])
 def test_scans_read_the_columns_they_need(spark, name, columns):
@@ -50,15 +48,21 @@ def test_groups_are_added_up_before_the_shuffle(spark):
         assert "partial_count" in plan_of(QUERIES[name](spark, SF_DIR))
 
 
-def test_large_sides_are_not_broadcast(spark):
-    """Without small sides, the branch join is a shuffled join on key and salt; only the list of hot keys is sent around."""
-    from tallystream.operators import branches
+def test_no_broadcast_is_forced(spark):
+    """Without small sides no join sends a side around: not the branch log, not the list of large vehicles, nor the sums before a range."""
+    from tallystream.operators import balance, branches
     from tallystream.plans import inputs
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        plan = plan_of(branches.read_branch(
+        branch = plan_of(branches.read_branch(
             inputs.customer_salaries(spark, SF_DIR).select("name", "salary"), inputs.branch_refs(spark),
-            inputs.branch_changes(spark, SF_DIR), "experiment", key="name", values=["salary"], small_log=False))
-    assert re.search(r"SortMergeJoin \[name#\d+L?, __salt#\d+L?\]", plan)
-    broadcasts = re.findall(r"BroadcastHashJoin .*", plan)
-    assert len(broadcasts) == 2 and all("__hot_key#" in line for line in broadcasts)
-    assert "NestedLoop" not in plan
+            inputs.branch_changes(spark, SF_DIR), "experiment", key="name", values=["salary"]))
+        readings = spark.read.parquet(f"{SF_DIR}/events.parquet")
+        steps = plan_of(balance.energy_balance(readings, vehicle="user_id", order=["ts", "event_id"], speed="value",
+                                               start=readings["value"], rows_per_task=7))
+    for plan in (branch, steps):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan and "NestedLoop" not in plan
+
+
+def test_each_state_is_resolved_once(spark):
+    plan = plan_of(QUERIES["branch_isolation"](spark, SF_DIR))
+    assert len(re.findall(r"FileScan", plan)) <= 7

@@ -5,12 +5,40 @@ import pytest
 import __spark_entry__ as entry_points
 from comparing import TYPE_NAMES, canonical, oracle_rows
 from conftest import SF_DIR
+from tallystream.plans.catalog import QUERIES, SCRATCH_DATABASE, drop_scratch_tables
+from tallystream.plans.oracles import ORACLES
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 def test_each_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
+
+
+def test_scratch_tables_are_dropped(spark):
+    rows = QUERIES["insert_append"](spark, SF_DIR)
+    assert rows.count() and spark.catalog.listTables(SCRATCH_DATABASE)
+    drop_scratch_tables(spark)
+    assert not spark.catalog.databaseExists(SCRATCH_DATABASE)
+
+
+def test_every_text_is_in_its_request(spark):
+    from tallystream.plans import inputs
+    texts = spark.read.parquet(f"{SF_DIR}/conversations.parquet").selectExpr(f"{inputs.REQUEST_ID_SQL} AS request_id", "text AS own")
+    both = inputs.requests(spark, SF_DIR).join(texts, "request_id")
+    assert both.count() == texts.count() and both.where("NOT contains(text, own)").isEmpty()
+
+
+def test_no_row_is_lost_to_a_null(spark, folder):
+    """Events without a time and without a type go through restart, snapshot and report like the others."""
+    rows = spark.read.parquet(f"{SF_DIR}/events.parquet").limit(300)
+    rows.selectExpr("event_id", "user_id", "IF(event_id % 10 = 0, NULL, ts) AS ts", "IF(event_id % 7 = 0, NULL, event_type) AS event_type",
+                    "value", "props").write.parquet(f"{folder}/events.parquet")
+    kept = spark.read.parquet(f"{folder}/events.parquet")
+    missing = kept.where("event_type IS NULL").count()
+    assert missing and QUERIES["stream_restart"](spark, folder).count() == kept.count()
+    report = {r.event_type: (r.rows_before, r.rows_after) for r in QUERIES["compact_report"](spark, folder).collect()}
+    assert report[None] == (missing, missing) and sum(a for a, _ in report.values()) == kept.count()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from tallystream import session
@@ -31,6 +33,11 @@ def test_the_folder_the_cluster_names_is_used():
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session("local-cluster[2,1,1024]"))
+    with pytest.raises(RuntimeError, match="one machine"):
+        session.shared_dir(Session("spark://host:7077", {"spark.checkpoint.dir": f"file://{tempfile.gettempdir()}/x"}))
+    assert session.shared_dir(Session("spark://host:7077", {"spark.checkpoint.dir": "file:///mnt/shared"})) == "file:///mnt/shared"
 
 
 def test_a_local_session_gets_one_folder_of_its_own():

@@ -222,8 +222,9 @@ def test_compaction_keeps_rows_and_leaves_fewer_files(spark, table, folder):
 
 def test_a_large_partition_is_split_by_size(spark, table, folder):
     streamed(spark, table, folder, rows=20000)
-    with settings(spark, spark__sql__files__maxPartitionBytes="40000", spark__sql__files__openCostInBytes="0"):
-        maintenance.compact(spark, table, target_bytes=60_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    maintenance.compact(spark, table, target_bytes=60_000)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     audit = {r.cooperative_platoon_id: r.file_count for r in maintenance.audit_table(spark, table, merged=True).collect()}
     assert audit["Platoon_A"] >= 4 and audit["Platoon_A"] > audit["Platoon_B"]
 
@@ -240,7 +241,7 @@ def test_cuts_before_between_and_after_merges(spark, table, folder):
         for cut in range(n + 1):
             assert vehicles(ingest.read_snapshot(spark, table, upto=cut)) == expected[:cut + 1]
             assert ingest.read_quarantine(spark, table, upto=cut).count() == cut + 1
-    assert ingest.committed_spans(spark, table) == [(0, 1), (2, 2)]
+    assert ingest.committed_spans(spark, table) == [(0, 2)]
     assert maintenance.compact(spark, table, again=True) == (0, 4)
     assert ingest.committed_spans(spark, table) == [(0, 4)]
     assert [vehicles(ingest.read_snapshot(spark, table, upto=cut)) for cut in range(5)] == \
@@ -259,7 +260,7 @@ def test_an_unfinished_merge_is_not_read(spark, table, folder):
     os.rename(mark, mark.replace("_SUCCESS", "_taken"))
     assert ingest.committed_spans(spark, table) == [(0, 1)]
     assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
-    assert maintenance.compact(spark, table) == (2, 2)
+    assert maintenance.compact(spark, table) == (0, 2)
     assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
     assert maintenance.compact(spark, table, again=True) == (0, 2)
     assert ingest.committed_spans(spark, table) == [(0, 2)]
@@ -301,6 +302,43 @@ def test_partition_filter_reaches_the_folders(spark, table, folder):
 def test_export_by_tick(spark, folder):
     rows = spark.range(40).select(F.col("id").alias("n"), F.timestamp_seconds(F.col("id")).alias("timestamp"))
     export_lines(rows, f"{folder}/out", ["timestamp", "n"], files=3, tick_of="timestamp")
-    back = spark.read.schema("n bigint, timestamp timestamp, tick bigint").json(f"{folder}/out")
+    back = spark.read.schema("n bigint, timestamp timestamp, tick bigint, first_tick bigint").json(f"{folder}/out")
+    assert back.where("tick <> first_tick").isEmpty()
     assert {r.tick for r in back.collect()} == {0, 10, 20, 30}
     assert back.where("tick <> floor(unix_timestamp(timestamp) / 10) * 10").isEmpty()
+
+
+def test_a_late_file_is_taken_in(spark, table, folder):
+    """A file whose time lies eight days before the newest one is read like any other."""
+    landing = f"{folder}/landing"
+    for name, age in [("new", 0), ("late", 8), ("x", 0)]:
+        land(landing, f"{name}.json", [line(name)])
+        then = time.time() - age * 86400
+        os.utime(os.path.join(local(landing), f"{name}.json"), (then, then))
+        ingest.ingest_available(spark, landing, table)
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["late", "new", "x"]
+
+
+def test_a_backlog_comes_in_as_several_batches(spark, table, folder):
+    for n in range(7):
+        land(f"{folder}/landing", f"{n}.json", [line(f"v{n}")])
+    ingest.ingest_available(spark, f"{folder}/landing", table, files_per_batch=3)
+    assert ingest.newest_batch(spark, table) == 2
+    assert len(vehicles(ingest.read_snapshot(spark, table))) == 7
+
+
+def test_rounds_of_merging_leave_one_small_file_per_value(spark, table, folder):
+    """The audit sends small merged files into the next merge and leaves spans of large files as they are."""
+    landing = f"{folder}/landing"
+    for n in range(6):
+        land(landing, f"{n}.json", [line(f"v{n}"), line(f"w{n}", "Platoon_B")])
+        ingest.ingest_available(spark, landing, table)
+        maintenance.compact(spark, table)
+        assert ingest.committed_spans(spark, table) == [(0, n)]
+        assert {r.small_files for r in maintenance.audit_table(spark, table, merged=True).collect()} == {1}
+    for n in range(6, 8):
+        land(landing, f"{n}.json", [line(f"v{n}")])
+        ingest.ingest_available(spark, landing, table)
+        maintenance.compact(spark, table, target_bytes=1000)
+    assert ingest.committed_spans(spark, table) == [(0, 5), (6, 6), (7, 7)]
+    assert len(vehicles(ingest.read_snapshot(spark, table))) == 14

@@ -61,9 +61,23 @@ def test_partitioned_table_prunes(spark, name, folder):
     assert "PartitionFilters: [isnotnull(part" in plan._jdf.queryExecution().toString()
 
 
-def test_replace_folder_twice_leaves_the_last_rows(spark, folder):
-    writes.replace_folder(spark.range(5), f"{folder}/t")
-    assert writes.replace_folder(spark.range(2), f"{folder}/t").count() == 2
+def test_a_folder_is_written_once(spark, folder):
+    assert writes.new_folder(spark.range(5), f"{folder}/t", None).count() == 5
+    with pytest.raises(AnalysisException):
+        writes.new_folder(spark.range(2), f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 5
+
+
+def test_a_failed_replace_keeps_the_old_rows(spark, name, folder):
+    writes.create_or_replace(spark.range(3), name, location=f"{folder}/1")
+    failing = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("stop")).cast("long")).alias("id"))
+    with pytest.raises(PySparkException, match="stop"):
+        writes.create_or_replace(failing, name, location=f"{folder}/2")
+    assert spark.table(name).count() == 3
+    writes.create_or_replace(spark.range(2).withColumn("more`column", F.lit("x")), name, location=f"{folder}/it's 3")
+    assert rows_of(spark.table(name)) == [(0, "x"), (1, "x")]
+    with pytest.raises(ValueError):
+        writes.full_refresh(spark.range(2), name, location=f"{folder}/4")
 
 
 def test_delete_keeps_rows_with_an_unknown_predicate(spark):
@@ -101,9 +115,3 @@ def test_top_rows_are_not_a_full_sort(spark):
     top = reports.first_rows(spark.range(0, 100, 1, 4), "id")
     assert [r.id for r in top.collect()] == [0, 1, 2, 3, 4]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().toString()
-
-
-def test_append_folder_keeps_what_is_there(spark, folder):
-    writes.append_folder(spark.range(2).withColumn("p", F.lit("a")), f"{folder}/t", ["p"])
-    both = writes.append_folder(spark.range(2).withColumn("p", F.lit("b")), f"{folder}/t", ["p"])
-    assert rows_of(both) == [(0, "a"), (0, "b"), (1, "a"), (1, "b")]
