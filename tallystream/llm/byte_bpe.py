@@ -24,7 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LONG_WORD, BYTES_AT_ONCE = 48, 8 << 20
+LONG_WORD, BYTES_AT_ONCE, IDS_AT_ONCE = 48, 8 << 20, 1 << 16
+NO_RANK = 1 << 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,18 +40,21 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[word]]
     if len(word) > LONG_WORD:
         return _fold_long(word, ranks)
+    get = ranks.get
     parts = [word[k:k + 1] for k in range(len(word))]
-    rank = [ranks.get(word[k:k + 2]) for k in range(len(word) - 1)]
-    while True:
-        least, at = min(((r, k) for k, r in enumerate(rank) if r is not None), default=(None, 0))
-        if least is None:
-            return [ranks[part] for part in parts]
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    rank = [get(word[k:k + 2], NO_RANK) for k in range(len(word) - 1)]
+    while rank:
+        least = min(rank)
+        if least == NO_RANK:
+            break
+        at = rank.index(least)
+        parts[at] += parts.pop(at + 1)
         del rank[at]
         if at < len(rank):
-            rank[at] = ranks.get(parts[at] + parts[at + 1])
+            rank[at] = get(parts[at] + parts[at + 1], NO_RANK)
         if at:
-            rank[at - 1] = ranks.get(parts[at - 1] + parts[at])
+            rank[at - 1] = get(parts[at - 1] + parts[at], NO_RANK)
+    return [ranks[part] for part in parts]
 
 
 def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -93,10 +97,32 @@ class _Words(dict):
         self.ranks = ranks
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = ids = np.array(fold(word.encode(), self.ranks), "<u4").tobytes()
+        self[word] = ids = b"".join([k.to_bytes(4, "little") for k in fold(word.encode(), self.ranks)])
         return ids
 
 
+class _Pieces:
+    """The pieces of all ids as one run of bytes, to join those of many ids at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+        for piece, rank in ranks.items():
+            size[rank] = len(piece)
+        self.size, self.start = size, np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
+        self.data = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
+
+    def joined(self, ids: bytes) -> bytes:
+        codes, out = np.frombuffer(ids, "<u4"), []
+        for k in range(0, len(codes), IDS_AT_ONCE):
+            some = codes[k:k + IDS_AT_ONCE]
+            size = self.size[some]
+            if (size < 0).any():
+                raise IndexError("an id is not in the table")
+            shift = self.start[some] - (np.cumsum(size) - size)
+            out.append(self.data[np.repeat(shift, size) + np.arange(size.sum())].tobytes())
+        return b"".join(out)
+
+
 def _batches(ids: list, values: list, names: list[str]):
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(values, pa.binary())], names)
 
@@ -138,13 +164,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """(id, ids, decoded): the bytes that the ids stand for; an id outside the table fails the job."""
-    known = encoded.sparkSession.sparkContext.broadcast({rank: piece for piece, rank in ranks.items()})
+    known = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def start(batches):
-        pieces = known.value
+        pieces = _Pieces(known.value)
 
         def of(ids):
-            return b"".join([pieces[k] for k in np.frombuffer(ids or b"", "<u4").tolist()])
+            return pieces.joined(ids or b"")
 
         for batch in batches:
             at = 0
