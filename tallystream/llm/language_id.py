@@ -117,9 +117,10 @@ def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = Non
     parts = {k: F.nullif(F.lower(v.cast("string")), F.lit("")) if v is not None else none for k, v in parts.items()}
     model = train(docs, F.col(text_col), parts["declared"], languages)
     evidence = text_evidence(model, effective)(F.col(text_col).cast("string"))
-    scored = docs.select(evidence.alias("e"), *[v.alias(k) for k, v in parts.items()]).where(F.get("e", F.lit(0)) > 0)
-    scored = settle(scored.select("declared", "suffix", "host", parent_of(F.col("host")).alias("parent"),
-                                  _softmax(F.slice("e", 2, len(languages))).alias("post")), "evidence")
+    # Written before it is filtered: a filter on the evidence would have it worked out twice.
+    scored = settle(docs.select(evidence.alias("e"), *[v.alias(k) for k, v in parts.items()]), "evidence")
+    scored = scored.where(F.get("e", F.lit(0)) > 0).select(
+        "declared", "suffix", "host", parent_of(F.col("host")).alias("parent"), _softmax(F.slice("e", 2, len(languages))).alias("post"))
     total = scored.agg(*[F.sum(F.get("post", F.lit(k))) for k in range(len(languages))]).first()
     mass = [(x or 0.0) + 1.0 for x in total]
     overall = F.lit([x / sum(mass) for x in mass])
