@@ -1,14 +1,16 @@
 """SimHash near-dedup over a hierarchical index in Gray order.
 
 A fingerprint has 64 bits; two texts link if theirs differ in at most ``max_bits`` bits. Equal fingerprints
-are put together first. Bits are cut into ``max_bits + 1`` blocks: two linked fingerprints agree wholly in one
-of them at least. For each block there is an index whose upper nodes are the values of that block (the shared
-masked pattern); below, fingerprints are sorted by Gray rank, so that neighbours share most of their bits, and
-every run of neighbours becomes a node that holds the bits its members share. Pairs of nodes are followed from
-the top; a pair whose shared bits already differ in more than ``max_bits`` places is dropped with all below it.
+are put together first. Bits are cut into ``max_bits + 1`` runs: two linked fingerprints agree wholly in one
+of them at least. The upper nodes of the index are the masked bit patterns that fingerprints share: one run at
+first; where a node is large, its free bits are cut into ``max_bits + 1`` runs again, and it is replaced by the
+nodes below it (its pattern and one more run), up to ``levels`` deep, if these send fewer rows to tasks. Below the upper
+nodes fingerprints are sorted by Gray rank, so that neighbours share most of their bits, and every run of
+neighbours becomes a node that holds the bits its members share. Pairs of nodes are followed from the top; a pair
+whose shared bits already differ in more than ``max_bits`` places is dropped with all below it.
 
-An upper node with many fingerprints is split into parts of ``part_rows``, and pairs of parts go to separate
-tasks. Tasks return a spanning set of the links they find, never all pairs.
+An upper node that still has many fingerprints is split into parts of ``part_rows``, and pairs of parts go to
+separate tasks. Tasks return a spanning set of the links they find, never all pairs.
 
 Nulls: a null text counts as empty, hence as fingerprint zero; a null id keeps its row and takes the smallest
 id of its group, if any has one. Repeated rows come out as often as they came in. Empty tables give no rows.
@@ -124,42 +126,89 @@ def _links_of_sorted(max_bits: int):
             yield from links(pa.Table.from_batches(held))
 
     def links(table):
-        node, code, id_ = (table.column(k).to_numpy() for k in range(3))
+        node, code = (table.column(k).to_numpy() for k in range(2))
         groups = np.cumsum(np.r_[0, node[1:] != node[:-1]])
         labels = np.arange(len(code))
         for i, j in index_pairs(code.view(np.uint64), groups, max_bits):
             labels = merge_labels(labels, i, j)
         linked = np.flatnonzero(labels != np.arange(len(labels)))
-        yield pa.RecordBatch.from_arrays([pa.array(id_[linked]), pa.array(id_[labels[linked]])], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(code[linked]), pa.array(code[labels[linked]])], ["a", "b"])
 
     return of
 
 
-def fingerprint_links(codes: DataFrame, max_bits: int, part_rows: int = 4096) -> DataFrame:
+def masks_below(mask: int, runs: int) -> list[int]:
+    """The mask with one more run of bits each: its free bits, from the highest on, are cut into this many runs."""
+    free = [bit for bit in range(63, -1, -1) if not mask >> bit & 1]
+    cuts = [len(free) * k // runs for k in range(runs + 1)]
+    return [mask | sum(1 << bit for bit in free[i:j]) for i, j in zip(cuts, cuts[1:])]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _rows_sent(n: Column, part_rows: int) -> Column:
+    """How many rows go to tasks for a node of n rows: each of them once for every part of the node."""
+    return n * F.ceil(n / part_rows)
+
+
+def upper_nodes(codes: DataFrame, max_bits: int, part_rows: int, levels: int) -> DataFrame:
+    """(code, mask, parts): the upper nodes (mask, code & mask) that each code is in, and their numbers of parts.
+
+    Two codes that link share one upper node at least. A node of more than ``part_rows`` codes for each run of
+    its free bits is replaced by the nodes below it where these send fewer rows to tasks, as counted.
+    """
+    spark, runs = codes.sparkSession, max_bits + 1
+    pattern = F.col("code").bitwiseAND(F.col("mask")).alias("pattern")
+    masks = masks_below(0, runs)
+    rows = codes.select("code", F.explode(F.lit([_signed(m) for m in masks])).alias("mask"))
+    sizes = settle(rows.groupBy("mask", pattern).agg(F.count("*").alias("n")).where(F.col("n") > part_rows), "nodes")
+    closed = []
+    for _ in range(1, levels):
+        wide = sizes.where(F.col("n") > part_rows * runs)
+        if wide.limit(1).count() == 0:
+            break
+        steps = {m: masks_below(m, runs) for m in masks}
+        masks = sorted({below for found in steps.values() for below in found})
+        # As many rows as there are masks of this level, whatever the codes.
+        table = F.broadcast(spark.createDataFrame(
+            [(_signed(m), _signed(below)) for m, found in steps.items() for below in found], "mask long, below long"))
+        placed = rows.select("code", "mask", pattern)
+        under = F.col("code").bitwiseAND(F.col("below")).alias("under")
+        finer = settle(placed.join(wide, ["mask", "pattern"]).join(table, "mask").groupBy(
+            "mask", "pattern", "n", "below", under).agg(F.count("*").alias("m")), "nodes")
+        better = settle(finer.groupBy("mask", "pattern", "n").agg(F.sum(_rows_sent(F.col("m"), part_rows)).alias("sent")).where(
+            F.col("sent") < _rows_sent(F.col("n"), part_rows)).select("mask", "pattern"), "nodes")
+        closed.append(_with_parts(placed.join(better, ["mask", "pattern"], "left_anti"), sizes, part_rows))
+        rows = settle(placed.join(better, ["mask", "pattern"], "left_semi").join(table, "mask").select(
+            "code", F.col("below").alias("mask")), "rows")
+        sizes = settle(finer.where(F.col("m") > part_rows).join(better, ["mask", "pattern"], "left_semi").groupBy(
+            F.col("below").alias("mask"), F.col("under").alias("pattern")).agg(F.max("m").alias("n")), "nodes")
+    out = _with_parts(rows.select("code", "mask", pattern), sizes, part_rows)
+    for more in closed:
+        out = out.unionAll(more)
+    return out
+
+
+def _with_parts(placed: DataFrame, sizes: DataFrame, part_rows: int) -> DataFrame:
+    parts = F.coalesce(F.ceil(F.col("n") / part_rows).cast("int"), F.lit(1))
+    return placed.join(sizes, ["mask", "pattern"], "left").select("code", "mask", parts.alias("parts"))
+
+
+def fingerprint_links(codes: DataFrame, max_bits: int, part_rows: int = 4096, levels: int = 3) -> DataFrame:
     """Spanning links (a, b) among distinct codes (code); a and b are codes."""
     if not 0 <= max_bits < 63:
         raise ValueError("max_bits must be between 0 and 62")
-    blocks = max_bits + 1
-    cuts = [64 * k // blocks for k in range(blocks + 1)]
-    turned = [
-        F.struct(
-            F.lit(k).alias("block"),
-            (F.shiftleft("code", cut) if cut == 0 else
-             F.shiftleft("code", cut).bitwiseOR(F.shiftrightunsigned("code", 64 - cut))).alias("turned"),
-            F.lit(64 - (cuts[k + 1] - cut)).alias("rest"))
-        for k, cut in enumerate(cuts[:-1])]
-    rows = codes.select("code", F.explode(F.array(*turned)).alias("t")).select(
-        "code", "t.block", "t.turned", F.expr("shiftrightunsigned(t.turned, t.rest)").alias("value"))
-    large = rows.groupBy("block", "value").count().where(F.col("count") > part_rows).select(
-        "block", "value", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))
-    parts = rows.join(large, ["block", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     part = F.pmod(F.xxhash64("code"), F.col("parts")).cast("int")
     meets = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda k: F.struct(F.least(k, F.col("part")).alias("i"), F.greatest(k, F.col("part")).alias("j")))
-    tasks = parts.withColumn("part", part).select("code", "block", "value", "turned", F.explode(meets).alias("m")).select(
-        F.xxhash64("block", "value", "m.i", "m.j").alias("node"), "turned", "code", gray_rank(F.col("turned")).alias("rank"))
-    placed = tasks.repartition("node").sortWithinPartitions("node", "rank").select("node", "turned", "code")
+    nodes = upper_nodes(codes, max_bits, part_rows, levels).withColumn("part", part)
+    tasks = nodes.select("code", "mask", F.explode(meets).alias("m")).select(
+        F.xxhash64("mask", F.col("code").bitwiseAND(F.col("mask")), "m.i", "m.j").alias("node"), "code",
+        gray_rank(F.col("code")).alias("rank"))
+    placed = tasks.repartition("node").sortWithinPartitions("node", "rank").select("node", "code")
     return placed.mapInArrow(_links_of_sorted(max_bits), "a long, b long")
 
 

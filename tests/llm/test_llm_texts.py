@@ -55,6 +55,31 @@ def test_links_of_split_nodes(spark, max_bits):
     assert [roots.get(c, c) for c in codes] == plain_components(codes, near.tolist())
 
 
+def test_large_nodes_are_refined_where_that_sends_fewer_rows(spark):
+    rng = np.random.default_rng(2)
+    spread = {int(c) for c in rng.integers(-(1 << 63), (1 << 63) - 1, 300)}
+    wide = {-(1 << 62) + int(c) for c in rng.integers(0, 1 << 50, 400)}
+    wide |= {c ^ sum(1 << int(k) for k in rng.choice(62, 3, replace=False)) for c in list(wide)[:100]}
+    tight = {(7 << 44) ^ sum(1 << int(k) for k in rng.choice(20, 2, replace=False)) for _ in range(300)}
+    codes = sorted(spread | wide | tight)
+    df = spark.createDataFrame([(c,) for c in codes], "code long")
+    x = np.array(codes, dtype=np.int64).view(np.uint64)
+    want = plain_components(codes, np.argwhere(np.bitwise_count(x[:, None] ^ x[None]) <= 4).tolist())
+    sent = {}
+    for levels in (1, 2, 3):
+        roots = {r["id"]: r["root"] for r in components(simhash.fingerprint_links(df, 4, 8, levels)).collect()}
+        assert [roots.get(c, c) for c in codes] == want
+        sent[levels] = simhash.upper_nodes(df, 4, 8, levels).agg(F.sum("parts")).first()[0]
+    assert sent[3] <= sent[2] < sent[1] / 2
+
+
+def test_masks_below_cut_the_free_bits():
+    for mask in (0, 0xFFF0000000000000, 0x00FF00FF00FF00FF, (1 << 64) - 1):
+        below = simhash.masks_below(mask, 5)
+        assert all(m & mask == mask for m in below)
+        assert sum(m ^ mask for m in below) == (1 << 64) - 1 - mask
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3), (300, 200)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
