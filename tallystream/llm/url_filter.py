@@ -4,8 +4,8 @@ Edges are hyperlinks between hosts (absolute or protocol-relative ``href`` and `
 of pages that hold them, and both ways between a host and the next shorter domain, which belong to one owner.
 Personalised PageRank carries trust from the hosts whose pages a rule allows along the edges; distrust goes from
 the hosts whose pages a rule blocks against them. Rank that reaches a host without edges returns to the seeds.
-A page without a rule is blocked if its host's distrust exceeds ``ratio`` times its trust; a host that neither
-reaches is allowed.
+A page without a rule is blocked if its host's distrust exceeds ``ratio`` times its trust by more than rounding
+can, so that the order of a sum decides nothing; a host that neither reaches is allowed.
 
 Edges and ranks stay in tables keyed by host and are summed within tasks before a shuffle; only totals reach the
 driver. Each iteration writes its ranks to the shared folder.
@@ -25,6 +25,7 @@ from tallystream.llm.common import settle
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
          ("net/fr/", "block"))
+ROUNDING = 1e-9
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'<>\s]+)"""
 
 
@@ -100,7 +101,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.avg(F.col("fit.verdict").eqNullSafe("block").cast("double")).alias("bad"))
     seeds = settle(seeds, "seeds")
     ranks = settle(propagate(host_edges(rows), seeds, damping, rounds), "ranks")
-    judged = F.when(F.coalesce("distrust", F.lit(0.0)) > ratio * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
+    judged = F.when(
+        F.coalesce("distrust", F.lit(0.0)) > ratio * (1 + ROUNDING) * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return ruled.drop("html").join(ranks, "host", "left").select(
         "id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", judged).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
