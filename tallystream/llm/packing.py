@@ -70,6 +70,7 @@ def _pack(capacities: tuple[int, ...], overhead: int):
     return of
 
 
+RUN = 1 << 16
 PACKED = ["id", "piece", "start", "n_tokens", "shard", "bin", "bin_offset", "capacity"]
 
 
@@ -85,8 +86,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", tokens: Column | None = None,
     longest = capacities[-1]
     n = tokens if tokens is not None else word_count(F.col("text"))
     rows = settle(docs.select(F.col(id_col).cast("long").alias("id"), n.cast("long").alias("n")), "lengths")
-    pieces = rows.groupBy("id", "n").count().select(
-        "id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("row")).select(
+    # A pair of id and length may repeat as often as there are rows, so its rows are numbered in runs of bounded size.
+    runs = rows.groupBy("id", "n").count().select(
+        "id", "n", "count", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(RUN).cast("long"))).alias("first"))
+    pieces = runs.select(
+        "id", "n", F.explode(F.sequence("first", F.least(F.col("first") + RUN, F.col("count")) - 1)).alias("row")).select(
         "id", "n", "row", F.explode(F.sequence(
             F.lit(0).cast("long"), F.greatest(F.lit(0), F.expr(f"(n - 1) div {longest}")).cast("long"))).alias("piece"))
     total = rows.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / longest)))).first()[0] or 0
