@@ -1,8 +1,8 @@
 """Language ID by Bayesian fusion of evidence.
 
 Four kinds of evidence are multiplied: the likelihood of the text's byte trigrams, the declared markup language,
-the address suffix, and the host's prior. The trigram model is trained on at most ``sample_rows`` rows (chosen by
-hash) with their declared language as a noisy label. Declared languages and suffixes are counted over all rows
+the address suffix, and the host's prior. The trigram model is trained on about ``sample_rows`` rows, chosen by the
+hash of the whole row so that copies of a text are not chosen together, with their declared language as a noisy label. Declared languages and suffixes are counted over all rows
 against what the texts say, which gives P(declared | language); host priors are counted likewise and smoothed
 towards the host's parent domain, and that towards all rows. Counts are added up within tasks, so a hot host
 is one row per task after it; the tables are joined back by key, and adaptive execution broadcasts small ones.
@@ -45,10 +45,12 @@ def letters(text: bytes) -> int:
 def train(docs: DataFrame, text: Column, declared: Column, languages: tuple[str, ...] = LANGUAGES,
           sample_rows: int = 20_000) -> np.ndarray:
     """Log-likelihoods (bucket, language) of trigrams, from rows that declare one of the languages."""
-    labelled = docs.select(text.cast("string").alias("text"), declared.cast("string").alias("declared")).where(
+    whole = [docs[f"`{name}`"] for name, kind in docs.dtypes if not any(k in kind for k in ("map<", "variant"))]
+    labelled = docs.select(
+        text.cast("string").alias("text"), declared.cast("string").alias("declared"), F.xxhash64(*whole).alias("mark")).where(
         F.col("declared").isin(*languages) & F.col("text").isNotNull())
     n = docs.select(declared.cast("string").alias("declared")).where(F.col("declared").isin(*languages)).count()
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, sample_rows / max(n, 1)) * (1 << 30))
+    share = F.pmod(F.col("mark"), F.lit(1 << 30)) < int(min(1.0, sample_rows / max(n, 1)) * (1 << 30))
 
     def count(batches):
         counts = np.zeros((len(languages), BUCKETS), np.int64)
@@ -59,7 +61,7 @@ def train(docs: DataFrame, text: Column, declared: Column, languages: tuple[str,
         at = np.nonzero(counts)
         yield pd.DataFrame({"language": at[0], "bucket": at[1], "n": counts[at]})
 
-    counted = labelled.where(share).mapInPandas(count, "language int, bucket int, n long")
+    counted = labelled.where(share).select("text", "declared").mapInPandas(count, "language int, bucket int, n long")
     rows = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.full((BUCKETS, len(languages)), 0.5)
     counts[rows["bucket"], rows["language"]] += rows["n"]
