@@ -8,7 +8,7 @@ At last each view is calibrated on held-out labelled rows (Platt), a third regre
 views there, and the combination scores every document.
 
 Labelled rows and pool are bounded samples chosen by hash (``labelled_rows``, ``pool_rows``); only their numbers
-reach the driver. All documents are scored, in one map without a shuffle.
+reach the driver. Of rows that repeat an id the least by label and numbers is learnt from. All documents are scored, in one map without a shuffle.
 
 A null or empty text has all measures 0. Null categories are a category of their own. Labels other than 0 and 1
 are left out, as are documents with contradicting labels. Without labels of both classes nothing can be learnt:
@@ -142,6 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, column
                        metadata(columns, size).alias("_meta"), in_pool.alias("_pool"))
     rows = rows.join(F.broadcast(marked), "_id", "left").where("_label is not null or _pool").select(
         "_id", measured(F.col("_text")).alias("_content"), "_meta", F.coalesce("_label", F.lit(-1)).alias("_label"))
+    rows = rows.groupBy("_id").agg(F.min(F.struct("_label", "_content", "_meta")).alias("_row")).select("_id", "_row.*")
     sample = rows.limit(2 * (labelled_rows + pool_rows)).toPandas()
     if sample.empty:
         return None
