@@ -236,7 +236,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     known = docs.where(F.col(id_col).isNotNull())
     groups = simhash_groups(known, id_col, text_col, shingle, max_bits)
     chosen = groups.where("id = component").groupBy(F.col("id").alias("_kept")).count()
-    stay = known.join(chosen.where("count = 1"), known[id_col] == F.col("_kept"), "left_semi")
-    several = known.join(chosen.where("count > 1"), known[id_col] == F.col("_kept"), "left_semi")
+    one, more = chosen.where("count = 1"), chosen.where("count > 1")
+    stay = known.join(one, known[id_col] == one["_kept"], "left_semi")
+    several = known.join(more, known[id_col] == more["_kept"], "left_semi")
     least = several.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
     return stay.unionByName(least).unionByName(docs.where(F.col(id_col).isNull()))

@@ -13,7 +13,7 @@ from comparing import TYPE_NAMES, canonical, oracle_rows
 from conftest import SF_DIR
 
 import corpus_pipeline
-from tallystream.llm import byte_bpe, packing
+from tallystream.llm import byte_bpe, packing, quality
 from tallystream.llm.queries import ORACLES, QUERIES, VOCABULARY
 
 
@@ -100,7 +100,18 @@ def test_url_query(spark):
         assert row["verdict"] == (rules[rule] if rule else "block" if row["distrust"] > row["trust"] else "allow")
 
 
-def test_quality_query_on_held_out_labels(spark):
+def test_quality_on_held_out_labels(spark):
+    at = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{at}/{name}.parquet") for name in ("documents", "labels"))
+    judged = quality.judge(docs, labels.where("doc_id % 2 = 0"))
+    got = {r["doc_id"]: r["quality_kept"] for r in judged.select("doc_id", "quality_kept").collect()}
+    held = [(r["doc_id"], r["quality"]) for r in labels.where("doc_id % 2 = 1").collect() if r["doc_id"] in got]
+    assert len(held) > 100 and len({q for _, q in held}) == 2
+    assert np.mean([got[i] == bool(q) for i, q in held]) > 0.97
+    assert np.mean([got[i] for i, q in held if q]) > 0.98
+
+
+def test_quality_query(spark):
     got = {r["doc_id"]: r["kept"] for r in QUERIES["op3_quality_classifier"](spark, SF_DIR).collect()}
     labels = [(r["doc_id"], r["quality"]) for r in rows_of(spark, "labels") if r["doc_id"] in got]
     assert len(got) == len(rows_of(spark, "documents"))

@@ -37,6 +37,8 @@ def test_one_row_of_each_group_stays(spark):
     stay = simhash.keep_one(docs(spark))
     assert stay.columns == docs(spark).columns
     assert sorted(r["doc_id"] or 0 for r in stay.collect()) == [0, 1, 3, 6, 7, 9, 10]
+    named = docs(spark).withColumnsRenamed({"id": "_kept", "fp": "count", "node": "_row"})
+    assert sorted(r["doc_id"] or 0 for r in simhash.keep_one(named).collect()) == [0, 1, 3, 6, 7, 9, 10]
 
 
 @pytest.mark.parametrize("max_bits", [0, 3, 4])
@@ -179,6 +181,8 @@ def test_quality_of_odd_rows(spark):
         got.setdefault(r["doc_id"], r["quality_kept"])
     assert judged.count() == len(good + bad + TEXTS)
     assert all(got[i] for i, _ in good if i not in dict(TEXTS)) and not any(got[i] for i, _ in bad)
+    often = quality.judge(frame.unionAll(frame.where("doc_id = 0").withColumn("doc_id", F.explode(F.array_repeat("doc_id", 30_000)))), labels)
+    assert {r["quality_kept"] for r in often.where("doc_id between 100 and 139").collect()} == {False}
     nothing = quality.judge(frame, labels.limit(0))
     assert {(r["quality_score"], r["quality_kept"]) for r in nothing.collect()} == {(0.5, True)}
     assert quality.judge(frame.limit(0), labels).count() == 0
@@ -206,6 +210,13 @@ def test_packing_of_odd_rows(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
+def test_rows_of_a_repeated_id_and_length_are_packed_each(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 4)
+    for n in (1, 4, 5, 13):
+        packed = packing.pack(docs(spark, [(1, "a b c")] * n + [(None, "a")] * n), capacities=(4, 8), shard_rows=6).collect()
+        assert sorted((r["id"] or 0, r["n_tokens"]) for r in packed) == [(0, 1)] * n + [(1, 3)] * n
+
+
 def test_url_filter_against_plain_pagerank(spark):
     link = '<a href="{0}">x</a><img src="//{0}/i.png">'.format
     pages = [
