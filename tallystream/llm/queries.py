@@ -14,6 +14,8 @@ from tallystream.sources.tables import read_table
 
 #: The vocabulary that op5 encodes with.
 VOCABULARY = os.environ.get("BPE_VOCABULARY", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+#: Decimal places of the ranks that op4 shows; sums of doubles differ by their order behind them.
+PLACES = 12
 
 
 def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +37,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(read_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+    found = url_filter.filter_urls(read_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.round("trust", PLACES).alias("trust"),
+                        F.round("distrust", PLACES).alias("distrust"))
 
 
 def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +99,18 @@ QUERIES = {
     "op10_best_fit_packing": packed_documents,
 }
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+#: A round of both ranks along the edges, as url_filter.propagate has it.
+_ROUNDS = "".join(f"""
+g{k} AS MATERIALIZED (SELECT h, sum(t) AS t, sum(d) AS d FROM (
+  SELECT e.dst AS h, r.trust * e.forward AS t, 0.0::DOUBLE AS d FROM edges e JOIN r{k - 1} r ON e.src = r.host
+  UNION ALL SELECT e.src, 0.0::DOUBLE, r.distrust * e.backward FROM edges e JOIN r{k - 1} r ON e.dst = r.host) GROUP BY h),
+r{k} AS MATERIALIZED (SELECT b.host,
+    b.good * (1 - 0.85::DOUBLE * coalesce((SELECT sum(t) FROM g{k}), 0)) + 0.85::DOUBLE * coalesce(g.t, 0) AS trust,
+    b.bad * (1 - 0.85::DOUBLE * coalesce((SELECT sum(d) FROM g{k}), 0)) + 0.85::DOUBLE * coalesce(g.d, 0) AS distrust
+  FROM base b LEFT JOIN g{k} g ON b.host = g.h),""" for k in range(1, 9))
+
 _TEMPLATES = ", ".join(f"('{label}', '{text}')" for label, text in license_scan.TEMPLATES)
 
 ORACLES = {
@@ -108,8 +124,47 @@ links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
 reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 least AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
 degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
-SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, m AS component_id, vec_id = m AS kept
+SELECT vec_id, coalesce(degree.n, 0)::BIGINT AS n_links, least.m AS component_id, vec_id = least.m AS kept
 FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN degree ON vec_id = degree.a
+""",
+    "op4_url_filter": f"""
+WITH urls AS MATERIALIZED (
+  SELECT page_id, coalesce(html, '') AS html, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {_LOWER}) AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS MATERIALIZED (SELECT page_id, html, host, path, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule FROM urls),
+owned AS (
+  SELECT host, regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) AS owner FROM (SELECT DISTINCT host FROM urls)),
+links AS (
+  SELECT host AS src, translate(unnest(list_distinct(regexp_extract_all(
+    html, '(?i)(?:href|src)\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''<>\\s]+)', 1))), {_LOWER}) AS dst FROM urls),
+weights AS MATERIALIZED (SELECT src, dst, count(*) AS w FROM (
+    SELECT src, dst FROM links WHERE src <> '' AND dst <> '' AND src <> dst
+    UNION ALL SELECT host, owner FROM owned WHERE owner <> '' UNION ALL SELECT owner, host FROM owned WHERE owner <> '')
+  GROUP BY src, dst),
+edges AS MATERIALIZED (
+  SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS forward, w / sum(w) OVER (PARTITION BY dst) AS backward FROM weights),
+seeds AS MATERIALIZED (
+  SELECT host, avg(CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 1.0::DOUBLE ELSE 0 END) AS good,
+    avg(CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 1.0::DOUBLE ELSE 0 END) AS bad
+  FROM ruled WHERE host <> '' GROUP BY host),
+base AS MATERIALIZED (
+  SELECT host, coalesce(good / coalesce(nullif((SELECT sum(good) FROM seeds), 0), 1), 0) AS good,
+    coalesce(bad / coalesce(nullif((SELECT sum(bad) FROM seeds), 0), 1), 0) AS bad
+  FROM (SELECT src AS host FROM edges UNION SELECT dst FROM edges UNION SELECT host FROM seeds) LEFT JOIN seeds USING (host)),
+r0 AS MATERIALIZED (SELECT host, good AS trust, bad AS distrust FROM base),{_ROUNDS}
+judged AS (
+  SELECT page_id, p.host, path, rule, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+  FROM ruled p LEFT JOIN r8 ON p.host = r8.host)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL OR distrust > (1 + 1e-9::DOUBLE) * trust THEN 'block' ELSE 'allow' END AS verdict,
+  round(trust, {PLACES}) AS trust, round(distrust, {PLACES}) AS distrust
+FROM judged
 """,
     "op6_license_scan": f"""
 WITH texts AS (
