@@ -5,8 +5,9 @@ vectors into cells: a vector's home is the cell of its nearest pivot. By the tri
 have a partner at home in cell i only if its angle to pivot i is at most that cell's radius plus r, and at most
 its angle to its own pivot plus 2 r; it is copied to the cells where both hold. Each cell is then joined by
 itself, in blocks: its home vectors are split into parts of ``home_rows`` and the vectors copied to it into
-parts of ``member_rows``, and every task compares one part of each. A vector finds all its partners in its home
-cell, so counts are complete there. Tasks return a count per vector and a spanning set of links, never pairs.
+parts of ``member_rows``, and every task compares one part of each. Two vectors of different cells are compared in
+the lower of the two only and counted for both, so copies go to lower cells alone. Tasks return counts per vector
+and a spanning set of links, never pairs.
 
 Equal vectors are put together first and compared once. The number of pivots grows with the rows up to
 ``most_pivots``; beyond it cells hold more rows and are split into more parts, with the same result.
@@ -67,6 +68,7 @@ def _cells(pivots: np.ndarray, radius: np.ndarray, reach: float):
                 angles = _angles(unit_rows(batch.column("v"), pivots.shape[1]), pivots)
                 own = batch.column("angle").to_numpy()[:, None]
                 inside = (angles <= radius + reach + SLACK) & (angles <= own + 2 * reach + SLACK)
+                inside &= np.arange(len(pivots)) <= batch.column("home").to_numpy()[:, None]
                 cells = pa.ListArray.from_arrays(
                     np.r_[0, np.cumsum(inside.sum(axis=1))].astype(np.int32), np.nonzero(inside)[1].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -78,7 +80,7 @@ def _cells(pivots: np.ndarray, radius: np.ndarray, reach: float):
 def _compare(width: int, cosine: float, at_once: int):
     """One part of a cell's home vectors against one part of its members."""
     def of(table: pa.Table) -> pa.Table:
-        at_home = table.column("at_home").to_numpy()
+        at_home, foreign = table.column("at_home").to_numpy(), table.column("foreign").to_numpy()
         id_, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
         rows = unit_rows(table.column("v").combine_chunks(), width)
         own, other = np.flatnonzero(at_home), np.flatnonzero(~at_home)
@@ -87,8 +89,10 @@ def _compare(width: int, cosine: float, at_once: int):
             mine = own[k:k + at_once]
             a, b = np.nonzero(rows[mine] @ rows[other].T >= cosine)
             linked[mine] += np.bincount(a, weights=copies[other[b]], minlength=len(mine)).astype(np.int64)
+            # A copy from the cell itself is counted where it is at home.
+            linked[other] += np.bincount(b, weights=copies[mine[a]], minlength=len(other)).astype(np.int64) * foreign[other]
             labels = merge_labels(labels, mine[a], other[b])
-        told = np.flatnonzero(at_home | (labels != np.arange(len(labels))))
+        told = np.flatnonzero(at_home | (linked > 0) | (labels != np.arange(len(labels))))
         return pa.table({"a": id_[told], "b": id_[labels[told]], "linked": linked[told]})
     return of
 
@@ -116,10 +120,10 @@ def _join_of_width(copies: DataFrame, width: int, n: int, cosine: float, home_ro
         return F.pmod(F.xxhash64("id"), F.get(parts, cell)).cast("int")
 
     at_home = cells.select(
-        "id", "copies", "v", F.lit(True).alias("at_home"), F.col("home").alias("cell"), part(home_parts, F.col("home")).alias("i"),
+        "id", "copies", "v", F.lit(True).alias("at_home"), F.lit(False).alias("foreign"), F.col("home").alias("cell"), part(home_parts, F.col("home")).alias("i"),
         F.explode(F.sequence(F.lit(0), F.get(member_parts, F.col("home")).cast("int") - 1)).alias("j"))
-    members = cells.select("id", "copies", "v", F.explode("cells").alias("cell")).select(
-        "id", "copies", "v", F.lit(False).alias("at_home"), "cell",
+    members = cells.select("id", "copies", "v", "home", F.explode("cells").alias("cell")).select(
+        "id", "copies", "v", F.lit(False).alias("at_home"), (F.col("home") != F.col("cell")).alias("foreign"), "cell",
         F.explode(F.sequence(F.lit(0), F.get(home_parts, F.col("cell")).cast("int") - 1)).alias("i"),
         part(member_parts, F.col("cell")).alias("j"))
     return at_home.unionAll(members).groupBy("cell", "i", "j").applyInArrow(
