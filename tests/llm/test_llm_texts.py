@@ -1,9 +1,14 @@
 """Operators on texts with odd rows: nulls, empty and long texts, repeated rows, clashing columns, empty tables."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tallystream.llm import byte_bpe, language_id, license_scan, packing, quality, simhash, url_filter
@@ -271,3 +276,12 @@ def test_propagation_is_personalised_pagerank(spark):
     distrust = plain_rank({(b, a): w for (a, b), w in edges.items()}, {"d": 0.5, "e": 0.5}, 10)
     for host in "abcde":
         assert got[host] == pytest.approx((trust.get(host, 0), distrust.get(host, 0)))
+
+
+def test_functions_travel_with_the_job(tmp_path):
+    """A task on a machine without the package can call what it is sent."""
+    call = "import pickle, sys; print(pickle.load(sys.stdin.buffer)(b'aab', {b'a': 0, b'b': 1, b'ab': 2}))"
+    environment = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", call], input=cloudpickle.dumps(byte_bpe.fold), cwd=tmp_path,
+                          env=environment, capture_output=True, check=True)
+    assert done.stdout.split() == [b"[0,", b"2]"]
