@@ -1,13 +1,16 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text. A template matches a block if the share of its distinct words that the block holds
-is at least ``containment``. Template words are ordered by the number of blocks that hold them, rarest first,
+A block is a line of a text, or a window of consecutive words that goes on across line ends, so that a sentence
+wrapped over lines is found. A window is as long as the template divided by ``containment``, in words. A template
+matches a block if the share of its distinct words that the block holds is at least ``containment``. Template words are ordered by the number of blocks that hold them, rarest first,
 counted over all documents. A matching block must hold one of a template's first |T| - ceil(c |T|) + 1 words
 (prefix filter), have at least ceil(c |T|) distinct words (length filter), and the first word found must leave
 enough words behind it in the template and in the block (positional filter). What passes is counted exactly.
+Windows go through the filters in stretches of twice the longest window, each starting in the middle of the one
+before, so that every window lies in a stretch; in those that pass, each window is counted.
 
 Texts are read and reduced once, within each row, to their phrase places and to the template words of each
-line; only those are written, counted and joined. The templates' words are the one broadcast table; its size
+line and stretch; only those are written, counted and joined. The templates' words are the one broadcast table; its size
 is that of the template list.
 
 A null text counts as empty. A null id is kept. Rows that repeat id and text get the same result each; rows of
@@ -53,8 +56,23 @@ def _places(words: Column, joined: Column, phrase: str) -> Column:
     return F.when(F.contains(joined, F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<int>"))
 
 
-def reduced(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], vocabulary: list[str]) -> DataFrame:
-    """One row per text: phrase places, and for each line with template words these and its number of distinct words."""
+def needed(words: int, containment: float) -> int:
+    """How many of a template's distinct words a block must hold."""
+    return max(1, math.ceil(containment * words - 1e-9))
+
+
+def window(text: str, containment: float) -> int:
+    """How many consecutive words a template is looked for in, across line ends."""
+    return math.ceil(len(text.split(" ")) / containment - 1e-9)
+
+
+def reduced(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], vocabulary: list[str], reach: int,
+            least: int) -> DataFrame:
+    """One row per text: phrase places, and blocks of template words with their number of distinct words.
+
+    Blocks are the lines with template words and, where a text has several lines, the stretches of 2 ``reach``
+    words with ``least`` template words or more; these also have the words' positions.
+    """
     lowered = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("mark"),
@@ -64,42 +82,61 @@ def reduced(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str]
     rows = rows.select("id", "mark", "lines", "joined", words.alias("words"))
     padded = F.concat(F.lit(" "), F.col("joined"), F.lit(" "))
     rows = rows.select(
-        "id", "mark", "lines", F.size("words").cast("long").alias("n_words"),
+        "id", "mark", "lines", "words", F.size("words").cast("long").alias("n_words"),
         F.array(*[F.struct(F.lit(label).alias("label"), _places(F.col("words"), padded, phrase).alias("at"))
                   for phrase, label in phrases.items()]).alias("found"))
     known = F.lit(vocabulary)
+    place = "array<struct<at:int,word:string>>"
     blocks = F.transform(F.split("lines", "\n"), lambda line: F.struct(
         F.array_intersect(F.split(line, " "), known).alias("held"), line.alias("line")))
     blocks = F.transform(
         F.filter(blocks, lambda b: F.size(b["held"]) > 0),
-        lambda b: F.struct(b["held"].alias("held"), F.size(F.array_remove(F.array_distinct(F.split(b["line"], " ")), "")).alias("n")))
-    return rows.select("id", "mark", "n_words", "found", blocks.alias("blocks"))
+        lambda b: F.struct(b["held"].alias("held"), F.size(F.array_remove(F.array_distinct(F.split(b["line"], " ")), "")).alias("n"),
+                           F.lit(None).cast(place).alias("places")))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 1 - reach), F.lit(reach))
+    stretches = F.transform(starts, lambda k: F.slice("words", k + 1, 2 * reach))
+    stretches = F.transform(stretches, lambda s: F.struct(F.array_intersect(s, known).alias("held"), s.alias("s")))
+    stretches = F.transform(F.filter(stretches, lambda b: F.size(b["held"]) >= least), lambda b: F.struct(
+        b["held"].alias("held"), F.size(F.array_distinct(b["s"])).alias("n"),
+        F.filter(F.transform(b["s"], lambda w, k: F.struct(k.alias("at"), w.alias("word"))),
+                 lambda e: F.array_contains(known, e["word"])).alias("places")))
+    several = F.contains("lines", F.lit("\n"))
+    return rows.select("id", "mark", "n_words", "found",
+                       F.when(several, F.concat(blocks, stretches)).otherwise(blocks).alias("blocks"))
 
 
 def _matches(texts: DataFrame, templates: tuple[tuple[str, str], ...], containment: float) -> DataFrame:
     """(id, mark, label, share) of each block and template that match."""
     spark = texts.sparkSession
-    blocks = texts.select("id", "mark", F.posexplode("blocks").alias("block", "b")).select("id", "mark", "block", "b.held", "b.n")
+    blocks = texts.select("id", "mark", F.posexplode("blocks").alias("block", "b")).select(
+        "id", "mark", "block", "b.held", "b.n", "b.places")
     counts = {r["word"]: r["count"] for r in blocks.select(F.explode("held").alias("word")).groupBy("word").count().collect()}
     order = sorted({word for _, text in templates for word in text.split(" ")}, key=lambda w: (counts.get(w, 0), w))
     rank = {word: k for k, word in enumerate(order)}
     heads = []
     for k, (label, text) in enumerate(templates):
         words = sorted(set(text.split(" ")), key=rank.get)
-        need = max(1, math.ceil(containment * len(words) - 1e-9))
-        heads += [(word, place, k, label, words, need) for place, word in enumerate(words[:len(words) - need + 1])]
+        need, wide = needed(len(words), containment), window(text, containment)
+        heads += [(word, place, k, label, words, need, wide) for place, word in enumerate(words[:len(words) - need + 1])]
     prefix = spark.createDataFrame(
-        heads, "word string, place int, template int, label string, words array<string>, need int")
+        heads, "word string, place int, template int, label string, words array<string>, need int, wide int")
     ranks = F.create_map(*[F.lit(x) for word in order for x in (word, rank[word])])
     ranked = blocks.withColumn("held", F.transform(
         F.array_sort(F.transform("held", lambda w: F.struct(F.get(F.array(ranks), F.lit(0))[w].alias("r"), w.alias("w")))),
         lambda s: s["w"]))
-    met = ranked.select("id", "mark", "block", "held", "n", F.posexplode("held").alias("after", "word")).join(
+    met = ranked.select("id", "mark", "block", "held", "n", "places", F.posexplode("held").alias("after", "word")).join(
         F.broadcast(prefix), "word")
     fits = (F.col("n") >= F.col("need")) & (F.size("words") - F.col("place") >= F.col("need")) & (
         F.size("held") - F.col("after") >= F.col("need"))
     shared = F.size(F.array_intersect("held", "words"))
-    return met.where(fits).withColumn("shared", shared).where(F.col("shared") >= F.col("need")).select(
+    met = met.where(fits).withColumn("shared", shared).where(F.col("shared") >= F.col("need"))
+
+    def within(start: Column) -> Column:
+        near = F.filter("places", lambda e: (e["at"] >= start["at"]) & (e["at"] < start["at"] + F.col("wide")))
+        return F.size(F.array_intersect(F.transform(near, lambda e: e["word"]), F.col("words")))
+
+    widest = F.when(F.col("places").isNull(), F.col("shared")).otherwise(F.array_max(F.transform("places", within)))
+    return met.withColumn("shared", widest).where(F.col("shared") >= F.col("need")).select(
         "id", "mark", "label", (F.col("shared") / F.size("words")).alias("share"))
 
 
@@ -113,7 +150,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     if not 0 < containment <= 1:
         raise ValueError("containment must be above 0 and at most 1")
     vocabulary = sorted({word for _, text in templates for word in text.split(" ")})
-    texts = settle(reduced(docs, id_col, text_col, phrases, vocabulary), "texts")
+    reach = max((window(text, containment) for _, text in templates), default=1)
+    least = min((needed(len(set(text.split(" "))), containment) for _, text in templates), default=1)
+    texts = settle(reduced(docs, id_col, text_col, phrases, vocabulary, reach, least), "texts")
     best = _matches(texts, templates, containment).groupBy("id", "mark").agg(
         F.collect_set("label").alias("labels"), F.max("share").alias("score"))
     own = F.transform(F.filter("found", lambda f: F.size(f["at"]) > 0), lambda f: f["label"])

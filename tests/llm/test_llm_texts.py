@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -147,6 +148,22 @@ def test_license_scan(spark):
     assert license_scan.scan(docs(spark, [])).count() == 0
 
 
+def test_license_sentences_wrapped_over_lines(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+           "documentation files (the \"Software\"), to deal in the Software without restriction, including the rights to use")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+           "the following conditions are met")
+    before = "Words that stand before the sentence, some of them long enough to move it. " * 3
+    wrapped = lambda text, mark="": "\n".join(textwrap.wrap(text, 72, initial_indent=mark, subsequent_indent=mark))
+    short = wrapped(mit).replace("granted", "given").replace("documentation", "paper")
+    apart = "\n".join(word + " x" * 9 for word in bsd.split())
+    rows = [(1, wrapped(mit)), (2, wrapped(bsd)), (3, before + wrapped(mit)), (4, wrapped(before + bsd, "# ")), (5, short), (6, apart),
+            (7, "\r\n".join(mit.split())), (8, wrapped(bsd) + "\n\n" + wrapped(mit)), (9, "under the\nlicense of others")]
+    got = {r["id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs(spark, rows)).collect()}
+    assert got[1] == got[3] == got[7] == (["mit"], 1.0) and got[2] == got[4] == (["bsd"], 1.0)
+    assert got[5] == (["mit"], 17 / 19) and got[6] == got[9] == ([], 0.0) and got[8] == (["bsd", "mit"], 1.0)
+
+
 def test_language_of_odd_rows(spark):
     many = [(k, t, 0, 0, 0, lang, f"www.{lang}.org", 5) for lang, t in (("en", "the cat and the dog of the house"), (
         "fr", "le chat et le chien de la maison")) for k in range(100, 130)]
