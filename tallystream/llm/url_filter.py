@@ -4,11 +4,13 @@ Edges are hyperlinks between hosts (absolute or protocol-relative ``href`` and `
 of pages that hold them, and both ways between a host and the next shorter domain, which belong to one owner.
 Personalised PageRank carries trust from the hosts whose pages a rule allows along the edges; distrust goes from
 the hosts whose pages a rule blocks against them. Rank that reaches a host without edges returns to the seeds.
+Rounds go on until the last ``STEP`` of them raised the total of either rank by a share of ``tolerance`` at most
+and reached no further host; what is missing then is less than that. An error is raised after ``most_rounds``.
 A page without a rule is blocked if its host's distrust exceeds ``ratio`` times its trust by more than rounding
 can, so that the order of a sum decides nothing; a host that neither reaches is allowed.
 
 Edges and ranks stay in tables keyed by host and are summed within tasks before a shuffle; only totals reach the
-driver. Each iteration writes its ranks to the shared folder.
+driver. Every few rounds the ranks are written to the shared folder.
 
 A null url, or one without ``://``, has empty host and path and takes part in no edge; a null html has no links.
 Null ids and repeated rows come out as they came in; a rule has no null part. Empty tables give no rows. Other
@@ -26,6 +28,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
          ("net/fr/", "block"))
 ROUNDING = 1e-9
+#: Rounds between two tests of convergence, and the change between these at which the ranks have converged.
+STEP, TOLERANCE = 8, 1e-8
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'<>\s]+)"""
 
 
@@ -65,30 +69,58 @@ def host_edges(pages: DataFrame) -> DataFrame:
         "src", "dst", (F.col("w") / F.col("out")).alias("forward"), (F.col("w") / F.col("into")).alias("backward")), "edges")
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """(host, trust, distrust) after personalised PageRank from seeds (host, good, bad)."""
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int | None = None,
+              tolerance: float = TOLERANCE, most_rounds: int = 10_000) -> DataFrame:
+    """(host, trust, distrust) of personalised PageRank from seeds (host, good, bad).
+
+    The ranks have converged, unless ``rounds`` asks for that many rounds from the seeds.
+    """
+    if not 0 <= damping < 1:
+        raise ValueError("damping must be at least 0 and below 1")
     nodes = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct().join(seeds, "host", "full_outer")
     sums = seeds.agg(F.sum("good"), F.sum("bad")).first()
     good, bad = ((F.coalesce(name, F.lit(0.0)) / (total or 1.0)) for name, total in zip(("good", "bad"), sums))
-    base = settle(nodes.select("host", good.alias("good"), bad.alias("bad")), "seeds")
-    ranks = base.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    for _ in range(rounds):
-        none = F.lit(0.0)
-        along = edges.join(ranks, F.col("src") == F.col("host")).select(
-            F.col("dst").alias("to"), (F.col("trust") * F.col("forward")).alias("t"), none.alias("d"))
-        against = edges.join(ranks, F.col("dst") == F.col("host")).select(
-            F.col("src").alias("to"), none.alias("t"), (F.col("distrust") * F.col("backward")).alias("d"))
-        got = settle(along.unionAll(against).groupBy("to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")), "got")
-        moved = got.agg(F.sum("t"), F.sum("d")).first()
-        rest = [1.0 - damping * (x or 0.0) for x in moved]
-        ranks = base.join(got, base["host"] == got["to"], "left").select(
-            "host", (F.col("good") * rest[0] + damping * F.coalesce("t", none)).alias("trust"),
-            (F.col("bad") * rest[1] + damping * F.coalesce("d", none)).alias("distrust"))
-    return ranks
+    base = settle(nodes.select("host", good.alias("trust"), bad.alias("distrust")), "seeds")
+    none = F.lit(0.0)
+    moves = settle(edges.select(F.col("src").alias("at"), F.col("dst").alias("to"), "forward", none.alias("backward")).unionAll(
+        edges.select("dst", "src", none, "backward")), "moves")
+
+    def moved(ranks: DataFrame) -> DataFrame:
+        return ranks.join(moves, F.col("host") == F.col("at")).select(
+            F.col("to").alias("host"), (damping * F.col("trust") * F.col("forward")).alias("trust"),
+            (damping * F.col("distrust") * F.col("backward")).alias("distrust"))
+
+    def added(ranks: DataFrame) -> DataFrame:
+        return ranks.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+
+    def totals(ranks: DataFrame) -> list[float]:
+        return [x or 0 for x in ranks.agg(
+            F.sum("trust"), F.sum("distrust"), F.count_if(F.col("trust") > 0), F.count_if(F.col("distrust") > 0)).first()]
+
+    ranks = base
+    if rounds is not None:
+        for _ in range(rounds):
+            got = settle(added(moved(ranks)), "got")
+            rest = [1.0 - x for x in totals(got)[:2]]
+            ranks = added(got.unionAll(base.select(
+                "host", (F.col("trust") * rest[0]).alias("trust"), (F.col("distrust") * rest[1]).alias("distrust"))))
+        return ranks
+    # What returns to the seeds only scales the converged ranks, so they are summed up without it and scaled to 1 at last.
+    before = totals(ranks)
+    for _ in range(0, most_rounds, STEP):
+        for _ in range(STEP):
+            ranks = added(moved(ranks).unionAll(base))
+        ranks = settle(ranks, "ranks")
+        now = totals(ranks)
+        if now[2:] == before[2:] and all(x - y <= tolerance * x for x, y in zip(now[:2], before[:2])):
+            trust, distrust = (F.col(name) / (total or 1.0) for name, total in zip(("trust", "distrust"), now))
+            return ranks.select("host", trust.alias("trust"), distrust.alias("distrust"))
+        before = now
+    raise RuntimeError(f"ranks have not converged in {most_rounds} rounds")
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                rules: tuple[tuple[str, str], ...] = RULES, damping: float = 0.85, rounds: int = 8,
+                rules: tuple[tuple[str, str], ...] = RULES, damping: float = 0.85, rounds: int | None = None,
                 ratio: float = 1.0) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, trust and distrust of the host."""
     url = F.col(url_col).cast("string")

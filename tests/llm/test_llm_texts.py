@@ -295,6 +295,26 @@ def test_propagation_is_personalised_pagerank(spark):
         assert got[host] == pytest.approx((trust.get(host, 0), distrust.get(host, 0)))
 
 
+def test_ranks_converge_along_chains(spark):
+    chain = [f"h{k}.org" for k in range(26)]
+    edges = {(a, b): 1 for a, b in zip(chain, chain[1:])} | {("h3.org", "h1.org"): 2, ("h25.org", "far.net"): 1, ("far.net", "far2.net"): 1}
+    frame = spark.createDataFrame(
+        [(k, f"http://{a}/", f'<a href="//{b}">' * (w > 0)) for k, ((a, b), w) in enumerate(edges.items()) for _ in range(w)]
+        + [(100, "http://far.net/es/", None), (101, "http://seed.com/", '<a href="//h5.org">'), (102, "http://far.net/es/", None)],
+        "page_id long, url string, html string")
+    edges[("seed.com", "h5.org")] = 1
+    got = {r["id"]: r for r in url_filter.filter_urls(frame).collect()}
+    by = {r["host"]: (r["trust"], r["distrust"]) for r in got.values()}
+    trust = plain_rank(edges, {"seed.com": 1.0}, 400)
+    into = {(b, a): w for (a, b), w in edges.items()}
+    distrust = plain_rank(into, {"far.net": 1.0}, 400)
+    assert sum(abs(by[h][0] - trust.get(h, 0)) + abs(by[h][1] - distrust.get(h, 0)) for h in by) < 1e-7
+    assert by["h0.org"][1] > 0 and got[0]["verdict"] == "block" and by["h25.org"][0] > 0
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(spark.createDataFrame([("a", "b", 1.0, 1.0), ("b", "a", 1.0, 1.0)], "src string, dst string, forward double, backward double"),
+                             spark.createDataFrame([("a", 1.0, 1.0)], "host string, good double, bad double"), 0.85, most_rounds=16)
+
+
 def test_functions_travel_with_the_job(tmp_path):
     """A task on a machine without the package can call what it is sent."""
     call = "import pickle, sys; print(pickle.load(sys.stdin.buffer)(b'aab', {b'a': 0, b'b': 1, b'ab': 2}))"
