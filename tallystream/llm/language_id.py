@@ -1,13 +1,17 @@
 """Language ID by Bayesian fusion of evidence.
 
 Four kinds of evidence are multiplied: the likelihood of the text's byte trigrams, the declared markup language,
-the address suffix, and the host's prior. The trigram model is trained on about ``sample_rows`` rows, chosen by the
-hash of the whole row so that copies of a text are not chosen together, with their declared language as a noisy label. Declared languages and suffixes are counted over all rows
+the address suffix, and the host's prior. The trigram model is trained on about ``sample_rows`` rows, as
+many of each language as far as there are, chosen by the hash of the whole row so that copies of a text are not chosen
+together, with their declared language as a noisy label. The languages are those that ``least_rows`` rows or more
+declare, counted over all rows; of a tag like en-US the first part counts. A trigram that a language has not shown is
+as likely in each. Beside them stands the class ``other``, to which all trigrams are equally likely: it is the
+best for texts that fit none of the languages. Declared languages and suffixes are counted over all rows
 against what the texts say, which gives P(declared | language); host priors are counted likewise and smoothed
 towards the host's parent domain, and that towards all rows. Counts are added up within tasks, so a hot host
 is one row per task after it; the tables are joined back by key, and adaptive execution broadcasts small ones.
 
-Rows without any letter have language ``und``. A row is rejected if it is ``und`` or if the best language's
+Rows without any letter have language ``und``. A row is rejected if it is ``und`` or ``other`` or if the best language's
 posterior is below ``least``. Null or empty texts have no letters. Null declared languages, suffixes and hosts
 are no evidence. Null ids and repeated rows come out as they came in. Empty tables give no rows. All other
 columns stay; ``judge`` adds its columns under the given prefix, in place of any that have these names already.
@@ -22,7 +26,11 @@ from pyspark.sql import functions as F
 
 from tallystream.llm.common import settle
 
+#: Taken where no row declares a language.
 LANGUAGES = ("de", "en", "es", "fr")
+OTHER, NO_LANGUAGE = "other", ("mis", "mul", "und", "xx", "zxx")
+#: The least share of a language's trigrams that are taken to be ones it has not shown.
+UNSEEN = 0.01
 BUCKETS, BYTES_AT_ONCE = 1 << 15, 1 << 20
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _SPACES = bytes(range(65)) + bytes(range(91, 97)) + bytes(range(123, 128))
@@ -42,15 +50,27 @@ def letters(text: bytes) -> int:
     return len(text.translate(None, _SPACES))
 
 
-def train(docs: DataFrame, text: Column, declared: Column, languages: tuple[str, ...] = LANGUAGES,
-          sample_rows: int = 20_000) -> np.ndarray:
-    """Log-likelihoods (bucket, language) of trigrams, from rows that declare one of the languages."""
+def tag_of(declared: Column) -> Column:
+    """The language of a declared value, null if it names none."""
+    tag = F.nullif(F.regexp_extract(declared.cast("string"), r"^\s*([a-z]{2,3})(?:[-_].*)?\s*$", 1), F.lit(""))
+    return F.when(~tag.isin(*NO_LANGUAGE), tag)
+
+
+def declared_rows(docs: DataFrame, declared: Column, least_rows: int) -> dict[str, int]:
+    """The languages that enough rows declare, in order, with their numbers of rows."""
+    counted = docs.select(tag_of(declared).alias("tag")).where("tag is not null").groupBy("tag").count()
+    return {r["tag"]: r["count"] for r in sorted(counted.where(F.col("count") >= least_rows).collect())}
+
+
+def train(docs: DataFrame, text: Column, declared: Column, declaring: dict[str, int], sample_rows: int = 20_000) -> np.ndarray:
+    """Log-likelihoods (bucket, language) of trigrams from rows that declare a language; the last column is ``other``."""
+    languages = tuple(declaring)
     whole = [docs[f"`{name}`"] for name, kind in docs.dtypes if not any(k in kind for k in ("map<", "variant"))]
-    labelled = docs.select(
-        text.cast("string").alias("text"), declared.cast("string").alias("declared"), F.xxhash64(*whole).alias("mark")).where(
+    labelled = docs.select(text.cast("string").alias("text"), tag_of(declared).alias("declared"), F.xxhash64(*whole).alias("mark")).where(
         F.col("declared").isin(*languages) & F.col("text").isNotNull())
-    n = docs.select(declared.cast("string").alias("declared")).where(F.col("declared").isin(*languages)).count()
-    share = F.pmod(F.col("mark"), F.lit(1 << 30)) < int(min(1.0, sample_rows / max(n, 1)) * (1 << 30))
+    each = sample_rows / max(1, len(languages))
+    most = F.create_map(*[F.lit(x) for name, n in declaring.items() for x in (name, int(min(1.0, each / max(n, 1)) * (1 << 30)))])
+    share = F.pmod(F.col("mark"), F.lit(1 << 30)) < most[F.col("declared")]
 
     def count(batches):
         counts = np.zeros((len(languages), BUCKETS), np.int64)
@@ -63,9 +83,12 @@ def train(docs: DataFrame, text: Column, declared: Column, languages: tuple[str,
 
     counted = labelled.where(share).select("text", "declared").mapInPandas(count, "language int, bucket int, n long")
     rows = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.full((BUCKETS, len(languages)), 0.5)
+    counts = np.zeros((BUCKETS, len(languages)))
     counts[rows["bucket"], rows["language"]] += rows["n"]
-    return np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    # The share of trigrams seen once tells how many are still to come (Good-Turing).
+    unseen = max(UNSEEN, (counts == 1).sum() / max(1.0, counts.sum()))
+    shown = (1 - unseen) * counts / np.maximum(1.0, counts.sum(axis=0)) + unseen / BUCKETS
+    return np.log(np.c_[shown, np.full(BUCKETS, 1 / BUCKETS)]).astype(np.float32)
 
 
 def text_evidence(model: np.ndarray, effective: int):
@@ -107,17 +130,22 @@ def parent_of(host: Column) -> Column:
 
 
 def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = None, suffix: Column | None = None,
-          host: Column | None = None, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5, effective: int = 60,
-          smoothing: float = 20.0, prefix: str = "lid_") -> DataFrame:
+          host: Column | None = None, languages: tuple[str, ...] | None = None, least: float = 0.5, effective: int = 60,
+          smoothing: float = 20.0, prefix: str = "lid_", least_rows: int = 10) -> DataFrame:
     """The rows with language, posterior, text_language and kept added, named with the prefix.
 
+    ``languages`` names the languages, where not all that the rows declare are wanted.
     The texts are read twice, for the counts and for the result, and never shuffled unless a table of hosts is
     too large to broadcast.
     """
     none = F.lit(None).cast("string")
     parts = {"declared": declared, "suffix": suffix, "host": host}
     parts = {k: F.nullif(F.lower(v.cast("string")), F.lit("")) if v is not None else none for k, v in parts.items()}
-    model = train(docs, F.col(text_col), parts["declared"], languages)
+    declaring = declared_rows(docs, parts["declared"], 1 if languages else least_rows)
+    if languages or not declaring:
+        declaring = {name: declaring.get(name, 0) for name in languages or LANGUAGES}
+    model = train(docs, F.col(text_col), parts["declared"], declaring)
+    languages = (*declaring, OTHER)
     evidence = text_evidence(model, effective)(F.col(text_col).cast("string"))
     # Written before it is filtered: a filter on the evidence would have it worked out twice.
     scored = settle(docs.select(evidence.alias("e"), *[v.alias(k) for k, v in parts.items()]), "evidence")
@@ -159,9 +187,10 @@ def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = Non
 
     known = F.get(f"{inner}e", F.lit(0)) > 0
     posterior = F.when(known, F.array_max(f"{inner}post")).otherwise(F.lit(0.0))
+    language = F.when(known, best(F.col(f"{inner}post"))).otherwise("und")
     return rows.select(
         *kept_columns,
-        F.when(known, best(F.col(f"{inner}post"))).otherwise("und").alias(f"{prefix}language"),
+        language.alias(f"{prefix}language"),
         posterior.alias(f"{prefix}posterior"),
         F.when(known, best(F.slice(f"{inner}e", 2, len(languages)))).otherwise("und").alias(f"{prefix}text_language"),
-        (posterior >= least).alias(f"{prefix}kept"))
+        ((posterior >= least) & (language != OTHER)).alias(f"{prefix}kept"))

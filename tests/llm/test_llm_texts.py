@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from conftest import SF_DIR
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -181,6 +182,30 @@ def test_language_of_odd_rows(spark):
     assert empty.count() == 0
 
 
+FOREIGN = ("我们昨天晚上在城里的一家小饭馆吃了晚饭。", "Вчера вечером мы ужинали в маленьком ресторане в центре города.",
+           "Wczoraj wieczorem jedliśmy kolację w małej restauracji w centrum miasta.",
+           "Söimme eilen illalla päivällistä pienessä ravintolassa kaupungin keskustassa.",
+           "تناولنا العشاء مساء أمس في مطعم صغير وسط المدينة.", "xq zvkw jpbd qqgx fwzk vbnm kjhq zxcv wpqr tgbd hjkl")
+
+
+def test_texts_that_fit_no_language_are_rejected(spark):
+    frame = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source")
+    more = [(-k, text * n, None, None) for k, (text, n) in enumerate([(t, n) for t in FOREIGN for n in (1, 30)], 1)]
+    judged = language_id.judge(frame.unionByName(spark.createDataFrame(more, frame.schema)), declared=F.col("lang"), host=F.col("source"))
+    got = {r["doc_id"]: r for r in judged.where("doc_id < 0").collect()}
+    assert len(got) == len(more)
+    assert {(r["lid_language"], r["lid_text_language"], r["lid_kept"]) for r in got.values()} == {("other", "other", False)}
+
+
+def test_languages_come_from_the_declared_values(spark):
+    texts = {"en": "the cat and the dog of the house", "pl": FOREIGN[2], "fi": FOREIGN[3]}
+    rows = [(100 * k + n, t, 0, 0, 0, {"pl": "PL-pl"}.get(lang, lang), None, 5)
+            for k, (lang, t) in enumerate(texts.items()) for n in range((60, 12, 30)[k])]
+    rows += [(900 + n, "the cat", 0, 0, 0, ("unknown", "und", "sv")[n], None, 5) for n in range(3)]
+    got = {r["doc_id"]: r for r in language_id.judge(spark.createDataFrame(rows, SCHEMA), declared=F.col("lang")).collect()}
+    assert [(got[k]["lid_language"], got[k]["lid_kept"]) for k in (0, 100, 200, 902)] == [("en", True), ("pl", True), ("fi", True), ("en", True)]
+
+
 def test_host_prior_decides_where_the_text_is_silent(spark):
     rows = [(k, "le chat et le chien de la maison", 0, 0, 0, "fr", "a.fr.org", 5) for k in range(40)]
     rows += [(100 + k, "the cat and the dog of the house", 0, 0, 0, "en", "b.org", 5) for k in range(40)]
