@@ -22,6 +22,7 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -212,9 +213,16 @@ def fingerprint_links(codes: DataFrame, max_bits: int, part_rows: int = 4096, le
     return placed.mapInArrow(_links_of_sorted(max_bits), "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                   max_bits: int = 4) -> DataFrame:
-    """(id, fp, component, code_rows) for each row: code_rows rows share its fingerprint."""
+def fingerprint_of(text: Column, shingle: int) -> Column:
+    """The fingerprint of a text, beside the row's other columns."""
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(x.encode() if x else b"", shingle) for x in texts], dtype="int64")
+    return of(text.cast("string"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, fp, root, component, code_rows) for each row; root names its group."""
     prints = settle(fingerprints(docs, id_col, text_col, shingle), "prints")
     codes = settle(prints.groupBy(F.col("fp").alias("code")).agg(
         F.min("id").alias("least"), F.count("*").alias("code_rows")), "codes")
@@ -222,22 +230,35 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = codes.join(roots.select(F.col("id").alias("code"), "root"), "code", "left").withColumn(
         "root", F.coalesce("root", "code"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component"))
-    named = placed.join(smallest, "root").select(F.col("code").alias("fp"), "component", "code_rows")
-    return prints.join(named, "fp").select("id", "fp", "component", "code_rows")
+    named = placed.join(smallest, "root").select(F.col("code").alias("fp"), "root", "component", "code_rows")
+    return prints.join(named, "fp").select("id", "fp", "root", "component", "code_rows")
+
+
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                   max_bits: int = 4) -> DataFrame:
+    """(id, fp, component, code_rows) for each row: code_rows rows share its fingerprint."""
+    return _grouped(docs, id_col, text_col, shingle, max_bits).select("id", "fp", "component", "code_rows")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
              max_bits: int = 4) -> DataFrame:
     """The documents with one row of each group: that of the smallest id; all its columns are kept.
 
-    Of rows that repeat an id, the least by all columns stays. Rows without an id all stay, as nothing tells
-    them apart; they take no part in the groups.
+    Of a group's rows that repeat this id, the least by all columns stays; rows of an id with texts of several
+    groups are judged in each. Rows without an id all stay, as nothing tells them apart; they take no part in the
+    groups.
     """
     known = docs.where(F.col(id_col).isNotNull())
-    groups = simhash_groups(known, id_col, text_col, shingle, max_bits)
-    chosen = groups.where("id = component").groupBy(F.col("id").alias("_kept")).count()
+    groups = _grouped(known, id_col, text_col, shingle, max_bits)
+    first = F.col("id") == F.col("component")
+    chosen = settle(groups.groupBy(F.col("id").alias("_kept")).agg(
+        F.count("*").alias("count"), F.max(first).alias("first")).where("first"), "chosen")
     one, more = chosen.where("count = 1"), chosen.where("count > 1")
     stay = known.join(one, known[id_col] == one["_kept"], "left_semi")
-    several = known.join(more, known[id_col] == more["_kept"], "left_semi")
-    least = several.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    # An id that repeats can have texts of several groups: its rows are found again by id and fingerprint.
+    several = known.join(more, known[id_col] == more["_kept"], "left_semi").select(
+        F.col(id_col).cast("long").alias("id"), fingerprint_of(F.col(text_col), shingle).alias("fp"),
+        F.struct(*docs.columns).alias("row"))
+    heads = groups.where(first).join(more, F.col("id") == F.col("_kept"), "left_semi").select("id", "fp", "root").distinct()
+    least = several.join(heads, ["id", "fp"]).groupBy("root").agg(F.min("row").alias("row")).select("row.*")
     return stay.unionByName(least).unionByName(docs.where(F.col(id_col).isNull()))

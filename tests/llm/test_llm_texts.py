@@ -48,6 +48,13 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(r["doc_id"] or 0 for r in simhash.keep_one(named).collect()) == [0, 1, 3, 6, 7, 9, 10]
 
 
+def test_repeated_ids_with_different_texts(spark):
+    texts = [" ".join(f"{word}{k}" for k in range(12)) for word in ("a", "b", "c", "d")]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[2]), (3, texts[3]), (3, texts[3]), (4, texts[0])]
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs(spark, rows)).collect()) == [
+        (1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[3])]
+
+
 @pytest.mark.parametrize("max_bits", [0, 3, 4])
 def test_links_of_split_nodes(spark, max_bits):
     rng = np.random.default_rng(1)
