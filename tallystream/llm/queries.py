@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.llm import (
-    byte_bpe, chat, embedding_join, language_id, license_scan, packing, quality, simhash, topk_search, url_filter)
+    alignment, byte_bpe, chat, collocations, embedding_join, language_id, license_scan, packing, quality, simhash,
+    topk_search, url_filter, winnowing)
 from tallystream.sources.tables import read_table
 
 #: The vocabulary that op5 encodes with.
 VOCABULARY = os.environ.get("BPE_VOCABULARY", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+#: The tokenizers that op12 aligns.
+A_FILE = os.environ.get("ALIGN_A_FILE", public_tokenizers.path("byte_bpe_50k.json"))
+B_FILE = os.environ.get("ALIGN_B_FILE", public_tokenizers.path("piece_bpe_32k.model"))
 #: Decimal places of the ranks that op4 shows; sums of doubles differ by their order behind them.
 PLACES = 12
 
@@ -86,6 +90,22 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def phrase_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(read_table(spark, sf_dir, "documents"), A_FILE, B_FILE, with_groups=False)
+    return found.drop("groups").withColumnRenamed("id", "doc_id")
+
+
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256",
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": embedding_groups,
     "op2_simhash_near_dedup": simhash_groups,
@@ -97,6 +117,9 @@ QUERIES = {
     "op8_chat_format": chat_digests,
     "op9_topk_search": best_matches,
     "op10_best_fit_packing": packed_documents,
+    "op11_phrase_collocations": phrase_scores,
+    "op12_token_alignment": token_groups,
+    "op13_decontamination": benchmark_hits,
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -216,5 +239,54 @@ scored AS (
   FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op11_phrase_collocations": f"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, w FROM (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+      translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM documents)),
+words AS MATERIALIZED (SELECT lang, piece, unnest(w) AS w1, unnest(range(len(w))) AS k FROM pieces),
+runs AS MATERIALIZED (
+  SELECT lang, w1, lead(w1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3 FROM words WINDOW piece AS (PARTITION BY piece ORDER BY k)),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+f1 AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS cut, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON c.lang = x.lang AND c.w1 = x.w1 JOIN f1 y ON c.lang = y.lang AND c.w2 = y.w1
+  WHERE c.f >= 10 AND NOT EXISTS (FROM f3 t WHERE t.lang = c.lang AND 100 * t.f >= 50 * c.f
+    AND (t.w1 = c.w1 AND t.w2 = c.w2 OR t.w2 = c.w1 AND t.w3 = c.w2))
+  UNION ALL SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+  FROM f3 c JOIN f1 x ON c.lang = x.lang AND c.w1 = x.w1 JOIN f2 y ON c.lang = y.lang AND c.w2 = y.w1 AND c.w3 = y.w2
+  UNION ALL SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON c.lang = x.lang AND c.w1 = x.w1 AND c.w2 = x.w2 JOIN f1 y ON c.lang = y.lang AND c.w3 = y.w1),
+scored AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""",
+    "op13_decontamination": f"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+    translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS m FROM items WHERE len(w) > 0),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, m, array_to_string(w[k + 1:k + m], ' ') AS x FROM (
+    SELECT item_id, m, w, unnest(range(len(w) - m + 1)) AS k FROM sized)),
+spans AS (
+  SELECT row, k, m, array_to_string(w[k + 1:k + m], ' ') AS x FROM (
+    SELECT row, m, w, unnest(range(greatest(0, len(w) - m + 1))) AS k FROM docs, (SELECT DISTINCT m FROM windows))),
+hits AS MATERIALIZED (SELECT row, k, s.m, item_id FROM spans s JOIN windows v ON s.x = v.x AND s.m = v.m),
+marked AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest(range(k, k + m)) AS p FROM hits) GROUP BY row),
+listed AS (
+  SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(marked.n, 0)::BIGINT AS n_hit, coalesce(listed.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(marked.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (row) LEFT JOIN listed USING (row)
 """,
 }
