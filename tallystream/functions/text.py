@@ -40,6 +40,15 @@ def truncated_cell(value: Column, width: int = fixed.PREVIEW_WIDTH) -> Column:
     return F.when(F.length(text) > width, F.concat(F.substring(text, 1, width - 3), F.lit("..."))).otherwise(text)
 
 
+#: Characters that take two places in a shell.
+_WIDE = "[\u1100-\u115f\u2e80-\ua4cf\uac00-\ud7a3\uf900-\ufaff\ufe30-\ufe4f\uff00-\uff60\uffe0-\uffe6]"
+
+
+def shown_width(value: Column) -> Column:
+    """How many places a text takes in a shell."""
+    return F.length(value) + F.regexp_count(value, F.lit(_WIDE))
+
+
 def short_id(key: Column, prefix: str = fixed.VEHICLE_PREFIX, digits: int = fixed.VEHICLE_DIGITS) -> Column:
     """A short readable identifier derived from a key.
 

@@ -1,7 +1,8 @@
 """Stream telemetry lines from a landing folder into a table, until stopped.
 
 Run ``compact_telemetry`` beside it about every hour: at a batch in ten seconds a read then plans at most some
-360 folders that are not merged yet, however long the stream runs.
+360 folders that are not merged yet, however long the stream runs. With ``--landing`` that job also takes in files
+that came too late for the stream.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--interval", default=fixed.TRIGGER, help="time between two micro-batches")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="a backlog comes in as several batches")
     parser.add_argument("--files-per-partition", type=int, help="most files a batch may leave per partition value")
-    parser.add_argument("--max-file-age", default=MAX_FILE_AGE, help="files older than the newest by more are skipped")
+    parser.add_argument("--max-file-age", default=MAX_FILE_AGE, help="files older than the newest by more are left to the job that merges")
     parser.add_argument("--archive", help="folder to move files to when they were taken in")
     parser.add_argument("--once", action="store_true", help="take in what is there and end")
     options = parser.parse_args(argv)

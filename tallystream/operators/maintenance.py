@@ -2,89 +2,141 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallystream.session import prepare
 from tallystream.sources import paths
-from tallystream.streaming.ingest import (GOOD, StreamTable, committed_spans, newest_batch, read_batches,
-                                          read_committed, read_from, read_spans, write_rows)
+from tallystream.streaming.ingest import (GOOD, StreamTable, committed_parts, contents, read_rows, settled_files,
+                                          write_rows)
 
 TARGET_BYTES = 128 * 1024 * 1024
 
 
-def file_audit(rows: DataFrame, partition: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Per partition value: files, bytes, rows, small files, and the files a merge would leave.
+def is_small(target_bytes: int) -> Column:
+    return F.col("bytes") < target_bytes * 3 // 4
+
 
-    Reads no data column. The first grouping has one row per file and partition value and is made up
-    within each scan task, so what is shuffled is about one row per file.
+def bins(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """(path, part, bytes, bin) of the small files to be merged: those of one part and bin make one file.
+
+    Within a part, small files are laid end to end by size and path; a new bin begins at each full
+    ``target_bytes``. A bin thus has less than two files' worth of that, and one with a single file is left alone.
     """
-    files = (rows.select(partition, F.col("_metadata.file_path").alias("file"),
-                         F.col("_metadata.file_size").alias("bytes"))
-             .groupBy(partition, "file").agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")))
-    small = F.col("bytes") < target_bytes * 3 // 4
-    return (files.groupBy(partition).agg(
-        F.sum("n").alias("row_count"),
-        F.count(F.lit(1)).alias("file_count"),
-        F.sum("bytes").alias("bytes"),
-        F.count_if(small).alias("small_files"),
-        F.coalesce(F.sum(F.when(small, F.col("bytes"))), F.lit(0)).alias("small_bytes"))
-        .withColumn("small_files_after", F.ceil(F.col("small_bytes") / target_bytes)))
-
-
-def audit_table(spark: SparkSession, table: StreamTable, target_bytes: int = TARGET_BYTES,
-                merged: bool = False) -> DataFrame:
-    """Audit of the good rows in batches that were not merged yet, or in the merged files."""
-    spans = committed_spans(spark, table)
-    if merged:
-        rows = read_spans(spark, table, spans)
-    else:
-        last = spans[-1][1] if spans else -1
-        rows = read_batches(spark, table, last + 1, newest_batch(spark, table, known=last))
-    if rows is None:
-        raise ValueError("there are no such files")
-    return file_audit(rows.where(F.col("verdict") == GOOD), table.partition, target_bytes)
-
-
-def _settled_spans(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]], target_bytes: int) -> int:
-    """How many of the merged spans, from the first on, need no other merge by the audit of their files.
-
-    A span goes into the next merge with all after it if a quarter of its bytes or more are in small files.
+    before = Window.partitionBy("part").orderBy("bytes", "path").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    small = files.where(is_small(target_bytes)).select("path", "part", "bytes", F.floor(start / target_bytes).alias("bin"))
+    together = F.count(F.lit(1)).over(Window.partitionBy("part", "bin"))
+    return small.withColumn("together", together).where("together > 1").drop("together")
+
+
+def audit(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Per part of a listing (path, part, bytes): files, bytes, small ones, and the files that a merge leaves."""
+    merged = bins(files, target_bytes).groupBy("part").agg(
+        F.count(F.lit(1)).alias("merged"), F.count_distinct("bin").alias("into"))
+    counted = files.groupBy("part").agg(
+        F.count(F.lit(1)).alias("file_count"), F.sum("bytes").alias("bytes"), F.count_if(is_small(target_bytes)).alias("small_files"))
+    joined = counted.alias("c").join(merged.alias("m"), F.col("c.part").eqNullSafe(F.col("m.part")), "left")
+    after = F.col("file_count") - F.coalesce("merged", F.lit(0)) + F.coalesce("into", F.lit(0))
+    return joined.select("c.part", "file_count", "bytes", "small_files", after.alias("files_after"))
+
+
+def file_counts(rows: DataFrame, partition: str) -> DataFrame:
+    """(value, file, bytes, n) of the files that rows are read from; no data column is read."""
+    return (rows.select(partition, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+            .groupBy(partition, "file").agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")))
+
+
+def file_audit(files: DataFrame, partition: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Per partition value: files, bytes, rows and small files, from what ``file_counts`` gives.
+
+    Its grouping has one row per file and partition value and is made up within each scan task, so what is
+    shuffled is about one row per file.
     """
-    rows = read_spans(spark, table, spans)
-    span = F.regexp_extract("_metadata.file_path", r"/span=(\d+)-\d+/", 1).cast("bigint")
-    files = (rows.select(span.alias("low"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-             .groupBy("low", "file").agg(F.max("bytes").alias("bytes")))
-    small = F.coalesce(F.sum(F.when(F.col("bytes") < target_bytes * 3 // 4, F.col("bytes"))), F.lit(0))
-    loose = files.groupBy("low").agg(small.alias("small"), F.sum("bytes").alias("bytes")).where("small * 4 >= bytes")
-    first = loose.agg(F.min("low")).first()[0]
-    return len(spans) if first is None else sum(low < first for low, _ in spans)
-
-
-def compact(spark: SparkSession, table: StreamTable, *, target_bytes: int = TARGET_BYTES,
-            again: bool = False) -> tuple[int, int] | None:
-    """Merge the committed batches since the last merge, and earlier merges that still have small files.
-
-    The audit decides which: spans of large files stay as they are, so work follows what came since and
-    not the table; ``again`` merges everything. Rows do not change, and committed folders are only read,
-    so stream and readers go on meanwhile. The rebalance groups rows by partition value, splits a large
-    value over several tasks and packs small ones together, by the sizes Spark measures while it runs;
-    ``target_bytes`` bounds what a task gets of the shuffle, and its file is about as large. The settings for that are those of a
-    session of its own. Returns the merged span, None when there is nothing to merge.
+    return files.groupBy(partition).agg(
+        F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("file_count"), F.sum("bytes").alias("bytes"),
+        F.count_if(is_small(target_bytes)).alias("small_files"))
+
+
+def audit_table(spark: SparkSession, table: StreamTable, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Audit of the files that hold the table's good rows now."""
+    parts = [file_counts(rows.where(F.col("verdict") == GOOD), table.partition) for rows in committed_parts(spark, table)]
+    if not parts:
+        raise ValueError("there are no files")
+    return file_audit(reduce(DataFrame.unionByName, parts), table.partition, target_bytes)
+
+
+def _decoded(file: Column) -> Column:
+    """A path as the file system has it; url_decode alone would take a plus sign for a space."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
+def _listed(spark: SparkSession, table: StreamTable, folders: list[str]) -> DataFrame:
+    """(path, part, bytes) of the data files below some folders; path from the root on, part names the partition."""
+    names = "|".join(root.rsplit("/", 1)[1] for root in table.data)
+    path = F.regexp_extract(_decoded(F.col("file")), rf"/((?:{names})/[a-z_]+=\d+/verdict=.*)$", 1).alias("path")
+    part = F.regexp_extract("path", r"/(verdict=[^/]*/[^/]*)/[^/]*$", 1).alias("part")
+    return paths.listing(spark, *folders, only="*.parquet").select(path, "bytes").select("path", part, "bytes")
+
+
+def table_files(spark: SparkSession, table: StreamTable) -> DataFrame:
+    """(path, part, bytes) of the files that hold the table's rows now."""
+    now = contents(spark, table)
+    found = [settled_files(spark, table, now.round).select("path", "part", "bytes")] if now.round >= 0 else []
+    found += [_listed(spark, table, now.folders)] if now.folders else []
+    if not found:
+        raise ValueError("there are no files")
+    return reduce(DataFrame.unionByName, found).where("path IS NOT NULL")
+
+
+@dataclass(frozen=True)
+class Round:
+    """What a merge did: files merged, files they became, and the last batch it looked at."""
+
+    number: int
+    merged: int
+    written: int
+    upto: int
+
+
+def compact(spark: SparkSession, table: StreamTable, *, target_bytes: int = TARGET_BYTES) -> Round | None:
+    """Merge the small files of the table, each value's by itself, in bins of ``target_bytes``.
+
+    The plan covers all files of the table, those of earlier merges too; only files in a bin are read and written
+    anew, and large ones stay where they are. Rows keep their batch, and committed folders are only read, so stream
+    and readers go on meanwhile. Readers switch to the new files when the list of files is finished; the old ones
+    stay for those that read them. Run one at a time. Returns None when there is nothing to merge and no batch to
+    take into the list.
     """
-    spans = [] if again else committed_spans(spark, table)
-    newest = newest_batch(spark, table, known=spans[-1][1] if spans else -1)
-    if newest == (spans[-1][1] if spans else -1):
+    now = contents(spark, table)
+    if not now.folders and now.round < 0:
         return None
-    settled = _settled_spans(spark, table, spans, target_bytes) if spans else 0
-    low = spans[settled - 1][1] + 1 if settled else 0
-    folder = f"{table.compacted}/span={low}-{newest}"
-    if not paths.is_complete(spark, folder):
-        own = prepare(spark.newSession())
-        own.conf.set("spark.sql.adaptive.enabled", "true")
-        own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-        # A large value is split between the outputs of scan tasks, so these must be no larger.
-        own.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-        rows = read_committed(own, table, newest) if again else read_from(own, table, spans[settled:], low, newest)
-        write_rows(table, rows.hint("rebalance", "verdict", table.partition), folder)
-    return low, newest
+    files = table_files(spark, table)
+    chosen = bins(files, target_bytes).collect()
+    if not chosen and not now.folders:
+        return None
+    number = now.round + 1
+    pieces = {key: k for k, key in enumerate(sorted({(r["part"], r["bin"]) for r in chosen}))}
+    gone = spark.createDataFrame([(r["path"], pieces[r["part"], r["bin"]]) for r in chosen], "path string, piece int")
+    left = files.join(gone, "path", "left_anti")
+    if chosen:
+        folder = f"{table.merged}/round={number}"
+        _merge(spark, table, gone, [f"{table.root}/{r['path']}" for r in chosen], folder, len(pieces))
+        left = left.unionByName(_listed(spark, table, [folder]))
+    # A row without a path, so that a table without files has its facts too.
+    left = left.unionByName(spark.createDataFrame([(None, None, None)], "path string, part string, bytes long"))
+    (left.select("path", "part", "bytes", F.lit(now.newest).cast("bigint").alias("upto"), F.lit(now.last_sweep).alias("sweep"))
+     .coalesce(1).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+     .parquet(f"{table.files}/round={number}"))
+    return Round(number, len(chosen), len(pieces), now.newest)
+
+
+def _merge(spark: SparkSession, table: StreamTable, gone: DataFrame, names: list[str], folder: str, n: int) -> None:
+    """Write the rows of the named files to a folder, one file for each piece that they are put into."""
+    file = F.regexp_extract(_decoded(F.col("_metadata.file_path")), r"/([^/]+/[^/]+/verdict=.*)$", 1).alias("path")
+    rows = [read_rows(spark, table, root, own).select("*", file)
+            for root in table.data if (own := [name for name in names if name.startswith(f"{root}/")])]
+    placed = reduce(DataFrame.unionByName, rows).join(gone, "path").drop("path")
+    write_rows(table, placed.repartitionById(n, "piece").drop("piece"), folder)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallystream.session import settings
+
 
 def _location(location: str | None) -> str:
     text = location.replace("\\", "\\\\").replace("'", "\\'") if location else ""
@@ -36,18 +38,45 @@ def create_from(df: DataFrame, name: str, *, partition_by: list[str] | None = No
 
 def create_or_replace(df: DataFrame, name: str, *, partition_by: list[str] | None = None,
                       provider: str = "parquet", location: str) -> None:
-    """Create a table from rows, or replace all rows and columns of one, which may be the one ``df`` reads.
+    """Create a table from rows, or replace all rows of one, which may be the one ``df`` reads.
+
+    The rows go to a new folder first, and the name moves to it in one call of the catalogue: it names the old rows
+    or the new ones and is never missing. If the write fails, the table stays as it was. A table that gets other
+    columns, layout or provider is created anew, for which it is missing for a moment.
 
-    The rows go to a new folder first and the name moves to it afterwards. If the write fails, the table
-    stays as it was; otherwise it is missing for the two catalogue calls only.
+    Partitions are found in the folders and not kept in the catalogue, so they move with the folder.
     """
     spark = df.sparkSession
     writer = df.write.format(provider).mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).save(location)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    create_if_absent(spark, name, df.schema, partition_by=partition_by, provider=provider, location=location)
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
+    if spark.catalog.tableExists(name):
+        if _shape(spark, name) == (_order(df, partition_by), partition_by or [], provider.lower()):
+            spark.sql(f"ALTER TABLE {name} SET{_location(location)}")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    with settings(spark, spark__sql__hive__manageFilesourcePartitions="false"):
+        create_if_absent(spark, name, df.schema, partition_by=partition_by, provider=provider, location=location)
+
+
+def _order(df: DataFrame, partition_by: list[str] | None) -> list[tuple[str, str]]:
+    """Columns and types in the order a table has them: those it is stored by come last."""
+    last = partition_by or []
+    types = dict(df.dtypes)
+    return [(n, t) for n, t in df.dtypes if n not in last] + [(n, types[n]) for n in last]
+
+
+def described(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalogue tells of a table beside its columns: Location, Provider, Partition Provider and more."""
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _shape(spark: SparkSession, name: str) -> tuple[list[tuple[str, str]], list[str], str] | None:
+    """Columns, partition columns and provider of a table that keeps no partitions in the catalogue, else None."""
+    facts = described(spark, name)
+    stored_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if stored_by and facts.get("Partition Provider") == "Catalog":
+        return None
+    return spark.table(name).dtypes, stored_by, facts.get("Provider", "").lower()
 
 
 def full_refresh(df: DataFrame, name: str, **how) -> None:

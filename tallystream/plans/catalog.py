@@ -14,13 +14,13 @@ from pyspark.sql.types import StructType
 
 from tallystream import fixed_values as fixed
 from tallystream.functions import numeric, text, times
-from tallystream.operators import balance, branches, changes, maintenance, reports, statements, writes
+from tallystream.operators import balance, branches, catalogue, changes, maintenance, reports, statements, writes
 from tallystream.plans import inputs
 from tallystream.session import prepare, scratch
 from tallystream.sources.landing import export_lines
 from tallystream.sources.schemas import schema_of
 from tallystream.sources.tables import conform, constant_rows, key_range, read_table
-from tallystream.streaming import ingest
+from tallystream.streaming import ingest, quarantine
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,10 +58,10 @@ def drop_scratch_tables(spark: SparkSession) -> None:
 def range_source(spark: SparkSession, folder: str) -> DataFrame:
     """Every number in the order key domain, with the price of the order that has it.
 
-    Orders are taken as they are; only their distinct keys are shuffled, to find the numbers without
-    an order, so a key that very many rows share does not gather in one task.
+    Orders are taken as they are, those without a key too; only their distinct keys are shuffled, to find the numbers
+    without an order, so a key that very many rows share does not gather in one task.
     """
-    orders = read_table(spark, folder, "orders").where(F.col("o_orderkey").isNotNull())
+    orders = read_table(spark, folder, "orders")
     numbers = key_range(spark, orders, "o_orderkey")
     used = orders.select(F.col("o_orderkey").alias("id")).distinct()
     recorded = orders.select(F.col("o_orderkey").alias("ticket_id"), F.col("o_totalprice").alias("price"),
@@ -163,6 +163,12 @@ def longer_preview(spark: SparkSession, folder: str) -> DataFrame:
     return reports.preview(read_table(spark, folder, "conversations"), "conv_id", "turn", rows=fixed.SHOWN_ROWS)
 
 
+@register
+def shown_preview(spark: SparkSession, folder: str) -> DataFrame:
+    """The drawn table that a preview of ten rows shows."""
+    return reports.shown_text(read_table(spark, folder, "conversations"), "conv_id", "turn")
+
+
 # Projections and scalar functions
 
 
@@ -255,6 +261,24 @@ def delete_where(spark: SparkSession, folder: str) -> DataFrame:
     return writes.new_folder(kept, scratch(spark, "salaries"))
 
 
+@register
+def delete_in_place(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders stored by status, without the cheap ones of one status: only its partition is written anew."""
+    name = table_name(spark, "orders")
+    writes.create_or_replace(read_table(spark, folder, "orders"), name, partition_by=["o_orderstatus"], location=scratch(spark, "orders"))
+    changes.delete_in_place(spark, name, (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 200000), "o_orderstatus")
+    return spark.table(name)
+
+
+@register
+def update_in_place(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders stored by status, with the price of one customer's changed in the partitions that have such orders."""
+    name = table_name(spark, "orders")
+    writes.create_or_replace(read_table(spark, folder, "orders"), name, partition_by=["o_orderstatus"], location=scratch(spark, "orders"))
+    changes.update_in_place(spark, name, F.col("o_custkey") % 7 == 3, "o_orderstatus", {"o_totalprice": F.col("o_totalprice") * 2})
+    return spark.table(name)
+
+
 @register
 def update_where(spark: SparkSession, folder: str) -> DataFrame:
     rows = inputs.customer_salaries(spark, folder)
@@ -313,6 +337,21 @@ def branch_drop(spark: SparkSession, folder: str) -> DataFrame:
     return dropped.unionByName(again)
 
 
+@register
+def catalogue_branch(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables of different columns as one branch has them, and as main has them, from one log and one list of refs."""
+    log = writes.new_folder(inputs.catalogue_log(spark, folder), scratch(spark, "log"), ["branch"])
+    states = []
+    for branch in ("trial", branches.MAIN):
+        firms, orders = (catalogue.read_table(base, inputs.catalogue_refs(spark), log, table, branch)
+                         for table, base in inputs.catalogue_tables(spark, folder))
+        states += [
+            firms.select(F.lit(branch).alias("branch"), F.lit("supplier").alias("tab"), F.col("s_suppkey").alias("id"),
+                         F.col("s_name").alias("label"), F.col("s_acctbal").alias("amount"), F.lit(None).cast("date").alias("day")),
+            orders.select(F.lit(branch), F.lit("orders"), "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")]
+    return reduce(DataFrame.unionAll, states)
+
+
 # Statement texts
 
 
@@ -386,9 +425,8 @@ def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.plain_times(ingest.read_snapshot(spark, table))
 
 
-@register
-def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of errors arrive cut off and those of purchases with a text for the speed; both are set aside."""
+def _spoilt_stream(spark: SparkSession, folder: str) -> ingest.StreamTable:
+    """All events streamed: lines of errors arrive cut off and those of purchases with a text for the speed."""
     root = scratch(spark, "stream")
     table, landing = inputs.event_table(root), f"{root}/landing"
     line = F.to_json(F.struct("event_id", "user_id", "vehicle_id", times.iso_text(F.col("timestamp")).alias("timestamp"),
@@ -399,13 +437,48 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
               .otherwise(line))
     inputs.telemetry(spark, folder).select(spoilt.alias("value")).write.text(landing)
     ingest.ingest_available(spark, landing, table)
+    return table
+
+
+@register
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines taken in and lines set aside, these by the field that does not fit, with what its other fields hold."""
+    table = _spoilt_stream(spark, folder)
     good = ingest.read_snapshot(spark, table).select(
-        F.lit("good").alias("verdict"), F.col(fixed.PLATOON).alias("event_type"), F.lit(None).cast("bigint").alias("chars"))
-    bad = ingest.read_quarantine(spark, table).select(
-        F.lit("bad").alias("verdict"), F.lit(None).cast("string").alias("event_type"),
-        F.length("line").cast("bigint").alias("chars"))
-    return good.unionByName(bad).groupBy("verdict", "event_type").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("chars").alias("chars"))
+        F.lit("good").alias("verdict"), F.col(fixed.PLATOON).alias("event_type"), F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("bigint").alias("chars"), F.lit(None).cast("bigint").alias("event_id"))
+    bad = quarantine.explain(ingest.read_quarantine(spark, table), table.schema).select(
+        F.lit("bad").alias("verdict"), F.col(f"kept.{fixed.PLATOON}").alias("event_type"), "reason",
+        F.length("line").cast("bigint").alias("chars"), F.col("kept.event_id").alias("event_id"))
+    return good.unionByName(bad).groupBy("verdict", "event_type", "reason").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("chars").alias("chars"), F.sum("event_id").alias("kept_ids"))
+
+
+@register
+def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and bad rows as each batch counted them while it was written, beside those that the table holds."""
+    table = _spoilt_stream(spark, folder)
+    counted = ingest.batch_counts(spark, table).agg(
+        F.sum("n_rows").alias("rows_seen"), F.sum("n_bad").alias("bad_seen"))
+    held = ingest.read_committed(spark, table).agg(
+        F.count(F.lit(1)).alias("rows_held"), F.count_if(F.col("verdict") == ingest.BAD).alias("bad_held"))
+    return counted.select(F.lit("seen").alias("what"), F.col("rows_seen").alias("n_rows"), F.col("bad_seen").alias("n_bad")).unionAll(
+        held.select(F.lit("held"), "rows_held", "bad_held"))
+
+
+@register
+def late_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that came too late for the stream are found by the ledger and taken in beside it, each once."""
+    root = scratch(spark, "stream")
+    table, landing = inputs.event_table(root), f"{root}/landing"
+    early, late = _halves(inputs.telemetry(spark, folder))
+    for part in (early, late):
+        _land(part, landing)
+        # An age of nothing: only files as new as the newest one read are not too late.
+        ingest.ingest_available(spark, landing, table, max_file_age="0s")
+    ingest.take_late(spark, landing, table, max_file_age="0s")
+    ingest.take_late(spark, landing, table, max_file_age="0s")
+    return inputs.plain_times(ingest.read_snapshot(spark, table))
 
 
 @register
@@ -439,26 +512,34 @@ def compact_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def compact_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per partition before and after a merge, and the files after it."""
+    """Rows per partition in the files of the stream, and in the fewer files after a merge."""
     table = _streamed(spark, folder)
     before = maintenance.audit_table(spark, table)
     maintenance.compact(spark, table)
-    after = maintenance.audit_table(spark, table, merged=True)
-    keep = [F.col(fixed.PLATOON), F.col("row_count"), F.col("file_count")]
-    joined = before.select(keep).alias("b").join(
-        after.select(keep).alias("a"), F.col(f"b.{fixed.PLATOON}").eqNullSafe(F.col(f"a.{fixed.PLATOON}")), "full_outer")
+    after = maintenance.audit_table(spark, table)
+    joined = before.alias("b").join(after.alias("a"), F.col(f"b.{fixed.PLATOON}").eqNullSafe(F.col(f"a.{fixed.PLATOON}")), "full_outer")
     return joined.select(
         F.coalesce(f"b.{fixed.PLATOON}", f"a.{fixed.PLATOON}").alias("event_type"), F.col("b.row_count").alias("rows_before"),
-        F.col("a.row_count").alias("rows_after"), F.col("a.file_count").alias("files_after"),
-        (F.col("a.file_count") < F.col("b.file_count")).alias("fewer_files"))
+        F.col("a.row_count").alias("rows_after"))
 
 
 @register
 def small_file_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Per partition of a freshly streamed table: rows, and the files that a merge of its small ones would leave."""
+    """Rows per partition of a freshly streamed table, counted from its files without reading a column."""
     audit = maintenance.audit_table(spark, _streamed(spark, folder))
-    return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count", "small_files_after",
-                        (F.col("small_files") > F.col("small_files_after")).alias("merge_helps"))
+    return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count")
+
+
+@register
+def merge_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """The bins that small files are merged in, over a listing in which every document is a file."""
+    return maintenance.bins(inputs.document_files(spark, folder), inputs.DOCUMENT_TARGET)
+
+
+@register
+def merge_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Files, small files and the files that a merge leaves, per part of the same listing."""
+    return maintenance.audit(inputs.document_files(spark, folder), inputs.DOCUMENT_TARGET)
 
 
 @register

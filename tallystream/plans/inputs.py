@@ -11,7 +11,7 @@ from tallystream import fixed_values as fixed
 from tallystream.functions.numeric import pick
 from tallystream.functions.text import short_id
 from tallystream.functions.times import epoch_offset
-from tallystream.operators import branches, changes
+from tallystream.operators import branches, catalogue, changes
 from tallystream.sources.schemas import schema_of
 from tallystream.sources.tables import read_table
 from tallystream.streaming.ingest import StreamTable
@@ -112,6 +112,46 @@ def main_by_hand(spark: SparkSession, folder: str) -> DataFrame:
     return changes.delete_where(raised, named & (F.col("segment") == "FURNITURE")).select("name", "salary")
 
 
+DOCUMENT_TARGET = 8000
+
+
+def document_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as a listing of files: a part for each source, and a document's characters as its size."""
+    return read_table(spark, folder, "documents").select(
+        F.concat(F.lit("files/"), F.col("doc_id")).alias("path"), F.col("source").alias("part"), F.col("n_chars").alias("bytes"))
+
+
+def catalogue_tables(spark: SparkSession, folder: str) -> list[tuple[catalogue.Table, DataFrame]]:
+    """Suppliers and orders, each with its own columns and key, and their rows on main."""
+    orders = read_table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    tables = [("supplier", read_table(spark, folder, "supplier"), ["s_suppkey", "s_name", "s_acctbal"]),
+              ("orders", orders, ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])]
+    return [(catalogue.Table(name, rows.select(columns).schema, columns[0]), rows.select(columns)) for name, rows, columns in tables]
+
+
+def catalogue_refs(spark: SparkSession) -> DataFrame:
+    nothing = spark.sql("SELECT '' AS branch, 0L AS created_seq, CAST(NULL AS BIGINT) AS dropped_seq").where(F.lit(False))
+    return branches.create_branch(branches.create_branch(nothing, branches.MAIN, 0), "trial", 2)
+
+
+def catalogue_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes of both tables in one order: on main before the branch, on the branch, and on main afterwards."""
+    (firms, suppliers), (sales, orders) = catalogue_tables(spark, folder)
+    key = F.col("s_suppkey")
+    statements = [
+        (branches.MAIN, 1, "update", sales, orders.where(F.col("o_orderkey") % 5 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)),
+        (branches.MAIN, 2, "delete", firms, suppliers.where(key % 11 == 0)),
+        ("trial", 3, "delete", sales, orders.where(F.col("o_orderstatus") == "F")),
+        ("trial", 4, "insert", firms, suppliers.where(key % 3 == 0).withColumn("s_suppkey", key + 1_000_000)),
+        ("trial", 5, "update", firms, suppliers.where(key % 2 == 0).withColumn("s_acctbal", F.col("s_acctbal") * 2)),
+        ("trial", 6, "insert", sales, orders.where(F.col("o_orderkey") % 10 == 1).withColumn("o_orderdate", F.lit(None).cast("date"))),
+        (branches.MAIN, 7, "delete", sales, orders.where(F.col("o_orderkey") % 2 == 0)),
+        (branches.MAIN, 8, "update", firms, suppliers.withColumn("s_name", F.lit("renamed"))),
+    ]
+    logs = [catalogue.record(rows, table, op, seq, branch) for branch, seq, op, table, rows in statements]
+    return reduce(DataFrame.unionByName, logs)
+
+
 # SQL that both engines read the same way; chr() stands for characters they quote differently.
 _T = fixed.TABLE
 _NL, _TAB, _CR, _Q, _DQ = "chr(10)", "chr(9)", "chr(13)", "chr(39)", "chr(34)"

@@ -131,11 +131,37 @@ FROM (SELECT * FROM conversations ORDER BY conv_id, turn LIMIT {rows})"""
 _UNITS = (f"CAST(round(greatest({fixed.SPEED_MIN}, least({fixed.SPEED_MAX}, value))"
           f" * {fixed.DRAIN_PER_KMH} * 1000000000) AS BIGINT)")
 
+_SMALL = inputs.DOCUMENT_TARGET * 3 // 4
+_BINS = f"""
+WITH files AS (SELECT 'files/' || doc_id AS path, source AS part, n_chars AS bytes FROM documents),
+placed AS (
+  SELECT *, CAST(floor(coalesce(sum(bytes) OVER (
+    PARTITION BY part ORDER BY bytes, path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / {inputs.DOCUMENT_TARGET}) AS BIGINT) AS bin
+  FROM files WHERE bytes < {_SMALL}),
+kept AS (SELECT * FROM placed QUALIFY count(*) OVER (PARTITION BY part, bin) > 1)"""
+
+
+def _shown(rows: int, columns: list[str]) -> str:
+    """The drawn preview of conversations; its cells are those of ``_preview``."""
+    width = {c: f"CAST((SELECT greatest(3, {len(c)}, max(length({c}))) FROM shown) AS INTEGER)" for c in columns}
+    rule = " || '+' || ".join(f"repeat('-', {width[c]})" for c in columns)
+    head = " || '|' || ".join(f"lpad('{c}', {width[c]}, ' ')" for c in columns)
+    body = " || '|' || ".join(f"lpad({c}, {width[c]}, ' ')" for c in columns)
+    return f"""
+WITH shown AS MATERIALIZED (SELECT *, row_number() OVER () AS n FROM ({_preview(rows)})),
+more AS (SELECT count(*) > {rows} AS more FROM conversations),
+lines AS (
+  SELECT 0 AS k, 0 AS n, '+' || {rule} || '+' AS text UNION ALL SELECT 1, 0, '|' || {head} || '|'
+  UNION ALL SELECT 2, 0, '+' || {rule} || '+' UNION ALL SELECT 3, n, '|' || {body} || '|' FROM shown
+  UNION ALL SELECT 4, 0, '+' || {rule} || '+' UNION ALL SELECT 5, 0, 'only showing top {rows} rows' FROM more WHERE more)
+SELECT CAST(row_number() OVER (ORDER BY k, n) - 1 AS INTEGER) AS line, text FROM lines"""
+
+
 ORACLES: dict[str, str] = {
     "range_source": """
-SELECT id AS ticket_id, o_totalprice AS price, o_orderkey IS NOT NULL AS recorded
+SELECT coalesce(id, o_orderkey) AS ticket_id, o_totalprice AS price, o_custkey IS NOT NULL AS recorded
 FROM (SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 1)) AS id FROM orders)
-LEFT JOIN orders ON o_orderkey = id""",
+FULL JOIN orders ON o_orderkey = id""",
     "table_scan": "SELECT * FROM orders",
     "typed_rows_roundtrip": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS data FROM customer UNION ALL "
                             + " UNION ALL ".join(f"SELECT {id_}, '{data}'" for id_, data in inputs.TWO_TYPED_ROWS),
@@ -152,6 +178,7 @@ UNION ALL SELECT name, salary FROM ({_SUPPLIERS}) UNION ALL SELECT name, salary
 UNION ALL SELECT * FROM (VALUES {inputs.TWO_SALARIES}, {inputs.TWO_SALARIES})""",
     "bounded_preview": _preview(fixed.PREVIEW_ROWS),
     "longer_preview": _preview(fixed.SHOWN_ROWS),
+    "shown_preview": _shown(fixed.PREVIEW_ROWS, ["conv_id", "turn", "role", "text"]),
     "derived_projection": """
 SELECT o_orderkey AS ticket_id, CAST(trunc(o_totalprice) AS INTEGER) AS fine_amount,
        CAST(trunc(-o_totalprice) AS INTEGER) AS refund,
@@ -194,6 +221,22 @@ SELECT c_custkey, name,
             ELSE salary END AS salary,
        CASE WHEN segment = 'AUTOMOBILE' AND name LIKE 'Customer#%' THEN 'RAISED' ELSE segment END AS segment
 FROM ({_SALARIES})""",
+    "delete_in_place": "SELECT * FROM orders WHERE (o_orderstatus = 'F' AND o_totalprice < 200000) IS NOT TRUE",
+    "update_in_place": """
+SELECT * REPLACE (CASE WHEN o_custkey % 7 = 3 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice) FROM orders""",
+    "catalogue_branch": """
+WITH main_then AS (
+  SELECT o_orderkey, o_orderstatus, o_totalprice + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS o_totalprice,
+         CAST(o_orderdate AS DATE) AS o_orderdate FROM orders),
+firms_then AS (SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_suppkey % 11 <> 0)
+SELECT 'trial' AS branch, 'orders' AS tab, o_orderkey AS id, o_orderstatus AS label, o_totalprice AS amount, o_orderdate AS "day"
+FROM main_then WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'trial', 'orders', o_orderkey, o_orderstatus, o_totalprice, NULL FROM orders WHERE o_orderkey % 10 = 1
+UNION ALL SELECT 'trial', 'supplier', s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal * 2 ELSE s_acctbal END, NULL
+FROM firms_then
+UNION ALL SELECT 'trial', 'supplier', s_suppkey + 1000000, s_name, s_acctbal, NULL FROM supplier WHERE s_suppkey % 3 = 0
+UNION ALL SELECT 'main', 'orders', o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM main_then WHERE o_orderkey % 2 <> 0
+UNION ALL SELECT 'main', 'supplier', s_suppkey, 'renamed', s_acctbal, NULL FROM firms_then""",
     "branch_state": f"WITH {_HISTORY}, {_state('experiment', 'experiment')} SELECT * FROM experiment",
     "branch_isolation": f"""
 WITH {_HISTORY}, {_state('experiment', 'experiment')}, {_state('main_now', 'main')},
@@ -225,20 +268,29 @@ SELECT *, CAST(floor(epoch("timestamp") / {fixed.TICK_SECONDS}) * {fixed.TICK_SE
     "stream_ingest": _TELEMETRY,
     "stream_restart": _TELEMETRY,
     "stream_quarantine": """
-SELECT 'good' AS verdict, event_type, count(*) AS lines, CAST(NULL AS BIGINT) AS chars
+SELECT 'good' AS verdict, event_type, CAST(NULL AS VARCHAR) AS reason, count(*) AS lines, CAST(NULL AS BIGINT) AS chars,
+       CAST(NULL AS BIGINT) AS kept_ids
 FROM events WHERE event_type NOT IN ('error', 'purchase') GROUP BY event_type
 UNION ALL
-SELECT 'bad', NULL, count(*), CAST(sum(length('{"event_id":' || event_id
-       || CASE event_type WHEN 'error' THEN '' ELSE ',"speed_kmh":"x"}' END)) AS BIGINT)
-FROM events WHERE event_type IN ('error', 'purchase')""",
+SELECT 'bad', NULL, CASE event_type WHEN 'error' THEN 'not json' ELSE 'speed_kmh' END, count(*),
+       CAST(sum(length('{"event_id":' || event_id || CASE event_type WHEN 'error' THEN '' ELSE ',"speed_kmh":"x"}' END)) AS BIGINT),
+       CAST(sum(CASE event_type WHEN 'purchase' THEN event_id END) AS BIGINT)
+FROM events WHERE event_type IN ('error', 'purchase') GROUP BY event_type""",
+    "stream_counts": """
+SELECT unnest(['seen', 'held']) AS what, n_rows, n_bad
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (event_type IN ('error', 'purchase')) AS n_bad FROM events)""",
+    "late_files": _TELEMETRY,
     "snapshot_read": f"SELECT * FROM ({_TELEMETRY}) WHERE \"timestamp\" < TIMESTAMP '2024-01-16 00:00:00'",
     "list_partitions": "SELECT event_type, count(*) AS row_count FROM events GROUP BY event_type",
     "compact_rows": _TELEMETRY,
-    "compact_report": """
-SELECT event_type, count(*) AS rows_before, count(*) AS rows_after, CAST(1 AS BIGINT) AS files_after, true AS fewer_files
-FROM events GROUP BY event_type""",
-    "small_file_audit": """
-SELECT event_type, count(*) AS row_count, CAST(1 AS BIGINT) AS small_files_after, true AS merge_helps FROM events GROUP BY event_type""",
+    "compact_report": "SELECT event_type, count(*) AS rows_before, count(*) AS rows_after FROM events GROUP BY event_type",
+    "small_file_audit": "SELECT event_type, count(*) AS row_count FROM events GROUP BY event_type",
+    "merge_bins": f"{_BINS} SELECT path, part, bytes, bin FROM kept",
+    "merge_audit": f"""{_BINS}
+SELECT part, file_count, bytes, small_files, file_count - coalesce(merged, 0) + coalesce(into_files, 0) AS files_after
+FROM (SELECT part, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) FILTER (bytes < {_SMALL}) AS small_files
+      FROM files GROUP BY part)
+LEFT JOIN (SELECT part, count(*) AS merged, count(DISTINCT bin) AS into_files FROM kept GROUP BY part) USING (part)""",
     "energy_balance": f"""
 SELECT event_id, {_VEHICLE} AS vehicle_id, platoon,
        floor((greatest(CAST(start * 1000000000 AS HUGEINT) - drained, 0) + 5000000) / 10000000) / 100.0 AS battery_kwh

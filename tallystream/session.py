@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import weakref
 from contextlib import contextmanager
 from pathlib import Path
 from urllib.parse import urlparse
@@ -30,11 +31,27 @@ def build_session(app: str = "tallystream", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+#: The zone and cast mode that results are defined in.
+_DEFINED = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+_prepared: weakref.WeakKeyDictionary[SparkSession, SparkSession] = weakref.WeakKeyDictionary()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Put a session made elsewhere into the zone and cast mode that results are defined in."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.ansi.enabled", "true")
-    return spark
+    """A session in the zone and cast mode that results are defined in.
+
+    It is the given one if that has them, else one beside it with the same other settings and the same catalogue; the
+    given one stays as it is.
+    """
+    if all(spark.conf.get(name, "").lower() == value.lower() for name, value in _DEFINED.items()):
+        return spark
+    own = _prepared.get(spark)
+    if own is None:
+        own = _prepared[spark] = spark.newSession()
+    has = own.conf.getAll
+    for name, value in (spark.conf.getAll | _DEFINED).items():
+        if has.get(name) != value and own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
 
 
 @contextmanager

@@ -8,14 +8,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallystream import fixed_values as fixed
 from tallystream.functions import times
+from tallystream.sources import paths
 from tallystream.sources.schemas import TELEMETRY
 
 CORRUPT = "_corrupt_record"
 
 
 ROWS_PER_FILE = 500_000
-#: Spark skips a file older than the newest one seen by more than this, for ever; nothing arrives so late.
-MAX_FILE_AGE = "36500d"
+#: The stream remembers the files of this time. It skips a file that is older than the newest one by more; such a file
+#: is found by the ledger of those taken in, and taken in beside the stream.
+MAX_FILE_AGE = "7d"
+#: Columns of a stream that tell where a line comes from.
+SOURCE_FILE, SOURCE_TIME = "_source_file", "_source_time"
 
 
 def export_lines(df: DataFrame, folder: str, order: list[str], files: int | None = None,
@@ -49,9 +53,10 @@ def with_corrupt(schema: StructType) -> StructType:
 def stream_lines(spark: SparkSession, folder: str, schema: StructType = TELEMETRY,
                  files_per_batch: int | None = None, archive: str | None = None,
                  max_file_age: str = MAX_FILE_AGE) -> DataFrame:
-    """Stream of the JSON lines in a folder, each file read once, however late it arrives.
+    """Stream of the JSON lines in a folder, each file read once, with the file and its time beside each line.
 
-    The stream remembers the files of the last ``max_file_age``; a file that is older still is skipped.
+    The stream remembers the files of the last ``max_file_age``; ``ingest.take_late`` takes in those that are older
+    when they arrive.
 
     Every micro-batch lists the folder. With ``archive`` Spark moves files there once their batch is
     committed, so that the folder, and the time to list it, stays small.
@@ -59,11 +64,11 @@ def stream_lines(spark: SparkSession, folder: str, schema: StructType = TELEMETR
     Unknown fields are dropped and missing ones are null. A line that does not parse, or holds a field
     of another type, keeps its text in ``_corrupt_record``.
     """
-    reader = (spark.readStream.schema(with_corrupt(schema))
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("timeZone", "UTC").option("maxFileAge", max_file_age))
+    reader = (spark.readStream.schema(with_corrupt(schema)).options(**paths.line_options(CORRUPT))
+              .option("maxFileAge", max_file_age))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.json(folder)
+    return reader.json(folder).select(
+        "*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_modification_time").alias(SOURCE_TIME))

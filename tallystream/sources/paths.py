@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SUCCESS = "_SUCCESS"
 
@@ -22,3 +26,35 @@ def children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     """Names of the folders directly below a folder, without the prefix; finished or not."""
     files, pattern = _path(spark, f"{folder}/{prefix}*")
     return [status.getPath().getName()[len(prefix):] for status in files.globStatus(pattern) or []]
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Take a folder away, with what is in it."""
+    files, path = _path(spark, folder)
+    files.delete(path, True)
+
+
+def listing(spark: SparkSession, *folders: str, only: str | None = None) -> DataFrame:
+    """(file, modified, bytes) of the files below some folders, as Spark lists them; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if only:
+        reader = reader.option("pathGlobFilter", only)
+    facts = {"file": "file_path", "modified": "file_modification_time", "bytes": "file_size"}
+    return reader.load(list(folders)).select(*[F.col(f"_metadata.{fact}").alias(name) for name, fact in facts.items()])
+
+
+def read_lines(spark: SparkSession, files: list[str], schema: StructType, corrupt: str) -> DataFrame:
+    """Rows of JSON lines by the rules that streams of them are read by."""
+    return spark.read.schema(schema).options(**line_options(corrupt)).json(files)
+
+
+def line_options(corrupt: str) -> dict[str, str]:
+    return {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "timeZone": "UTC"}
+
+
+def seconds(age: str) -> int:
+    """Seconds of a time like 90s, 15m, 36h or 7d."""
+    found = re.fullmatch(r"(\d+)\s*(s|m|min|h|d)", age.strip())
+    if not found:
+        raise ValueError(f"{age} is not a number of seconds (s), minutes (m), hours (h) or days (d)")
+    return int(found[1]) * {"s": 1, "m": 60, "min": 60, "h": 3600, "d": 86400}[found[2]]

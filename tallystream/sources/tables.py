@@ -12,13 +12,20 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def key_range(spark: SparkSession, keys: DataFrame, column: str) -> DataFrame:
-    """Every whole number from the smallest to the largest key as column ``id``.
+def key_range(spark: SparkSession, keys: DataFrame, column: str, low: int | None = None, high: int | None = None,
+              most_per_key: int = 1000) -> DataFrame:
+    """Every whole number from ``low`` to ``high`` as column ``id``; by default from the smallest key to the largest.
 
-    Only the two bounds reach the driver; the numbers are made in parallel.
+    Only bounds and a count reach the driver; the numbers are made in parallel. A domain with more than
+    ``most_per_key`` numbers for each key is refused: single keys far apart would ask for rows without end.
     """
-    low, high = keys.agg(F.min(column), F.max(column)).first()
-    return spark.range(0) if low is None else spark.range(low, high + 1)
+    least, most, n = keys.agg(F.min(column), F.max(column), F.count(column)).first()
+    low, high = least if low is None else low, most if high is None else high
+    if low is None or high is None:
+        return spark.range(0)
+    if high - low + 1 > max(n, 1) * most_per_key:
+        raise ValueError(f"{high - low + 1} numbers for {n} keys; give bounds, or allow more numbers per key")
+    return spark.range(low, high + 1)
 
 
 def constant_rows(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:

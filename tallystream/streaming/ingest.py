@@ -3,7 +3,10 @@
 Layout under one root::
 
     batches/batch_id=N/verdict=good|bad/<partition>=.../   one folder per micro-batch
-    compacted/span=LO-HI/verdict=.../<partition>=.../      the rows of the batches LO..HI in fewer files
+    late/sweep=K/verdict=.../<partition>=.../              rows of files that came too late for the stream
+    merged/round=K/verdict=.../<partition>=.../            rows of small files in fewer files
+    files/round=K/                                         the files that hold the table's rows after round K
+    ledger/batch_id=N/                                     the input files of a batch (-K: of a sweep), with counts
     checkpoint/                                            progress of the stream
 
 A folder counts once it holds the mark of a finished write. It never changes after that: a batch that
@@ -15,16 +18,19 @@ the good and the bad rows of a batch; they become visible together and the input
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallystream import fixed_values as fixed
 from tallystream.sources import paths
-from tallystream.sources.landing import CORRUPT, MAX_FILE_AGE, stream_lines, with_corrupt
+from tallystream.sources.landing import CORRUPT, MAX_FILE_AGE, SOURCE_FILE, SOURCE_TIME, stream_lines, with_corrupt
 from tallystream.sources.schemas import TELEMETRY
+from tallystream.streaming import ledger
 
 GOOD, BAD = "good", "bad"
 #: Files of a micro-batch unless the caller says otherwise: a backlog comes in as several batches.
@@ -46,7 +52,7 @@ class StreamTable:
     files_per_partition: int | None = None
 
     def __post_init__(self) -> None:
-        taken = {"verdict", "batch_id", CORRUPT} & set(self.schema.fieldNames())
+        taken = {"verdict", "batch_id", CORRUPT, SOURCE_FILE, SOURCE_TIME} & set(self.schema.fieldNames())
         if taken or self.partition not in self.schema.fieldNames():
             raise ValueError(f"columns {sorted(taken)} are taken, and {self.partition} must be a column")
 
@@ -55,8 +61,24 @@ class StreamTable:
         return f"{self.root}/batches"
 
     @property
-    def compacted(self) -> str:
-        return f"{self.root}/compacted"
+    def late(self) -> str:
+        return f"{self.root}/late"
+
+    @property
+    def merged(self) -> str:
+        return f"{self.root}/merged"
+
+    @property
+    def data(self) -> list[str]:
+        return [self.batches, self.late, self.merged]
+
+    @property
+    def files(self) -> str:
+        return f"{self.root}/files"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
 
     @property
     def checkpoint(self) -> str:
@@ -79,31 +101,49 @@ def write_rows(table: StreamTable, rows: DataFrame, folder: str) -> None:
      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder))
 
 
-def _read_rows(spark: SparkSession, table: StreamTable, root: str, names: list[str]) -> DataFrame:
-    """Rows of the named folders below a root, with ``verdict`` and ``batch_id``; no other is listed."""
-    stored = StructType([*with_corrupt(table.schema).fields, StructField("verdict", StringType()),
-                         StructField("batch_id", LongType())])
-    rows = spark.read.schema(stored).option("basePath", root).parquet(*[f"{root}/{name}" for name in names]) \
-        .select(stored.fieldNames())
+def _stored(table: StreamTable) -> StructType:
+    return StructType([*with_corrupt(table.schema).fields, StructField("verdict", StringType()),
+                       StructField("batch_id", LongType())])
+
+
+def read_rows(spark: SparkSession, table: StreamTable, root: str, places: list[str]) -> DataFrame:
+    """Rows of the named files or folders below a root, with ``verdict`` and ``batch_id``; no other is listed."""
+    stored = _stored(table)
+    rows = spark.read.schema(stored).option("basePath", root).parquet(*places).select(stored.fieldNames())
     if _is_text(table):
         value = F.col(table.partition)
         rows = rows.withColumn(table.partition, F.when(value == _EMPTY, F.lit("")).otherwise(value))
     return rows
 
 
+def judged(lines: DataFrame) -> DataFrame:
+    """Lines with their verdict: bad are those that did not parse."""
+    return lines.withColumn("verdict", F.when(F.col(CORRUPT).isNull(), F.lit(GOOD)).otherwise(F.lit(BAD)))
+
+
 def write_batch(table: StreamTable, batch: DataFrame, batch_id: int) -> None:
-    """Write one micro-batch unless it is there already; without a shuffle, each task writes what it read."""
-    folder = f"{table.batches}/batch_id={batch_id}"
-    if paths.is_complete(batch.sparkSession, folder):
+    """Write one micro-batch unless it is there already; without a shuffle, each task writes what it read.
+
+    The rows are counted, and their files noted, while they are written; the ledger gets both afterwards. A batch
+    that was written but not noted, because its job died in between, is counted by itself.
+    """
+    spark, folder = batch.sparkSession, f"{table.batches}/batch_id={batch_id}"
+    noted = f"{table.ledger}/batch_id={batch_id}"
+    known = {SOURCE_FILE, SOURCE_TIME} <= set(batch.columns)
+    facts = ledger.facts(known)
+    if paths.is_complete(spark, folder):
+        if not paths.is_complete(spark, noted):
+            ledger.note(spark, noted, batch.agg(*facts).first().asDict())
         return
-    verdict = F.when(F.col(CORRUPT).isNull(), F.lit(GOOD)).otherwise(F.lit(BAD))
-    rows = batch.withColumn("verdict", verdict)
+    seen = Observation(f"batch {batch_id}")
+    rows = judged(batch).observe(seen, *facts).drop(SOURCE_FILE, SOURCE_TIME)
     if table.files_per_partition:
         # A value that very many rows have is cut into as many pieces as it may have files.
         piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(table.files_per_partition))
         rows = (rows.withColumn("__piece", piece).repartition("verdict", table.partition, "__piece")
                 .drop("__piece"))
     write_rows(table, rows, folder)
+    ledger.note(spark, noted, seen.get)
 
 
 def start_ingest(spark: SparkSession, landing: str, table: StreamTable, *,
@@ -146,61 +186,73 @@ def newest_batch(spark: SparkSession, table: StreamTable, known: int = -1) -> in
     return present
 
 
-def committed_spans(spark: SparkSession, table: StreamTable) -> list[tuple[int, int]]:
-    """Spans of merged batches without overlap, in order; where two begin alike the wider one counts.
+def newest_round(spark: SparkSession, table: StreamTable) -> int:
+    """Number of the last finished merge, -1 when there is none; one that is not finished is written anew."""
+    found = sorted((int(name) for name in paths.children(spark, table.files, "round=")), reverse=True)
+    return next((k for k in found if paths.is_complete(spark, f"{table.files}/round={k}")), -1)
 
-    One listing gives all names, and only the spans that are to be read are looked up for their mark:
-    after a merge of everything that is one, however many merges there were before.
-    """
-    names = paths.children(spark, table.compacted, "span=")
-    found = [tuple(int(part) for part in name.split("-")) for name in names]
-    chosen = []
-    for low, high in sorted(found, key=lambda span: (span[0], -span[1])):
-        if (not chosen or low > chosen[-1][1]) and paths.is_complete(spark, f"{table.compacted}/span={low}-{high}"):
-            chosen.append((low, high))
-    return chosen
 
+def sweeps(spark: SparkSession, table: StreamTable) -> list[int]:
+    """Numbers of the sweeps for late files that are in the ledger, from 1."""
+    found = (int(name) for name in paths.children(spark, table.ledger, "batch_id=-"))
+    return sorted(k for k in found if paths.is_complete(spark, f"{table.ledger}/batch_id=-{k}"))
 
-def read_batches(spark: SparkSession, table: StreamTable, low: int, high: int) -> DataFrame | None:
-    """Rows of the batches ``low``..``high`` as the stream wrote them."""
-    names = [f"batch_id={n}" for n in range(low, high + 1)]
-    return _read_rows(spark, table, table.batches, names) if names else None
 
+@dataclass(frozen=True)
+class Contents:
+    """Where a table's rows lie: files that a merge settled, and the folders that came after it."""
 
-def read_spans(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]]) -> DataFrame | None:
-    """Rows of merged batches; each row still knows its batch."""
-    names = [f"span={low}-{high}" for low, high in spans]
-    return _read_rows(spark, table, table.compacted, names) if names else None
+    settled: list[str]
+    folders: list[str]
+    newest: int
+    last_sweep: int
+    round: int
 
+    def below(self, root: str) -> list[str]:
+        return [place for place in [*self.settled, *self.folders] if place.startswith(f"{root}/")]
 
-def read_from(spark: SparkSession, table: StreamTable, spans: list[tuple[int, int]], low: int, newest: int) -> DataFrame:
-    """Rows of merged spans, the first of which begins at ``low``, and of the batches after them."""
-    merged = read_spans(spark, table, spans)
-    loose = read_batches(spark, table, spans[-1][1] + 1 if spans else low, newest)
-    return loose if merged is None else merged if loose is None else merged.unionByName(loose)
+
+def settled_files(spark: SparkSession, table: StreamTable, number: int) -> DataFrame:
+    """(path, part, bytes, upto, sweep): the files that make up the table after a merge; paths relative to the root."""
+    return spark.read.parquet(f"{table.files}/round={number}")
+
+
+def contents(spark: SparkSession, table: StreamTable) -> Contents:
+    """What is committed now: the files after the last merge, and the batches and sweeps since.
+
+    One row per file reaches the driver, which Spark's own listing of the table would hold there as well.
+    """
+    number = newest_round(spark, table)
+    rows = settled_files(spark, table, number).select("path", "upto", "sweep").collect() if number >= 0 else []
+    upto, sweep = (rows[0]["upto"], rows[0]["sweep"]) if rows else (-1, 0)
+    newest, found = newest_batch(spark, table, known=upto), sweeps(spark, table)
+    folders = [f"{table.batches}/batch_id={n}" for n in range(upto + 1, newest + 1)]
+    folders += [f"{table.late}/sweep={k}" for k in found if k > sweep]
+    return Contents([f"{table.root}/{r['path']}" for r in rows if r["path"]], folders, newest, max([sweep, *found]), number)
+
+
+def committed_parts(spark: SparkSession, table: StreamTable, upto: int | None = None) -> list[DataFrame]:
+    """All committed rows up to a batch, one frame for each kind of folder that holds some."""
+    now, parts = contents(spark, table), []
+    for root in table.data:
+        places = now.below(root)
+        if root == table.batches and upto is not None:
+            places = [place for place in places if int(place[len(root) + 1:].split("/")[0].removeprefix("batch_id=")) <= upto]
+        if places:
+            rows = read_rows(spark, table, root, places)
+            parts.append(rows if upto is None else rows.where(F.col("batch_id") <= upto))
+    return parts
 
 
 def read_committed(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
     """All rows, good and bad, of the committed batches up to ``upto`` (default: the newest now).
 
-    The cut is fixed once, at the start: a batch that commits later is not read, and a compaction that
-    ends later changes only which files hold the same rows.
+    The cut is fixed once, at the start: a batch that commits later is not read, and a merge that ends later
+    changes only which files hold the same rows. Rows of late files belong to the batch after the one that was the
+    newest when they were taken in; without ``upto`` all of them are read.
     """
-    newest = newest_batch(spark, table)
-    cut = newest if upto is None else min(upto, newest)
-    spans = [span for span in committed_spans(spark, table) if span[0] <= cut]
-    merged = spans[-1][1] if spans else -1
-    rows = read_spans(spark, table, spans)
-    if rows is not None and merged > cut:
-        rows = rows.where(F.col("batch_id") <= cut)
-    loose = read_batches(spark, table, merged + 1, cut)
-    if rows is not None and loose is not None:
-        return rows.unionByName(loose)
-    if rows is None and loose is None:
-        return spark.createDataFrame([], StructType([
-            *with_corrupt(table.schema).fields, StructField("verdict", StringType()),
-            StructField("batch_id", LongType())]))
-    return loose if rows is None else rows
+    parts = committed_parts(spark, table, upto)
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], _stored(table))
 
 
 def read_snapshot(spark: SparkSession, table: StreamTable, upto: int | None = None) -> DataFrame:
@@ -213,3 +265,42 @@ def read_quarantine(spark: SparkSession, table: StreamTable, upto: int | None =
     """Text of the lines that did not parse, with the batch they came in."""
     rows = read_committed(spark, table, upto)
     return rows.where(F.col("verdict") == BAD).select("batch_id", F.col(CORRUPT).alias("line"))
+
+
+def batch_counts(spark: SparkSession, table: StreamTable) -> DataFrame:
+    """(batch_id, files, n_rows, n_bad) of each committed batch, and of each sweep -K, as counted while it was written."""
+    return ledger.read(spark, table.ledger).groupBy("batch_id").agg(
+        F.count("file").alias("files"), F.max("n_rows").alias("n_rows"), F.max("n_bad").alias("n_bad"))
+
+
+def late_files(spark: SparkSession, landing: str, table: StreamTable, max_file_age: str = MAX_FILE_AGE) -> DataFrame:
+    """(file, modified, bytes) of the files that the stream will never read: not in the ledger, and too old.
+
+    The stream looks at no file that is older than the newest one it read by more than ``max_file_age``.
+    """
+    known = ledger.read(spark, table.ledger)
+    oldest = known.agg(F.max("modified") - F.expr(f"INTERVAL '{paths.seconds(max_file_age)}' SECOND")).scalar()
+    listed = paths.listing(spark, landing).where(F.col("modified") < oldest)
+    return listed.join(known.select("file"), "file", "left_anti")
+
+
+def take_late(spark: SparkSession, landing: str, table: StreamTable, max_file_age: str = MAX_FILE_AGE,
+              files_per_batch: int = FILES_PER_BATCH) -> int:
+    """Take in the files that came too late for the stream, oldest first, beside it; returns how many there were.
+
+    Each sweep takes ``files_per_batch`` at most. Its rows count once its files stand in the ledger; a sweep that died
+    before is written anew. Run one at a time.
+    """
+    taken = 0
+    while True:
+        found = late_files(spark, landing, table, max_file_age).orderBy("modified", "file").limit(files_per_batch).collect()
+        if not found:
+            return taken
+        number = max([0, *sweeps(spark, table)]) + 1
+        lines = paths.read_lines(spark, [unquote(r["file"]) for r in found], with_corrupt(table.schema), CORRUPT)
+        seen = Observation(f"sweep {number}")
+        rows = judged(lines).withColumn("batch_id", F.lit(newest_batch(spark, table) + 1).cast("bigint"))
+        write_rows(table, rows.observe(seen, *ledger.facts(False)), f"{table.late}/sweep={number}")
+        ledger.note(spark, f"{table.ledger}/batch_id=-{number}",
+                    seen.get | {"files": [(r["file"], r["modified"]) for r in found]})
+        taken += len(found)

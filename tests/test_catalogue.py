@@ -1,0 +1,91 @@
+"""Branches over several tables against a plain version, with odd types, keys and rows."""
+
+import datetime
+import decimal
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallystream.operators import branches, catalogue
+
+REFS = "branch string, created_seq bigint, dropped_seq bigint"
+PEOPLE = "name string, salary decimal(12,2), since timestamp, tags array<string>, odd_name double"
+STOCK = "sku bigint, n int, day date, note string"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    people = catalogue.Table("people", spark.createDataFrame([], PEOPLE).schema, "name")
+    return people, catalogue.Table("stock", spark.createDataFrame([], STOCK).schema, "sku")
+
+
+def person(name, salary="1.10"):
+    return (name, decimal.Decimal(salary), datetime.datetime(2024, 1, 2, 3, 4, 5, 678901), ["a", None], 0.1 + 0.2)
+
+
+def item(sku, n=1, note="x"):
+    return (sku, n, datetime.date(2024, 2, 29), note)
+
+
+def plain(base, refs, log, name, branch):
+    starts = [created for b, created, dropped in refs if b == branch and dropped is None]
+    rows = list(base) if starts else []
+    for owner, seq, op, table, changed in sorted(log, key=lambda change: change[1]):
+        own = starts and owner == branch and seq > min(starts)
+        seen = own or (starts and branch != "main" and owner == "main" and seq <= min(starts))
+        if table != name or not seen:
+            continue
+        keys = {row[0]: row for row in changed}
+        if op == "insert":
+            rows += changed
+        elif op == "delete":
+            rows = [row for row in rows if row[0] is None or row[0] not in keys]
+        else:
+            rows = [keys.get(row[0], row) if row[0] is not None else row for row in rows]
+    return Counter(map(repr, rows))
+
+
+def test_two_tables_through_one_branch(spark, tables, folder):
+    people, stock = tables
+    base = {"people": [person("a"), person("b"), person("b", "7.00"), person(None)], "stock": [item(1), item(2), item(3, 9, None), item(None)]}
+    refs = [("main", 0, None), ("trial", 3, None), ("gone", 1, 8), ("again", 1, 5), ("again", 6, None)]
+    log = [
+        ("main", 1, "update", "people", [person("a", "2.50")]), ("main", 2, "insert", "stock", [item(4, 4, "it's \"q\"")]),
+        ("trial", 4, "delete", "people", [person("b")]), ("trial", 5, "insert", "people", [person("c", "-0.01"), person("b", "3.00")]),
+        ("trial", 6, "update", "stock", [item(3, None, "now")]), ("main", 7, "delete", "stock", [item(1), item(4)]),
+        ("gone", 7, "delete", "stock", [item(2)]), ("again", 4, "delete", "people", [person("a")]), ("again", 9, "update", "stock", [item(2, -5)]),
+        ("trial", 10, "delete", "stock", [item(3)]), ("trial", 11, "insert", "stock", [item(3, 1, "back")])]
+    kinds = {"people": (people, PEOPLE), "stock": (stock, STOCK)}
+    frames = [catalogue.record(spark.createDataFrame(rows, kinds[t][1]), kinds[t][0], op, seq, b) for b, seq, op, t, rows in log]
+    whole = frames[0]
+    for more in frames[1:]:
+        whole = whole.unionByName(more)
+    whole.write.partitionBy("branch").parquet(f"{folder}/log")
+    stored, heads = spark.read.parquet(f"{folder}/log"), spark.createDataFrame(refs, REFS)
+    for name, (table, kind) in kinds.items():
+        for branch in ("main", "trial", "gone", "again", "never"):
+            got = catalogue.read_table(spark.createDataFrame(base[name], kind), heads, stored, table, branch)
+            assert got.schema.simpleString() == table.schema.simpleString()
+            assert Counter(repr(tuple(r)) for r in got.collect()) == plain(base[name], refs, log, name, branch), (name, branch)
+
+
+def test_a_branch_opens_only_its_own_rows(spark, tables, folder):
+    people, stock = tables
+    for table, kind, rows in ((people, PEOPLE, [person("a")]), (stock, STOCK, [item(1)])):
+        for branch in ("main", "trial"):
+            catalogue.record(spark.createDataFrame(rows, kind), table, "insert", 5, branch).write.mode("append").partitionBy(
+                "branch", "tab").parquet(f"{folder}/log")
+    plan = catalogue.changes_of(spark.read.parquet(f"{folder}/log"), stock, "trial")._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "tab" in filters and "branch" in filters
+
+
+def test_what_is_refused(spark, tables):
+    people, stock = tables
+    with pytest.raises(ValueError):
+        catalogue.record(spark.createDataFrame([item(1)], STOCK), stock, "merge", 1)
+    with pytest.raises(ValueError):
+        catalogue.Table("x", stock.schema, "absent")
+    assert catalogue.record(spark.createDataFrame([item(1)], STOCK), stock, "delete", 1).where(F.col("row").isNotNull()).isEmpty()
+    assert branches.MAIN == "main"

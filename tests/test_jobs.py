@@ -1,9 +1,10 @@
+import os
 import uuid
 
 from conftest import SF_DIR
 from tallystream.jobs import check_statements, compact_telemetry, ingest_telemetry, refresh_violations
 from tallystream.streaming import ingest
-from test_streams import land, line, vehicles
+from test_streams import land, line, local, vehicles
 
 
 def test_refresh_shows_sample_and_report(spark, folder, capsys):
@@ -21,11 +22,18 @@ def test_ingest_and_merge(spark, folder, capsys):
     land(f"{folder}/landing", "a.json", [line("one"), line("two", "Platoon_B")])
     ingest_telemetry.main(["--landing", f"{folder}/landing", "--root", f"{folder}/table", "--once",
                            "--files-per-batch", "1", "--files-per-partition", "1"])
+    land(f"{folder}/landing", "b.json", [line("three")])
+    ingest_telemetry.main(["--landing", f"{folder}/landing", "--root", f"{folder}/table", "--once"])
     compact_telemetry.main(["--root", f"{folder}/table"])
-    assert "merged the batches 0 to 0" in capsys.readouterr().out
+    assert "merged 2 files into 1, up to batch 1" in capsys.readouterr().out
     compact_telemetry.main(["--root", f"{folder}/table"])
     assert "nothing to merge" in capsys.readouterr().out
-    assert vehicles(ingest.read_snapshot(spark, ingest.StreamTable(f"{folder}/table"))) == ["one", "two"]
+    land(f"{folder}/landing", "old.json", [line("late")])
+    os.utime(local(f"{folder}/landing/old.json"), (0, 0))
+    ingest_telemetry.main(["--landing", f"{folder}/landing", "--root", f"{folder}/table", "--once"])
+    compact_telemetry.main(["--root", f"{folder}/table", "--landing", f"{folder}/landing"])
+    assert "took in 1 late files" in capsys.readouterr().out
+    assert vehicles(ingest.read_snapshot(spark, ingest.StreamTable(f"{folder}/table"))) == ["late", "one", "three", "two"]
 
 
 def test_statement_check(spark, folder):

@@ -29,6 +29,16 @@ def test_scans_read_the_columns_they_need(spark, name, columns):
         assert sorted(re.findall(r"(\w+):", schema)) == sorted(columns)
 
 
+def test_the_touched_partition_alone_is_read(spark, folder):
+    from pyspark.sql import functions as F
+    from tallystream.operators import changes, writes
+    name = "t_" + folder.rsplit("/", 1)[1].replace("-", "_")
+    writes.create_or_replace(spark.read.parquet(f"{SF_DIR}/orders.parquet"), name, partition_by=["o_orderstatus"], location=f"{folder}/t")
+    rows = spark.table(name).where(F.col("o_totalprice") > 5).select("o_orderstatus", "_metadata.file_path")
+    assert "ReadSchema: struct<o_totalprice:double>" in plan_of(rows)
+    assert changes.delete_in_place(spark, name, F.col("o_orderkey") < -1, "o_orderstatus") == []
+
+
 @pytest.mark.parametrize("name", ["table_scan", "derived_projection", "category_pick", "clamp_round", "vehicle_key",
                                   "json_props", "update_where", "statement_clean", "statement_split",
                                   "statement_guard", "guard_outcome", "epoch_offset_timestamp"])

@@ -54,8 +54,14 @@ def test_settings_are_put_back(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_foreign_sessions_are_put_into_utc(spark):
-    with session.settings(spark, spark__sql__session__timeZone="Asia/Tokyo", spark__sql__ansi__enabled="false"):
-        session.prepare(spark)
-        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-        assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+def test_foreign_sessions_stay_as_they_are(spark):
+    assert session.prepare(spark) is spark
+    foreign = spark.newSession()
+    for name, value in [("session.timeZone", "Asia/Tokyo"), ("ansi.enabled", "false"), ("shuffle.partitions", "3")]:
+        foreign.conf.set(f"spark.sql.{name}", value)
+    own = session.prepare(foreign)
+    assert session.prepare(foreign) is own is not foreign
+    assert [own.conf.get(f"spark.sql.{name}") for name in ("session.timeZone", "ansi.enabled", "shuffle.partitions")] == ["UTC", "true", "3"]
+    assert foreign.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo" and foreign.conf.get("spark.sql.ansi.enabled") == "false"
+    foreign.conf.set("spark.sql.shuffle.partitions", "5")
+    assert session.prepare(foreign).conf.get("spark.sql.shuffle.partitions") == "5"

@@ -13,8 +13,8 @@ from tallystream.operators import maintenance
 from tallystream.operators.branches import row_differences
 from tallystream.session import settings
 from tallystream.sources.landing import export_lines
-from tallystream.sources.schemas import TELEMETRY
-from tallystream.streaming import ingest
+from tallystream.sources.schemas import TELEMETRY, schema_of
+from tallystream.streaming import ingest, quarantine
 
 
 @pytest.fixture
@@ -170,6 +170,8 @@ def test_nothing_yet(spark, table):
     assert maintenance.compact(spark, table) is None
     with pytest.raises(ValueError):
         maintenance.audit_table(spark, table)
+    with pytest.raises(ValueError):
+        maintenance.table_files(spark, table)
 
 
 def streamed(spark, table, folder, batches=4, rows=400):
@@ -210,23 +212,62 @@ def test_round_trip_to_the_microsecond(spark, table, folder):
 
 def test_compaction_keeps_rows_and_leaves_fewer_files(spark, table, folder):
     data = streamed(spark, table, folder)
-    before = maintenance.audit_table(spark, table).agg(F.sum("row_count"), F.sum("file_count"), F.sum("small_files")).first()
-    assert maintenance.compact(spark, table) == (0, 4)
-    after = maintenance.audit_table(spark, table, merged=True).agg(F.sum("row_count"), F.sum("file_count")).first()
+    sums = [F.sum("row_count"), F.sum("file_count"), F.sum("small_files")]
+    before = maintenance.audit_table(spark, table).agg(*sums).first()
+    done = maintenance.compact(spark, table)
+    after = maintenance.audit_table(spark, table).agg(*sums).first()
     assert before[0] == after[0] == 400 and after[1] == 3 < before[1] == before[2]
+    # The one file of bad lines has none to be merged with.
+    assert (done.number, done.merged, done.written, done.upto) == (0, before[1], 3, 4)
     assert row_differences(ingest.read_snapshot(spark, table), data).isEmpty()
     assert ingest.read_quarantine(spark, table).count() == 1
     assert maintenance.compact(spark, table) is None
-    assert "compacted" in ingest.read_snapshot(spark, table).inputFiles()[0]
+    assert sum("/merged/" in file for file in ingest.read_snapshot(spark, table).inputFiles()) == 3
+
+
+def test_merged_files_have_the_size_of_their_bin(spark, table, folder):
+    streamed(spark, table, folder, batches=12, rows=12000)
+    files = maintenance.table_files(spark, table)
+    most = files.agg(F.max("bytes")).first()[0]
+    target = 4 * most
+    planned = maintenance.bins(files, target).select("part", "bin").distinct().count()
+    done = maintenance.compact(spark, table, target_bytes=target)
+    merged = maintenance.table_files(spark, table).where("path LIKE 'merged/%'")
+    assert planned == done.written == merged.count() and planned > 3
+    assert merged.agg(F.max("bytes")).first()[0] < 2 * target
+
 
+def listed(*files):
+    return [(f"f{k}", part, size) for k, (part, size) in enumerate(files)]
 
-def test_a_large_partition_is_split_by_size(spark, table, folder):
-    streamed(spark, table, folder, rows=20000)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    maintenance.compact(spark, table, target_bytes=60_000)
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
-    audit = {r.cooperative_platoon_id: r.file_count for r in maintenance.audit_table(spark, table, merged=True).collect()}
-    assert audit["Platoon_A"] >= 4 and audit["Platoon_A"] > audit["Platoon_B"]
+
+def test_bins_of_a_listing(spark):
+    files = listed(("a", 10), ("a", 60), ("a", 30), ("a", 20), ("a", 40), ("a", 75), ("a", 200), ("b", 5), ("c", 74), ("c", 74), (None, 1), (None, 2))
+    rows = spark.createDataFrame(files, "path string, part string, bytes long")
+    got = {r.path: r.bin for r in maintenance.bins(rows, 100).collect()}
+    # By size 10, 20, 30, 40 fill the first bin; 60 begins at 100 and stays alone, as does the only small file of b.
+    assert got == {"f0": 0, "f3": 0, "f2": 0, "f4": 0, "f8": 0, "f9": 0, "f10": 0, "f11": 0}
+    told = {r.part: (r.file_count, r.bytes, r.small_files, r.files_after) for r in maintenance.audit(rows, 100).collect()}
+    assert told == {"a": (7, 435, 5, 4), "b": (1, 5, 1, 1), "c": (2, 148, 2, 1), None: (2, 3, 2, 1)}
+
+
+def test_large_files_are_untouched_after_six_rounds(spark, table, folder):
+    landing, states = f"{folder}/landing", {}
+    land(landing, "large.json", [line(f"large{n:04}-" + os.urandom(40).hex()) for n in range(600)])
+    ingest.ingest_available(spark, landing, table)
+    large = maintenance.table_files(spark, table).first()
+    target = large.bytes
+    for n in range(6):
+        for k in range(2):
+            land(landing, f"{n}-{k}.json", [line(f"v{n}-{k}"), line(f"w{n}-{k}", "Platoon_B")])
+            ingest.ingest_available(spark, landing, table)
+        done = maintenance.compact(spark, table, target_bytes=target)
+        assert done.number == n and done.merged == (4 if n == 0 else 6) and done.written == 2
+        files = {r.path: r.bytes for r in maintenance.table_files(spark, table).collect()}
+        assert large.path in files and len(files) == 3
+        states[n] = os.stat(os.path.join(local(folder), large.path)).st_mtime_ns
+    assert len(set(states.values())) == 1
+    assert len(vehicles(ingest.read_snapshot(spark, table))) == 600 + 24
 
 
 def test_cuts_before_between_and_after_merges(spark, table, folder):
@@ -236,35 +277,41 @@ def test_cuts_before_between_and_after_merges(spark, table, folder):
         land(landing, f"{n}.json", [line(f"v{n}"), "{"])
         ingest.ingest_available(spark, landing, table)
         expected.append(f"v{n}")
-        if n in (1, 2):
+        if n in (1, 2, 4):
             maintenance.compact(spark, table)
         for cut in range(n + 1):
             assert vehicles(ingest.read_snapshot(spark, table, upto=cut)) == expected[:cut + 1]
             assert ingest.read_quarantine(spark, table, upto=cut).count() == cut + 1
-    assert ingest.committed_spans(spark, table) == [(0, 2)]
-    assert maintenance.compact(spark, table, again=True) == (0, 4)
-    assert ingest.committed_spans(spark, table) == [(0, 4)]
-    assert [vehicles(ingest.read_snapshot(spark, table, upto=cut)) for cut in range(5)] == \
-        [expected[:cut + 1] for cut in range(5)]
+    assert ingest.newest_round(spark, table) == 2
 
 
 def test_an_unfinished_merge_is_not_read(spark, table, folder):
     landing = f"{folder}/landing"
-    for n in range(3):
+    for n in range(4):
         land(landing, f"{n}.json", [line(f"v{n}")])
         ingest.ingest_available(spark, landing, table)
         if n == 1:
             maintenance.compact(spark, table)
-    maintenance.compact(spark, table, again=True)
-    mark = os.path.join(local(table.compacted), "span=0-2", "_SUCCESS")
+    assert maintenance.compact(spark, table).number == 1
+    mark = os.path.join(local(table.files), "round=1", "_SUCCESS")
     os.rename(mark, mark.replace("_SUCCESS", "_taken"))
-    assert ingest.committed_spans(spark, table) == [(0, 1)]
-    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
-    assert maintenance.compact(spark, table) == (0, 2)
-    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
-    assert maintenance.compact(spark, table, again=True) == (0, 2)
-    assert ingest.committed_spans(spark, table) == [(0, 2)]
-    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2"]
+    assert ingest.newest_round(spark, table) == 0
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2", "v3"]
+    assert maintenance.compact(spark, table).number == 1
+    assert ingest.newest_round(spark, table) == 1
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["v0", "v1", "v2", "v3"]
+
+
+def test_values_that_folders_write_otherwise_are_merged(spark, table, folder):
+    odd = ["a/b=c 007", "50%+1 {x}", "", "naïve 漢", "[q]*?"]
+    for n in range(2):
+        land(f"{folder}/landing", f"{n} +%.json", [line(f"v{n}{k}", platoon) for k, platoon in enumerate(odd)] + ['{"vehicle_id":"none"}'])
+        ingest.ingest_available(spark, f"{folder}/landing", table)
+    done = maintenance.compact(spark, table)
+    assert (done.merged, done.written) == (12, 6)
+    rows = Counter((r.vehicle_id[2:], r.cooperative_platoon_id) for r in ingest.read_snapshot(spark, table).collect())
+    assert rows == Counter({**{(str(k), platoon): 2 for k, platoon in enumerate(odd)}, ("ne", None): 2})
+    assert ingest.late_files(spark, f"{folder}/landing", table, "0s").isEmpty()
 
 
 def test_reading_and_merging_while_the_stream_runs(spark, table, folder):
@@ -308,15 +355,104 @@ def test_export_by_tick(spark, folder):
     assert back.where("tick <> floor(unix_timestamp(timestamp) / 10) * 10").isEmpty()
 
 
-def test_a_late_file_is_taken_in(spark, table, folder):
-    """A file whose time lies eight days before the newest one is read like any other."""
+def aged(folder, name, days):
+    then = time.time() - days * 86400
+    os.utime(os.path.join(local(folder), name), (then, then))
+
+
+def test_late_files_are_found_and_taken_in_once(spark, table, folder):
+    """Files whose time lies eight days before the newest one are not read by the stream, but by the sweep."""
+    landing = f"{folder}/landing"
+    for name, age in [("new", 0), ("late", 8), ("later", 9), ("x", 1)]:
+        land(landing, f"{name}.json", [line(name), "{"] if age > 8 else [line(name)])
+        aged(landing, f"{name}.json", age)
+        ingest.ingest_available(spark, landing, table)
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["new", "x"]
+    found = ingest.late_files(spark, landing, table)
+    assert sorted(r.file.rsplit("/", 1)[1] for r in found.collect()) == ["late.json", "later.json"]
+    cut = ingest.newest_batch(spark, table)
+    assert ingest.take_late(spark, landing, table, files_per_batch=1) == 2
+    assert ingest.late_files(spark, landing, table).isEmpty() and ingest.take_late(spark, landing, table) == 0
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["late", "later", "new", "x"]
+    assert ingest.read_quarantine(spark, table).count() == 1
+    # An earlier cut does not change; the next one has the late rows.
+    assert vehicles(ingest.read_snapshot(spark, table, upto=cut)) == ["new", "x"]
+    land(landing, "y.json", [line("y")])
+    ingest.ingest_available(spark, landing, table)
+    maintenance.compact(spark, table)
+    assert vehicles(ingest.read_snapshot(spark, table, upto=cut + 1)) == ["late", "later", "new", "x", "y"]
+    assert vehicles(ingest.read_snapshot(spark, table, upto=cut)) == ["new", "x"]
+    counts = {r.batch_id: (r.files, r.n_rows, r.n_bad) for r in ingest.batch_counts(spark, table).collect()}
+    assert counts == {0: (1, 1, 0), 1: (1, 1, 0), 2: (1, 1, 0), -1: (1, 2, 1), -2: (1, 1, 0)}
+
+
+def test_a_sweep_that_died_is_taken_again(spark, table, folder):
     landing = f"{folder}/landing"
-    for name, age in [("new", 0), ("late", 8), ("x", 0)]:
+    for name, age in [("new", 0), ("late", 8)]:
         land(landing, f"{name}.json", [line(name)])
-        then = time.time() - age * 86400
-        os.utime(os.path.join(local(landing), f"{name}.json"), (then, then))
+        aged(landing, f"{name}.json", age)
         ingest.ingest_available(spark, landing, table)
-    assert vehicles(ingest.read_snapshot(spark, table)) == ["late", "new", "x"]
+    ingest.take_late(spark, landing, table)
+    noted = os.path.join(local(table.ledger), "batch_id=-1")
+    os.rename(noted, os.path.join(local(folder), "taken"))
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["new"]
+    assert ingest.take_late(spark, landing, table) == 1
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["late", "new"]
+
+
+def test_a_batch_that_was_not_noted_is_noted_when_it_is_replayed(spark, table, folder):
+    land(f"{folder}/landing", "a.json", [line("one"), "{"])
+    ingest.ingest_available(spark, f"{folder}/landing", table)
+    before = [tuple(r) for r in ingest.batch_counts(spark, table).collect()]
+    noted = os.path.join(local(table.ledger), "batch_id=0")
+    os.rename(noted, os.path.join(local(folder), "taken"))
+    commits = os.path.join(local(table.checkpoint), "commits")
+    for name in ("0", ".0.crc"):
+        os.rename(os.path.join(commits, name), os.path.join(local(folder), "taken-" + name.strip(".")))
+    ingest.ingest_available(spark, f"{folder}/landing", table)
+    assert [tuple(r) for r in ingest.batch_counts(spark, table).collect()] == before == [(0, 1, 2, 1)]
+    assert vehicles(ingest.read_snapshot(spark, table)) == ["one"]
+
+
+def test_counts_of_a_running_stream_are_those_of_the_table(spark, table, folder):
+    landing = f"{folder}/landing"
+    land(landing, "0.json", [line("v0"), "{"])
+    query = ingest.start_ingest(spark, landing, table, interval="200 milliseconds", files_per_batch=1)
+    try:
+        for n in range(1, 4):
+            with open(os.path.join(local(folder), f"{n}"), "w") as out:
+                out.write(line(f"v{n}") + "\n{}\n{\n")
+            os.rename(os.path.join(local(folder), f"{n}"), os.path.join(local(landing), f"{n}.json"))
+        deadline = time.time() + 60
+        while ingest.batch_counts(spark, table).count() < 4 and time.time() < deadline:
+            time.sleep(0.3)
+    finally:
+        query.stop()
+    counted = {r.batch_id: (r.n_rows, r.n_bad) for r in ingest.batch_counts(spark, table).collect()}
+    held = {r.batch_id: (r.n, r.bad) for r in ingest.read_committed(spark, table).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "bad").alias("bad")).collect()}
+    assert counted == held and sum(n for n, _ in held.values()) == 11 and sum(bad for _, bad in held.values()) == 4
+
+
+def test_why_lines_were_set_aside(spark):
+    fields = schema_of({"n": "bigint", "x": "double", "ok": "boolean", "s": "string", "t": "timestamp", "it's": "int"})
+    good = '"n":1,"x":2.5,"ok":true,"s":"a","t":"2025-01-01T00:00:00"'
+    lines = {
+        '{"n":': ("not json", []), "": ("not json", []), "[1]": ("not an object", []), "7": ("not an object", []),
+        "{" + good + "}": ("unknown", []), '{"n":"1"}': ("n", ["n"]), '{"n":1.5,"x":"NaN"}': ("n", ["n"]), '{"n":null,"x":"q"}': ("x", ["x"]),
+        '{"ok":"true","s":{"a":1},"t":"soon"}': ("ok,t", ["ok", "t"]), '{"it\'s":99999999999,"x":3}': ("it's", ["it's"]),
+        '{"x":[1],"s":5,"n":12}': ("x", ["x"])}
+    rows = spark.createDataFrame([(line,) for line in lines] + [(None,)], "line string")
+    got = {r.line: r for r in quarantine.explain(rows, fields).collect()}
+    assert {k: (r.reason, r.failed) for k, r in got.items()} == {**lines, None: ("not json", [])}
+    assert got['{"x":[1],"s":5,"n":12}'].kept.asDict() == {"n": 12, "x": None, "ok": None, "s": "5", "t": None, "it's": None}
+    kept = got["{" + good + "}"].kept
+    assert (kept.n, kept.x, kept.ok, kept.s) == (1, 2.5, True, "a") and kept.t is not None
+    # What the stream reads, no field is found to fail; what it sets aside is explained.
+    parsed = rows.select("line", F.from_json("line", StructType([*fields, StructField("_c", StringType())]), {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_c"}).alias("p")).where("line IS NOT NULL AND line <> ''")
+    for r in parsed.collect():
+        assert (r.p is None or r.p["_c"] is not None) == (got[r.line].reason != "unknown"), r.line
 
 
 def test_a_backlog_comes_in_as_several_batches(spark, table, folder):
@@ -325,20 +461,3 @@ def test_a_backlog_comes_in_as_several_batches(spark, table, folder):
     ingest.ingest_available(spark, f"{folder}/landing", table, files_per_batch=3)
     assert ingest.newest_batch(spark, table) == 2
     assert len(vehicles(ingest.read_snapshot(spark, table))) == 7
-
-
-def test_rounds_of_merging_leave_one_small_file_per_value(spark, table, folder):
-    """The audit sends small merged files into the next merge and leaves spans of large files as they are."""
-    landing = f"{folder}/landing"
-    for n in range(6):
-        land(landing, f"{n}.json", [line(f"v{n}"), line(f"w{n}", "Platoon_B")])
-        ingest.ingest_available(spark, landing, table)
-        maintenance.compact(spark, table)
-        assert ingest.committed_spans(spark, table) == [(0, n)]
-        assert {r.small_files for r in maintenance.audit_table(spark, table, merged=True).collect()} == {1}
-    for n in range(6, 8):
-        land(landing, f"{n}.json", [line(f"v{n}")])
-        ingest.ingest_available(spark, landing, table)
-        maintenance.compact(spark, table, target_bytes=1000)
-    assert ingest.committed_spans(spark, table) == [(0, 5), (6, 6), (7, 7)]
-    assert len(vehicles(ingest.read_snapshot(spark, table))) == 14

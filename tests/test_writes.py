@@ -1,4 +1,7 @@
+import os
+import threading
 import uuid
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystream.operators import changes, reports, writes
 from tallystream.sources.schemas import schema_of
+from tallystream.sources.tables import key_range
 
 SALARIES = schema_of({"name": "string", "salary": "int"})
 PAIRS = [("Alice", 1), ("Bob", 2), (None, 7)]
@@ -80,6 +84,116 @@ def test_a_failed_replace_keeps_the_old_rows(spark, name, folder):
         writes.full_refresh(spark.range(2), name, location=f"{folder}/4")
 
 
+@pytest.mark.parametrize("partition_by", [None, ["part"]])
+def test_a_name_resolves_throughout_a_refresh(spark, name, folder, partition_by):
+    """Readers that look the table up all the time find the rows of one refresh or of the next, and never none."""
+    def rows(k):
+        return spark.range(20).select(F.lit(k).alias("k"), (F.col("id") % 3).alias("part"))
+
+    writes.full_refresh(rows(0), name, location=f"{folder}/0", partition_by=partition_by)
+    seen, stop = [], threading.Event()
+
+    def look():
+        mine = spark.newSession()
+        while not stop.is_set():
+            try:
+                seen.append({tuple(r) for r in mine.table(name).groupBy("k").count().collect()})
+            except Exception as error:  # noqa: BLE001
+                seen.append(repr(error))
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for k in range(1, 6):
+        writes.full_refresh(rows(k), name, location=f"{folder}/{k}", partition_by=partition_by)
+        assert spark.table(name).select("k").distinct().collect()[0][0] == k
+    stop.set()
+    reader.join()
+    assert seen and all(found in [{(k, 20)} for k in range(6)] for found in seen), [x for x in seen if isinstance(x, str)][:1]
+
+
+def test_a_table_with_other_columns_or_layout_is_made_anew(spark, name, folder):
+    writes.create_or_replace(spark.range(3), name, location=f"{folder}/1")
+    writes.create_or_replace(spark.range(4).withColumn("p", F.col("id") % 2), name, location=f"{folder}/2", partition_by=["p"])
+    assert spark.table(name).count() == 4 and spark.table(name).columns == ["id", "p"]
+    writes.create_or_replace(spark.range(5).withColumn("p", F.col("id") % 2), name, location=f"{folder}/3")
+    assert spark.table(name).count() == 5
+    strict = name + "_s"
+    writes.create_from(spark.range(6).withColumn("p", F.col("id") % 2), strict, partition_by=["p"], location=f"{folder}/4")
+    writes.create_or_replace(spark.range(7).withColumn("p", F.col("id") % 3), strict, partition_by=["p"], location=f"{folder}/5")
+    assert spark.table(strict).count() == 7 and spark.table(strict).select("p").distinct().count() == 3
+
+
+def states_of(folder):
+    found = {}
+    for at, _, names in os.walk(urlparse(folder).path):
+        for file in names:
+            if file.endswith(".parquet"):
+                place = os.path.join(at, file)
+                found[place] = (os.path.basename(at), os.stat(place).st_mtime_ns)
+    return found
+
+
+ODD_PARTS = ["a", "b", None, "c d/e=%", "x+y"]
+
+
+@pytest.fixture
+def parted(spark, name, folder):
+    rows = spark.createDataFrame([(n, ODD_PARTS[n % 5], float(n)) for n in range(50)], "id long, part string, v double")
+    writes.create_or_replace(rows, name, location=f"{folder}/t", partition_by=["part"])
+    return rows.select("id", "v", "part")
+
+
+def test_a_delete_in_place_leaves_other_partitions_alone(spark, name, folder, parted):
+    before = states_of(f"{folder}/t")
+    condition = (F.col("id") < 20) & F.col("part").isin("a", "x+y")
+    assert changes.delete_in_place(spark, name, condition, "part") == ["a", "x+y"]
+    after = states_of(f"{folder}/t")
+    same = {k: v for k, v in before.items() if v[0] not in ("part=a", "part=x+y")}
+    assert same.items() <= after.items() and len(same) >= 3
+    assert not {k for k, v in before.items() if v[0] == "part=a"} & set(after)
+    assert rows_of(spark.table(name)) == rows_of(changes.delete_where(parted, condition))
+
+
+@pytest.mark.parametrize("part", ODD_PARTS)
+def test_a_partition_that_loses_all_rows_goes(spark, name, folder, parted, part):
+    before = states_of(f"{folder}/t")
+    condition = F.col("part").eqNullSafe(F.lit(part)) | (F.col("id") == 0)
+    changes.delete_in_place(spark, name, condition, "part")
+    assert rows_of(spark.table(name)) == rows_of(changes.delete_where(parted, condition))
+    assert len({v[0] for v in states_of(f"{folder}/t").values()}) == 4 == len({v[0] for v in before.values()}) - 1
+    assert changes.delete_in_place(spark, name, condition, "part") == []
+
+
+def test_an_update_in_place_keeps_rows_in_their_partitions(spark, name, folder, parted):
+    before = states_of(f"{folder}/t")
+    condition = F.col("part").isNull() & (F.col("id") > 10)
+    assert changes.update_in_place(spark, name, condition, "part", {"v": F.col("v") + F.col("id")}) == [None]
+    after = states_of(f"{folder}/t")
+    assert {k for k in before if before[k] != after.get(k)} == {k for k, v in before.items() if "HIVE_DEFAULT" in v[0]}
+    assert rows_of(spark.table(name)) == rows_of(changes.update_where(parted, condition, {"v": F.col("v") + F.col("id")}))
+    with pytest.raises(ValueError):
+        changes.update_in_place(spark, name, condition, "part", {"part": F.lit("z")})
+
+
+def test_a_key_range_is_refused_where_keys_are_far_apart(spark):
+    keys = spark.createDataFrame([(1,), (10 ** 12,), (None,)], "k long")
+    with pytest.raises(ValueError):
+        key_range(spark, keys, "k")
+    assert key_range(spark, keys, "k", high=20).count() == 20
+    assert key_range(spark, keys.where("k < 2"), "k", low=-3).count() == 5
+    assert key_range(spark, keys.limit(0), "k").count() == 0
+
+
+@pytest.mark.parametrize("rows, width", [(3, 20), (10, 8), (1, 20)])
+def test_the_drawn_preview_is_the_one_a_shell_shows(spark, rows, width):
+    data = spark.createDataFrame(
+        [(k, text, None if k % 2 else 1.5) for k, text in enumerate(["plain", "tab\there", "漢字 and more than that", "x" * 40, None, ""])],
+        "id int, a_rather_long_column_name_here string, `dotted.name` double")
+    for frame in (data, data.limit(0), data.limit(rows)):
+        drawn = [r.text for r in reports.shown_text(frame, "id", rows=rows, width=width).orderBy("line").collect()]
+        assert "\n".join(drawn) + "\n" == frame.orderBy("id")._jdf.showString(rows, width, False).rstrip("\n") + "\n"
+
+
 def test_delete_keeps_rows_with_an_unknown_predicate(spark):
     rows = spark.createDataFrame(PAIRS, SALARIES)
     assert rows_of(changes.delete_where(rows, F.col("name") == "Alice")) == [("Bob", 2), (None, 7)]
