@@ -22,11 +22,11 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from tallystream.llm.common import components, merge_labels, settle
 
@@ -51,17 +51,18 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(starts)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp) for each row."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, mark: Column | None = None) -> DataFrame:
+    """(id, fp, mark) for each row; the mark is a long that the caller wants to find the row by."""
     def of(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([fingerprint(x.as_py() or b"", shingle) for x in texts], pa.int64())],
-                ["id", "fp"])
+                [batch.column(0), pa.array([fingerprint(x.as_py() or b"", shingle) for x in texts], pa.int64()), batch.column(2)],
+                ["id", "fp", "mark"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(of, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                       (F.lit(0).cast("long") if mark is None else mark).alias("mark"))
+    return rows.mapInArrow(of, "id long, fp long, mark long")
 
 
 def gray_rank(code: Column) -> Column:
@@ -213,17 +214,9 @@ def fingerprint_links(codes: DataFrame, max_bits: int, part_rows: int = 4096, le
     return placed.mapInArrow(_links_of_sorted(max_bits), "a long, b long")
 
 
-def fingerprint_of(text: Column, shingle: int) -> Column:
-    """The fingerprint of a text, beside the row's other columns."""
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(x.encode() if x else b"", shingle) for x in texts], dtype="int64")
-    return of(text.cast("string"))
-
-
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
     """(id, fp, root, component, code_rows) for each row; root names its group."""
-    prints = settle(fingerprints(docs, id_col, text_col, shingle), "prints")
+    prints = settle(fingerprints(docs, id_col, text_col, shingle).select("id", "fp"), "prints")
     codes = settle(prints.groupBy(F.col("fp").alias("code")).agg(
         F.min("id").alias("least"), F.count("*").alias("code_rows")), "codes")
     roots = components(fingerprint_links(codes.select("code"), max_bits))
@@ -240,25 +233,45 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _grouped(docs, id_col, text_col, shingle, max_bits).select("id", "fp", "component", "code_rows")
 
 
+def _holds_map(kind: DataType) -> bool:
+    inner = [f.dataType for f in kind.fields] if isinstance(kind, StructType) else (
+        [kind.elementType] if isinstance(kind, ArrayType) else [])
+    return isinstance(kind, MapType) or any(map(_holds_map, inner))
+
+
+def row_mark(rows: DataFrame) -> Column:
+    """A hash over all columns of a row; maps, which have none, are hashed as text."""
+    columns = [rows["`" + f.name.replace("`", "``") + "`"] for f in rows.schema]
+    return F.xxhash64(*(c.cast("string") if _holds_map(f.dataType) else c for c, f in zip(columns, rows.schema)))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
              max_bits: int = 4) -> DataFrame:
     """The documents with one row of each group: that of the smallest id; all its columns are kept.
 
-    Of a group's rows that repeat this id, the least by all columns stays; rows of an id with texts of several
-    groups are judged in each. Rows without an id all stay, as nothing tells them apart; they take no part in the
-    groups.
+    Of a group's rows that repeat this id, the one of the least hash over all columns stays, and one of rows that are
+    equal in all columns; rows of an id with texts of several groups are judged in each. Rows without an id all stay,
+    as nothing tells them apart; they take no part in the groups.
+
+    Each text is fingerprinted once. What stays is decided on ids, fingerprints and row hashes; the documents then go
+    through one semi-join with the rows that stay, of the same kind at every size.
     """
     known = docs.where(F.col(id_col).isNotNull())
-    groups = _grouped(known, id_col, text_col, shingle, max_bits)
-    first = F.col("id") == F.col("component")
-    chosen = settle(groups.groupBy(F.col("id").alias("_kept")).agg(
-        F.count("*").alias("count"), F.max(first).alias("first")).where("first"), "chosen")
-    one, more = chosen.where("count = 1"), chosen.where("count > 1")
-    stay = known.join(one, known[id_col] == one["_kept"], "left_semi")
-    # An id that repeats can have texts of several groups: its rows are found again by id and fingerprint.
-    several = known.join(more, known[id_col] == more["_kept"], "left_semi").select(
-        F.col(id_col).cast("long").alias("id"), fingerprint_of(F.col(text_col), shingle).alias("fp"),
-        F.struct(*docs.columns).alias("row"))
-    heads = groups.where(first).join(more, F.col("id") == F.col("_kept"), "left_semi").select("id", "fp", "root").distinct()
-    least = several.join(heads, ["id", "fp"]).groupBy("root").agg(F.min("row").alias("row")).select("row.*")
-    return stay.unionByName(least).unionByName(docs.where(F.col(id_col).isNull()))
+    prints = settle(fingerprints(known, id_col, text_col, shingle, row_mark(known)), "prints")
+    rows = prints.groupBy("fp", "id", "mark").agg(F.count("*").alias("copies"))
+    codes = settle(rows.groupBy(F.col("fp").alias("code")).agg(F.min(F.struct("id", "mark", "copies")).alias("least")), "codes")
+    roots = components(fingerprint_links(codes.select("code"), max_bits)).withColumnRenamed("id", "code")
+    heads = codes.join(roots, "code", "left").groupBy(F.coalesce("root", "code").alias("root")).agg(F.min("least").alias("least"))
+    chosen = settle(heads.select("least.*"), "chosen")
+
+    def found(some: DataFrame) -> DataFrame:
+        return known.join(some.hint("shuffle_hash"), (known[id_col].cast("long") == some["id"]) & (row_mark(known) == some["mark"]),
+                          "left_semi")
+
+    stay = found(chosen.where("copies = 1"))
+    several = chosen.where("copies > 1")
+    if several.limit(1).count():
+        again = found(several)
+        stay = stay.unionByName(again.groupBy(again[id_col].alias("id"), row_mark(again).alias("mark")).agg(
+            F.any_value(F.struct(*again.columns)).alias("row")).select("row.*"))
+    return stay.unionByName(docs.where(F.col(id_col).isNull()))
