@@ -1,45 +1,38 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, or a window of consecutive words that goes on across line ends, so that a sentence
-wrapped over lines is found. A window is as long as the template divided by ``containment``, in words. A template
-matches a block if the share of its distinct words that the block holds is at least ``containment``. Template words are ordered by the number of blocks that hold them, rarest first,
-counted over all documents. A matching block must hold one of a template's first |T| - ceil(c |T|) + 1 words
-(prefix filter), have at least ceil(c |T|) distinct words (length filter), and the first word found must leave
-enough words behind it in the template and in the block (positional filter). What passes is counted exactly.
-Windows go through the filters in stretches of twice the longest window, each starting in the middle of the one
-before, so that every window lies in a stretch; in those that pass, each window is counted.
-
-Texts are read and reduced once, within each row, to their phrase places and to the template words of each
-line and stretch; only those are written, counted and joined. The templates' words are the one broadcast table; its size
-is that of the template list.
-
-A null text counts as empty. A null id is kept. Rows that repeat id and text get the same result each; rows of
-one id with different texts are told apart by the text's hash. Empty tables give no rows. Other columns are
-neither read nor returned. DataFrame functions only.
+A block is a window of consecutive words, whatever line ends lie between them; for a template of n words it has
+n / ``containment`` words. A template matches a block if the share of the template's distinct words that the block
+holds is at least ``containment`` and the words that name the license, where a template has such, are all among them.
+Template words are ordered by the number of documents that hold them, rarest first, counted over all documents. A
+document with a matching block must hold one of a template's first |T| - ceil(c |T|) + 1 words (prefix filter), have at
+least ceil(c |T|) of the templates' words (length filter), and the first word found must leave enough words behind it
+in the template and in the document (positional filter). For what passes, all blocks are counted exactly in one sweep:
+a word that stands at place p is in the blocks that start behind its place before and at most a block's length before
+p, so a running sum over starts and ends of these stretches gives every block's number of distinct words.
+
+Texts are read once and reduced, within each row, to their phrase places and to the template words that they hold, with
+places only where a template can match at all; only those are written, counted and joined. The templates' words are
+the one broadcast table; its size is that of the template list.
+
+A null text counts as empty. A null id is kept. Every row is judged by itself, also where rows repeat an id. Empty
+tables give no rows. Texts are read whole, however long. Other columns are neither read nor returned. DataFrame
+functions only.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystream.llm.common import settle
+from tallystream.llm.license_texts import TEMPLATES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-NO_WORD_BUT_LINE_END = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-            "associated documentation files"),
-    ("apache-2.0", "licensed under the apache license version 2 0"),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-)
+Templates = tuple[tuple[str, str, str], ...]
 
 
 def _places(words: Column, joined: Column, phrase: str) -> Column:
@@ -62,104 +55,101 @@ def needed(words: int, containment: float) -> int:
 
 
 def window(text: str, containment: float) -> int:
-    """How many consecutive words a template is looked for in, across line ends."""
+    """How many consecutive words make a block for a template."""
     return math.ceil(len(text.split(" ")) / containment - 1e-9)
 
 
-def reduced(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], vocabulary: list[str], reach: int,
-            least: int) -> DataFrame:
-    """One row per text: phrase places, and blocks of template words with their number of distinct words.
+def _can_match(held: Column, templates: Templates, containment: float) -> Column:
+    """Whether the words held are enough for any template."""
+    found = F.lit(False)
+    for _, must, text in templates:
+        words = sorted(set(text.split(" ")))
+        enough = F.size(F.array_intersect(held, F.lit(words))) >= needed(len(words), containment)
+        for word in must.split():
+            enough = F.array_contains(held, word) & enough
+        found = found | enough
+    return found
 
-    Blocks are the lines with template words and, where a text has several lines, the stretches of 2 ``reach``
-    words with ``least`` template words or more; these also have the words' positions.
-    """
+
+def reduced(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], templates: Templates,
+            containment: float) -> DataFrame:
+    """One row per text: phrase places, the distinct template words held, and their places where a template can match."""
+    vocabulary = F.lit(sorted({word for _, _, text in templates for word in text.split(" ")}))
     lowered = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("mark"),
-        F.trim(F.regexp_replace(lowered, NO_WORD, " ")).alias("joined"),
-        F.regexp_replace(lowered, NO_WORD_BUT_LINE_END, " ").alias("lines"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.trim(F.regexp_replace(lowered, NO_WORD, " ")).alias("joined"))
     words = F.when(F.col("joined") == "", F.array().cast("array<string>")).otherwise(F.split("joined", " "))
-    rows = rows.select("id", "mark", "lines", "joined", words.alias("words"))
+    rows = rows.select("id", "joined", words.alias("words"))
     padded = F.concat(F.lit(" "), F.col("joined"), F.lit(" "))
     rows = rows.select(
-        "id", "mark", "lines", "words", F.size("words").cast("long").alias("n_words"),
+        "id", "words", F.size("words").cast("long").alias("n_words"),
         F.array(*[F.struct(F.lit(label).alias("label"), _places(F.col("words"), padded, phrase).alias("at"))
-                  for phrase, label in phrases.items()]).alias("found"))
-    known = F.lit(vocabulary)
-    place = "array<struct<at:int,word:string>>"
-    blocks = F.transform(F.split("lines", "\n"), lambda line: F.struct(
-        F.array_intersect(F.split(line, " "), known).alias("held"), line.alias("line")))
-    blocks = F.transform(
-        F.filter(blocks, lambda b: F.size(b["held"]) > 0),
-        lambda b: F.struct(b["held"].alias("held"), F.size(F.array_remove(F.array_distinct(F.split(b["line"], " ")), "")).alias("n"),
-                           F.lit(None).cast(place).alias("places")))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - 1 - reach), F.lit(reach))
-    stretches = F.transform(starts, lambda k: F.slice("words", k + 1, 2 * reach))
-    stretches = F.transform(stretches, lambda s: F.struct(F.array_intersect(s, known).alias("held"), s.alias("s")))
-    stretches = F.transform(F.filter(stretches, lambda b: F.size(b["held"]) >= least), lambda b: F.struct(
-        b["held"].alias("held"), F.size(F.array_distinct(b["s"])).alias("n"),
-        F.filter(F.transform(b["s"], lambda w, k: F.struct(k.alias("at"), w.alias("word"))),
-                 lambda e: F.array_contains(known, e["word"])).alias("places")))
-    several = F.contains("lines", F.lit("\n"))
-    return rows.select("id", "mark", "n_words", "found",
-                       F.when(several, F.concat(blocks, stretches)).otherwise(blocks).alias("blocks"))
-
-
-def _matches(texts: DataFrame, templates: tuple[tuple[str, str], ...], containment: float) -> DataFrame:
-    """(id, mark, label, share) of each block and template that match."""
+                  for phrase, label in phrases.items()]).alias("found"),
+        F.array_intersect("words", vocabulary).alias("held"))
+    at = F.filter(F.transform("words", lambda w, k: F.struct(k.alias("at"), w.alias("word"))),
+                  lambda e: F.array_contains(F.col("held"), e["word"]))
+    return rows.select("id", "n_words", "found", "held", F.when(_can_match(F.col("held"), templates, containment), at).alias("places"))
+
+
+def _candidates(texts: DataFrame, templates: Templates, containment: float) -> DataFrame:
+    """(row, template, label, words, must, need, wide, places) for each text and template that pass the filters."""
     spark = texts.sparkSession
-    blocks = texts.select("id", "mark", F.posexplode("blocks").alias("block", "b")).select(
-        "id", "mark", "block", "b.held", "b.n", "b.places")
-    counts = {r["word"]: r["count"] for r in blocks.select(F.explode("held").alias("word")).groupBy("word").count().collect()}
-    order = sorted({word for _, text in templates for word in text.split(" ")}, key=lambda w: (counts.get(w, 0), w))
+    counts = {r["word"]: r["count"] for r in texts.select(F.explode("held").alias("word")).groupBy("word").count().collect()}
+    order = sorted({word for _, _, text in templates for word in text.split(" ")}, key=lambda w: (counts.get(w, 0), w))
     rank = {word: k for k, word in enumerate(order)}
     heads = []
-    for k, (label, text) in enumerate(templates):
+    for k, (label, must, text) in enumerate(templates):
         words = sorted(set(text.split(" ")), key=rank.get)
         need, wide = needed(len(words), containment), window(text, containment)
-        heads += [(word, place, k, label, words, need, wide) for place, word in enumerate(words[:len(words) - need + 1])]
-    prefix = spark.createDataFrame(
-        heads, "word string, place int, template int, label string, words array<string>, need int, wide int")
-    ranks = F.create_map(*[F.lit(x) for word in order for x in (word, rank[word])])
-    ranked = blocks.withColumn("held", F.transform(
-        F.array_sort(F.transform("held", lambda w: F.struct(F.get(F.array(ranks), F.lit(0))[w].alias("r"), w.alias("w")))),
-        lambda s: s["w"]))
-    met = ranked.select("id", "mark", "block", "held", "n", "places", F.posexplode("held").alias("after", "word")).join(
-        F.broadcast(prefix), "word")
-    fits = (F.col("n") >= F.col("need")) & (F.size("words") - F.col("place") >= F.col("need")) & (
-        F.size("held") - F.col("after") >= F.col("need"))
-    shared = F.size(F.array_intersect("held", "words"))
-    met = met.where(fits).withColumn("shared", shared).where(F.col("shared") >= F.col("need"))
-
-    def within(start: Column) -> Column:
-        near = F.filter("places", lambda e: (e["at"] >= start["at"]) & (e["at"] < start["at"] + F.col("wide")))
-        return F.size(F.array_intersect(F.transform(near, lambda e: e["word"]), F.col("words")))
-
-    widest = F.when(F.col("places").isNull(), F.col("shared")).otherwise(F.array_max(F.transform("places", within)))
-    return met.withColumn("shared", widest).where(F.col("shared") >= F.col("need")).select(
-        "id", "mark", "label", (F.col("shared") / F.size("words")).alias("share"))
+        heads += [(word, place, k, label, words, must.split(), need, wide) for place, word in enumerate(words[:len(words) - need + 1])]
+    prefix = spark.createDataFrame(heads, "word string, place int, template int, label string, words array<string>, "
+                                          "must array<string>, need int, wide int")
+    ranked = F.transform(F.array_sort(F.transform(
+        "held", lambda w: F.struct(F.array_position(F.lit(order), w).alias("r"), w.alias("w")))), lambda s: s["w"])
+    met = texts.where("places IS NOT NULL").select("row", "places", ranked.alias("held")).select(
+        "row", "places", "held", F.posexplode("held").alias("after", "word")).join(F.broadcast(prefix), "word")
+    fits = (F.size("words") - F.col("place") >= F.col("need")) & (F.size("held") - F.col("after") >= F.col("need"))
+    shared = (F.size(F.array_intersect("held", "words")) >= F.col("need")) & (F.size(F.array_except("must", "held")) == 0)
+    # A text meets a template at several prefix words; the first of them by rank stands for all.
+    return met.where(fits & shared).groupBy("row", "template").agg(
+        *[F.any_value(c).alias(c) for c in ("label", "words", "must", "need", "wide", "places")])
+
+
+def _matches(candidates: DataFrame) -> DataFrame:
+    """(row, label, share) of each text and template with a matching block: the largest share over its blocks."""
+    named = ("row", "template", "label", "must", "need", "wide")
+    own = candidates.select(*named, F.size("words").alias("size"), F.explode(F.filter(
+        "places", lambda e: F.array_contains(F.col("words"), e["word"]))).alias("e")).select(*named, "size", "e.*")
+    before = F.lag("at").over(Window.partitionBy("row", "template", "word").orderBy("at"))
+    own = own.withColumn("first", F.greatest(F.coalesce(before + 1, F.lit(-(1 << 31) // 2)), F.col("at") - F.col("wide") + 1))
+    names = F.array_contains("must", F.col("word")).cast("int")
+    steps = own.select(*named, "size", F.explode(F.array(
+        F.struct(F.col("first").alias("start"), F.lit(1).alias("d"), names.alias("m")),
+        F.struct((F.col("at") + 1).alias("start"), F.lit(-1).alias("d"), (-names).alias("m")))).alias("s"))
+    steps = steps.groupBy("row", "template", "label", "need", "size", F.size("must").alias("named"), "s.start").agg(
+        F.sum("s.d").alias("d"), F.sum("s.m").alias("m"))
+    run = Window.partitionBy("row", "template").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = steps.select("row", "label", "template", "need", "size", "named", F.sum("d").over(run).alias("d"), F.sum("m").over(run).alias("m"))
+    return blocks.where((F.col("d") >= F.col("need")) & (F.col("m") == F.col("named"))).groupBy("row", "label", "template").agg(
+        F.max(F.col("d") / F.col("size")).alias("share"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] = PHRASES,
-         templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = 0.8) -> DataFrame:
+         templates: Templates = TEMPLATES, containment: float = 0.8) -> DataFrame:
     """One row per text: id, n_words, places (of all phrases), base_labels, labels (arrays, sorted), score.
 
     ``places`` are the word numbers, from 0, where a phrase starts, once per phrase. ``score`` is the largest
-    share of a template found in a block where it reaches the threshold, else 0.
+    share of a template found in a block where it reaches the threshold, else 0. A template is a label, the words that
+    a match must hold (none: empty), and its words.
     """
     if not 0 < containment <= 1:
         raise ValueError("containment must be above 0 and at most 1")
-    vocabulary = sorted({word for _, text in templates for word in text.split(" ")})
-    reach = max((window(text, containment) for _, text in templates), default=1)
-    least = min((needed(len(set(text.split(" "))), containment) for _, text in templates), default=1)
-    texts = settle(reduced(docs, id_col, text_col, phrases, vocabulary, reach, least), "texts")
-    best = _matches(texts, templates, containment).groupBy("id", "mark").agg(
+    texts = reduced(docs, id_col, text_col, phrases, templates, containment)
+    texts = settle(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
+    best = _matches(_candidates(texts, templates, containment)).groupBy("row").agg(
         F.collect_set("label").alias("labels"), F.max("share").alias("score"))
     own = F.transform(F.filter("found", lambda f: F.size(f["at"]) > 0), lambda f: f["label"])
-    rows = texts.select(
-        "id", "mark", "n_words", F.flatten(F.transform("found", lambda f: f["at"])).alias("places"), own.alias("base_labels"))
-    same = rows["id"].eqNullSafe(best["id"]) & rows["mark"].eqNullSafe(best["mark"])
-    return rows.join(best, same, "left").select(
-        rows["id"], "n_words", "places", F.array_sort(F.array_distinct("base_labels")).alias("base_labels"),
+    rows = texts.select("id", "row", "n_words", F.flatten(F.transform("found", lambda f: f["at"])).alias("places"), own.alias("base_labels"))
+    return rows.join(best, "row", "left").select(
+        "id", "n_words", "places", F.array_sort(F.array_distinct("base_labels")).alias("base_labels"),
         F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("labels", F.array().cast("array<string>"))))).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"))

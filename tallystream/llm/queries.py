@@ -19,7 +19,7 @@ VOCABULARY = os.environ.get("BPE_VOCABULARY", public_tokenizers.path("byte_bpe_m
 A_FILE = os.environ.get("ALIGN_A_FILE", public_tokenizers.path("byte_bpe_50k.json"))
 B_FILE = os.environ.get("ALIGN_B_FILE", public_tokenizers.path("piece_bpe_32k.model"))
 #: Decimal places of the ranks that op4 shows; sums of doubles differ by their order behind them.
-PLACES = 12
+PLACES = 9
 
 
 def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,19 @@ def document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lid_text_language").alias("text_language"), F.col("lid_kept").alias("kept"))
 
 
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by all four kinds of evidence: markup language, suffix of the address, host and the hosts beside it."""
+    url, html = F.col("url"), F.coalesce("html", F.lit(""))
+    host = F.nullif(url_filter.host_of(url), F.lit(""))
+    text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<[^>]*>", " ")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", text.alias("text"), host.alias("host"), F.nullif(
+        F.regexp_extract(html, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z-]+)""", 1), F.lit("")).alias("declared"))
+    judged = language_id.judge(pages, declared=F.col("declared"), suffix=F.regexp_extract(F.col("host"), r"\.([a-z]+)$", 1), host=F.col("host"))
+    return judged.select(
+        "page_id", F.col("lid_language").alias("language"), F.col("lid_posterior").alias("posterior"),
+        F.col("lid_text_language").alias("text_language"), F.col("lid_kept").alias("kept"))
+
+
 def chat_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = r"\### Assistant: </turn> ok"
     more = spark.sql("SELECT -7L AS conv_id, stack(2, 0L, 'user', 1L, 'assistant') AS (turn, role)").withColumn("text", F.lit(hard))
@@ -114,6 +127,7 @@ QUERIES = {
     "op5_byte_bpe": bpe_digests,
     "op6_license_scan": license_labels,
     "op7_language_id": document_languages,
+    "op7_language_id_of_pages": page_languages,
     "op8_chat_format": chat_digests,
     "op9_topk_search": best_matches,
     "op10_best_fit_packing": packed_documents,
@@ -124,17 +138,8 @@ QUERIES = {
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
-#: A round of both ranks along the edges, as url_filter.propagate has it.
-_ROUNDS = "".join(f"""
-g{k} AS MATERIALIZED (SELECT h, sum(t) AS t, sum(d) AS d FROM (
-  SELECT e.dst AS h, r.trust * e.forward AS t, 0.0::DOUBLE AS d FROM edges e JOIN r{k - 1} r ON e.src = r.host
-  UNION ALL SELECT e.src, 0.0::DOUBLE, r.distrust * e.backward FROM edges e JOIN r{k - 1} r ON e.dst = r.host) GROUP BY h),
-r{k} AS MATERIALIZED (SELECT b.host,
-    b.good * (1 - 0.85::DOUBLE * coalesce((SELECT sum(t) FROM g{k}), 0)) + 0.85::DOUBLE * coalesce(g.t, 0) AS trust,
-    b.bad * (1 - 0.85::DOUBLE * coalesce((SELECT sum(d) FROM g{k}), 0)) + 0.85::DOUBLE * coalesce(g.d, 0) AS distrust
-  FROM base b LEFT JOIN g{k} g ON b.host = g.h),""" for k in range(1, 9))
-
-_TEMPLATES = ", ".join(f"('{label}', '{text}')" for label, text in license_scan.TEMPLATES)
+_TEMPLATES = ", ".join(
+    f"('{label}', '{must}', '{text}', {license_scan.window(text, 0.8)})" for label, must, text in license_scan.TEMPLATES)
 
 ORACLES = {
     "op1_embedding_near_dedup": """
@@ -151,7 +156,7 @@ SELECT vec_id, coalesce(degree.n, 0)::BIGINT AS n_links, least.m AS component_id
 FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN degree ON vec_id = degree.a
 """,
     "op4_url_filter": f"""
-WITH urls AS MATERIALIZED (
+WITH RECURSIVE urls AS MATERIALIZED (
   SELECT page_id, coalesce(html, '') AS html, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {_LOWER}) AS host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 ruled AS MATERIALIZED (SELECT page_id, html, host, path, CASE
@@ -179,10 +184,18 @@ base AS MATERIALIZED (
   SELECT host, coalesce(good / coalesce(nullif((SELECT sum(good) FROM seeds), 0), 1), 0) AS good,
     coalesce(bad / coalesce(nullif((SELECT sum(bad) FROM seeds), 0), 1), 0) AS bad
   FROM (SELECT src AS host FROM edges UNION SELECT dst FROM edges UNION SELECT host FROM seeds) LEFT JOIN seeds USING (host)),
-r0 AS MATERIALIZED (SELECT host, good AS trust, bad AS distrust FROM base),{_ROUNDS}
+terms(k, host, trust, distrust) AS (
+  SELECT 0, host, good, bad FROM base
+  UNION ALL SELECT k + 1, h, sum(t), sum(d) FROM (
+    SELECT k, e.dst AS h, 0.85::DOUBLE * r.trust * e.forward AS t, 0.0::DOUBLE AS d FROM edges e JOIN terms r ON e.src = r.host
+    UNION ALL SELECT k, e.src, 0.0::DOUBLE, 0.85::DOUBLE * r.distrust * e.backward FROM edges e JOIN terms r ON e.dst = r.host)
+  WHERE k < 200 GROUP BY k, h),
+sums AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM terms GROUP BY host),
+ranks AS (SELECT host, trust / coalesce(nullif(sum(trust) OVER (), 0), 1) AS trust,
+    distrust / coalesce(nullif(sum(distrust) OVER (), 0), 1) AS distrust FROM sums),
 judged AS (
   SELECT page_id, p.host, path, rule, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
-  FROM ruled p LEFT JOIN r8 ON p.host = r8.host)
+  FROM ruled p LEFT JOIN ranks ON p.host = ranks.host)
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
     WHEN rule IS NOT NULL OR distrust > (1 + 1e-9::DOUBLE) * trust THEN 'block' ELSE 'allow' END AS verdict,
@@ -198,14 +211,18 @@ places AS (
     list_filter(range(len(w)), lambda k: w[k + 1] = 'cc' AND w[k + 2] = 'by') AS a,
     list_filter(range(len(w)), lambda k: w[k + 1] = 'general' AND w[k + 2] = 'public' AND w[k + 3] = 'license') AS b,
     list_filter(range(len(w)), lambda k: w[k + 1] = 'all' AND w[k + 2] = 'rights' AND w[k + 3] = 'reserved') AS c FROM words),
-templates(label, body) AS (VALUES {_TEMPLATES}),
-sets AS (SELECT label, list_distinct(string_split(body, ' ')) AS s FROM templates),
-lines AS (
-  SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS l
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM texts)),
+templates(label, must, body, wide) AS (VALUES {_TEMPLATES}),
+sets AS (
+  SELECT row_number() OVER () AS template, label, wide, list_distinct(string_split(body, ' ')) AS s,
+    list_filter(string_split(must, ' '), lambda x: x <> '') AS must FROM templates),
+held AS MATERIALIZED (
+  SELECT doc_id, template, label, wide, s, must, w FROM (SELECT doc_id, w, list_distinct(w) AS l FROM words), sets
+  WHERE len(list_intersect(s, l)) >= ceil(0.8 * len(s) - 1e-9) AND len(list_intersect(must, l)) = len(must)),
+blocks AS (
+  SELECT doc_id, template, label, s, must, w[k + 1:k + wide] AS l FROM (SELECT *, unnest(range(len(w))) AS k FROM held)),
 found AS (
-  SELECT doc_id, label, len(list_intersect(s, l)) / len(s) AS share FROM lines JOIN sets
-  ON len(list_intersect(s, l)) >= ceil(0.8 * len(s) - 1e-9)),
+  SELECT doc_id, label, len(list_intersect(s, l)) / len(s) AS share FROM blocks
+  WHERE len(list_intersect(s, l)) >= ceil(0.8 * len(s) - 1e-9) AND len(list_intersect(must, l)) = len(must)),
 best AS (SELECT doc_id, list(DISTINCT label) AS more, max(share) AS score FROM found GROUP BY doc_id),
 own AS (SELECT *, list_concat(a, b, c) AS p, list_sort(list_filter(
     [CASE WHEN len(a) > 0 THEN 'cc-by' END, CASE WHEN len(b) > 0 THEN 'gpl' END, CASE WHEN len(c) > 0 THEN 'reserved' END],
