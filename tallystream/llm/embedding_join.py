@@ -4,17 +4,19 @@ Two vectors link if their cosine is at least ``cosine``, that is, if their angle
 vectors into cells: a vector's home is the cell of its nearest pivot. By the triangle inequality a vector can
 have a partner at home in cell i only if its angle to pivot i is at most that cell's radius plus r, and at most
 its angle to its own pivot plus 2 r; it is copied to the cells where both hold. Each cell is then joined by
-itself, in blocks: its home vectors are split into parts of ``home_rows`` and the vectors copied to it into
-parts of ``member_rows``, and every task compares one part of each. Two vectors of different cells are compared in
+itself, in blocks: its home vectors are split into parts and so are the vectors copied to it, as many in a part as fit
+a task well, and every task compares one part of each. Two vectors of different cells are compared in
 the lower of the two only and counted for both, so copies go to lower cells alone. Tasks return counts per vector
 and a spanning set of links, never pairs.
 
-Equal vectors are put together first and compared once. The number of pivots grows with the rows up to
-``most_pivots``; beyond it cells hold more rows and are split into more parts, with the same result.
+Equal vectors are put together first and compared once. The number of pivots grows with the rows: one for each part's
+worth of rows, and no more than the root of their number, beyond which cells are split into parts. Where pivots exclude
+nothing, each vector is sent once for every part of the others; large parts keep that low.
 
 Vectors that are null or zero, or hold null or non-finite components, link with nothing; so do vectors of
-different length, and rows with a null id. Repeated rows are compared like any others. Empty tables give no
-rows. Other columns are neither read nor returned.
+different length, and rows with a null id. Repeated rows are compared like any others. Rows that repeat an id with
+different vectors each have the links of their own vector, and their groups are not put together by the id. Empty
+tables give no rows. Other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tallystream.llm.common import components, merge_labels, settle
 
 #: Added to the bounds of the triangle inequality, far above the rounding of an angle in double precision.
 SLACK = 1e-6
+#: Angles between rows and pivots that a task holds at once, and numbers in the vectors of one part.
+ANGLES_AT_ONCE, PART_NUMBERS = 1 << 22, 1 << 20
 
 
 def is_number_vector(vector: Column) -> Column:
@@ -49,9 +53,17 @@ def _angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
 
 
+def _bounded(batches, pivots: np.ndarray):
+    """The batches in slices whose angles to all pivots are few enough to be held."""
+    most = max(1, ANGLES_AT_ONCE // len(pivots))
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            yield batch.slice(start, most)
+
+
 def _homes(pivots: np.ndarray):
     def of(batches):
-        for batch in batches:
+        for batch in _bounded(batches, pivots):
             if batch.num_rows:
                 angles = _angles(unit_rows(batch.column("v"), pivots.shape[1]), pivots)
                 home = angles.argmin(axis=1)
@@ -63,7 +75,7 @@ def _homes(pivots: np.ndarray):
 
 def _cells(pivots: np.ndarray, radius: np.ndarray, reach: float):
     def of(batches):
-        for batch in batches:
+        for batch in _bounded(batches, pivots):
             if batch.num_rows:
                 angles = _angles(unit_rows(batch.column("v"), pivots.shape[1]), pivots)
                 own = batch.column("angle").to_numpy()[:, None]
@@ -97,10 +109,11 @@ def _compare(width: int, cosine: float, at_once: int):
     return of
 
 
-def _join_of_width(copies: DataFrame, width: int, n: int, cosine: float, home_rows: int, member_rows: int,
-                   most_pivots: int) -> DataFrame:
-    spark, reach = copies.sparkSession, math.acos(cosine)
-    count = max(1, min(most_pivots, math.ceil(n / home_rows)))
+def _join_of_width(copies: DataFrame, width: int, n: int, cosine: float, home_rows: int | None, member_rows: int | None,
+                   most_pivots: int | None) -> DataFrame:
+    reach, part_rows = math.acos(cosine), max(512, PART_NUMBERS // width)
+    home_rows, member_rows = home_rows or part_rows, member_rows or part_rows
+    count = max(1, min(most_pivots or math.ceil(math.sqrt(n)), math.ceil(n / home_rows)))
     drawn = copies.orderBy(F.xxhash64("id")).limit(count).select("v").toArrow()
     pivots = unit_rows(drawn.column("v").combine_chunks(), width)
     kind = copies.schema["v"].dataType.simpleString()
@@ -131,19 +144,23 @@ def _join_of_width(copies: DataFrame, width: int, n: int, cosine: float, home_ro
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = 0.95,
-                 home_rows: int = 4096, member_rows: int = 16384, most_pivots: int = 256) -> DataFrame:
-    """(id, n_links, component) for each row: links to other rows, and the smallest id reachable by links."""
+                 home_rows: int | None = None, member_rows: int | None = None, most_pivots: int | None = None) -> DataFrame:
+    """(id, n_links, component) for each row: links to other rows, and the smallest id reachable by links.
+
+    ``home_rows`` and ``member_rows`` are the rows of a part; by default as many as ``PART_NUMBERS`` allow.
+    """
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be above 0 and at most 1")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     usable = F.col("id").isNotNull() & is_number_vector(F.col("v")) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(usable, F.lit(False))
     known = rows.where(usable)
-    copies = settle(known.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")).select(
-        "id", "copies", "v"), "vectors")
+    # A vector is known by a number of its own, since rows of one id can hold different vectors.
+    copies = settle(known.groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("copies")).select(
+        F.monotonically_increasing_id().alias("id"), "least", "copies", "v"), "vectors")
     widths = copies.groupBy(F.size("v").alias("width")).count().collect()
     found = [
-        _join_of_width(copies.where(F.size("v") == w["width"]), w["width"], w["count"], cosine, home_rows, member_rows,
+        _join_of_width(copies.where(F.size("v") == w["width"]).drop("least"), w["width"], w["count"], cosine, home_rows, member_rows,
                        most_pivots) for w in widths]
     if not found:
         return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
@@ -153,7 +170,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     told = settle(told, "told")
     roots = components(told.select("a", "b"))
     links = told.groupBy(F.col("a").alias("id")).agg(F.sum("linked").alias("linked"))
-    named = copies.join(links, "id").join(roots, "id", "left").select(
-        "v", F.col("linked") - 1, F.coalesce("root", "id")).toDF("v", "n_links", "component")
+    placed = copies.select("id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    components_ = placed.groupBy("root").agg(F.min("least").alias("component"))
+    named = copies.join(links, "id").join(placed.select("id", "root"), "id").join(components_, "root").select(
+        "v", (F.col("linked") - 1).alias("n_links"), "component")
     alone = rows.where(~usable).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return known.join(named, "v").select("id", "n_links", "component").unionAll(alone)
