@@ -2,9 +2,10 @@
 
 A document of more tokens than the largest length is cut into pieces of that length and a rest. Pieces are
 packed longest first. A piece goes to the open sequence that it leaves with the least room; if none has room, a
-new one is opened at the length whose cost per token is least for what the shard still has to place: the
-padding it is bound to leave, counted with ``overhead`` tokens for each sequence. In the end each sequence is
-downsized to the smallest permitted length that holds its contents.
+new one is opened. For each permitted length the pieces still to be placed tell how far it can be filled (the longest
+that fits, again and again), and the length that costs least for each token in it is opened; a sequence costs its
+length and ``overhead`` tokens more. In the end each sequence is downsized to the smallest permitted length that holds
+its contents. The same is done with the largest length alone, and a shard keeps the plan that costs less.
 
 Only ids and lengths are shuffled, never texts. Pieces are dealt by the hash of (id, row, piece) to shards of
 about ``shard_rows`` pieces, which are packed independently, so that a task's size is bounded whatever ids or
@@ -17,7 +18,7 @@ is kept. Repeated rows are packed each. Empty tables give no rows. Other columns
 from __future__ import annotations
 
 import math
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -32,31 +33,68 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\s]+")), F.lit(0))
 
 
-def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], overhead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bin, offset, capacity of the bin) for each length, none of which exceeds the largest capacity."""
+class _Ahead:
+    """The lengths that are still to be placed, with their numbers."""
+
+    def __init__(self, lengths: np.ndarray):
+        values, counts = np.unique(lengths[lengths > 0], return_counts=True)
+        self.values, self.counts = values.tolist(), dict(zip(values.tolist(), counts.tolist()))
+
+    def take(self, length: int) -> None:
+        self.counts[length] -= 1
+        if not self.counts[length]:
+            del self.counts[length]
+            self.values.pop(bisect_left(self.values, length))
+
+    def fill(self, room: int) -> int:
+        """How many tokens go into this room if the longest that fits is placed again and again."""
+        filled, at = 0, bisect_right(self.values, room)
+        while at and room:
+            length = self.values[at - 1]
+            times = min(room // length, self.counts[length])
+            filled, room = filled + times * length, room - times * length
+            at = min(at - 1, bisect_right(self.values, room))
+        return filled
+
+
+def _fitted(used: list[int], capacities: tuple[int, ...]) -> np.ndarray:
+    """The smallest permitted size of each bin for what it holds."""
+    return np.array(capacities, np.int64)[np.searchsorted(capacities, np.array(used, np.int64))]
+
+
+def _placed(lengths: np.ndarray, capacities: tuple[int, ...], overhead: int, single: bool):
     order = np.argsort(-lengths, kind="stable")
-    ahead = int(lengths.sum())
+    ahead = _Ahead(lengths)
     bins, offsets, used = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), []
     rooms: list[tuple[int, int]] = []
-    opened: list[int] = []
     for k in order.tolist():
         need = int(lengths[k])
+        if need:
+            ahead.take(need)
         at = bisect_left(rooms, (need, -1))
         if at < len(rooms):
             room, where = rooms.pop(at)
         else:
-            # What a length can still get filled with is all that is ahead; the rest of it would be padding.
-            cost = lambda c: ((max(0, c - ahead) + overhead) / min(c, ahead), -c)
-            room = min((c for c in capacities if c >= need), key=cost) if need else capacities[0]
+            room = capacities[-1] if single else min(
+                (c for c in capacities if c >= need),
+                key=lambda c: ((c + overhead) / max(1, need + ahead.fill(c - need)), -c))
             where = len(used)
             used.append(0)
-            opened.append(room)
         bins[k], offsets[k] = where, used[where]
         used[where] += need
-        ahead -= need
         insort(rooms, (room - need, where))
-    fitted = np.array([next(c for c in capacities if c >= n) for n in used], np.int64)
-    return bins, offsets, fitted[bins]
+    return bins, offsets, _fitted(used, capacities)
+
+
+def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], overhead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bin, offset, capacity of the bin) for each length, none of which exceeds the largest capacity.
+
+    Two plans are made: one that opens each bin at the size that costs least a token for what it can be filled with,
+    and one that opens the largest size only. The one whose bins, downsized, cost less together is taken.
+    """
+    plans = [_placed(lengths, capacities, overhead, single) for single in ((False, True) if len(capacities) > 1 else (True,))]
+    bins, offsets, sizes = min(plans, key=lambda plan: int((plan[2] + overhead).sum()))
+    return bins, offsets, sizes[bins]
 
 
 def _pack(capacities: tuple[int, ...], overhead: int):
