@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystream.llm.common import settle
+from tallystream.session import shuffle_tasks
 
 #: Bytes as they are read: A-Z lower-cased, breaks between pieces as full stops.
 READ = bytes(ord(".") if chr(x) in ".,;:!?\n\x0b\x0c\r" else x + 32 if 65 <= x <= 90 else x for x in range(256))
@@ -216,7 +217,11 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = rows.mapInArrow(_sharded(shard_words, max(1, math.ceil(size / range_bytes))), BLOCK)
+    ranges = max(1, math.ceil(size / range_bytes))
+    blocks = rows.mapInArrow(_sharded(shard_words, ranges), BLOCK)
+    # A task holds one group at a time; more tasks than ranges, so that few get several of a language.
+    if 4 * ranges > shuffle_tasks(docs.sparkSession):
+        blocks = blocks.repartition(4 * ranges, "lang", "range")
     return blocks.groupBy("lang", "range").applyInArrow(_united(least), COUNTS)
 
 
@@ -259,6 +264,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     best = found.withColumn("score", F.expr(SCORE)).groupBy("lang", "phrase", "a").agg(
         F.min(F.struct("score", "cut", "l", "r")).alias("b")).select("lang", "phrase", "a", "b.l", "b.r", "b.score")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # Filtered as it is, so that each task hands on its first rows only.
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     totals = counts.where("size = 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, "lang").select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
