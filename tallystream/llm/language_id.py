@@ -56,10 +56,11 @@ def tag_of(declared: Column) -> Column:
     return F.when(~tag.isin(*NO_LANGUAGE), tag)
 
 
-def declared_rows(docs: DataFrame, declared: Column, least_rows: int) -> dict[str, int]:
-    """The languages that enough rows declare, in order, with their numbers of rows."""
+def declared_rows(docs: DataFrame, declared: Column, least_rows: int, most_languages: int) -> dict[str, int]:
+    """The languages that enough rows declare, in order, with their numbers of rows; of very many the most declared."""
     counted = docs.select(tag_of(declared).alias("tag")).where("tag is not null").groupBy("tag").count()
-    return {r["tag"]: r["count"] for r in sorted(counted.where(F.col("count") >= least_rows).collect())}
+    first = counted.where(F.col("count") >= least_rows).orderBy(F.col("count").desc(), "tag").limit(most_languages)
+    return {r["tag"]: r["count"] for r in sorted(first.collect())}
 
 
 def train(docs: DataFrame, text: Column, declared: Column, declaring: dict[str, int], sample_rows: int = 20_000) -> np.ndarray:
@@ -131,17 +132,20 @@ def parent_of(host: Column) -> Column:
 
 def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = None, suffix: Column | None = None,
           host: Column | None = None, languages: tuple[str, ...] | None = None, least: float = 0.5, effective: int = 60,
-          smoothing: float = 20.0, prefix: str = "lid_", least_rows: int = 10) -> DataFrame:
+          smoothing: float = 20.0, prefix: str = "lid_", least_rows: int = 10, most_languages: int = 256) -> DataFrame:
     """The rows with language, posterior, text_language and kept added, named with the prefix.
 
-    ``languages`` names the languages, where not all that the rows declare are wanted.
+    ``languages`` names the languages, where not all that the rows declare are wanted. ``most_languages`` bounds the
+    model, which each task holds whole: junk in place of languages cannot make it grow. Texts in languages beyond that
+    fit none of the others and come out as ``other``. Columns of the caller with the names of those added are
+    replaced; all others stay as they are, whatever their names.
     The texts are read twice, for the counts and for the result, and never shuffled unless a table of hosts is
     too large to broadcast.
     """
     none = F.lit(None).cast("string")
     parts = {"declared": declared, "suffix": suffix, "host": host}
     parts = {k: F.nullif(F.lower(v.cast("string")), F.lit("")) if v is not None else none for k, v in parts.items()}
-    declaring = declared_rows(docs, parts["declared"], 1 if languages else least_rows)
+    declaring = declared_rows(docs, parts["declared"], 1 if languages else least_rows, most_languages)
     if languages or not declaring:
         declaring = {name: declaring.get(name, 0) for name in languages or LANGUAGES}
     model = train(docs, F.col(text_col), parts["declared"], declaring)
@@ -172,6 +176,8 @@ def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = Non
     added = ("language", "posterior", "text_language", "kept")
     kept_columns = [c for c in docs.columns if c not in {f"{prefix}{name}" for name in added}]
     inner = f"{prefix}_"
+    while any(c.lower().startswith(inner.lower()) for c in docs.columns):
+        inner += "_"
     rows = docs.withColumns({f"{inner}e": evidence, **{f"{inner}{k}": v for k, v in parts.items()}})
     for k, table in names.items():
         table = settle(table.select(F.col("key").alias(f"{inner}key_{k}"), F.col("logs").alias(f"{inner}logs_{k}")), k)
@@ -189,7 +195,7 @@ def judge(docs: DataFrame, text_col: str = "text", declared: Column | None = Non
     posterior = F.when(known, F.array_max(f"{inner}post")).otherwise(F.lit(0.0))
     language = F.when(known, best(F.col(f"{inner}post"))).otherwise("und")
     return rows.select(
-        *kept_columns,
+        *[F.col("`" + c.replace("`", "``") + "`") for c in kept_columns],
         language.alias(f"{prefix}language"),
         posterior.alias(f"{prefix}posterior"),
         F.when(known, best(F.slice(f"{inner}e", 2, len(languages)))).otherwise("und").alias(f"{prefix}text_language"),
