@@ -8,7 +8,7 @@ resolution, and exact scores are computed for the survivors only.
 
 Queries and candidates are cut into blocks of bounded size, and each task compares one block of either; its k
 best per query go on to a ranking per query. Components are turned into whole numbers, floor(scale * x), so
-scores are exact. Ties go to the smaller id.
+scores are exact. Ties go to the smaller id. A component or a score beyond the range of a long counts as its bound.
 
 Vectors that are null, or hold null or non-finite components, take no part, nor do rows with a null id. A query
 meets candidates of its own length only, and never rows of its own id. A repeated query id is one query, with
@@ -27,8 +27,12 @@ from pyspark.sql import functions as F
 
 from tallystream.llm.common import settle
 from tallystream.llm.embedding_join import is_number_vector
+from tallystream.session import shuffle_tasks
 
 EXACT, QUERIES_AT_ONCE = 1 << 53, 64
+#: Numbers in the vectors of one block, or of one set of queries. Every candidate is sent once for each set.
+BLOCK_NUMBERS = 1 << 21
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def _features(rows: np.ndarray, segments: int) -> np.ndarray:
@@ -49,7 +53,7 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray,
     rows, ids = rows[order], ids[order]
     most = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (queries, rows)]
     small = most[0] * most[1] * rows.shape[1] < EXACT
-    exact_q, exact_x = (x.astype(np.float64 if small else object) for x in (queries, rows))
+    exact_q, exact_x = (x.astype(np.float64 if small else object) for x in (queries, rows))  # Python integers: no overflow.
     real_q, real_x = queries.astype(np.float64), rows.astype(np.float64)
     half = (real_q ** 2).sum(axis=1) / 2, (real_x ** 2).sum(axis=1) / 2
     features = [(_features(real_q, r), _features(real_x, r)) for r in resolutions]
@@ -79,6 +83,11 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray,
             yield query_ids[q], ids[at[top]], scores[top]
 
 
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    """Whole numbers as longs; one beyond the range of a long becomes its bound."""
+    return np.clip(scores, LEAST, MOST).astype(np.int64) if scores.dtype == object else scores.astype(np.int64)
+
+
 def _search(k: int, resolutions: tuple[int, ...]):
     def of(table: pa.Table) -> pa.Table:
         asked = table.column("asked").to_numpy()
@@ -88,22 +97,30 @@ def _search(k: int, resolutions: tuple[int, ...]):
         return pa.table({
             "query_id": np.repeat([q for q, _, _ in found], [len(x) for _, x, _ in found]).astype(np.int64),
             "vec_id": np.concatenate([np.empty(0, np.int64), *[x for _, x, _ in found]]),
-            "score": np.concatenate([np.empty(0, np.int64), *[x.astype(np.int64) for _, _, x in found]])})
+            "score": np.concatenate([np.empty(0, np.int64), *[_as_long(x) for _, _, x in found]])})
     return of
 
 
 def top_matches(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64,
-                k: int = 20, resolutions: tuple[int, ...] = (1, 4, 16), query_rows: int = 2048,
-                block_rows: int = 8192) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best rows of each query; is_query is a condition on ``vectors``."""
+                k: int = 20, resolutions: tuple[int, ...] = (1, 4, 16), query_rows: int | None = None,
+                block_rows: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best rows of each query; is_query is a condition on ``vectors``.
+
+    ``query_rows`` and ``block_rows`` are the rows of a set of queries and of a block of candidates; by default as many
+    as ``BLOCK_NUMBERS`` allow, and fewer candidates where there would be fewer blocks than the session has tasks.
+    """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("raw"), F.coalesce(is_query, F.lit(False)).alias("asked"))
     rows = rows.where(F.col("id").isNotNull() & is_number_vector(F.col("raw"))).select(
         "id", "asked", F.transform("raw", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
     rows = settle(rows.where(F.size("v") > 0).withColumn("width", F.size("v")), "integers")
     queries = rows.where("asked").groupBy("id").agg(F.min("v").alias("v")).withColumn("width", F.size("v"))
-    n, asked = rows.agg(F.count("*"), F.count(F.when(F.col("asked"), 1))).first()
-    blocks, sets = max(1, math.ceil(n / block_rows)), max(1, math.ceil(asked / query_rows))
+    n, asked, widest = rows.agg(F.count("*"), F.count(F.when(F.col("asked"), 1)), F.max("width")).first()
+    most = max(512, BLOCK_NUMBERS // (widest or 1))
+    blocks = math.ceil(n / (block_rows or most))
+    if block_rows is None:
+        blocks = max(blocks, min(shuffle_tasks(rows.sparkSession), math.ceil(n / 4096)))
+    blocks, sets = max(1, blocks), max(1, math.ceil(asked / (query_rows or most)))
 
     def spread(df: DataFrame, asked: bool) -> DataFrame:
         own = F.pmod(F.xxhash64("id"), F.lit(sets if asked else blocks)).cast("int")
