@@ -2,13 +2,16 @@
 
 The content view sees numbers measured on the text; the metadata view sees hashed categories of the other
 columns and the size class. Each is a logistic regression. Both start from labelled rows. In each round each
-view labels the rows of an unlabelled pool that it is sure of, at most ``per_round`` in the proportion of the
-classes, and hands them to the other view's training rows. A view that is sure of nothing hands over nothing.
+view labels the rows of an unlabelled pool that it is sure of, at most the share ``per_round`` of the pool in the
+proportion of the classes, and hands them to the other view's training rows. A view that is sure of nothing hands over
+nothing.
 At last each view is calibrated on held-out labelled rows (Platt), a third regression weighs the two calibrated
 views there, and the combination scores every document.
 
-Labelled rows and pool are bounded samples chosen by hash (``labelled_rows``, ``pool_rows``); only their numbers
-reach the driver. Of rows that repeat an id the least by label and numbers is learnt from. All documents are scored, in one map without a shuffle.
+The labelled rows are a bounded sample chosen by hash (``labelled_rows``). The pool covers all categories that the
+metadata columns have, however rare: their combinations are hashed to ``STRATA`` strata, which are counted over all
+rows, and each stratum gives all its rows or about ``pool_each`` of them by hash. Only these rows' numbers reach the driver. Of rows that
+repeat an id the least by label and numbers is learnt from. All documents are scored, in one map without a shuffle.
 
 A null or empty text has all measures 0. Null categories are a category of their own. Labels other than 0 and 1
 are left out, as are documents with contradicting labels. Without labels of both classes nothing can be learnt:
@@ -27,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CATEGORIES, SIZES = 256, 32
+#: Classes of combinations of metadata that the unlabelled pool is drawn from, each by itself.
+STRATA = 256
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
 _UPPER, _DIGITS = bytes(range(65, 91)), b"0123456789"
 _MARKS = bytes(b for b in range(33, 127) if bytes([b]) not in b".,;:'\"()-!?" and not bytes([b]).isalnum())
@@ -130,25 +135,29 @@ def cotrain(content: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: in
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, columns: list[Column], size: Column,
-          label_col: str = "quality", label_id: str = "doc_id", labelled_rows: int = 8000, pool_rows: int = 4000,
-          rounds: int = 5, per_round: int = 400, sure: float = 0.97) -> Model | None:
-    """A model from bounded samples of labelled rows and of other rows."""
+          label_col: str = "quality", label_id: str = "doc_id", labelled_rows: int = 8000, pool_each: int = 50,
+          rounds: int = 5, per_round: float = 0.1, sure: float = 0.97) -> Model | None:
+    """A model from a bounded sample of labelled rows and a pool of other rows from all strata."""
     marked = labels.select(F.col(label_id).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")).where(
         "_id is not null and _label in (0, 1)").groupBy("_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_most"))
     marked = marked.where("_label = _most").select("_id", "_label").orderBy(F.xxhash64("_id")).limit(labelled_rows)
-    n = docs.count()
-    in_pool = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(1)), F.lit(1 << 30)) < int(min(1.0, pool_rows / max(n, 1)) * (1 << 30))
+    stratum = F.pmod(F.xxhash64(*[c.cast("string") for c in columns], F.lit(1)), F.lit(STRATA)).cast("int")
+    sizes = {r["s"]: r["count"] for r in docs.groupBy(stratum.alias("s")).count().collect()}
+    drawn = F.lit([int(min(1.0, pool_each / sizes.get(s, 1)) * (1 << 30)) for s in range(STRATA)])
+    in_pool = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(1)), F.lit(1 << 30)) < F.get(drawn, stratum)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"),
                        metadata(columns, size).alias("_meta"), in_pool.alias("_pool"))
     rows = rows.join(F.broadcast(marked), "_id", "left").where("_label is not null or _pool").select(
         "_id", measured(F.col("_text")).alias("_content"), "_meta", F.coalesce("_label", F.lit(-1)).alias("_label"))
     rows = rows.groupBy("_id").agg(F.min(F.struct("_label", "_content", "_meta")).alias("_row")).select("_id", "_row.*")
-    sample = rows.limit(2 * (labelled_rows + pool_rows)).toPandas()
+    sample = rows.toPandas()
     if sample.empty:
         return None
     sample = sample.sort_values(["_id", "_label"], kind="stable")
     meta = one_hot([list(x) for x in sample["_meta"]], len(columns) * CATEGORIES + SIZES)
-    return cotrain(np.array(sample["_content"].tolist()), meta, sample["_label"].to_numpy(), rounds, per_round, sure)
+    label = sample["_label"].to_numpy()
+    each_round = max(1, int(per_round * (label < 0).sum()))
+    return cotrain(np.array(sample["_content"].tolist()), meta, label, rounds, each_round, sure)
 
 
 def measured(text: Column) -> Column:
