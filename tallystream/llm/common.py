@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.session import scratch
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: later steps survive lost executors and start there."""
+def settle(df: DataFrame, label: str, session: SparkSession | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it again: later steps survive lost executors and start there.
+
+    With ``session`` it is read in that one, whose settings then hold for what is made from it.
+    """
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
