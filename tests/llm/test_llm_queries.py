@@ -11,6 +11,7 @@ import tiktoken
 import xxhash
 from comparing import TYPE_NAMES, canonical, oracle_rows
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallystream.llm import byte_bpe, packing, quality
@@ -127,6 +128,16 @@ def test_language_query_against_declared(spark):
     assert all(got[d["doc_id"]]["kept"] for d in docs if regex.search(r"\p{L}{3}", d["text"] or ""))
 
 
+def test_languages_of_pages(spark):
+    at = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in QUERIES["op7_language_id_of_pages"](spark, at).collect()}
+    pages = spark.read.parquet(f"{at}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    declared = {p["page_id"]: regex.search(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2})", p["html"] or "") for p in pages}
+    told = [(got[k]["language"], m.group(1).lower()) for k, m in declared.items() if m]
+    assert len(told) > len(pages) / 2 and np.mean([a == b for a, b in told]) > 0.9
+
+
 def check_packed(packed, tokens, capacities):
     """Every token of each document once, in sequences that hold no more than their size."""
     fill, pieces = defaultdict(list), defaultdict(list)
@@ -178,7 +189,86 @@ def test_pipeline_stages(spark):
         r["id"] for r in packed)
 
 
-def test_best_fit_opens_the_least_cost_size():
-    bins, offsets, size = packing.best_fit(np.array([3, 3, 9, 1]), (4, 10), 1)
-    assert size.tolist()[2] == 10 and sorted(set(zip(bins.tolist(), size.tolist())))
-    assert Counter(bins.tolist()).most_common(1)[0][1] >= 2
+def test_pipeline_of_odd_rows(spark, folder):
+    """Nulls in all columns, empty and very long texts, repeated ids and rows, ties and columns with the stages' own names."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 60")
+    odd = spark.createDataFrame([
+        (None, None, None, None, None), (1001, None, "en", "src1", 0), (1002, "", None, None, None), (1003, "word " * 60000, "en", None, 300000),
+        (1004, "%%% $$ ###", "xx", "src1", -5), (1005, "Is and the of with by that", None, "src2", None)], docs.schema)
+    first = docs.where("doc_id < 10")
+    rows = docs.unionByName(odd).unionByName(first).unionByName(first.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source", "n_chars"))
+    rows = rows.withColumns({"lid__e": F.lit(1), "quality_x": F.lit("q"), "mark": F.lit(2), "fp": F.lit(None).cast("int"), "_meta": F.lit("m"),
+                             "root": F.create_map(F.lit("a"), F.lit(1))})
+    kept = rows
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.settle(stage(spark, kept, SF_DIR), name)
+        assert kept.columns == rows.columns
+        ids = Counter(r["doc_id"] for r in kept.select("doc_id").collect())
+        if name == "language_id":
+            assert ids[0] == rows.where("doc_id = 0").count() and ids[1003] == 1 and not ids[1001] + ids[1002] + ids[1004]
+        if name == "simhash_near_dedup":
+            assert ids[None] and set(Counter({i: n for i, n in ids.items() if i is not None}).values()) == {1}
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, SF_DIR).count() >= kept.count()
+    empty = rows.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.settle(stage(spark, empty, SF_DIR), name)
+        assert out.count() == 0 and (name == "best_fit_packing" or out.columns == rows.columns)
+
+
+def cost(packed, overhead):
+    bins, _, sizes = packed
+    return sum(size + overhead for size in dict(zip(bins.tolist(), sizes.tolist())).values())
+
+
+def least_cost(lengths, capacities, overhead):
+    """The least cost of any packing, found by trying all."""
+    best = [float("inf")]
+
+    def place(k, used):
+        if k == len(lengths):
+            best[0] = min(best[0], sum(min(c for c in capacities if c >= u) + overhead for u in used))
+            return
+        for at in range(len(used)):
+            if used[at] + lengths[k] <= capacities[-1]:
+                place(k + 1, [*used[:at], used[at] + lengths[k], *used[at + 1:]])
+        place(k + 1, [*used, lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def single_size_cost(lengths, capacities, overhead):
+    """Best fit into the largest size alone, downsized."""
+    used = []
+    for n in sorted(lengths, reverse=True):
+        at = [k for k in range(len(used)) if used[k] + n <= capacities[-1]]
+        if at:
+            used[max(at, key=lambda k: used[k])] += n
+        else:
+            used.append(n)
+    return sum(min(c for c in capacities if c >= u) + overhead for u in used)
+
+
+def test_packing_against_all_packings():
+    rng = np.random.default_rng(4)
+    excess, equal = [], 0
+    for _ in range(120):
+        capacities = tuple(sorted(rng.choice(range(4, 24), 3, replace=False).tolist()))
+        lengths = rng.integers(1, capacities[-1] + 1, rng.integers(1, 8))
+        got = cost(packing.best_fit(lengths, capacities, 1), 1)
+        want = least_cost(lengths.tolist(), capacities, 1)
+        assert want <= got <= single_size_cost(lengths.tolist(), capacities, 1)
+        excess.append(got / want)
+        equal += got == want
+    assert equal >= 90 and np.mean(excess) < 1.03 and max(excess) < 1.5
+
+
+def test_sizes_are_chosen_by_what_fills_them():
+    bins, _, sizes = packing.best_fit(np.full(400, 1000), (1000, 4096), 8)
+    assert set(sizes.tolist()) == {1000} and len(set(bins.tolist())) == 400
+    bins, _, sizes = packing.best_fit(np.array([1000] * 40 + [96] * 10), (1000, 4096), 8)
+    assert Counter(dict(zip(bins.tolist(), sizes.tolist())).values()) == {4096: 10}
+    lengths = np.random.default_rng(5).choice([300, 700, 1500, 2600], 500)
+    packed = packing.best_fit(lengths, (768, 1536, 2600, 4096), 8)
+    assert len(set(packed[2].tolist())) > 1
+    assert cost(packed, 8) <= single_size_cost(lengths.tolist(), (768, 1536, 2600, 4096), 8)

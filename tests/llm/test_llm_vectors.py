@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallystream.llm import embedding_join
 from tallystream.llm.embedding_join import near_vectors
 from tallystream.llm.topk_search import top_matches
 from test_llm_queries import plain_components
@@ -24,9 +25,10 @@ def frame(spark, rows):
         [(i, v, 1, "x", 2) for i, v in rows], "vec_id long, embedding array<float>, id int, v string, copies int").repartition(3)
 
 
-@pytest.mark.parametrize("sizes", [(4096, 16384, 256), (16, 24, 6), (50, 1000, 1)])
-def test_near_vectors(spark, sizes):
+@pytest.mark.parametrize("sizes", [(None, None, None), (16, 24, 6), (50, 1000, 1), (8, 24, None)])
+def test_near_vectors(spark, monkeypatch, sizes):
     home, member, pivots = sizes
+    monkeypatch.setattr(embedding_join, "ANGLES_AT_ONCE", 40)
     rows = vectors()
     got = {r["id"]: r for r in near_vectors(frame(spark, rows + ODD), cosine=0.95, home_rows=home, member_rows=member,
                                             most_pivots=pivots).collect()}
@@ -50,7 +52,7 @@ def test_no_vectors(spark):
     assert top_matches(frame(spark, [(1, [1.0])]), F.lit(True)).count() == 0
 
 
-@pytest.mark.parametrize("blocks", [(2048, 8192), (5, 37)])
+@pytest.mark.parametrize("blocks", [(None, None), (5, 37)])
 def test_top_matches(spark, blocks):
     rows = vectors()
     found = top_matches(frame(spark, rows + ODD), F.col("vec_id") % 20 == 0, query_rows=blocks[0], block_rows=blocks[1], k=7)
@@ -69,3 +71,22 @@ def test_top_matches_of_huge_components(spark):
     rows = [(0, [1e12, 1.0]), (1, [3.0, 1.0]), (2, [3.0, 2.0])]
     got = top_matches(frame(spark, rows), F.col("vec_id") == 0, scale=1).orderBy("rank").collect()
     assert [(r["vec_id"], r["score"]) for r in got] == [(2, 3 * int(np.float32(1e12)) + 2), (1, 3 * int(np.float32(1e12)) + 1)]
+
+
+def test_vectors_of_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (3, [0.01, 1.0]), (4, [-1.0, 0.0])]
+    got = sorted((r["id"], r["n_links"], r["component"]) for r in near_vectors(frame(spark, rows)).collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (3, 2, 1), (4, 0, 4)]
+    apart = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (4, [0.01, 1.0])]
+    got = sorted((r["id"], r["n_links"], r["component"]) for r in near_vectors(frame(spark, apart)).collect())
+    assert got == [(4, 1, 4), (5, 1, 4), (5, 1, 5), (6, 1, 5)]
+
+
+def test_top_matches_of_repeated_ids_and_extremes(spark):
+    rows = [(0, [2.0, 1.0]), (0, [1.0, 5.0]), (1, [3.0, 1.0]), (1, [4.0, 0.0]), (2, [1e30, 1e30]), (3, [-1e30, 1.0]), (4, [1e17, 0.0])]
+    got = top_matches(frame(spark, rows), F.col("vec_id") == 0, scale=1, k=9).orderBy("rank").collect()
+    most = (1 << 63) - 1
+    # The least vector of the repeated query id asks, and its own rows are no candidates.
+    assert [(r["vec_id"], r["score"]) for r in got][:1] == [(2, most)] and len(got) == 5
+    assert [(r["vec_id"], r["score"]) for r in got][2:4] == [(1, 8), (1, 4)] or [r["vec_id"] for r in got][2:4] == [1, 1]
+    assert got[-1]["vec_id"] == 3 and got[-1]["score"] < -most // 2
