@@ -101,7 +101,11 @@ def _within(sizes: np.ndarray) -> np.ndarray:
 
 
 def _block(words, first, second, weight, arcs, third, count) -> dict:
-    """Arrays of a transducer with its own symbols; states with one equal arc, or without arcs, are one state."""
+    """Arrays of a transducer with its own symbols; states with one equal arc, or without arcs, are one state.
+
+    Words of prefixes are told by their distance to the prefix before, and a state as 0 where it is a new one, else as
+    one more than its number, so that most entries are small.
+    """
     begin = np.cumsum(arcs) - arcs
     key = np.full(len(arcs), -1, np.int64)
     single = arcs == 1
@@ -109,12 +113,18 @@ def _block(words, first, second, weight, arcs, third, count) -> dict:
     several = np.flatnonzero(arcs > 1)
     key[several] = -2 - several
     _, kept, state = np.unique(key, return_index=True, return_inverse=True)
+    order = np.argsort(kept)
+    number = np.empty(len(kept), np.int64)
+    number[order], kept = np.arange(len(kept)), kept[order]
+    state = number[state] + 1
+    state[kept] = 0
     at = np.repeat(begin[kept], arcs[kept]) + _within(arcs[kept])
     third, count = third[at], count[at]
     used = np.unique(np.r_[0, first, second, third])
-    return {"symbols": ["", *(words[k].decode() for k in used[1:].tolist())], "first": np.searchsorted(used, first),
-            "second": np.searchsorted(used, second), "weight": weight, "state": state, "arcs": arcs[kept],
-            "third": np.searchsorted(used, third), "count": count}
+    return {"symbols": ["", *(words[k].decode() for k in used[1:].tolist())],
+            "first": np.diff(np.searchsorted(used, first), prepend=0),
+            "second": np.diff(np.searchsorted(used, second), prepend=0), "weight": weight, "state": state,
+            "arcs": arcs[kept], "third": np.searchsorted(used, third), "count": count}
 
 
 class _Shard:
@@ -170,6 +180,12 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         zero_copy_only=False).astype(np.int64)
 
 
+def _running(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums from the start of each block of values on."""
+    sums, ends = np.cumsum(values), np.cumsum(sizes)
+    return sums - np.repeat(np.r_[0, sums[ends[:-1] - 1]], sizes)
+
+
 def _united(least: int):
     def of(table: pa.Table) -> pa.Table:
         names = table.column("symbols").combine_chunks()
@@ -180,6 +196,8 @@ def _united(least: int):
         (first, paths), (second, _), (weight, _), (state, _) = (
             _flat(table.column(x)) for x in ("first", "second", "weight", "state"))
         (arcs, states), (third, ends), (count, _) = (_flat(table.column(x)) for x in ("arcs", "third", "count"))
+        first, second = _running(first, paths), _running(second, paths)
+        state = np.where(state == 0, _running(state == 0, paths), state) - 1
         at = np.repeat(base, paths)
         prefix = symbol[first + at] * n + symbol[second + at]
         third = symbol[third + np.repeat(base, ends)]
@@ -264,7 +282,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     best = found.withColumn("score", F.expr(SCORE)).groupBy("lang", "phrase", "a").agg(
         F.min(F.struct("score", "cut", "l", "r")).alias("b")).select("lang", "phrase", "a", "b.l", "b.r", "b.score")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    # Filtered as it is, so that each task hands on its first rows only.
+    # First in parts of a language, so that only the first rows of each come together.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(max(salts, shuffle_tasks(docs.sparkSession))))
+    within = Window.partitionBy("lang", "part").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    best = best.withColumn("part", part).withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= top)
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     totals = counts.where("size = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(totals, "lang").select(
