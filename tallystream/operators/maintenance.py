@@ -78,7 +78,7 @@ def _listed(spark: SparkSession, table: StreamTable, folders: list[str]) -> Data
     names = "|".join(root.rsplit("/", 1)[1] for root in table.data)
     path = F.regexp_extract(_decoded(F.col("file")), rf"/((?:{names})/[a-z_]+=\d+/verdict=.*)$", 1).alias("path")
     part = F.regexp_extract("path", r"/(verdict=[^/]*/[^/]*)/[^/]*$", 1).alias("part")
-    return paths.listing(spark, *folders, only="*.parquet").select(path, "bytes").select("path", part, "bytes")
+    return paths.listing(spark, *folders, only="*.parquet", recursive=True).select(path, "bytes").select("path", part, "bytes")
 
 
 def table_files(spark: SparkSession, table: StreamTable) -> DataFrame:

@@ -17,6 +17,7 @@ from tallystream.functions import numeric, text, times
 from tallystream.operators import balance, branches, catalogue, changes, maintenance, reports, statements, writes
 from tallystream.plans import inputs
 from tallystream.session import prepare, scratch
+from tallystream.sources import paths
 from tallystream.sources.landing import export_lines
 from tallystream.sources.schemas import schema_of
 from tallystream.sources.tables import conform, constant_rows, key_range, read_table
@@ -470,15 +471,19 @@ def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
 def late_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files that came too late for the stream are found by the ledger and taken in beside it, each once."""
     root = scratch(spark, "stream")
-    table, landing = inputs.event_table(root), f"{root}/landing"
+    table, landing, held = inputs.event_table(root), f"{root}/landing", f"{root}/held"
     early, late = _halves(inputs.telemetry(spark, folder))
-    for part in (early, late):
-        _land(part, landing)
-        # An age of nothing: only files as new as the newest one read are not too late.
-        ingest.ingest_available(spark, landing, table, max_file_age="0s")
-    ingest.take_late(spark, landing, table, max_file_age="0s")
-    ingest.take_late(spark, landing, table, max_file_age="0s")
-    return inputs.plain_times(ingest.read_snapshot(spark, table))
+    _land(late, held)
+    _land(early, landing)
+    # With an age of nothing all files older than the newest are too late: those held back and delivered now.
+    ingest.ingest_available(spark, landing, table, max_file_age="0s")
+    paths.move_files(spark, held, landing)
+    ingest.ingest_available(spark, landing, table, max_file_age="0s")
+    newest = ingest.newest_batch(spark, table)
+    for _ in range(2):
+        ingest.take_late(spark, landing, table, max_file_age="0s")
+    rows = ingest.read_committed(spark, table).where(F.col("verdict") == ingest.GOOD)
+    return inputs.plain_times(rows.select(*table.schema.fieldNames(), (F.col("batch_id") > newest).alias("late")))
 
 
 @register

@@ -279,7 +279,7 @@ FROM events WHERE event_type IN ('error', 'purchase') GROUP BY event_type""",
     "stream_counts": """
 SELECT unnest(['seen', 'held']) AS what, n_rows, n_bad
 FROM (SELECT count(*) AS n_rows, count(*) FILTER (event_type IN ('error', 'purchase')) AS n_bad FROM events)""",
-    "late_files": _TELEMETRY,
+    "late_files": f"""SELECT *, ("timestamp" < TIMESTAMP '2024-01-16 00:00:00') IS NOT TRUE AS late FROM ({_TELEMETRY})""",
     "snapshot_read": f"SELECT * FROM ({_TELEMETRY}) WHERE \"timestamp\" < TIMESTAMP '2024-01-16 00:00:00'",
     "list_partitions": "SELECT event_type, count(*) AS row_count FROM events GROUP BY event_type",
     "compact_rows": _TELEMETRY,

@@ -34,9 +34,19 @@ def remove(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
-def listing(spark: SparkSession, *folders: str, only: str | None = None) -> DataFrame:
-    """(file, modified, bytes) of the files below some folders, as Spark lists them; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+def move_files(spark: SparkSession, source: str, target: str, prefix: str = "part-") -> None:
+    """Move the files directly below a folder whose names begin with a prefix; they keep their times."""
+    for name in children(spark, source, prefix):
+        files, path = _path(spark, f"{source}/{prefix}{name}")
+        files.rename(path, _path(spark, f"{target}/{prefix}{name}")[1])
+
+
+def listing(spark: SparkSession, *folders: str, only: str | None = None, recursive: bool = False) -> DataFrame:
+    """(file, modified, bytes) of the files in some folders, as Spark lists them; contents are not read.
+
+    Folders named like partitions are looked into, others below only with ``recursive``.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if only:
         reader = reader.option("pathGlobFilter", only)
     facts = {"file": "file_path", "modified": "file_modification_time", "bytes": "file_size"}
