@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,14 +120,16 @@ def compact(spark: SparkSession, table: StreamTable, *, target_bytes: int = TARG
         return None
     number = now.round + 1
     pieces = {key: k for k, key in enumerate(sorted({(r["part"], r["bin"]) for r in chosen}))}
-    gone = spark.createDataFrame([(r["path"], pieces[r["part"], r["bin"]]) for r in chosen], "path string, piece int")
+    gone = spark.createDataFrame(pa.table({
+        "path": pa.array([r["path"] for r in chosen], pa.string()),
+        "piece": pa.array([pieces[r["part"], r["bin"]] for r in chosen], pa.int32())}))
     left = files.join(gone, "path", "left_anti")
     if chosen:
         folder = f"{table.merged}/round={number}"
         _merge(spark, table, gone, [f"{table.root}/{r['path']}" for r in chosen], folder, len(pieces))
         left = left.unionByName(_listed(spark, table, [folder]))
     # A row without a path, so that a table without files has its facts too.
-    left = left.unionByName(spark.createDataFrame([(None, None, None)], "path string, part string, bytes long"))
+    left = left.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS path, CAST(NULL AS STRING) AS part, CAST(NULL AS BIGINT) AS bytes"))
     (left.select("path", "part", "bytes", F.lit(now.newest).cast("bigint").alias("upto"), F.lit(now.last_sweep).alias("sweep"))
      .coalesce(1).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
      .parquet(f"{table.files}/round={number}"))

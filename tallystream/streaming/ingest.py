@@ -27,6 +27,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallystream import fixed_values as fixed
+from tallystream.session import settings
 from tallystream.sources import paths
 from tallystream.sources.landing import CORRUPT, MAX_FILE_AGE, SOURCE_FILE, SOURCE_TIME, stream_lines, with_corrupt
 from tallystream.sources.schemas import TELEMETRY
@@ -35,6 +36,8 @@ from tallystream.streaming import ledger
 GOOD, BAD = "good", "bad"
 #: Files of a micro-batch unless the caller says otherwise: a backlog comes in as several batches.
 FILES_PER_BATCH = 1000
+#: Files or folders of a read that the driver lists by itself; more are listed by tasks.
+LOOKED_UP = 256
 _EMPTY = "__EMPTY_TEXT__"
 
 
@@ -109,7 +112,9 @@ def _stored(table: StreamTable) -> StructType:
 def read_rows(spark: SparkSession, table: StreamTable, root: str, places: list[str]) -> DataFrame:
     """Rows of the named files or folders below a root, with ``verdict`` and ``batch_id``; no other is listed."""
     stored = _stored(table)
-    rows = spark.read.schema(stored).option("basePath", root).parquet(*places).select(stored.fieldNames())
+    # Some hundred names are looked up sooner by the driver than by a job.
+    with settings(spark, spark__sql__sources__parallelPartitionDiscovery__threshold=str(LOOKED_UP)):
+        rows = spark.read.schema(stored).option("basePath", root).parquet(*places).select(stored.fieldNames())
     if _is_text(table):
         value = F.col(table.partition)
         rows = rows.withColumn(table.partition, F.when(value == _EMPTY, F.lit("")).otherwise(value))
@@ -293,7 +298,8 @@ def take_late(spark: SparkSession, landing: str, table: StreamTable, max_file_ag
     """
     taken = 0
     while True:
-        found = late_files(spark, landing, table, max_file_age).orderBy("modified", "file").limit(files_per_batch).collect()
+        late = late_files(spark, landing, table, max_file_age).withColumn("micros", F.unix_micros("modified"))
+        found = late.orderBy("modified", "file").limit(files_per_batch).collect()
         if not found:
             return taken
         number = max([0, *sweeps(spark, table)]) + 1
@@ -302,5 +308,5 @@ def take_late(spark: SparkSession, landing: str, table: StreamTable, max_file_ag
         rows = judged(lines).withColumn("batch_id", F.lit(newest_batch(spark, table) + 1).cast("bigint"))
         write_rows(table, rows.observe(seen, *ledger.facts(False)), f"{table.late}/sweep={number}")
         ledger.note(spark, f"{table.ledger}/batch_id=-{number}",
-                    seen.get | {"files": [(r["file"], r["modified"]) for r in found]})
+                    seen.get | {"files": [(r["file"], r["micros"]) for r in found]})
         taken += len(found)

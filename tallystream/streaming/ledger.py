@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -15,15 +16,18 @@ NOTED = StructType([StructField("file", StringType()), StructField("modified", T
 
 def facts(with_files: bool) -> list[Column]:
     """What is observed of a batch: rows, bad rows, and its files, of which there are as many as a batch may have."""
-    files = [F.collect_set(F.struct(SOURCE_FILE, SOURCE_TIME)).alias("files")] if with_files else []
+    files = [F.collect_set(F.struct(SOURCE_FILE, F.unix_micros(SOURCE_TIME).alias("modified"))).alias("files")] if with_files else []
     return [F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("n_bad"), *files]
 
 
 def note(spark: SparkSession, folder: str, seen: dict) -> None:
-    """Write what was observed: a row per file, or one without a file where none is known."""
+    """Write what was observed: a row per file, or one without a file where none is known; times in microseconds."""
     files = [tuple(file) for file in seen.get("files") or []] or [(None, None)]
-    rows = spark.createDataFrame([(*file, seen["n_rows"], seen["n_bad"]) for file in files], NOTED)
-    (rows.coalesce(1).write.mode("overwrite")
+    rows = spark.createDataFrame(pa.table({
+        "file": pa.array([file for file, _ in files], pa.string()), "modified": pa.array([time for _, time in files], pa.int64()),
+        "n_rows": pa.repeat(pa.scalar(seen["n_rows"], pa.int64()), len(files)),
+        "n_bad": pa.repeat(pa.scalar(seen["n_bad"], pa.int64()), len(files))}))
+    (rows.withColumn("modified", F.timestamp_micros("modified")).coalesce(1).write.mode("overwrite")
      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder))
 
 
