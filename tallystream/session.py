@@ -42,7 +42,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     It is the given one if that has them, else one beside it with the same other settings and the same catalogue; the
     given one stays as it is.
     """
-    if all(spark.conf.get(name, "").lower() == value.lower() for name, value in _DEFINED.items()):
+    if all(spark.conf.get(name).lower() == value.lower() for name, value in _DEFINED.items()):
         return spark
     own = _prepared.get(spark)
     if own is None:
