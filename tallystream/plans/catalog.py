@@ -517,7 +517,7 @@ def compact_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def compact_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per partition in the files of the stream, and in the fewer files after a merge."""
+    """Rows per partition before and after a merge, the files that hold them after it, and whether these are fewer."""
     table = _streamed(spark, folder)
     before = maintenance.audit_table(spark, table)
     maintenance.compact(spark, table)
@@ -525,7 +525,8 @@ def compact_report(spark: SparkSession, folder: str) -> DataFrame:
     joined = before.alias("b").join(after.alias("a"), F.col(f"b.{fixed.PLATOON}").eqNullSafe(F.col(f"a.{fixed.PLATOON}")), "full_outer")
     return joined.select(
         F.coalesce(f"b.{fixed.PLATOON}", f"a.{fixed.PLATOON}").alias("event_type"), F.col("b.row_count").alias("rows_before"),
-        F.col("a.row_count").alias("rows_after"))
+        F.col("a.row_count").alias("rows_after"), F.col("a.file_count").alias("files_after"),
+        (F.col("a.file_count") < F.col("b.file_count")).alias("fewer_files"))
 
 
 @register

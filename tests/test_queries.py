@@ -41,6 +41,21 @@ def test_no_row_is_lost_to_a_null(spark, folder):
     assert report[None] == (missing, missing) and sum(a for a, _ in report.values()) == kept.count()
 
 
+def events_with_a_lone_type(spark, folder):
+    """400 events of two types, which all files of the stream hold, and one event of a third, which one file holds."""
+    spark.range(401).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS ts",
+        "CASE WHEN id = 400 THEN 'lone' WHEN id % 2 = 0 THEN 'even' ELSE 'odd' END AS event_type", "id * 0.5D AS value",
+        "'{}' AS props").write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_the_report_counts_the_files_after_a_merge(spark, folder):
+    rows = QUERIES["compact_report"](spark, events_with_a_lone_type(spark, folder)).collect()
+    report = {r.event_type: (r.rows_before, r.rows_after, r.files_after, r.fewer_files) for r in rows}
+    assert report == {"even": (200, 200, 1, True), "odd": (200, 200, 1, True), "lone": (1, 1, 1, False)}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_twin(spark, name):
     result = QUERIES[name](spark, SF_DIR)
