@@ -20,15 +20,19 @@ def is_small(target_bytes: int) -> Column:
     return F.col("bytes") < target_bytes * 3 // 4
 
 
+def _bin(part: str, path: str, target_bytes: int) -> Column:
+    """Number of the bin that a small file of a part begins in; large ones come after them and move none."""
+    before = Window.partitionBy(part).orderBy("bytes", path).rowsBetween(Window.unboundedPreceding, -1)
+    return F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / target_bytes)
+
+
 def bins(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """(path, part, bytes, bin) of the small files to be merged: those of one part and bin make one file.
 
     Within a part, small files are laid end to end by size and path; a new bin begins at each full
     ``target_bytes``. A bin thus has less than two files' worth of that, and one with a single file is left alone.
     """
-    before = Window.partitionBy("part").orderBy("bytes", "path").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("bytes").over(before), F.lit(0))
-    small = files.where(is_small(target_bytes)).select("path", "part", "bytes", F.floor(start / target_bytes).alias("bin"))
+    small = files.where(is_small(target_bytes)).select("path", "part", "bytes", _bin("part", "path", target_bytes).alias("bin"))
     together = F.count(F.lit(1)).over(Window.partitionBy("part", "bin"))
     return small.withColumn("together", together).where("together > 1").drop("together")
 
@@ -51,14 +55,16 @@ def file_counts(rows: DataFrame, partition: str) -> DataFrame:
 
 
 def file_audit(files: DataFrame, partition: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Per partition value: files, bytes, rows and small files, from what ``file_counts`` gives.
+    """Per partition value: files, bytes, rows, small files, and the files a merge of these leaves, from ``file_counts``.
 
     Its grouping has one row per file and partition value and is made up within each scan task, so what is
-    shuffled is about one row per file.
+    shuffled is about one row per file. A merge leaves a file for each bin that small files begin in.
     """
-    return files.groupBy(partition).agg(
+    small = is_small(target_bytes)
+    placed = files.withColumn("bin", F.when(small, _bin(partition, "file", target_bytes)))
+    return placed.groupBy(partition).agg(
         F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("file_count"), F.sum("bytes").alias("bytes"),
-        F.count_if(is_small(target_bytes)).alias("small_files"))
+        F.count_if(small).alias("small_files"), F.count_distinct("bin").alias("small_files_after"))
 
 
 def audit_table(spark: SparkSession, table: StreamTable, target_bytes: int = TARGET_BYTES) -> DataFrame:

@@ -531,9 +531,11 @@ def compact_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def small_file_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per partition of a freshly streamed table, counted from its files without reading a column."""
+    """Per partition of a freshly streamed table: rows, the files that a merge of its small ones would leave, and whether
+    these are fewer; counted from its files without reading a column."""
     audit = maintenance.audit_table(spark, _streamed(spark, folder))
-    return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count")
+    return audit.select(F.col(fixed.PLATOON).alias("event_type"), "row_count", "small_files_after",
+                        (F.col("small_files") > F.col("small_files_after")).alias("merge_helps"))
 
 
 @register

@@ -56,6 +56,12 @@ def test_the_report_counts_the_files_after_a_merge(spark, folder):
     assert report == {"even": (200, 200, 1, True), "odd": (200, 200, 1, True), "lone": (1, 1, 1, False)}
 
 
+def test_the_audit_tells_what_a_merge_leaves(spark, folder):
+    rows = QUERIES["small_file_audit"](spark, events_with_a_lone_type(spark, folder)).collect()
+    audit = {r.event_type: (r.row_count, r.small_files_after, r.merge_helps) for r in rows}
+    assert audit == {"even": (200, 1, True), "odd": (200, 1, True), "lone": (1, 1, False)}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_twin(spark, name):
     result = QUERIES[name](spark, SF_DIR)

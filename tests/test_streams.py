@@ -251,6 +251,24 @@ def test_bins_of_a_listing(spark):
     assert told == {"a": (7, 435, 5, 4), "b": (1, 5, 1, 1), "c": (2, 148, 2, 1), None: (2, 3, 2, 1)}
 
 
+def test_file_audit_counts_the_bins_of_small_files(spark):
+    sizes = {"a": [10, 60, 30, 20, 40, 75, 200], "b": [5], "c": [74, 74], "d": [75, 300], None: [1, 2]}
+    files = [(part, f"{part}{k}", size, 1) for part, own in sizes.items() for k, size in enumerate(own)]
+    rows = spark.createDataFrame(files, "part string, file string, bytes long, n long")
+    told = {r.part: (r.row_count, r.file_count, r.small_files, r.small_files_after) for r in maintenance.file_audit(rows, "part", 100).collect()}
+    assert told == {"a": (7, 7, 5, 2), "b": (1, 1, 1, 1), "c": (2, 2, 2, 1), "d": (2, 2, 0, 0), None: (2, 2, 2, 1)}
+
+
+def test_a_merge_leaves_the_files_that_the_audit_told(spark, table, folder):
+    streamed(spark, table, folder, batches=12, rows=12000)
+    target = 4 * maintenance.table_files(spark, table).agg(F.max("bytes")).first()[0]
+    told = {r.cooperative_platoon_id: r.file_count - r.small_files + r.small_files_after
+            for r in maintenance.audit_table(spark, table, target).collect()}
+    maintenance.compact(spark, table, target_bytes=target)
+    left = {r.cooperative_platoon_id: r.file_count for r in maintenance.audit_table(spark, table).collect()}
+    assert told == left and max(left.values()) > 1
+
+
 def test_large_files_are_untouched_after_six_rounds(spark, table, folder):
     landing, states = f"{folder}/landing", {}
     land(landing, "large.json", [line(f"large{n:04}-" + os.urandom(40).hex()) for n in range(600)])
